@@ -147,7 +147,9 @@ class Views:
         return self._cache[name]
 
     def sql(self, text: str) -> DataFrame:
-        return self.spark.sql(text, **{n: getattr(self, n) for n in set(needed(text))})
+        escaped = text.replace("{", "{{").replace("}", "}}")
+        named = re.sub(r"\{\{([a-z]\w*)\}\}", r"{\1}", escaped)
+        return self.spark.sql(named, **{n: getattr(self, n) for n in set(needed(text))})
 
 
 def oracle_text(sql: str) -> str:

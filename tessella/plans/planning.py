@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tessella import constants as C
 from tessella.functions.grid import Box, box_center, is_land, shard_of_tile, shr, tile_bounds, tile_range
 from tessella.functions.scalars import season_window
-from tessella.session import inline_table
+from tessella.session import inline_table, pinned
 
 COLLECTIONS = ("hls2-s30", "hls2-l30")
 FALLBACK = ("landsat-c2-l2",)
@@ -37,7 +37,8 @@ def box_tiles(boxes: DataFrame, z, mode: str = "corner") -> DataFrame:
 
 
 def land_tiles(tiles: DataFrame, buffer_km: float = C.LAND_BUFFER_KM) -> DataFrame:
-    return tiles.filter(is_land(tile_bounds("z", "x", "y"), buffer_km))
+    boxed = pinned(tiles, **{f"_{n}": c for n, c in tile_bounds("z", "x", "y")._asdict().items()})
+    return boxed.filter(is_land(Box("_minx", "_miny", "_maxx", "_maxy"), buffer_km)).select(*tiles.columns)
 
 
 def plan_tiles(
@@ -56,7 +57,7 @@ def plan_tiles(
     ``region`` and ``land`` are optional key sets (z, x, y) such as a polygon cover.
     The expressions never shuffle; only the key sets join.
     """
-    boxed = tiles.select("z", "x", "y", *[c.alias(n) for n, c in tile_bounds("z", "x", "y")._asdict().items()])
+    boxed = pinned(tiles.select("z", "x", "y"), **tile_bounds("z", "x", "y")._asdict())
     boxed = boxed.filter(is_land(Box("minx", "miny", "maxx", "maxy"), buffer_km))
     for keys in (region, land):
         if keys is not None:

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(name: str = "tessella", cpus: str = "*", partitions: int = 8) -> SparkSession:
@@ -44,3 +45,13 @@ def inline_table(spark: SparkSession, rows, names: list[str]) -> DataFrame:
     quote = lambda v: "'" + v.replace("'", "\\'") + "'" if isinstance(v, str) else "NULL" if v is None else repr(v)
     values = ", ".join("(" + ", ".join(quote(v) for v in row) + ")" for row in rows)
     return spark.sql(f"SELECT * FROM VALUES {values} AS t({', '.join(names)})")
+
+
+def pinned(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that are computed once per row.
+
+    Filters over ordinary computed columns are pushed below them with every use
+    spelled out again; a one-row ``inline`` keeps long expressions in one place.
+    """
+    row = F.struct(*[value.alias(name) for name, value in columns.items()])
+    return df.select("*", F.inline(F.array(row)))

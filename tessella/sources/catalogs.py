@@ -8,30 +8,26 @@ from pyspark.sql import functions as F
 from tessella import constants as C
 from tessella.functions.grid import col
 from tessella.functions.scalars import slug, to_integer
+from tessella.session import pinned
 
 
 def parse_catalog_lines(lines: DataFrame, line: str = "line") -> DataFrame:
     """``z/x/y.ext,mtime,size[,md5]`` text to typed rows, malformed lines dropped."""
-    parts = F.split(F.trim(F.col(line)), ",")
-    path = F.split(F.get(parts, F.lit(0)), "/")
-    leaf = F.get(path, F.lit(2))
-    named = lines.select(
-        F.size(parts).alias("n_fields"),
-        F.size(path).alias("n_path"),
-        to_integer(F.get(path, F.lit(0))).cast("int").alias("z"),
-        to_integer(F.get(path, F.lit(1))).alias("x"),
-        to_integer(F.split_part(leaf, F.lit("."), F.lit(1))).alias("y"),
-        F.regexp_extract(leaf, r"\.(.*)$", 1).alias("ext"),
-        to_integer(F.get(parts, F.lit(1))).alias("mtime"),
-        to_integer(F.get(parts, F.lit(2))).alias("size"),
-        F.coalesce(F.get(parts, F.lit(3)), F.lit("")).alias("md5"),
+    fields = pinned(lines.select(F.col(line).alias("line")), parts=F.split(F.trim("line"), ","))
+    fields = pinned(fields.filter(F.size("parts") >= 3), path=F.split(F.get("parts", F.lit(0)), "/"))
+    leaf = F.get("path", F.lit(2))
+    typed = pinned(
+        fields.filter(F.size("path") == 3),
+        z=to_integer(F.get("path", F.lit(0))).cast("int"),
+        x=to_integer(F.get("path", F.lit(1))),
+        y=to_integer(F.split_part(leaf, F.lit("."), F.lit(1))),
+        ext=F.regexp_extract(leaf, r"\.(.*)$", 1),
+        mtime=to_integer(F.get("parts", F.lit(1))),
+        size=to_integer(F.get("parts", F.lit(2))),
+        md5=F.coalesce(F.get("parts", F.lit(3)), F.lit("")),
     )
     whole = ["z", "x", "y", "mtime", "size"]
-    return (
-        named.filter((F.col("n_fields") >= 3) & (F.col("n_path") == 3))
-        .dropna(subset=whole)
-        .select("z", "x", "y", "ext", "mtime", "size", "md5")
-    )
+    return typed.dropna(subset=whole).select("z", "x", "y", "ext", "mtime", "size", "md5")
 
 
 def read_catalog(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
