@@ -18,15 +18,13 @@ def _index(value, z: int):
     return clamp(F.floor(value).cast("long"), F.lit(0).cast("long"), F.lit((1 << z) - 1).cast("long"))
 
 
-def boundary_tiles(edges: DataFrame, region: str, z: int) -> DataFrame:
-    """Tiles an outline runs through (touching counts): each edge row by row."""
+def _edge_cells(edges: DataFrame, region: str, z: int) -> DataFrame:
+    """Each edge in every cell it runs through (touching counts), row by row."""
     top, bottom = F.greatest("y1", "y2"), F.least("y1", "y2")
+    ends = ["x1", "y1", "x2", "y2"]
     rows = edges.select(
         region,
-        "x1",
-        "y1",
-        "x2",
-        "y2",
+        *ends,
         F.explode(F.sequence(_index(lat_to_row(top, z), z), _index(lat_to_row(bottom, z), z))).alias("y"),
     )
     banded = pinned(rows, north=row_latitude("y", z), south=row_latitude(F.col("y") + 1, z))
@@ -39,12 +37,17 @@ def boundary_tiles(edges: DataFrame, region: str, z: int) -> DataFrame:
     flat = F.col("y1") == F.col("y2")
     a = F.when(flat, F.col("x1")).otherwise(at(high))
     b = F.when(flat, F.col("x2")).otherwise(at(low))
-    spans = pinned(banded.select(region, "y", a.alias("a"), b.alias("b")),
-                   x0=_index(lon_to_column(F.least("a", "b"), z), z),
-                   x1=_index(lon_to_column(F.greatest("a", "b"), z), z))
-    return spans.select(
-        region, F.lit(z).alias("z"), F.explode(F.sequence("x0", "x1")).alias("x"), "y"
-    ).distinct()
+    spans = pinned(
+        banded.select(region, *ends, "y", a.alias("a"), b.alias("b")),
+        c0=_index(lon_to_column(F.least("a", "b"), z), z),
+        c1=_index(lon_to_column(F.greatest("a", "b"), z), z),
+    )
+    return spans.select(region, *ends, F.explode(F.sequence("c0", "c1")).alias("x"), "y")
+
+
+def boundary_tiles(edges: DataFrame, region: str, z: int) -> DataFrame:
+    """Tiles an outline runs through."""
+    return _edge_cells(edges, region, z).select(region, F.lit(z).alias("z"), "x", "y").distinct()
 
 
 def inside_spans(edges: DataFrame, region: str, z: int) -> DataFrame:
@@ -128,36 +131,40 @@ def clip_pixels(pixels: DataFrame, edges: DataFrame, region: str, z: int, bits:
 def boxes_in_regions(boxes: DataFrame, edges: DataFrame, region: str, key: str, z: int = 7) -> DataFrame:
     """Boxes (minx, miny, maxx, maxy) that meet a region: pairs of key and region.
 
-    Boxes and region covers meet in tiles of a coarse zoom; inside tiles settle a
-    pair at once, outline tiles are checked against the edges that cross them.
-    Malformed boxes are dropped.
+    Everything meets in cells of zoom ``z``, never a box with a whole outline. A box
+    an edge touches is in. Otherwise it is inside or outside as its centre is: the
+    centre has the side of its cell's centre, flipped once for every edge of the
+    cell between the two. Malformed boxes are dropped.
     """
     from tessella.plans.planning import box_tiles
 
     good = boxes.filter((F.col("maxx") >= F.col("minx")) & (F.col("maxy") >= F.col("miny")))
-    spread = box_tiles(good.select(key, "minx", "miny", "maxx", "maxy"), z)
-    bounds = dict(zip(("w", "s", "e", "n"), (
-        column_longitude("x", z), row_latitude(F.col("y") + 1, z), column_longitude(F.col("x") + 1, z), row_latitude("y", z)
-    )))
-    # a box inside a region away from the outline contains an inner cell or lies in one
-    cover = region_cover(edges, region, z)
-    hits = pinned(spread.join(cover, ["z", "x", "y"]), **bounds)
-    whole = hits.filter(~F.col("partial")).select(key, region).distinct()
-    # outline cells: the box against every edge of the region near it
-    near = hits.filter("partial").select(key, region, "minx", "miny", "maxx", "maxy").distinct()
-    sides = near.join(edges.select(region, "x1", "y1", "x2", "y2"), region)
-    cross = edge_meets_box("minx", "miny", "maxx", "maxy")
-    cx, cy = (F.col("minx") + F.col("maxx")) / 2, (F.col("miny") + F.col("maxy")) / 2
-    right = ((F.col("y1") > cy) != (F.col("y2") > cy)) & (
-        F.col("x1") + (cy - F.col("y1")) * (F.col("x2") - F.col("x1")) / F.nullif(F.col("y2") - F.col("y1"), F.lit(0.0)) > cx
-    )
-    exact = (
-        sides.groupBy(key, region)
-        .agg(F.bool_or(cross).alias("crossed"), (F.count_if(right) % 2 == 1).alias("inside"))
-        .filter("crossed OR inside")
+    good = good.select(key, "minx", "miny", "maxx", "maxy")
+    edge_cells = _edge_cells(edges, region, z)
+    touched = (
+        box_tiles(good, z)
+        .join(edge_cells, ["x", "y"])
+        .filter(edge_meets_box("minx", "miny", "maxx", "maxy"))
         .select(key, region)
+        .distinct()
+    )
+    px, py = (F.col("minx") + F.col("maxx")) / 2, (F.col("miny") + F.col("maxy")) / 2
+    centred = pinned(good.select(key, px.alias("px"), py.alias("py")),
+                     x=_index(lon_to_column("px", z), z), y=_index(lat_to_row("py", z), z))
+    inner = inside_spans(edges, region, z).select(region, F.explode(F.sequence("x0", "x1")).alias("x"), "y")
+    facts = inner.withColumns({n: F.lit(None).cast("double") for n in ("x1", "y1", "x2", "y2")}).unionByName(edge_cells)
+    met = pinned(centred.join(facts, ["x", "y"]),
+                 qx=column_longitude(F.col("x") + 0.5, z), qy=row_latitude(F.col("y") + 0.5, z))
+    side = lambda ax, ay, bx, by, cx, cy: (F.col(bx) - F.col(ax)) * (F.col(cy) - F.col(ay)) - (
+        F.col(by) - F.col(ay)
+    ) * (F.col(cx) - F.col(ax))
+    between = (side("x1", "y1", "x2", "y2", "px", "py") > 0) != (side("x1", "y1", "x2", "y2", "qx", "qy") > 0)
+    between = between & (
+        (side("px", "py", "qx", "qy", "x1", "y1") > 0) != (side("px", "py", "qx", "qy", "x2", "y2") > 0)
     )
-    return whole.unionByName(exact).distinct()
+    flips = F.count_if(F.col("x1").isNull() | between)
+    inside = met.groupBy(key, region).agg((flips % 2 == 1).alias("inside")).filter("inside").select(key, region)
+    return touched.unionByName(inside).distinct()
 
 
 def edge_meets_box(minx, miny, maxx, maxy):
