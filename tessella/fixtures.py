@@ -56,6 +56,25 @@ VIEWS = {
     "fx_scene_px": """
         SELECT scene, z, x, y, band, px, py, max(dn) AS dn, max(qa) AS qa, min(cloud) AS cloud
         FROM {fx_obs} GROUP BY scene, z, x, y, band, px, py""",
+    # a temporal stack of five scenes over 16-pixel tiles, and its quality pixels
+    "fx_stack": """
+        SELECT CAST(l_orderkey % 5 AS INT) AS scene, 14 AS z, CAST(floor(l_orderkey / 512) AS BIGINT) AS x, l_suppkey % 4 AS y,
+               CAST(l_linenumber % 3 AS INT) AS band, CAST(l_partkey % 16 AS INT) AS px, CAST(floor(l_extendedprice) AS INT) % 16 AS py,
+               max(CAST((l_partkey * 31 + l_suppkey * 17 + l_orderkey) % 4000 AS INT)) AS dn,
+               CASE WHEN l_orderkey % 5 = 4 THEN NULL ELSE CAST(l_orderkey % 5 * 37 % 50 AS DOUBLE) END AS cloud
+        FROM {lineitem} GROUP BY l_orderkey % 5, floor(l_orderkey / 512), l_suppkey % 4, l_linenumber % 3, l_partkey % 16, CAST(floor(l_extendedprice) AS INT) % 16""",
+    "fx_qa": """
+        SELECT CAST(l_orderkey % 5 AS INT) AS scene, 14 AS z, CAST(floor(l_orderkey / 512) AS BIGINT) AS x, l_suppkey % 4 AS y,
+               CAST(l_partkey % 16 AS INT) AS px, CAST(floor(l_extendedprice) AS INT) % 16 AS py,
+               max(CAST((l_orderkey + l_linenumber) % 64 AS INT)) AS qa
+        FROM {lineitem} WHERE l_orderkey % 5 <> 3
+        GROUP BY l_orderkey % 5, floor(l_orderkey / 512), l_suppkey % 4, l_partkey % 16, CAST(floor(l_extendedprice) AS INT) % 16""",
+    # tile pixels of an ordered stack: 0 at zoom 3, 1 at zooms 5 and 6
+    "fx_layers": """
+        SELECT ord AS src, CASE WHEN ord = 0 THEN 3 ELSE 5 END AS z,
+               CASE WHEN ord = 0 THEN x ELSE x * 4 + 1 END AS x, CASE WHEN ord = 0 THEN y ELSE y * 4 + 2 END AS y, px, py, r, g, b, a FROM {fx_rgba}
+        UNION ALL
+        SELECT 1 AS src, 6 AS z, x * 8 + 3 AS x, y * 8 + 5 AS y, px, py, b AS r, r AS g, g AS b, a FROM {fx_rgba} WHERE ord = 0""",
     # RGBA pixels of two layers: 0 base, 1 overlay
     "fx_rgba": """
         SELECT CAST(l_linenumber % 2 AS INT) AS ord, 3 AS z, l_orderkey % 8 AS x,
@@ -108,7 +127,7 @@ VIEWS = {
     # asset files and their catalog
     "fx_assets": """
         SELECT concat('asset_', c_custkey) AS asset_id, c_name AS name,
-               md5(concat(c_name, c_custkey % 10)) AS checksum, c_mktsegment AS license, c_acctbal AS size
+               md5(concat(c_name, c_custkey % 10)) AS checksum, concat(c_name, c_custkey % 10) AS expected, c_mktsegment AS license, c_acctbal AS size
         FROM {customer}""",
     "fx_files": """
         SELECT concat('asset_', CASE WHEN c_custkey % 17 = 0 THEN c_custkey + 10000000 ELSE c_custkey END) AS asset_id,
