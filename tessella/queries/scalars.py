@@ -391,13 +391,13 @@ def _(v):
 
 
 @query("fn_parse_time", """
-    SELECT event_id, CASE WHEN event_id % 11 = 0 THEN NULL ELSE date_trunc('second', ts) END AS instant, TRY_CAST(num AS DOUBLE) AS cloud
+    SELECT event_id, CASE WHEN event_id % 11 = 0 THEN NULL ELSE CAST(floor(epoch(ts)) AS BIGINT) END AS instant, TRY_CAST(num AS DOUBLE) AS cloud
     FROM (SELECT event_id, ts, CASE WHEN event_id % 7 = 0 THEN 'n/a' ELSE CAST(event_id % 101 AS VARCHAR) END AS num FROM {events}) AS e""")
 def _(v):
     text = v.sql("""SELECT event_id, CASE WHEN event_id % 11 = 0 THEN 'soon' ELSE date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'") END AS t,
                     CASE WHEN event_id % 7 = 0 THEN 'n/a' ELSE CAST(event_id % 101 AS STRING) END AS num FROM {events}""")
     return text.select(
-        "event_id", S.to_instant("t").cast("timestamp_ntz").alias("instant"), S.to_number("num").alias("cloud")
+        "event_id", F.unix_seconds(S.to_instant("t")).alias("instant"), S.to_number("num").alias("cloud")
     )
 
 

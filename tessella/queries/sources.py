@@ -121,13 +121,13 @@ def _(v):
 
 
 @query("src_scene_items_strict", """
-    SELECT concat('S', o_orderkey) AS item_id, make_timestamp(2024, 1 + o_orderkey % 9, 15, 10, 0, 0) AS acquired,
+    SELECT concat('S', o_orderkey) AS item_id, CAST(epoch(make_timestamp(2024, 1 + o_orderkey % 9, 15, 10, 0, 0)) AS BIGINT) AS acquired,
            o_custkey % 170 + 2.0E0 AS maxx, 'http://a/2,http://a/3' AS hrefs
     FROM {orders} WHERE o_orderkey % 5 <> 0 AND o_orderkey % 6 <> 0""")
 def _(v):
     scenes = records.scene_items_strict(records.parse_items(v.sql(ITEMS)), ("B02", "B03"))
     hrefs = F.array_join(F.array_sort(F.map_values("assets")), ",")
-    return scenes.select("item_id", F.col("acquired").cast("timestamp_ntz").alias("acquired"), "maxx", hrefs.alias("hrefs"))
+    return scenes.select("item_id", F.unix_seconds("acquired").alias("acquired"), "maxx", hrefs.alias("hrefs"))
 
 
 @query("src_manifest", """

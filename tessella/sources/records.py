@@ -106,6 +106,7 @@ def parse_items(lines: DataFrame, text: str = "value") -> DataFrame:
         F.col("i.id").alias("item_id"),
         F.col("i.collection").alias("collection_id"),
         to_instant("i.properties.datetime").alias("acquired"),
+        F.substring("i.properties.datetime", 1, 10).try_cast("date").alias("acq_date"),
         to_number(F.col("i.properties")["eo:cloud_cover"]).alias("cloud"),
         F.col("i.bbox").alias("bbox"),
         F.map_filter(
@@ -131,7 +132,7 @@ def scene_items(items: DataFrame, bands, qa_key: str, tile_box=()) -> DataFrame:
     return items.withColumn("bands", wanted).filter(F.size("bands") > 0).select(
         "collection_id",
         "item_id",
-        F.to_date("acquired").alias("acq_date"),
+        F.when(F.col("acquired").isNotNull(), F.col("acq_date")).alias("acq_date"),
         "cloud",
         *_box(tile_box),
         "bands",
