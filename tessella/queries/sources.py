@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from tessella import constants as C
 from tessella.operators import tiles as T
 from tessella.plans.planning import plan_tiles
 from tessella.queries import query
@@ -71,7 +72,7 @@ def _(v):
     SELECT DISTINCT z, x, y, concat('{"z":', z, ',"x":', x, ',"y":', y, ',') AS head FROM {fx_tiles} AS t
     WHERE EXISTS (SELECT 1 FROM (SELECT x / power(2, z) * 360.0 - 180.0 AS w, (x + 1) / power(2, z) * 360.0 - 180.0 AS e,
         degrees(atan(sinh(pi() * (1.0 - 2.0 * (y + 1) / power(2, z))))) AS s, degrees(atan(sinh(pi() * (1.0 - 2.0 * y / power(2, z))))) AS n) AS b,
-        (VALUES """ + ", ".join(str(b) for b in __import__("tessella.constants", fromlist=["C"]).LAND_BOXES) + """) AS l(w0, s0, e0, n0)
+        (VALUES """ + ", ".join(str(b) for b in C.LAND_BOXES) + """) AS l(w0, s0, e0, n0)
       WHERE (e >= w0 - 20.0 / 111.32 AND w <= e0 + 20.0 / 111.32 AND n >= s0 - 20.0 / 111.32 AND s <= n0 + 20.0 / 111.32) OR n > 75.0 OR s < -75.0)""")
 def _(v):
     plan = plan_tiles(v.fx_tiles.select("z", "x", "y").distinct(), 2024)
@@ -87,7 +88,7 @@ def _(v):
       SELECT coalesce(CASE WHEN o_orderkey % 5 = 0 THEN '03' END, s.shard) AS shard
       FROM {orders} JOIN (VALUES """ + ", ".join(
     f"('{i:02d}', {a}, {b}, {c}, {d})"
-    for i, (a, b, c, d) in enumerate(__import__("tessella.constants", fromlist=["C"]).SHARD_RECTANGLES)
+    for i, (a, b, c, d) in enumerate(C.SHARD_RECTANGLES)
 ) + """) AS s(shard, x0, y0, x1, y1)
         ON (o_orderkey % 64) >> (o_orderkey % 6) BETWEEN x0 AND x1 AND (o_custkey % 64) >> (o_orderkey % 6) BETWEEN y0 AND y1
       WHERE o_orderkey % 29 <> 0 AND o_orderkey % 31 <> 0 AND o_orderkey % 37 <> 0 AND o_orderkey % 41 <> 0) AS p GROUP BY shard""")
@@ -295,3 +296,41 @@ def _(v):
         at("$.file_size").cast("bigint").alias("file_size"),
         F.col("source").contains('"license"').alias("has_license"),
     )
+
+
+NEWEST = """(SELECT z, x, y, payload FROM (SELECT *, row_number() OVER (PARTITION BY z, x, y ORDER BY seq DESC) AS r FROM {fx_tiles}) AS t WHERE r = 1)"""
+
+
+def _archived(v):
+    """Newest tiles written as one archive per shard in the shared folder."""
+    import uuid
+
+    from tessella.functions.grid import shard_of_tile
+    from tessella.session import shared_folder
+    from tessella.sources import archives
+
+    folder = f"{shared_folder(v.spark)}/{uuid.uuid4().hex}"
+    tiles = T.last_wins(v.fx_tiles, ["seq"]).withColumn("shard", shard_of_tile("z", "x", "y"))
+    archives.write_archives(tiles, folder, meta={"name": "fixture", "format": "json"})
+    return archives, folder
+
+
+@query("src_mbtiles", f"SELECT CAST(z AS INT) AS z, x, y, payload FROM {NEWEST} AS n")
+def _(v):
+    archives, folder = _archived(v)
+    tiles = archives.read_archives(v.spark, folder)
+    return tiles.select("z", "x", "y", F.col("payload").cast("string").alias("payload"))
+
+
+@query("snk_mbtiles_shards", f"""
+    SELECT concat(shard, '.mbtiles') AS archive, CAST(min(z) AS VARCHAR) AS minzoom, CAST(max(z) AS VARCHAR) AS maxzoom, 'fixture' AS name, count(*) AS tiles
+    FROM {NEWEST} AS n JOIN (VALUES """ + ", ".join(
+    f"('{i:02d}', {a}, {b}, {c}, {d})"
+    for i, (a, b, c, d) in enumerate(C.SHARD_RECTANGLES)
+) + """) AS s(shard, x0, y0, x1, y1) ON (x >> (z - 6)) BETWEEN x0 AND x1 AND (y >> (z - 6)) BETWEEN y0 AND y1 GROUP BY 1""")
+def _(v):
+    archives, folder = _archived(v)
+    counts = archives.read_archives(v.spark, folder).groupBy("archive").agg(F.count("*").alias("tiles"))
+    value = lambda name: F.max(F.when(F.col("name") == name, F.col("value"))).alias(name)
+    meta = archives.read_archive_meta(v.spark, folder).groupBy("archive").agg(value("minzoom"), value("maxzoom"), value("name"))
+    return meta.join(counts, "archive").select("archive", "minzoom", "maxzoom", "name", "tiles")

@@ -156,18 +156,24 @@ def read_archives(spark: SparkSession, path: str, rows_per_partition: int = 50_0
 def write_archives(tiles: DataFrame, path: str, shard: str = "shard", meta: dict | None = None, rows_per_file: int = 500_000) -> None:
     """One archive per shard; a shard above ``rows_per_file`` gets several.
 
-    Big shards are split by tile columns, so that a hot shard is no single task.
+    Big shards are split by key, so that a hot shard is no single task.
     """
     spark = tiles.sparkSession
     spark.dataSource.register(TileArchive)
-    counts = tiles.groupBy(shard).agg(F.ceil(F.count("*") / rows_per_file).cast("int").alias("_parts"))
-    sized = tiles.join(F.broadcast(counts), shard)  # one row per shard
-    part = F.when(F.col("_parts") > 1, F.concat_ws("_", F.col(shard), F.pmod(F.col("x"), "_parts"))).otherwise(F.col(shard))
-    rows = sized.select(part.alias("shard"), "z", "x", tms_flip("z", "y").alias("tms_row"), F.col("payload").cast("binary").alias("payload"))
-    # files are at most this many; each name gets a partition of its own
-    names = [r.shard for r in rows.select("shard").distinct().collect()]
-    number = F.array_position(F.array(*map(F.lit, sorted(names))), F.col("shard")).cast("int") - 1
-    placed = rows.withColumn("_p", number).repartitionById(len(names), "_p").drop("_p")
+    files = F.ceil(F.count("*") / rows_per_file).cast("int")
+    plan = tiles.groupBy(shard).agg(files.alias("n")).collect()  # one row per shard
+    first, total = {}, 0
+    for row in sorted(plan, key=lambda r: str(r[0])):
+        first[row[0]] = (total, row.n)
+        total += row.n
+    start = F.create_map(*[F.lit(v) for k, (at, _) in first.items() for v in (k, at)])[F.col(shard)]
+    parts = F.create_map(*[F.lit(v) for k, (_, n) in first.items() for v in (k, n)])[F.col(shard)]
+    piece = F.pmod(F.xxhash64("z", "x", "y"), parts).cast("int")
+    name = F.when(parts > 1, F.concat_ws("_", F.col(shard), piece)).otherwise(F.col(shard))
+    placed = tiles.select(
+        name.alias("shard"), "z", "x", tms_flip("z", "y").alias("tms_row"),
+        F.col("payload").cast("binary").alias("payload"), (start + piece).alias("_p"),
+    ).repartitionById(total, "_p").drop("_p")
     placed.write.format(FORMAT).mode("overwrite").option("meta", json.dumps(meta or {})).save(path)
 
 
