@@ -1,8 +1,8 @@
 """Raster operators on chunk rows: keys, z, x, y, w, h, data ARRAY<INT>.
 
-Spark partitions, joins and groups; numpy only works on the few chunks of one
-tile. Groups are bounded by construction (four children, nine halo pieces, one row
-per source); a deep temporal stack takes the pixel form instead.
+Spark partitions, joins and groups. Groups are bounded by construction (four
+children, nine halo pieces, one row per source), a deep temporal stack takes the
+pixel form instead. The grouped rows reach numpy in Arrow batches of many tiles.
 """
 
 from __future__ import annotations
@@ -12,38 +12,94 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessella.functions.grid import shr
+from tessella.functions.grid import shl, shr
 from tessella.operators import kernels
 from tessella.operators.pixels import median_pixels
 from tessella.operators.tiles import KEY, for_sources, nearest_ancestor, union_tiles
 
+OUT_VALUES = 8_000_000  # values of one output batch
+CUT_BITS = 4
+
 
 def _types(df: DataFrame, names) -> str:
     kinds = dict(df.dtypes)
-    return ", ".join(f"`{n}` {kinds[n]}" for n in names)
+    return "".join(f"`{n}` {kinds[n]}, " for n in names)
+
+
+class Ragged:
+    """A list column as flat values with offsets."""
+
+    def __init__(self, column: pa.ListArray):
+        self.values = column.flatten().to_numpy(zero_copy_only=False)
+        offsets = column.offsets.to_numpy()
+        self.starts = offsets[:-1] - offsets[0]
+        self.sizes = np.diff(offsets)
+
+    def rows(self, index: np.ndarray) -> np.ndarray:
+        """Rows of one common size as a matrix."""
+        size = int(self.sizes[index[0]])
+        return self.values[self.starts[index][:, None] + np.arange(size)[None, :]]
+
+
+class Grouped:
+    """A column of collected structs: one entry per item, with the row that owns it."""
+
+    def __init__(self, column: pa.ListArray):
+        items = column.flatten()
+        counts = np.diff(column.offsets.to_numpy())
+        self.n = len(column)
+        self.owner = np.repeat(np.arange(self.n), counts)
+        self.counts = counts
+        self.first = np.concatenate([[0], np.cumsum(counts)])[:-1]
+        self._items = items
+
+    def ints(self, name: str) -> np.ndarray:
+        return self._items.field(name).to_numpy(zero_copy_only=False)
 
+    def lists(self, name: str = "data") -> Ragged:
+        return Ragged(self._items.field(name))
 
-def _arrays(table: pa.Table, column: str = "data") -> list[np.ndarray]:
-    column = table.column(column).combine_chunks()
-    values = column.flatten().to_numpy(zero_copy_only=False)
-    offsets = column.offsets.to_numpy()
-    return [values[a - offsets[0] : b - offsets[0]] for a, b in zip(offsets, offsets[1:])]
 
+def _list_column(matrix: np.ndarray) -> pa.ListArray:
+    flat = np.ascontiguousarray(matrix, dtype=np.int32)
+    offsets = np.arange(len(flat) + 1, dtype=np.int64) * flat.shape[1]
+    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(flat.ravel()))
 
-def _image(data: np.ndarray, w: int, h: int) -> np.ndarray:
-    return data.reshape(-1, h, w)
 
+def _emit(batch: pa.RecordBatch, names, index: np.ndarray, w: int, h: int, matrix: np.ndarray):
+    """Output batch: key columns of the given rows, a common size, the data."""
+    keys = batch.select(list(names)).take(pa.array(index, pa.int64()))
+    columns = list(keys.columns) + [
+        pa.array(np.full(len(index), w, np.int32)),
+        pa.array(np.full(len(index), h, np.int32)),
+        _list_column(matrix.reshape(len(index), -1)),
+    ]
+    return pa.RecordBatch.from_arrays(columns, names=[*names, "w", "h", "data"])
 
-def _row(key, names, schema_like: pa.Table, **values) -> pa.Table:
-    """One output row: the key columns as they came in, the rest as given."""
-    out = {n: schema_like.column(n).slice(0, 1) for n in names}
-    for n, v in values.items():
-        out[n] = pa.array([v], pa.list_(pa.int32())) if isinstance(v, np.ndarray) else pa.array([v], pa.int32())
-    return pa.table(out)
+
+def _runs(index: np.ndarray, width: int):
+    """Cut an index so that each part stays within the output size."""
+    step = max(1, OUT_VALUES // max(width, 1))
+    for start in range(0, len(index), step):
+        yield index[start : start + step]
+
+
+def _same(*columns: np.ndarray):
+    """Row indices per distinct combination of integer columns."""
+    if not len(columns[0]):
+        return
+    table, inverse = np.unique(np.stack(columns, axis=1), axis=0, return_inverse=True)
+    inverse = inverse.ravel()
+    for i, values in enumerate(table):
+        yield tuple(int(v) for v in values), np.flatnonzero(inverse == i)
+
+
+def _gather(df: DataFrame, keys: list[str], fields: list[str]) -> DataFrame:
+    return df.groupBy(*keys).agg(F.collect_list(F.struct(*fields)).alias("g"))
 
 
 def explode_chunks(chunks: DataFrame, keys: list[str], value: str = "dn") -> DataFrame:
-    """Chunk rows to pixel rows; planes after the first get a ``plane`` number."""
+    """Chunk rows to pixel rows with the ``plane`` number of multi-plane data."""
     area = F.col("w") * F.col("h")
     return chunks.select(*keys, "w", "h", F.posexplode("data").alias("pos", value)).select(
         *keys,
@@ -56,17 +112,23 @@ def explode_chunks(chunks: DataFrame, keys: list[str], value: str = "dn") -> Dat
 
 def assemble_chunks(pixels: DataFrame, keys: list[str], w: int, h: int, planes: list[str] = ("dn",)) -> DataFrame:
     """Pixel rows to dense chunks, absent pixels 0. A group is at most w*h rows."""
-    planes = list(planes)
+    planes, names = list(planes), list(keys)
+    size = w * h * len(planes)
 
-    def build(table: pa.Table) -> pa.Table:
-        at = table.column("py").to_numpy() * w + table.column("px").to_numpy()
-        data = np.zeros((len(planes), w * h), np.int32)
-        for i, name in enumerate(planes):
-            data[i, at] = table.column(name).to_numpy()
-        return _row(None, keys, table, w=w, h=h, data=data.ravel())
+    def build(batches):
+        for batch in batches:
+            for part in _runs(np.arange(batch.num_rows), size):
+                rows = batch.slice(int(part[0]), len(part))
+                group = Grouped(rows.column("g"))
+                data = np.zeros((group.n, size), np.int32)
+                at = group.ints("pos")
+                for i, name in enumerate(planes):
+                    data[group.owner, at + i * w * h] = group.ints(name)
+                yield _emit(rows, names, np.arange(group.n), w, h, data)
 
-    schema = _types(pixels, keys) + ", w int, h int, data array<int>"
-    return pixels.select(*keys, "px", "py", *planes).groupBy(*keys).applyInArrow(build, schema)
+    placed = pixels.withColumn("pos", (F.col("py") * w + F.col("px")).cast("int"))
+    fields = ["pos", *[F.col(n).cast("int").alias(n) for n in planes]]
+    return _gather(placed, names, fields).mapInArrow(build, _types(pixels, names) + "w int, h int, data array<int>")
 
 
 def mask_chunks(bands: DataFrame, qa: DataFrame, keys: list[str], mask: int) -> DataFrame:
@@ -78,79 +140,85 @@ def mask_chunks(bands: DataFrame, qa: DataFrame, keys: list[str], mask: int) ->
 
 
 def _halo(chunks: DataFrame, keys: list[str], n: int) -> DataFrame:
-    """Each chunk and the border strips its eight neighbours need.
+    """Each chunk, and the border strips its eight neighbours need.
 
-    Columns: the target's keys, z, x, y, then (dx, dy) of the sender as seen from the
-    target, size and strip. Strips are n wide, so little more than the chunks move.
+    Rows carry the target's key and (dx, dy), the sender's place as seen from the
+    target. Strips are ``n`` wide, so little more than the chunks themselves moves.
     """
-    names = [*keys, *KEY]
+    slices = lambda step, length: {-1: slice(length - n, None), 0: slice(None), 1: slice(0, n)}[step]
 
     def strips(batches):
         for batch in batches:
-            table = pa.Table.from_batches([batch])
-            images = _arrays(table)
-            w, h = table.column("w").to_pylist(), table.column("h").to_pylist()
-            z, x, y = (table.column(c).to_numpy() for c in KEY)
-            take, tx, ty, sx, sy, data = [], [], [], [], [], []
-            for i, flat in enumerate(images):
-                image = flat.reshape(h[i], w[i])
-                if n > min(w[i], h[i]):
+            data = Ragged(batch.column("data"))
+            z, x, y, w, h = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("z", "x", "y", "w", "h"))
+            for (wide, high), index in _same(w, h):
+                if n > min(wide, high):
                     raise ValueError("halo wider than a chunk")
-                across = 1 << int(z[i])
-                for dx in (-1, 0, 1):
-                    for dy in (-1, 0, 1):
-                        nx, ny = int(x[i]) - dx, int(y[i]) - dy
-                        if not (0 <= nx < across and 0 <= ny < across):
-                            continue
-                        cols = {-1: slice(w[i] - n, None), 0: slice(None), 1: slice(0, n)}[dx]
-                        rows = {-1: slice(h[i] - n, None), 0: slice(None), 1: slice(0, n)}[dy]
-                        take.append(i)
-                        tx.append(nx)
-                        ty.append(ny)
-                        sx.append(dx)
-                        sy.append(dy)
-                        data.append(image[rows, cols].ravel())
-            part = table.select([*keys, "z", "w", "h"]).take(pa.array(take, pa.int64()))
-            part = part.append_column("x", pa.array(tx, pa.int64())).append_column("y", pa.array(ty, pa.int64()))
-            part = part.append_column("dx", pa.array(sx, pa.int32())).append_column("dy", pa.array(sy, pa.int32()))
-            part = part.append_column("data", pa.array(data, pa.list_(pa.int32())))
-            order = [*keys, "z", "x", "y", "w", "h", "dx", "dy", "data"]
-            yield from part.select(order).to_batches()
-
-    schema = _types(chunks, keys) + (", " if keys else "") + "z int, x bigint, y bigint, w int, h int, dx int, dy int, data array<int>"
-    source = chunks.select(*keys, F.col("z").cast("int").alias("z"), "x", "y", "w", "h", "data")
-    return source.mapInArrow(strips, schema)
+                for part in _runs(index, wide * high):
+                    images = data.rows(part).reshape(-1, high, wide)
+                    across = np.left_shift(1, z[part].astype(np.int64))
+                    for dx in (-1, 0, 1):
+                        for dy in (-1, 0, 1):
+                            nx, ny = x[part] - dx, y[part] - dy
+                            inside = (nx >= 0) & (ny >= 0) & (nx < across) & (ny < across)
+                            cut = images[inside][:, slices(dy, high), slices(dx, wide)]
+                            if not len(cut):
+                                continue
+                            kept = part[inside]
+                            head = batch.select([*keys, "z"]).take(pa.array(kept, pa.int64()))
+                            full = lambda v: pa.array(np.full(len(kept), v, np.int32))
+                            yield pa.RecordBatch.from_arrays(
+                                [*head.columns, pa.array(nx[inside]), pa.array(ny[inside]), full(wide), full(high),
+                                 full(dx), full(dy), _list_column(cut.reshape(len(kept), -1))],
+                                names=[*keys, "z", "x", "y", "w", "h", "dx", "dy", "data"],
+                            )
+
+    source = chunks.select(
+        *keys, F.col("z").cast("int").alias("z"), F.col("x").cast("bigint").alias("x"),
+        F.col("y").cast("bigint").alias("y"), "w", "h", "data",
+    )
+    return source.mapInArrow(
+        strips, _types(chunks, keys) + "z int, x bigint, y bigint, w int, h int, dx int, dy int, data array<int>"
+    )
 
 
 def with_neighbours(chunks: DataFrame, keys: list[str], n: int, kernel, edge: str = "zero") -> DataFrame:
-    """Apply ``kernel(padded, n)`` to every chunk padded by ``n`` pixels of its neighbours.
+    """Apply ``kernel(padded, n)`` to chunks padded by ``n`` pixels of their neighbours.
 
-    Pixels no neighbour provides are 0 (``zero``) or repeat the border (``nearest``).
+    The kernel gets a batch (k, h + 2n, w + 2n) and returns (k, h, w). Pixels no
+    neighbour provides are 0 (``zero``) or repeat the border (``nearest``). The chunks
+    of a layer have one size.
     """
     names = [*keys, *KEY]
+    slices = lambda step, length: {-1: slice(0, n), 0: slice(n, n + length), 1: slice(n + length, None)}[step]
 
-    def apply(table: pa.Table) -> pa.Table:
-        dx, dy = table.column("dx").to_pylist(), table.column("dy").to_pylist()
-        if (0, 0) not in zip(dx, dy):
-            return table.select([*names, "w", "h", "data"]).slice(0, 0)
-        data = _arrays(table)
-        own = list(zip(dx, dy)).index((0, 0))
-        w, h = table.column("w")[own].as_py(), table.column("h")[own].as_py()
-        centre = data[own].reshape(h, w)
-        padded = np.pad(centre, n, mode="edge") if edge == "nearest" else np.pad(centre, n)
-        for i in range(len(data)):
-            if i == own:
-                continue
-            cols = {-1: slice(0, n), 0: slice(n, n + w), 1: slice(n + w, None)}[dx[i]]
-            rows = {-1: slice(0, n), 0: slice(n, n + h), 1: slice(n + h, None)}[dy[i]]
-            target = padded[rows, cols]
-            padded[rows, cols] = data[i].reshape(target.shape)
-        result = np.ascontiguousarray(kernel(padded, n), dtype=np.int32)
-        return _row(None, names, table, w=w, h=h, data=result.ravel())
+    def apply(batches):
+        for batch in batches:
+            group = Grouped(batch.column("g"))
+            data, dx, dy = group.lists(), group.ints("dx"), group.ints("dy")
+            w, h = group.ints("w"), group.ints("h")
+            centres = np.flatnonzero((dx == 0) & (dy == 0))
+            for (wide, high), chosen in _same(w[centres], h[centres]):
+                for part in _runs(centres[chosen], 4 * wide * high):
+                    images = data.rows(part).reshape(-1, high, wide)
+                    padded = np.pad(images, ((0, 0), (n, n), (n, n)), mode="edge" if edge == "nearest" else "constant")
+                    place = np.full(group.n, -1)
+                    place[group.owner[part]] = np.arange(len(part))
+                    at = place[group.owner]
+                    for step_x in (-1, 0, 1):
+                        for step_y in (-1, 0, 1):
+                            if step_x == step_y == 0:
+                                continue
+                            items = np.flatnonzero((at >= 0) & (dx == step_x) & (dy == step_y))
+                            if len(items):
+                                rows, cols = slices(step_y, high), slices(step_x, wide)
+                                shape = padded[0, rows, cols].shape
+                                padded[at[items], rows, cols] = data.rows(items).reshape(-1, *shape)
+                    yield _emit(batch, names, group.owner[part], wide, high, kernel(padded, n))
 
     pieces = _halo(chunks, keys, n)
-    schema = _types(pieces, names) + ", w int, h int, data array<int>"
-    return pieces.groupBy(*names).applyInArrow(apply, schema)
+    grouped = _gather(pieces, names, ["dx", "dy", "w", "h", "data"])
+    return grouped.mapInArrow(apply, _types(pieces, names) + "w int, h int, data array<int>")
 
 
 def dilate_mask(qa: DataFrame, keys: list[str], mask: int, n: int) -> DataFrame:
@@ -159,7 +227,7 @@ def dilate_mask(qa: DataFrame, keys: list[str], mask: int, n: int) -> DataFrame:
     flags = qa.withColumn("data", F.transform("data", lambda q: F.when(q.bitwiseAND(bits) != 0, 1).otherwise(0)))
     if n <= 0:
         return flags.select(*keys, *KEY, "w", "h", "data")
-    grow = lambda padded, m: kernels.dilate(padded != 0, m)[m:-m, m:-m]
+    grow = lambda padded, m: kernels.dilate(padded != 0, m)[:, m:-m, m:-m]
     return with_neighbours(flags, keys, n, grow)
 
 
@@ -175,97 +243,118 @@ def median_chunks(chunks: DataFrame, keys: list[str], max_depth: int = 256) -> D
     Stacks of up to ``max_depth`` chunks are reduced as arrays. Deeper ones would not
     fit a task, so they take the pixel form, which gives the same numbers.
     """
-    depth = chunks.groupBy(*keys).agg(F.count("*").alias("_depth"))
-    sized = chunks.join(depth, keys)
     names = list(keys)
+    depth = chunks.groupBy(*names).agg(F.count("*").alias("_depth"))
+    sized = chunks.join(depth, names)
 
-    def reduce(table: pa.Table) -> pa.Table:
-        stack = np.stack(_arrays(table))
-        w, h = table.column("w")[0].as_py(), table.column("h")[0].as_py()
-        return _row(None, names, table, w=w, h=h, data=kernels.stack_median(stack))
-
-    schema = _types(chunks, keys) + ", w int, h int, data array<int>"
-    shallow = sized.filter(F.col("_depth") <= max_depth).select(*keys, "w", "h", "data")
-    fast = shallow.groupBy(*keys).applyInArrow(reduce, schema)
-    deep = sized.filter(F.col("_depth") > max_depth).select(*keys, "w", "h", F.posexplode("data").alias("pos", "dn"))
-    pixels = median_pixels(deep, [*keys, "w", "h", "pos"])
-    slow = pixels.groupBy(*keys, "w", "h").agg(F.array_sort(F.collect_list(F.struct("pos", "dn"))).alias("p"))
-    slow = slow.select(*keys, "w", "h", F.transform("p", lambda p: p.dn).alias("data"))
-    return fast.unionByName(slow)
-
-
-def _compose(size: int, method: str):
-    """Fold of one tile's layers, bottom to top, dropping invisible results."""
-
-    def fold(table: pa.Table) -> pa.Table:
-        order = np.argsort(table.column("ord").to_numpy(), kind="stable")
-        w, h = table.column("w").to_pylist(), table.column("h").to_pylist()
-        depth, sx, sy = (table.column(c).to_pylist() for c in ("depth", "sub_x", "sub_y"))
-        data = _arrays(table)
-        result = None
-        for i in order:
-            image = _image(data[i], w[i], h[i])
-            if depth[i]:
-                image = window(image, depth[i], sx[i], sy[i])
-            image = kernels.resize(image, size, size, method)
-            result = image.copy() if result is None else kernels.alpha_over(result, image)
-        if result is None or result[3].max() == 0:
-            return table.select([*KEY, "w", "h", "data"]).slice(0, 0)
-        return _row(None, KEY, table, w=size, h=size, data=result.astype(np.int32).ravel())
+    def reduce(batches):
+        for batch in batches:
+            group = Grouped(batch.column("g"))
+            data = group.lists()
+            w, h = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("w", "h"))
+            for (wide, high, count), index in _same(w, h, group.counts):
+                for part in _runs(index, wide * high * count):
+                    items = group.first[part][:, None] + np.arange(count)[None, :]
+                    stack = data.rows(items.ravel()).reshape(len(part), count, -1)
+                    yield _emit(batch, names, part, wide, high, kernels.stack_median(stack))
+
+    shallow = sized.filter(F.col("_depth") <= max_depth)
+    gathered = _gather(shallow, [*names, "w", "h"], ["data"])
+    fast = gathered.mapInArrow(reduce, _types(chunks, names) + "w int, h int, data array<int>")
+    deep = sized.filter(F.col("_depth") > max_depth).select(*names, "w", "h", F.posexplode("data").alias("pos", "dn"))
+    pixels = median_pixels(deep, [*names, "w", "h", "pos"])
+    slow = pixels.groupBy(*names, "w", "h").agg(F.array_sort(F.collect_list(F.struct("pos", "dn"))).alias("p"))
+    return fast.unionByName(slow.select(*names, "w", "h", F.transform("p", lambda p: p.dn).alias("data")))
+
+
+def _compose(size: int, method: str, keep_hidden: bool):
+    """Fold of each tile's layers, bottom to top."""
+
+    def layer_images(data, items, w, h, depth, sx, sy):
+        out = np.zeros((len(items), 4, size, size), np.int32)
+        for (wide, high, deep), index in _same(w[items], h[items], depth[items]):
+            at = items[index]
+            images = data.rows(at).reshape(-1, 4, high, wide)
+            if method == "nearest":
+                out[index] = kernels.windows(images, deep, sx[at], sy[at], size)
+            else:
+                for i, item in zip(index, range(len(at))):
+                    cut = kernels.window(images[item], deep, int(sx[at[item]]), int(sy[at[item]]))
+                    out[i] = kernels.resize(cut, size, size, method)
+        return out
+
+    def fold(batches):
+        for batch in batches:
+            group = Grouped(batch.column("g"))
+            data, order = group.lists(), group.ints("ord")
+            fields = [group.ints(c) for c in ("w", "h", "depth", "sub_x", "sub_y")]
+            for part in _runs(np.arange(group.n), 8 * size * size):
+                place = np.full(group.n, -1)
+                place[part] = np.arange(len(part))
+                at = place[group.owner]
+                result = np.zeros((len(part), 4, size, size), np.int32)
+                empty = np.ones(len(part), bool)
+                for level in np.unique(order):
+                    items = np.flatnonzero((order == level) & (at >= 0))
+                    if not len(items):
+                        continue
+                    images = layer_images(data, items, *fields)
+                    rows = at[items]
+                    bare = empty[rows]
+                    result[rows[bare]] = images[bare]
+                    if not bare.all():
+                        result[rows[~bare]] = kernels.alpha_over(result[rows[~bare]], images[~bare])
+                    empty[rows] = False
+                shown = np.arange(len(part)) if keep_hidden else np.flatnonzero(result[:, 3].reshape(len(part), -1).max(axis=1) > 0)
+                if len(shown):
+                    yield _emit(batch, KEY, part[shown], size, size, result[shown])
 
     return fold
 
 
-def window(image: np.ndarray, depth: int, sx: int, sy: int) -> np.ndarray:
-    """Part of a tile that covers a descendant ``depth`` zooms deeper.
+LAYER = ["ord", "depth", "sub_x", "sub_y", "w", "h", "data"]
+TILE_SCHEMA = "z int, x bigint, y bigint, w int, h int, data array<int>"
 
-    Below one pixel it is the pixel that contains the descendant.
-    """
-    _, h, w = image.shape
-    wide, high = w >> depth, h >> depth
-    x0 = sx * wide if wide else (sx * w) >> depth
-    y0 = sy * high if high else (sy * h) >> depth
-    return image[:, y0 : y0 + max(high, 1), x0 : x0 + max(wide, 1)]
 
-
-CUT_BITS = 4
+def _folded(layers: DataFrame, size: int, method: str, keep_hidden: bool) -> DataFrame:
+    typed = layers.select(
+        F.col("z").cast("int").alias("z"), F.col("x").cast("bigint").alias("x"), F.col("y").cast("bigint").alias("y"),
+        *[F.col(c).cast("bigint").alias(c) for c in ("ord", "depth", "sub_x", "sub_y", "w", "h")], "data",
+    )
+    return _gather(typed, KEY, LAYER).mapInArrow(_compose(size, method, keep_hidden), TILE_SCHEMA)
 
 
-def _pieces(tiles: DataFrame, bits_needed: DataFrame) -> DataFrame:
+def _pieces(tiles: DataFrame, wanted: DataFrame) -> DataFrame:
     """Source tiles cut into 2^k by 2^k pieces, for the k that requests need.
 
     A coarse tile that stands in for very many requests is thus split: each piece
     only meets the requests inside it.
     """
     on = ["src", "anc_z", "anc_x", "anc_y"]
-    named = tiles.select("src", F.col("z").alias("anc_z"), F.col("x").alias("anc_x"), F.col("y").alias("anc_y"), "w", "h", "data")
-    wanted = named.join(bits_needed, on)
+    named = tiles.select(
+        "src", F.col("z").alias("anc_z"), F.col("x").alias("anc_x"), F.col("y").alias("anc_y"), "w", "h", "data"
+    )
+    needed = named.join(wanted, on).select(*on, "bits", "w", "h", "data")
+    names = [*on, "bits"]
 
     def cut(batches):
         for batch in batches:
-            table = pa.Table.from_batches([batch])
-            data, bits = _arrays(table), table.column("bits").to_pylist()
-            w, h = table.column("w").to_pylist(), table.column("h").to_pylist()
-            take, bx, by, pw, ph, out = [], [], [], [], [], []
-            for i, flat in enumerate(data):
-                image, n = _image(flat, w[i], h[i]), 1 << bits[i]
-                wide, high = w[i] // n, h[i] // n
-                for row in range(n):
-                    for column in range(n):
-                        part = image[:, row * high : (row + 1) * high, column * wide : (column + 1) * wide]
-                        take.append(i)
-                        bx.append(column)
-                        by.append(row)
-                        pw.append(wide)
-                        ph.append(high)
-                        out.append(part.ravel())
-            part = table.select([*on, "bits"]).take(pa.array(take, pa.int64()))
-            for name, values, kind in (("bx", bx, pa.int64()), ("by", by, pa.int64()), ("w", pw, pa.int32()), ("h", ph, pa.int32())):
-                part = part.append_column(name, pa.array(values, kind))
-            yield from part.append_column("data", pa.array(out, pa.list_(pa.int32()))).to_batches(max_chunksize=4096)
-
-    schema = _types(wanted, [*on, "bits"]) + ", bx bigint, by bigint, w int, h int, data array<int>"
-    return wanted.select(*on, "bits", "w", "h", "data").mapInArrow(cut, schema)
+            data = Ragged(batch.column("data"))
+            w, h, bits = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("w", "h", "bits"))
+            for (wide, high, k), index in _same(w, h, bits):
+                n = 1 << k
+                for part in _runs(index, 4 * wide * high):
+                    images = data.rows(part).reshape(len(part), -1, n, high // n, n, wide // n)
+                    parts = images.transpose(0, 2, 4, 1, 3, 5).reshape(len(part) * n * n, -1)
+                    rows = np.repeat(part, n * n)
+                    out = _emit(batch, names, rows, wide // n, high // n, parts)
+                    by, bx = np.divmod(np.tile(np.arange(n * n), len(part)), n)
+                    yield pa.RecordBatch.from_arrays(
+                        [*out.columns, pa.array(bx.astype(np.int64)), pa.array(by.astype(np.int64))],
+                        names=[*out.schema.names, "bx", "by"],
+                    )
+
+    return needed.mapInArrow(cut, _types(needed, names) + "w int, h int, data array<int>, bx bigint, by bigint")
 
 
 def overzoom_stack(requests: DataFrame, tiles: DataFrame, sources: list[int], size: int, method="nearest", tile_bits: int = 8) -> DataFrame:
@@ -279,24 +368,18 @@ def overzoom_stack(requests: DataFrame, tiles: DataFrame, sources: list[int], si
     tiles = tiles.filter(F.col("src").isin(*sources))
     hits = nearest_ancestor(for_sources(requests.select(*KEY), sources), tiles, ["src"])
     depth = (F.col("z") - F.col("anc_z")).cast("int")
-    bits = F.least(F.floor(depth / CUT_BITS) * CUT_BITS, F.lit(tile_bits)).cast("int")
-    hits = hits.withColumn("bits", bits).withColumn("depth", depth - F.col("bits"))
+    # pieces matter to neighbouring kernels, so only nearest cuts below whole tiles
+    bits = F.least(F.floor(depth / CUT_BITS) * CUT_BITS, F.lit(tile_bits)) if method == "nearest" else F.lit(0)
+    hits = hits.withColumn("bits", bits.cast("int")).withColumn("depth", depth - F.col("bits"))
+    hits = hits.withColumns({"bx": shr("off_x", "depth"), "by": shr("off_y", "depth")})
     hits = hits.withColumns(
-        {
-            "bx": shr("off_x", "depth"),
-            "by": shr("off_y", "depth"),
-            "sub_x": F.col("off_x") - F.call_function("shiftleft", shr("off_x", "depth"), F.col("depth")),
-            "sub_y": F.col("off_y") - F.call_function("shiftleft", shr("off_y", "depth"), F.col("depth")),
-        }
+        {"sub_x": F.col("off_x") - shl("bx", "depth"), "sub_y": F.col("off_y") - shl("by", "depth")}
     )
     on = ["src", "anc_z", "anc_x", "anc_y", "bits"]
     pieces = _pieces(tiles, hits.select(*on).distinct())
     ord_of = F.element_at(F.create_map(*[F.lit(v) for i, s in enumerate(sources) for v in (s, i)]), F.col("src"))
-    layers = hits.join(pieces, [*on, "bx", "by"]).select(
-        F.col("z").cast("int").alias("z"), "x", "y", ord_of.alias("ord"), "depth", "sub_x", "sub_y", "w", "h", "data"
-    )
-    schema = "z int, x bigint, y bigint, w int, h int, data array<int>"
-    return layers.groupBy(*KEY).applyInArrow(_compose(size, method), schema)
+    layers = hits.join(pieces, [*on, "bx", "by"]).withColumn("ord", ord_of)
+    return _folded(layers, size, method, keep_hidden=False)
 
 
 def composite_tiles(base: DataFrame, overlay: DataFrame, size: int, method="nearest") -> DataFrame:
@@ -305,24 +388,14 @@ def composite_tiles(base: DataFrame, overlay: DataFrame, size: int, method="near
     Unlike a merge by key, transparent overlay pixels let the base show through.
     Tiles of only one side are kept, resized to the common size.
     """
-    names = [*KEY, "w", "h", "data"]
-    both = base.select(*names, F.lit(0).alias("ord")).unionByName(overlay.select(*names, F.lit(1).alias("ord")))
-
-    def fold(table: pa.Table) -> pa.Table:
-        order = np.argsort(table.column("ord").to_numpy(), kind="stable")
-        w, h, data = table.column("w").to_pylist(), table.column("h").to_pylist(), _arrays(table)
-        result = None
-        for i in order:
-            image = kernels.resize(_image(data[i], w[i], h[i]), size, size, method)
-            result = image.copy() if result is None else kernels.alpha_over(result, image)
-        return _row(None, KEY, table, w=size, h=size, data=result.astype(np.int32).ravel())
-
-    schema = _types(base, KEY) + ", w int, h int, data array<int>"
-    return both.groupBy(*KEY).applyInArrow(fold, schema)
+    side = lambda df, i: df.select(
+        *KEY, "w", "h", "data", F.lit(i).alias("ord"), *[F.lit(0).alias(c) for c in ("depth", "sub_x", "sub_y")]
+    )
+    return _folded(side(base, 0).unionByName(side(overlay, 1)), size, method, keep_hidden=True)
 
 
-def _parents(chunks: DataFrame, keys: list[str], finish, planes_fill) -> DataFrame:
-    """Group four children by parent and finish their 2x2 canvas."""
+def _parents(chunks: DataFrame, keys: list[str], finish, background, size) -> DataFrame:
+    """Group four children by parent and finish their 2x2 canvases (k, planes, 2h, 2w)."""
     names = [*keys, *KEY]
     children = chunks.filter(F.col("z") > 0).select(
         *keys,
@@ -336,22 +409,39 @@ def _parents(chunks: DataFrame, keys: list[str], finish, planes_fill) -> DataFra
         "data",
     )
 
-    def build(table: pa.Table) -> pa.Table:
-        data = _arrays(table)
-        sizes = table.column("w").to_pylist(), table.column("h").to_pylist()
-        w, h = planes_fill[1] or (sizes[0][0], sizes[1][0])
-        planes = len(data[0]) // (sizes[0][0] * sizes[1][0])
-        fill = np.broadcast_to(np.asarray(planes_fill[0], np.int32), (planes,)) if planes_fill[0] is not None else np.zeros(planes, np.int32)
-        canvas = np.repeat(fill[:, None], 4 * w * h, axis=1).reshape(planes, 2 * h, 2 * w).astype(np.int32)
-        qx, qy = table.column("qx").to_pylist(), table.column("qy").to_pylist()
-        for i, flat in enumerate(data):
-            image = kernels.resize(_image(flat, sizes[0][i], sizes[1][i]), h, w)
-            canvas[:, qy[i] * h : (qy[i] + 1) * h, qx[i] * w : (qx[i] + 1) * w] = image
-        done = np.ascontiguousarray(finish(canvas), dtype=np.int32)
-        return _row(None, names, table, w=done.shape[2], h=done.shape[1], data=done.ravel())
+    def build(batches):
+        for batch in batches:
+            group = Grouped(batch.column("g"))
+            data, qx, qy, w, h = group.lists(), *(group.ints(c) for c in ("qx", "qy", "w", "h"))
+            planes = data.sizes // (w * h)
+            # children of several sizes take the largest, unless a size is given
+            gw, gh = np.zeros(group.n, np.int64), np.zeros(group.n, np.int64)
+            gp = np.zeros(group.n, np.int64)
+            for target, values in ((gw, w), (gh, h), (gp, planes)):
+                np.maximum.at(target, group.owner, values)
+            if size:
+                gw[:], gh[:] = size
+            for (wide, high, p), index in _same(gw, gh, gp):
+                fill = np.zeros(p, np.int32) if background is None else np.broadcast_to(np.asarray(background, np.int32), (p,))
+                for part in _runs(index, 4 * p * wide * high):
+                    canvas = np.empty((len(part), p, 2 * high, 2 * wide), np.int32)
+                    canvas[:] = fill[None, :, None, None]
+                    place = np.full(group.n, -1)
+                    place[part] = np.arange(len(part))
+                    at = place[group.owner]
+                    for (cx, cy, cw, ch), chosen in _same(qx, qy, w, h):
+                        items = chosen[at[chosen] >= 0]
+                        if not len(items):
+                            continue
+                        images = data.rows(items).reshape(-1, p, ch, cw)
+                        if (ch, cw) != (high, wide):
+                            images = np.stack([kernels.resize(i, high, wide) for i in images])
+                        canvas[at[items], :, cy * high : (cy + 1) * high, cx * wide : (cx + 1) * wide] = images
+                    done = finish(canvas)
+                    yield _emit(batch, names, part, done.shape[3], done.shape[2], done)
 
-    schema = _types(children, names) + ", w int, h int, data array<int>"
-    return children.groupBy(*names).applyInArrow(build, schema)
+    grouped = _gather(children, names, ["qx", "qy", "w", "h", "data"])
+    return grouped.mapInArrow(build, _types(children, names) + "w int, h int, data array<int>")
 
 
 def stitch(chunks: DataFrame, keys: list[str], background=None, size: tuple[int, int] | None = None) -> DataFrame:
@@ -360,17 +450,20 @@ def stitch(chunks: DataFrame, keys: list[str], background=None, size: tuple[int,
     West and north children have even x and y; a missing child leaves the background
     (one value per plane). Zoom 0 has no parent.
     """
-    return _parents(chunks, keys, lambda canvas: canvas, (background, size))
+    return _parents(chunks, keys, lambda canvas: canvas, background, size)
 
 
 def overview(chunks: DataFrame, keys: list[str], method: str = "average") -> DataFrame:
     """Next coarser zoom at the same tile size."""
-    return _parents(chunks, keys, lambda canvas: kernels.halve(canvas, method), (None, None))
+    return _parents(chunks, keys, lambda canvas: kernels.halve(canvas, method), None, None)
 
 
 def pyramid(chunks: DataFrame, keys: list[str], zmax: int, zmin: int, method: str = "average") -> DataFrame:
-    """All zooms from ``zmax`` to ``zmin``. Zooms shrink fourfold, so the lineage is short
-    in work even though every level builds on the last."""
+    """All zooms from ``zmax`` to ``zmin``.
+
+    Every level builds on the last, so levels below the first are worth a checkpoint
+    (``cut_lineage``) when many are made; each holds a quarter of the one before.
+    """
     level = chunks.filter(F.col("z") == zmax).select(*keys, F.col("z").cast("int").alias("z"), "x", "y", "w", "h", "data")
     out = level
     for _ in range(zmax - zmin):
@@ -381,24 +474,24 @@ def pyramid(chunks: DataFrame, keys: list[str], zmax: int, zmin: int, method: st
 
 def resize_chunks(chunks: DataFrame, w: int, h: int, method: str = "nearest") -> DataFrame:
     """Every chunk to one size; planes are kept."""
-    names = chunks.columns
+    names = [c for c in chunks.columns if c not in ("w", "h", "data")]
 
     def run(batches):
         for batch in batches:
-            table = pa.Table.from_batches([batch])
-            ws, hs = table.column("w").to_pylist(), table.column("h").to_pylist()
-            data = [
-                np.ascontiguousarray(kernels.resize(_image(d, ws[i], hs[i]), h, w, method), dtype=np.int32).ravel()
-                for i, d in enumerate(_arrays(table))
-            ]
-            fresh = {
-                "w": pa.array([w] * len(data), pa.int32()),
-                "h": pa.array([h] * len(data), pa.int32()),
-                "data": pa.array(data, pa.list_(pa.int32())),
-            }
-            yield from pa.table({n: fresh.get(n, table.column(n)) for n in names}).to_batches()
-
-    return chunks.mapInArrow(run, _types(chunks, names))
+            data = Ragged(batch.column("data"))
+            ws, hs = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("w", "h"))
+            for (wide, high, length), index in _same(ws, hs, data.sizes):
+                p = length // (wide * high)
+                for part in _runs(index, p * max(w * h, wide * high)):
+                    images = data.rows(part).reshape(-1, p, high, wide)
+                    if method == "nearest":
+                        rows, cols = np.arange(h) * high // h, np.arange(w) * wide // w
+                        done = images[:, :, rows][:, :, :, cols]
+                    else:
+                        done = np.stack([kernels.resize(i, h, w, method) for i in images])
+                    yield _emit(batch, names, part, w, h, done)
+
+    return chunks.select(*names, "w", "h", "data").mapInArrow(run, _types(chunks, names) + "w int, h int, data array<int>")
 
 
 def merged_tiles(base: DataFrame, overlay: DataFrame) -> DataFrame:
@@ -412,4 +505,6 @@ def panels_to_chunks(panels: DataFrame, keys: list[str]) -> DataFrame:
     A single panel passes through; nothing is copied, since a canvas of chunks is the
     union of its panels.
     """
-    return panels.select(*keys, F.col("col").cast("bigint").alias("x"), F.col("row").cast("bigint").alias("y"), "w", "h", "data")
+    return panels.select(
+        *keys, F.col("col").cast("bigint").alias("x"), F.col("row").cast("bigint").alias("y"), "w", "h", "data"
+    )

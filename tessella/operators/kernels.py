@@ -1,4 +1,4 @@
-"""Array arithmetic of one tile or one small stack, called from Spark tasks."""
+"""Array arithmetic on batches of tiles, called from Spark tasks."""
 
 from __future__ import annotations
 
@@ -6,39 +6,39 @@ import numpy as np
 
 
 def dilate(mask: np.ndarray, n: int) -> np.ndarray:
-    """Grow a boolean raster by ``n`` 4-connected steps (a diamond), not wrapping."""
+    """Grow boolean rasters (..., h, w) by ``n`` 4-connected steps, not wrapping."""
     grown = mask.astype(bool)
     for _ in range(max(0, n)):
-        padded = np.pad(grown, 1)
-        grown = (
-            padded[1:-1, 1:-1] | padded[:-2, 1:-1] | padded[2:, 1:-1] | padded[1:-1, :-2] | padded[1:-1, 2:]
-        )
+        wider = grown.copy()
+        wider[..., 1:, :] |= grown[..., :-1, :]
+        wider[..., :-1, :] |= grown[..., 1:, :]
+        wider[..., :, 1:] |= grown[..., :, :-1]
+        wider[..., :, :-1] |= grown[..., :, 1:]
+        grown = wider
     return grown
 
 
 def stack_median(stack: np.ndarray) -> np.ndarray:
-    """Median over axis 0 of the non-zero values, half to even; 0 where none."""
-    ordered = np.sort(stack, axis=0)  # zeros first, as values are not negative
-    depth = ordered.shape[0]
-    clear = (ordered > 0).sum(axis=0)
+    """Median of the non-zero values of stacks (..., depth, n), half to even; 0 where none."""
+    ordered = np.sort(stack, axis=-2)  # zeros first, as values are not negative
+    depth = ordered.shape[-2]
+    clear = (ordered > 0).sum(axis=-2, keepdims=True)
     start = depth - clear
     low = np.minimum(start + np.maximum(clear - 1, 0) // 2, depth - 1)
     high = np.minimum(start + clear // 2, depth - 1)
-    pick = lambda at: np.take_along_axis(ordered, at[None, :], axis=0)[0].astype(np.float64)
-    return np.where(clear > 0, np.rint((pick(low) + pick(high)) / 2.0), 0).astype(np.int32)
+    pick = lambda at: np.take_along_axis(ordered, at, axis=-2).astype(np.float64)
+    middle = np.where(clear > 0, np.rint((pick(low) + pick(high)) / 2.0), 0)
+    return np.squeeze(middle, axis=-2).astype(np.int32)
 
 
 def alpha_over(base: np.ndarray, top: np.ndarray) -> np.ndarray:
-    """RGBA (4, h, w) over RGBA with 8-bit rounding."""
-    ta, ba = top[3].astype(np.int64), base[3].astype(np.int64)
-    alpha = ta * 255 + ba * (255 - ta)
-    safe = np.where(alpha == 0, 1, alpha)
-    out = np.empty_like(base)
-    for i in range(3):
-        mixed = (top[i].astype(np.int64) * ta * 255 + base[i].astype(np.int64) * ba * (255 - ta)) / safe
-        out[i] = np.where(alpha == 0, 0, np.floor(mixed + 0.5))
-    out[3] = np.floor(alpha / 255.0 + 0.5)
-    return out
+    """RGBA images (..., 4, h, w) over others, channels of 8 bits rounded half up."""
+    ta, ba = (a[..., 3:4, :, :].astype(np.float64) for a in (top, base))
+    share = ba * (255.0 - ta)
+    alpha = ta * 255.0 + share
+    mixed = (top[..., :3, :, :] * (ta * 255.0) + base[..., :3, :, :] * share) / np.where(alpha == 0, 1.0, alpha)
+    colours = np.where(alpha == 0, 0.0, np.floor(mixed + 0.5))
+    return np.concatenate([colours, np.floor(alpha / 255.0 + 0.5)], axis=-3).astype(np.int32)
 
 
 def _sinc(t, a=3.0):
@@ -98,31 +98,60 @@ def resize(image: np.ndarray, h: int, w: int, method: str = "nearest") -> np.nda
 
 
 def halve(image: np.ndarray, method: str) -> np.ndarray:
-    """Planes (p, 2h, 2w) to half size; 0 is nodata for average and mode."""
-    p, h, w = image.shape
-    quads = image.reshape(p, h // 2, 2, w // 2, 2).transpose(0, 1, 3, 2, 4).reshape(p, h // 2, w // 2, 4)
+    """Images (..., 2h, 2w) to half size; 0 is nodata for average and mode."""
+    *lead, h, w = image.shape
     if method == "nearest":
-        return quads[..., 0].copy()
-    if method == "average":
-        clear = (quads != 0).sum(axis=-1)
-        return np.rint(quads.sum(axis=-1) / np.maximum(clear, 1)).astype(image.dtype)
-    if method == "mode":
+        return image[..., ::2, ::2].copy()
+    if method in ("average", "mode"):
+        quads = np.stack([image[..., i::2, j::2] for i in (0, 1) for j in (0, 1)])
         clear = quads != 0
-        votes = (quads[..., :, None] == quads[..., None, :]).sum(axis=-1) * clear
-        best = votes.max(axis=-1, keepdims=True)
-        ties = np.where((votes == best) & clear, quads, np.iinfo(np.int32).max).min(axis=-1)
-        return np.where(clear.any(axis=-1), ties, 0).astype(image.dtype)
-    return resize(image, h // 2, w // 2, method if method in KERNELS else "cubic")
+        if method == "average":
+            count = np.maximum(clear.sum(axis=0), 1)
+            return np.rint(quads.sum(axis=0, dtype=np.int64) / count).astype(image.dtype)
+        votes = (quads[:, None] == quads[None, :]).sum(axis=1) * clear
+        tied = (votes == votes.max(axis=0)) & clear
+        lowest = np.where(tied, quads, np.iinfo(np.int32).max).min(axis=0)
+        return np.where(clear.any(axis=0), lowest, 0).astype(image.dtype)
+    planes = image.reshape(-1, lead[-1] if lead else 1, h, w)
+    kernel = method if method in KERNELS else "cubic"
+    return np.stack([resize(p, h // 2, w // 2, kernel) for p in planes]).reshape(*lead, h // 2, w // 2)
 
 
 def hillshade(elev: np.ndarray, cell_x: float, cell_y: float, azimuth=315.0, altitude=45.0) -> np.ndarray:
-    """Shade of the inner pixels of a raster padded by one (third-order gradient)."""
-    a, b, c = elev[:-2, :-2], elev[:-2, 1:-1], elev[:-2, 2:]
-    d, f = elev[1:-1, :-2], elev[1:-1, 2:]
-    g, h, i = elev[2:, :-2], elev[2:, 1:-1], elev[2:, 2:]
+    """Shade of the inner pixels of rasters (..., h, w) padded by one (third-order gradient)."""
+    part = lambda rows, cols: elev[..., rows, cols]
+    first, inner, last = slice(None, -2), slice(1, -1), slice(2, None)
+    a, b, c = part(first, first), part(first, inner), part(first, last)
+    d, f = part(inner, first), part(inner, last)
+    g, h, i = part(last, first), part(last, inner), part(last, last)
     dx = ((c + 2 * f + i) - (a + 2 * d + g)) / (8.0 * cell_x)
     dy = ((g + 2 * h + i) - (a + 2 * b + c)) / (8.0 * cell_y)
     zenith, az = np.radians(90.0 - altitude), np.radians(360.0 - azimuth + 90.0)
     slope, aspect = np.arctan(np.hypot(dx, dy)), np.arctan2(dy, -dx)
     shade = np.cos(zenith) * np.cos(slope) + np.sin(zenith) * np.sin(slope) * np.cos(az - aspect)
     return np.clip(np.floor(1.0 + 254.0 * np.maximum(shade, 0.0) + 0.5), 1, 255).astype(np.int32)
+
+
+def windows(images: np.ndarray, depth: int, sx: np.ndarray, sy: np.ndarray, size: int) -> np.ndarray:
+    """Nearest-neighbour tiles of descendants ``depth`` zooms below images (k, p, h, w).
+
+    ``sx``, ``sy`` are the descendants' offsets. Where a window would be smaller than a
+    pixel, it is the pixel that contains it.
+    """
+    k, p, h, w = images.shape
+    wide, high = w >> depth, h >> depth
+    x0 = sx * wide if wide else (sx * w) >> depth
+    y0 = sy * high if high else (sy * h) >> depth
+    cols = x0[:, None] + np.arange(size)[None, :] * max(wide, 1) // size
+    rows = y0[:, None] + np.arange(size)[None, :] * max(high, 1) // size
+    at = np.arange(k)[:, None, None, None]
+    return images[at, np.arange(p)[None, :, None, None], rows[:, None, :, None], cols[:, None, None, :]]
+
+
+def window(image: np.ndarray, depth: int, sx: int, sy: int) -> np.ndarray:
+    """The same window of one image, unscaled."""
+    _, h, w = image.shape
+    wide, high = w >> depth, h >> depth
+    x0 = sx * wide if wide else (sx * w) >> depth
+    y0 = sy * high if high else (sy * h) >> depth
+    return image[:, y0 : y0 + max(high, 1), x0 : x0 + max(wide, 1)]
