@@ -229,20 +229,25 @@ def quadrant_of_tile(z, x, y, north: int = 62, east: int = 38, south: int = 32)
     )
 
 
+def _shard_lookup() -> str:
+    """Shard ids of all cells of the shard zoom, row by row."""
+    cells = {}
+    for i, (x0, y0, x1, y1) in enumerate(C.SHARD_RECTANGLES):
+        cells.update({(x, y): f"{i:02d}" for x in range(x0, x1 + 1) for y in range(y0, y1 + 1)})
+    across = range(1 << C.SHARD_ZOOM)
+    return ",".join(cells[x, y] for y in across for x in across)
+
+
+SHARD_CELLS = _shard_lookup()
+
+
 def shard_of_tile(z, x, y) -> Column:
-    """Two-digit shard id, null above the shard zoom (18 rectangles, folded)."""
+    """Two-digit shard id, null above the shard zoom: one lookup in a constant array."""
     z = col(z)
     depth = F.greatest(z - C.SHARD_ZOOM, F.lit(0))
-    ax, ay = shr(x, depth), shr(y, depth)
-    shard = reduce(
-        lambda chain, item: chain.when(
-            ax.between(item[1][0], item[1][2]) & ay.between(item[1][1], item[1][3]),
-            f"{item[0]:02d}",
-        ),
-        enumerate(C.SHARD_RECTANGLES),
-        F.when(z < C.SHARD_ZOOM, F.lit(None).cast("string")),
-    )
-    return shard
+    cell = shl(shr(y, depth), C.SHARD_ZOOM) + shr(x, depth)
+    table = F.split(F.lit(SHARD_CELLS), ",")  # folded by the optimizer
+    return F.when(z >= C.SHARD_ZOOM, F.get(table, cell.cast("int")))
 
 
 def is_land(box: Box, buffer_km: float = C.LAND_BUFFER_KM) -> Column:

@@ -157,19 +157,9 @@ def product_parts(product_id, prefix) -> tuple[Column, Column]:
     text = col(product_id)
     code = F.split_part(text, F.lit("_"), F.lit(3))
     tile = F.lower(F.split_part(text, F.lit("_"), F.lit(4)))
-    year = F.substring(code, 1, 4).try_cast("int")
-    doy = F.substring(code, 5, 3).try_cast("int")
-    day = F.date_add(F.make_date(year, F.lit(1), F.lit(1)), doy - 1)
-    ok = (
-        text.startswith(prefix)
-        & code.rlike("^[0-9]{7}$")
-        & (year >= 1)
-        & (doy >= 1)
-        & (F.year(day) == year)
-        & tile.startswith("h")
-        & tile.contains("v")
-    )
-    return F.when(ok, day), F.when(ok, tile)
+    instant = F.try_to_timestamp(F.when(code.rlike("^[0-9]{7}$"), code), F.lit("yyyyDDD"))
+    ok = text.startswith(prefix) & tile.startswith("h") & tile.contains("v")
+    return F.when(ok, F.to_date(instant)), F.when(ok & instant.isNotNull(), tile)
 
 
 def default_layers(product) -> Column:

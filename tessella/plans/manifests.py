@@ -9,6 +9,7 @@ from tessella.functions.grid import Box, box_covers
 from tessella.functions.scalars import product_parts
 from tessella.operators import scenes as SC
 from tessella.operators.skew import salted
+from tessella.session import pinned
 
 BOX = ("minx", "miny", "maxx", "maxy")
 
@@ -62,7 +63,7 @@ def prefetch_list(overlays: DataFrame, scenes: DataFrame, assets, cached: DataFr
 def product_worklist(products: DataFrame, existing: DataFrame, prefix: str) -> DataFrame:
     """Grid tiles still to request per acquisition date, and how many are reused."""
     acquired, tile = product_parts("product_id", prefix)
-    parsed = products.select("product_id", acquired.alias("acquired"), tile.alias("tile")).dropna()
+    parsed = pinned(products.select("product_id"), acquired=acquired, tile=tile).dropna()
     have = existing.select("product_id").distinct().withColumn("have", F.lit(True))
     marked = parsed.join(have, "product_id", "left")
     todo = F.array_sort(F.collect_set(F.when(F.col("have").isNull(), F.col("tile"))))

@@ -6,6 +6,7 @@ from tessella import constants as C
 from tessella.functions import grid as G
 from tessella.functions import scalars as S
 from tessella.queries import query
+from tessella.session import pinned
 
 LAT = "degrees(atan(sinh(pi() * (1.0 - 2.0 * ({row}) / power(2, z)))))"
 
@@ -254,7 +255,7 @@ PRODUCT = """
     FROM ({PRODUCT}) AS q WHERE ok""")
 def _(v):
     acquired, tile = S.product_parts("product_id", "modis_mcd43a4_")
-    return v.fx_products.select("product_id", acquired.alias("acquired"), tile.alias("tile")).dropna()
+    return pinned(v.fx_products.select("product_id"), acquired=acquired, tile=tile).dropna()
 
 
 @query("fn_season_window", """

@@ -33,24 +33,28 @@ def _open(path: str) -> sqlite3.Connection:
 
 
 @dataclass
-class ColumnRange(InputPartition):
-    path: str
-    z: int
-    low: int
-    high: int
+class Ranges(InputPartition):
+    """Column ranges (path, zoom, first, last) one task reads."""
+
+    ranges: tuple
+
+
+def _archives(path: str) -> list[str]:
+    path = path.removeprefix("file:")
+    if os.path.isfile(path):
+        return [path]
+    return sorted(glob.glob(os.path.join(path, "**", "*.mbtiles"), recursive=True))
 
 
 class ArchiveReader(DataSourceReader):
     def __init__(self, options):
-        self.pattern = options["path"]
+        self.path = options["path"]
         self.rows = int(options.get("rowsperpartition", 50_000))
 
     def partitions(self):
-        """Column ranges of about equal row counts, from the archive's own index."""
-        pattern = self.pattern.removeprefix("file:")
-        names = [pattern] if os.path.isfile(pattern) else sorted(glob.glob(os.path.join(pattern, "**", "*.mbtiles"), recursive=True))
-        parts = []
-        for name in names:
+        """Column ranges packed to about equal row counts, from the archives' indexes."""
+        parts, current, filled = [], [], 0
+        for name in _archives(self.path):
             with _open(name) as conn:
                 spans = conn.execute(
                     "SELECT zoom_level, MIN(tile_column), MAX(tile_column), COUNT(*) FROM tiles GROUP BY zoom_level"
@@ -58,22 +62,33 @@ class ArchiveReader(DataSourceReader):
             for z, low, high, count in spans:
                 pieces = max(1, min(high - low + 1, -(-count // self.rows)))
                 step = -(-(high - low + 1) // pieces)
-                parts += [ColumnRange(name, z, a, min(a + step - 1, high)) for a in range(low, high + 1, step)]
+                for first in range(low, high + 1, step):
+                    current.append((name, z, first, min(first + step - 1, high)))
+                    filled += count / pieces
+                    if filled >= self.rows:
+                        parts.append(Ranges(tuple(current)))
+                        current, filled = [], 0
+        if current:
+            parts.append(Ranges(tuple(current)))
         return parts
 
     def read(self, partition):
-        with _open(partition.path) as conn:
+        for path, z, low, high in partition.ranges:
+            yield from self._range(path, z, low, high)
+
+    def _range(self, path, z, low, high):
+        with _open(path) as conn:
             cursor = conn.execute(
                 "SELECT tile_column, tile_row, tile_data FROM tiles WHERE zoom_level = ? AND tile_column BETWEEN ? AND ?",
-                (partition.z, partition.low, partition.high),
+                (z, low, high),
             )
-            top = (1 << partition.z) - 1
+            top = (1 << z) - 1
             while rows := cursor.fetchmany(BATCH_ROWS):
                 x, row, data = zip(*rows)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([os.path.basename(partition.path)] * len(rows), pa.string()),
-                        pa.array([partition.z] * len(rows), pa.int32()),
+                        pa.array([os.path.basename(path)] * len(rows), pa.string()),
+                        pa.array([z] * len(rows), pa.int32()),
                         pa.array(x, pa.int64()),
                         pa.array([top - r for r in row], pa.int64()),
                         pa.array(data, pa.binary()),
@@ -179,8 +194,7 @@ def write_archives(tiles: DataFrame, path: str, shard: str = "shard", meta: dict
 
 def read_archive_meta(spark: SparkSession, path: str) -> DataFrame:
     """Metadata rows (archive, name, value), one task per archive."""
-    pattern = path.removeprefix("file:")
-    names = [pattern] if os.path.isfile(pattern) else sorted(glob.glob(os.path.join(pattern, "**", "*.mbtiles"), recursive=True))
+    names = _archives(path)
 
     def rows(batches):
         for batch in batches:

@@ -46,13 +46,9 @@ def tile_paths(files: DataFrame, path: str = "path") -> DataFrame:
     """
     pattern = r"(?:^|/)([0-9]+)/([0-9]+)/([0-9]+)\.([^/]+)$"
     key = lambda group: F.regexp_extract(F.col(path), pattern, group)
-    return files.filter(F.col(path).rlike(pattern)).select(
-        key(1).cast("int").alias("z"),
-        key(2).cast("bigint").alias("x"),
-        key(3).cast("bigint").alias("y"),
-        key(4).alias("ext"),
-        *[c for c in files.columns],
-    )
+    found = files.filter(F.col(path).rlike(pattern))
+    keyed = pinned(found, z=key(1).cast("int"), x=key(2).cast("bigint"), y=key(3).cast("bigint"), ext=key(4))
+    return keyed.select("z", "x", "y", "ext", *files.columns)
 
 
 def read_tile_tree(spark: SparkSession, folder: str, payload: bool = True) -> DataFrame:
@@ -134,15 +130,12 @@ def band_files(files: DataFrame, expected: DataFrame, path: str = "path") -> Dat
     ``expected`` has (tile, band, date); a row without a file keeps a null path, so
     that ``missing_bands`` can report it.
     """
-    pattern = r"/([^/]+)/([^/]*?)([A-Za-z0-9_]+?)_doy([0-9]{7})[^/]*\.tif$"
-    found = files.filter(F.col(path).rlike(pattern)).select(
-        F.regexp_extract(path, pattern, 1).alias("tile"),
-        F.regexp_extract(path, r"/([^/]+)_doy[0-9]{7}[^/]*\.tif$", 1).alias("stem"),
-        F.regexp_extract(path, pattern, 4).alias("date"),
-        F.col(path).alias("path"),
-    )
+    pattern = r"/([^/]+)/([^/]+)_doy([0-9]{7})[^/]*\.tif$"
+    part = lambda group: F.regexp_extract(path, pattern, group)
+    named = pinned(files.filter(F.col(path).rlike(pattern)), f_tile=part(1), stem=part(2), f_date=part(3))
+    found = named.select("f_tile", "stem", "f_date", F.col(path).alias("path"))
     joined = expected.join(
-        found.withColumnRenamed("tile", "f_tile").withColumnRenamed("date", "f_date"),
+        found,
         (F.col("tile") == F.col("f_tile")) & (F.col("date") == F.col("f_date")) & F.col("stem").endswith(F.col("band")),
         "left",
     )

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tessella.functions.grid import shard_of_tile
 from tessella.functions.scalars import sign_url, strip_query, to_instant, to_number
 from tessella import constants as C
+from tessella.session import pinned
 
 PLAN_SCHEMA = (
     "z int, x bigint, y bigint, bbox array<double>, start_date string, end_date string, "
@@ -32,18 +33,19 @@ FEATURE_SCHEMA = (
 
 def parse_plan(lines: DataFrame, text: str = "value") -> DataFrame:
     """Plan NDJSON to typed rows: defaults filled, bad JSON and incomplete rows dropped."""
-    raw = lines.select(F.from_json(text, PLAN_SCHEMA).alias("p")).select("p.*")
+    raw = pinned(lines.select(F.col(text)), p=F.from_json(text, PLAN_SCHEMA)).select("p.*")
     max_cloud = F.coalesce("max_cloud", F.lit(100.0))
     none = F.array().cast("array<string>")
     return (
-        raw.select(
+        pinned(raw, start_day=F.col("start_date").try_cast("date"), end_day=F.col("end_date").try_cast("date"))
+        .select(
             "z",
             "x",
             "y",
             *[F.get("bbox", F.lit(i)).alias(n) for i, n in enumerate(("minx", "miny", "maxx", "maxy"))],
             (F.size("bbox") == 4).alias("boxed"),
-            F.col("start_date").try_cast("date").alias("start_date"),
-            F.col("end_date").try_cast("date").alias("end_date"),
+            F.col("start_day").alias("start_date"),
+            F.col("end_day").alias("end_date"),
             F.coalesce("season", F.lit("unknown")).alias("season"),
             F.coalesce("hemisphere", F.lit("global")).alias("hemisphere"),
             F.coalesce("collections", none).alias("collections"),
@@ -99,20 +101,20 @@ def write_plan_by_shard(plan: DataFrame, path: str) -> None:
 
 
 def parse_items(lines: DataFrame, text: str = "value") -> DataFrame:
-    item = F.from_json(text, ITEM_SCHEMA).alias("i")
     keep = [c for c in lines.columns if c != text]
-    return lines.select(*keep, item).select(
-        *keep,
-        F.col("i.id").alias("item_id"),
-        F.col("i.collection").alias("collection_id"),
-        to_instant("i.properties.datetime").alias("acquired"),
-        F.substring("i.properties.datetime", 1, 10).try_cast("date").alias("acq_date"),
-        to_number(F.col("i.properties")["eo:cloud_cover"]).alias("cloud"),
-        F.col("i.bbox").alias("bbox"),
-        F.map_filter(
-            F.transform_values("i.assets", lambda _, a: a.href), lambda _, href: href != ""
-        ).alias("hrefs"),
+    parsed = pinned(lines, i=F.from_json(text, ITEM_SCHEMA))
+    hrefs = F.transform_values("i.assets", lambda _, a: a.href)
+    rows = pinned(
+        parsed,
+        item_id=F.col("i.id"),
+        collection_id=F.col("i.collection"),
+        acquired=to_instant("i.properties.datetime"),
+        acq_date=F.substring("i.properties.datetime", 1, 10).try_cast("date"),
+        cloud=to_number(F.col("i.properties")["eo:cloud_cover"]),
+        bbox=F.col("i.bbox"),
+        hrefs=F.map_filter(hrefs, lambda _, href: href != ""),
     )
+    return rows.select(*keep, "item_id", "collection_id", "acquired", "acq_date", "cloud", "bbox", "hrefs")
 
 
 def _box(fallback=()):
@@ -129,7 +131,7 @@ def scene_items(items: DataFrame, bands, qa_key: str, tile_box=()) -> DataFrame:
     ``tile_box`` names four columns that stand in for a missing item box.
     """
     wanted = F.map_filter("hrefs", lambda k, _: k.isin(*bands))
-    return items.withColumn("bands", wanted).filter(F.size("bands") > 0).select(
+    return pinned(items, bands=wanted).filter(F.size("bands") > 0).select(
         "collection_id",
         "item_id",
         F.when(F.col("acquired").isNotNull(), F.col("acq_date")).alias("acq_date"),
@@ -158,7 +160,8 @@ def scene_items_strict(items: DataFrame, assets) -> DataFrame:
 
 def parse_images(docs: DataFrame, text: str = "value") -> DataFrame:
     """Aerial-image search results; rows without url, gsd or a whole box are dropped."""
-    rows = docs.select(F.explode(F.from_json(text, IMAGE_SCHEMA)["results"]).alias("r")).select("r.*")
+    found = pinned(docs.select(F.col(text)), doc=F.from_json(text, IMAGE_SCHEMA))
+    rows = found.select(F.explode("doc.results").alias("r")).select("r.*")
     whole = (F.col("uuid") != "") & F.col("gsd").isNotNull() & (F.size("bbox") == 4)
     return rows.filter(whole).select(
         F.col("uuid").alias("url"),
