@@ -182,6 +182,22 @@ def _halo(chunks: DataFrame, keys: list[str], n: int) -> DataFrame:
     )
 
 
+EIGHT = [(dx, dy) for dx in (-1, 0, 1) for dy in (-1, 0, 1) if (dx, dy) != (0, 0)]
+
+
+def _outer_corners(padded: np.ndarray, have: dict, n: int, w: int, h: int) -> None:
+    """Missing corners repeat the border of the one side neighbour that is there."""
+    for sx in (-1, 1):
+        for sy in (-1, 1):
+            cols, rows = (slice(0, n) if sx < 0 else slice(n + w, None)), (slice(0, n) if sy < 0 else slice(n + h, None))
+            row, column = (n if sy < 0 else n + h - 1), (n if sx < 0 else n + w - 1)
+            missing = ~have[sx, sy]
+            beside = np.flatnonzero(missing & have[sx, 0])
+            padded[beside, rows, cols] = padded[beside, row, cols][:, None, :]
+            above = np.flatnonzero(missing & ~have[sx, 0] & have[0, sy])
+            padded[above, rows, cols] = padded[above, rows, column][:, :, None]
+
+
 def with_neighbours(chunks: DataFrame, keys: list[str], n: int, kernel, edge: str = "zero") -> DataFrame:
     """Apply ``kernel(padded, n)`` to chunks padded by ``n`` pixels of their neighbours.
 
@@ -205,15 +221,17 @@ def with_neighbours(chunks: DataFrame, keys: list[str], n: int, kernel, edge: st
                     place = np.full(group.n, -1)
                     place[group.owner[part]] = np.arange(len(part))
                     at = place[group.owner]
-                    for step_x in (-1, 0, 1):
-                        for step_y in (-1, 0, 1):
-                            if step_x == step_y == 0:
-                                continue
-                            items = np.flatnonzero((at >= 0) & (dx == step_x) & (dy == step_y))
-                            if len(items):
-                                rows, cols = slices(step_y, high), slices(step_x, wide)
-                                shape = padded[0, rows, cols].shape
-                                padded[at[items], rows, cols] = data.rows(items).reshape(-1, *shape)
+                    have = {}
+                    for step_x, step_y in EIGHT:
+                        items = np.flatnonzero((at >= 0) & (dx == step_x) & (dy == step_y))
+                        have[step_x, step_y] = np.zeros(len(part), bool)
+                        have[step_x, step_y][at[items]] = True
+                        if len(items):
+                            rows, cols = slices(step_y, high), slices(step_x, wide)
+                            shape = padded[0, rows, cols].shape
+                            padded[at[items], rows, cols] = data.rows(items).reshape(-1, *shape)
+                    if edge == "nearest":
+                        _outer_corners(padded, have, n, wide, high)
                     yield _emit(batch, names, group.owner[part], wide, high, kernel(padded, n))
 
     pieces = _halo(chunks, keys, n)
