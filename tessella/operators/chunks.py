@@ -16,6 +16,7 @@ from tessella.functions.grid import shl, shr
 from tessella.operators import kernels
 from tessella.operators.pixels import median_pixels
 from tessella.operators.tiles import KEY, for_sources, nearest_ancestor, union_tiles
+from tessella.session import cut_lineage
 
 OUT_VALUES = 8_000_000  # values of one output batch
 CUT_BITS = 4
@@ -476,16 +477,18 @@ def overview(chunks: DataFrame, keys: list[str], method: str = "average") -> Dat
     return _parents(chunks, keys, lambda canvas: kernels.halve(canvas, method), None, None)
 
 
-def pyramid(chunks: DataFrame, keys: list[str], zmax: int, zmin: int, method: str = "average") -> DataFrame:
+def pyramid(chunks: DataFrame, keys: list[str], zmax: int, zmin: int, method: str = "average", checkpoint: bool = True) -> DataFrame:
     """All zooms from ``zmax`` to ``zmin``.
 
-    Every level builds on the last, so levels below the first are worth a checkpoint
-    (``cut_lineage``) when many are made; each holds a quarter of the one before.
+    Every level is both output and input of the next, so it is checkpointed: work is
+    done once per level, each a quarter of the one before, and a lost executor
+    costs one level.
     """
-    level = chunks.filter(F.col("z") == zmax).select(*keys, F.col("z").cast("int").alias("z"), "x", "y", "w", "h", "data")
+    kept = cut_lineage if checkpoint and zmax > zmin else lambda df: df
+    level = kept(chunks.filter(F.col("z") == zmax).select(*keys, F.col("z").cast("int").alias("z"), "x", "y", "w", "h", "data"))
     out = level
     for _ in range(zmax - zmin):
-        level = overview(level, keys, method)
+        level = kept(overview(level, keys, method))
         out = out.unionByName(level)
     return out
 

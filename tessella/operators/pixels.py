@@ -15,7 +15,7 @@ from tessella import constants as C
 from tessella.functions.grid import (
     Box, clamp, col, column_longitude, lat_to_row, lon_to_column, row_latitude, tile_range,
 )
-from tessella.session import pinned
+from tessella.session import cut_lineage, pinned
 
 
 def visible_tiles(pixels: DataFrame, keys: list[str], alpha: str = "a") -> DataFrame:
@@ -233,10 +233,10 @@ def overview_pixels(pixels: DataFrame, keys: list[str], size: int, method: str =
 
 def pyramid_pixels(pixels: DataFrame, keys: list[str], size: int, zmax: int, zmin: int, method="average") -> DataFrame:
     """All zooms from ``zmax`` down to ``zmin``; each level is a quarter of the last."""
-    level, levels = pixels.filter(F.col("z") == zmax).select(*keys, "z", "x", "y", "px", "py", "dn"), []
-    levels.append(level)
+    level = cut_lineage(pixels.filter(F.col("z") == zmax).select(*keys, "z", "x", "y", "px", "py", "dn"))
+    levels = [level]
     for _ in range(zmax - zmin):
-        level = overview_pixels(level, keys, size, method)
+        level = cut_lineage(overview_pixels(level, keys, size, method))
         levels.append(level)
     return reduce(lambda a, b: a.unionByName(b), levels)
 

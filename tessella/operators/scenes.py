@@ -98,11 +98,20 @@ def cap_search(candidates: DataFrame, limit: int) -> DataFrame:
     return top_in_group(candidates, [*TILE, "role", "collection_id"], order, limit)
 
 
-def pick_role(candidates: DataFrame) -> DataFrame:
-    """Fallback candidates only for tiles without a primary one."""
-    has_primary = F.max(F.col("role") == "primary").over(Window.partitionBy(*TILE))
-    chosen = candidates.withColumn("_primary", has_primary)
-    return chosen.filter((F.col("role") == "primary") == F.col("_primary")).drop("_primary")
+def pick_role(candidates: DataFrame, capped: bool = True) -> DataFrame:
+    """Fallback candidates only for tiles without a primary one.
+
+    With ``capped`` candidates a tile is a small group and one window settles it. Else
+    the tiles with a primary candidate are listed first and fallbacks are matched
+    against that list, so that no tile has to fit a task.
+    """
+    if capped:
+        has_primary = F.max(F.col("role") == "primary").over(Window.partitionBy(*TILE))
+        chosen = candidates.withColumn("_primary", has_primary)
+        return chosen.filter((F.col("role") == "primary") == F.col("_primary")).drop("_primary")
+    primary = candidates.filter(F.col("role") == "primary")
+    rest = candidates.filter(F.col("role") != "primary")
+    return primary.unionByName(rest.join(primary.select(*TILE).distinct(), TILE, "left_anti"))
 
 
 def scene_stack(scenes: DataFrame, keep: int, keys: list[str]) -> DataFrame:

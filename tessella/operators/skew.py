@@ -1,4 +1,4 @@
-"""Splitting hot join keys and sizing broadcasts."""
+"""Splitting hot join keys."""
 
 from __future__ import annotations
 
@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000
-BROADCAST_ROWS = 200_000
 
 
 def salted(left: DataFrame, right: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS):
@@ -34,12 +33,3 @@ def salted(left: DataFrame, right: DataFrame, keys: list[str], hot_rows: int = H
         .drop("_fan")
     )
     return left, right
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast only after counting that at most ``max_rows`` rows are there.
-
-    The count stops early: a frame above the bound is never fully read.
-    """
-    small = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if small else df

@@ -153,8 +153,7 @@ def nearest_ancestor(requests: DataFrame, tiles: DataFrame, by: list[str]) -> Da
     """
     keys = tiles.select(*by, "z", "x", "y").distinct()
     zooms = keys.groupBy(*by).agg(F.array_sort(F.collect_set("z")).alias("_zooms"))
-    # one list of at most 25 zooms per source
-    asked = requests.join(F.broadcast(zooms), by)
+    asked = requests.join(zooms, by)  # a list of at most 25 zooms per source
     steps = F.filter("_zooms", lambda anc: anc <= F.col("z"))
     spread = asked.select(*by, *KEY, F.explode(steps).alias("anc_z"))
     ax, ay = ancestor("z", "x", "y", "anc_z")

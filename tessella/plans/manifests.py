@@ -9,20 +9,25 @@ from tessella.functions.grid import Box, box_covers
 from tessella.functions.scalars import product_parts
 from tessella.operators import scenes as SC
 from tessella.operators.skew import salted
-from tessella.session import pinned
+from tessella.session import cut_lineage, pinned
 
 BOX = ("minx", "miny", "maxx", "maxy")
 
 
-def scene_manifest(plan: DataFrame, scenes: DataFrame, depth: int = 12, search_limit: int | None = None):
+def scene_manifest(
+    plan: DataFrame, scenes: DataFrame, depth: int = 12, search_limit: int | None = None, checkpoint: bool = False
+):
     """(scenes, summary) of a plan, in one job instead of one search per tile.
 
     Candidates by place, date and cloud, capped per tile and collection; fallback
     where there is no primary candidate; a date-diverse stack per tile; each scene
-    once, as first seen in plan order.
+    once, as first seen in plan order. ``checkpoint`` keeps the candidates, which
+    pays when both results are used.
     """
     limit = search_limit or max(depth, 100)
     candidates = SC.cap_search(SC.match_plan_scenes(plan, scenes), limit)
+    if checkpoint:
+        candidates = cut_lineage(candidates)
     chosen = SC.scene_stack(SC.pick_role(candidates), depth, SC.TILE)
     unique = SC.unique_scenes(chosen, ["x", "y", "z", "pos"])
     return unique, SC.manifest_summary(plan, candidates, chosen, depth)

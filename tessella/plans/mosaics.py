@@ -53,7 +53,7 @@ def visual_mosaic(pixels: DataFrame, scenes_per_region: int, box: Box, z: int, s
     if scenes_per_region > 0:
         order = [F.col("cloud").asc_nulls_last(), F.col("item_id")]
         kept = scenes.orderBy(*order).limit(scenes_per_region)
-        pixels = pixels.join(F.broadcast(kept.select("scene")), "scene", "left_semi")  # at most the cap
+        pixels = pixels.join(kept.select("scene"), "scene", "left_semi")  # at most the cap
     inside = PX.crop_box(pixels, box, z, size)
     top = PX.first_clear(inside, [*KEY, "band", "px", "py"], F.struct("scene"))
     return top.withColumn("dn", PX.stretched("dn", *stretch))

@@ -144,7 +144,7 @@ def _(v):
 @query("snk_manifest", """
     SELECT strftime(acq_date, '%Y%m%d') AS day, count(*) AS n, min(item_id) AS first_item FROM {fx_scenes} GROUP BY 1""")
 def _(v):
-    scenes = v.fx_scenes.select(F.date_format("acq_date", "yyyyMMdd").alias("day"), "item_id", "collection_id")
+    scenes = v.fx_scenes.select(F.date_format("acq_date", "yyyyMMdd").alias("day"), "item_id", "collection_id")  # item leads the sort
     docs = records.manifest_json(scenes.groupBy("day").agg(F.count("*").alias("n")), scenes, "day")
     return docs.select(
         "day",

@@ -38,7 +38,7 @@ def _(v):
         F.when(F.col("collection_id") == "landsat-c2-l2", "fallback").otherwise("primary").alias("role"),
         "item_id",
     )
-    return SC.pick_role(cells).select(F.concat("x", F.lit("_"), "y").alias("cell"), "item_id")
+    return SC.pick_role(cells, capped=False).select(F.concat("x", F.lit("_"), "y").alias("cell"), "item_id")
 
 
 @query("win_search_cap", f"""

@@ -97,31 +97,35 @@ def parse_asset_catalog(docs: DataFrame, text: str = "value") -> DataFrame:
     )
 
 
+def _layer_type(depth: int) -> str:
+    inner = f", Layer: array<{_layer_type(depth - 1)}>" if depth > 1 else ""
+    return f"struct<Name: string, Title: string{inner}>"
+
+
 def parse_layers_xml(docs: DataFrame, text: str = "xml", depth: int = 4) -> DataFrame:
     """Name and title of all nested layers of service-capability documents.
 
     Layers nest up to ``depth`` levels; the title falls back to the name and
     layers without a name are skipped (their children are still listed).
     """
-    layer = "struct<Name: string, Title: string>"
-    for _ in range(depth - 1):
-        layer = f"struct<Name: string, Title: string, Layer: array<{layer}>>"
-    schema = f"struct<Capability: struct<Layer: array<{layer}>>>"
-    plain = F.regexp_replace(F.regexp_replace(F.col(text), r"<(/?)\w+:", "<$1"), r"\sxmlns(:\w+)?=(\"[^\"]*\"|'[^']*')", "")
-    level = docs.withColumn("doc", F.from_xml(plain, schema)).select(
-        *docs.columns, F.explode("doc.Capability.Layer").alias("node")
-    )
-    found = None
+    schema = f"struct<Capability: struct<Layer: array<{_layer_type(depth)}>>>"
+    unprefixed = F.regexp_replace(F.col(text), r"<(/?)\w+:", "<$1")
+    plain = F.regexp_replace(unprefixed, r"\sxmlns(:\w+)?=(\"[^\"]*\"|'[^']*')", "")
+    nodes = pinned(docs, doc=F.from_xml(plain, schema)).withColumn("level", F.col("doc.Capability.Layer"))
+    named = lambda n: F.struct(F.trim(n.Name).alias("name"), F.trim(n.Title).alias("title"))
+    found = F.array()
+    level = F.col("level")
     for at in range(depth):
-        named = level.filter(F.trim("node.Name") != "").select(
-            *[c for c in docs.columns if c != text],
-            F.trim("node.Name").alias("name"),
-            F.coalesce(F.nullif(F.trim("node.Title"), F.lit("")), F.trim("node.Name")).alias("title"),
-        )
-        found = named if found is None else found.unionByName(named)
+        empty = F.array().cast(f"array<{_layer_type(depth - at)}>")
+        level = F.coalesce(level, empty)
+        found = F.concat(found, F.transform(level, named)) if at else F.transform(level, named)
         if at < depth - 1:
-            level = level.select(*docs.columns, F.explode("node.Layer").alias("node"))
-    return found
+            below = F.filter(level, lambda n: n.Layer.isNotNull())
+            level = F.flatten(F.transform(below, lambda n: n.Layer))
+    keep = [c for c in docs.columns if c != text]
+    rows = nodes.select(*keep, F.explode(found).alias("n")).filter(F.col("n.name") != "")
+    title = F.coalesce(F.nullif(F.col("n.title"), F.lit("")), F.col("n.name"))
+    return rows.select(*keep, F.col("n.name").alias("name"), title.alias("title"))
 
 
 def band_files(files: DataFrame, expected: DataFrame, path: str = "path") -> DataFrame:

@@ -179,19 +179,25 @@ def parse_manifest(docs: DataFrame, scene_schema: str, text: str = "value") -> D
     return objects.select(F.from_json("e", scene_schema).alias("s")).select("s.*")
 
 
-def manifest_json(summary: DataFrame, scenes: DataFrame, key: str) -> DataFrame:
-    """One ``{summary, scenes}`` document per manifest ``key``.
+def manifest_json(summary: DataFrame, scenes: DataFrame, key: str, max_scenes: int = 20_000) -> DataFrame:
+    """``{summary, scenes}`` documents per manifest ``key``: (key, part, value).
 
-    For whole-planet manifests write ``scenes`` as a table instead; this form is
-    for the per-shard documents a reader of the JSON format expects.
+    A manifest above ``max_scenes`` is spread over several documents with the same
+    summary, since one JSON text has to fit a task; readers take them together.
     """
-    body = scenes.groupBy(key).agg(
-        F.array_sort(F.collect_list(F.struct(*[c for c in scenes.columns if c != key]))).alias("scenes")
-    )
+    parts = scenes.groupBy(key).agg(F.ceil(F.count("*") / max_scenes).cast("int").alias("_parts"))
     head = F.struct(*[c for c in summary.columns if c != key]).alias("summary")
-    return summary.join(body, key, "left").select(
-        key, F.to_json(F.struct(head, F.coalesce("scenes", F.array()).alias("scenes"))).alias("value")
+    heads = summary.join(parts, key, "left").select(
+        key, head, F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)).alias("part")
+    )
+    fields = [c for c in scenes.columns if c != key]
+    hashable = [n for n, kind in scenes.dtypes if "map<" not in kind]
+    placed = scenes.join(parts, key).withColumn("part", F.pmod(F.xxhash64(*hashable), "_parts").cast("int"))
+    body = placed.groupBy(key, "part").agg(F.array_sort(F.collect_list(F.to_json(F.struct(*fields)))).alias("scenes"))
+    text = F.concat(
+        F.lit('{"summary":'), F.to_json("summary"), F.lit(',"scenes":['), F.array_join(F.coalesce("scenes", F.array().cast("array<string>")), ","), F.lit("]}")
     )
+    return heads.join(body, [key, "part"], "left").select(key, "part", text.alias("value"))
 
 
 def refresh_urls(scenes: DataFrame, tokens: DataFrame, default_collection: str | None = None) -> DataFrame:
