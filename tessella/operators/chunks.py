@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tessella.functions.grid import shl, shr
 from tessella.operators import kernels
 from tessella.operators.pixels import median_pixels
+from tessella.operators.skew import unsized
 from tessella.operators.tiles import KEY, for_sources, nearest_ancestor, union_tiles
 from tessella.session import cut_lineage
 
@@ -353,7 +354,7 @@ def _pieces(tiles: DataFrame, wanted: DataFrame) -> DataFrame:
     named = tiles.select(
         "src", F.col("z").alias("anc_z"), F.col("x").alias("anc_x"), F.col("y").alias("anc_y"), "w", "h", "data"
     )
-    needed = named.join(wanted, on).select(*on, "bits", "w", "h", "data")
+    needed = named.join(unsized(wanted), on).select(*on, "bits", "w", "h", "data")
     names = [*on, "bits"]
 
     def cut(batches):
@@ -397,7 +398,7 @@ def overzoom_stack(requests: DataFrame, tiles: DataFrame, sources: list[int], si
     on = ["src", "anc_z", "anc_x", "anc_y", "bits"]
     pieces = _pieces(tiles, hits.select(*on).distinct())
     ord_of = F.element_at(F.create_map(*[F.lit(v) for i, s in enumerate(sources) for v in (s, i)]), F.col("src"))
-    layers = hits.join(pieces, [*on, "bx", "by"]).withColumn("ord", ord_of)
+    layers = unsized(hits).join(pieces, [*on, "bx", "by"]).withColumn("ord", ord_of)
     return _folded(layers, size, method, keep_hidden=False)
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tessella import constants as C
 from tessella.functions.grid import clamp, column_longitude, lat_to_row, lon_to_column, row_latitude
+from tessella.operators.skew import unsized
 from tessella.session import pinned
 
 
@@ -86,7 +87,7 @@ def polygon_cover(edges: DataFrame, region: str, z: int) -> DataFrame:
     inner = inside_spans(edges, region, z).select(
         region, F.lit(z).alias("z"), F.explode(F.sequence("x0", "x1")).alias("x"), "y"
     )
-    return boundary_tiles(edges, region, z).unionByName(inner).select("z", "x", "y").distinct()
+    return unsized(boundary_tiles(edges, region, z).unionByName(inner).select("z", "x", "y").distinct())
 
 
 def region_cover(edges: DataFrame, region: str, z: int) -> DataFrame:
@@ -95,7 +96,7 @@ def region_cover(edges: DataFrame, region: str, z: int) -> DataFrame:
         region, F.lit(z).alias("z"), F.explode(F.sequence("x0", "x1")).alias("x"), "y", F.lit(False).alias("partial")
     )
     edge = boundary_tiles(edges, region, z).withColumn("partial", F.lit(True))
-    return edge.unionByName(inner).groupBy(region, "z", "x", "y").agg(F.bool_or("partial").alias("partial"))
+    return unsized(edge.unionByName(inner).groupBy(region, "z", "x", "y").agg(F.bool_or("partial").alias("partial")))
 
 
 def clip_pixels(pixels: DataFrame, edges: DataFrame, region: str, z: int, bits: int) -> DataFrame:
@@ -125,7 +126,7 @@ def clip_pixels(pixels: DataFrame, edges: DataFrame, region: str, z: int, bits:
     ).distinct()
     on = [pixels[c] == spans[c] for c in ("z", "x", "y", "py")]
     on.append(pixels["px"].between(spans["lo"], spans["hi"]))
-    return pixels.join(spans, on, "left_semi")
+    return pixels.join(unsized(spans), on, "left_semi")
 
 
 def boxes_in_regions(boxes: DataFrame, edges: DataFrame, region: str, key: str, z: int = 7) -> DataFrame:
@@ -143,7 +144,7 @@ def boxes_in_regions(boxes: DataFrame, edges: DataFrame, region: str, key: str,
     edge_cells = _edge_cells(edges, region, z)
     touched = (
         box_tiles(good, z)
-        .join(edge_cells, ["x", "y"])
+        .join(unsized(edge_cells), ["x", "y"])
         .filter(edge_meets_box("minx", "miny", "maxx", "maxy"))
         .select(key, region)
         .distinct()
@@ -153,7 +154,7 @@ def boxes_in_regions(boxes: DataFrame, edges: DataFrame, region: str, key: str,
                      x=_index(lon_to_column("px", z), z), y=_index(lat_to_row("py", z), z))
     inner = inside_spans(edges, region, z).select(region, F.explode(F.sequence("x0", "x1")).alias("x"), "y")
     facts = inner.withColumns({n: F.lit(None).cast("double") for n in ("x1", "y1", "x2", "y2")}).unionByName(edge_cells)
-    met = pinned(centred.join(facts, ["x", "y"]),
+    met = pinned(centred.join(unsized(facts), ["x", "y"]),
                  qx=column_longitude(F.col("x") + 0.5, z), qy=row_latitude(F.col("y") + 0.5, z))
     side = lambda ax, ay, bx, by, cx, cy: (F.col(bx) - F.col(ax)) * (F.col(cy) - F.col(ay)) - (
         F.col(by) - F.col(ay)
@@ -231,7 +232,7 @@ def grow_cover(edges: DataFrame, region: str, z: int, km: float) -> DataFrame:
         s=row_latitude(F.col("y") + 1, z), n=row_latitude("y", z),
     )
     close = tiles.filter(_distance("w", "s", "e", "n") <= degrees).select(F.lit(z).alias("z"), "x", "y")
-    return close.unionByName(polygon_cover(edges, region, z)).distinct()
+    return unsized(close.unionByName(polygon_cover(edges, region, z)).distinct())
 
 
 def _distance(w, s, e, n):

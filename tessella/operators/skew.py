@@ -8,6 +8,16 @@ from pyspark.sql import functions as F
 HOT_ROWS = 1_000_000
 
 
+def unsized(df: DataFrame) -> DataFrame:
+    """Join side whose rows were multiplied by an explode.
+
+    Size estimates do not see the growth, so such a side could be broadcast by
+    mistake. The hint asks for a shuffled join, whose real sizes are known and whose
+    skewed partitions are split at run time.
+    """
+    return df.hint("merge")
+
+
 def salted(left: DataFrame, right: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS):
     """Add a ``salt`` key that splits the hot keys of ``right``.
 
@@ -32,4 +42,4 @@ def salted(left: DataFrame, right: DataFrame, keys: list[str], hot_rows: int = H
         .withColumn("salt", F.explode(F.sequence(F.lit(0), fan - 1)))
         .drop("_fan")
     )
-    return left, right
+    return unsized(left), unsized(right)

@@ -142,20 +142,25 @@ def tileset_bounds(tiles: DataFrame, by: list[str], mode: str = "auto") -> DataF
     )
 
 
-def nearest_ancestor(requests: DataFrame, tiles: DataFrame, by: list[str]) -> DataFrame:
+def stored_zooms(tiles: DataFrame) -> list[int]:
+    """Zooms that occur, a list of at most a few dozen numbers."""
+    return sorted(row.z for row in tiles.select("z").distinct().collect())
+
+
+def nearest_ancestor(requests: DataFrame, tiles: DataFrame, by: list[str], zooms: list[int] | None = None) -> DataFrame:
     """Deepest stored ancestor-or-self of each requested tile, per ``by`` (a source).
 
-    Both sides carry the ``by`` columns; see ``for_sources``.
+    Both sides carry the ``by`` columns; see ``for_sources``. ``zooms`` are the stored
+    zooms, looked up when not given.
 
     Keys only, so attach payloads afterwards. Requests are spread over their
     ancestors at stored zooms; a coarse ancestor is shared by many requests, so it
     is salted by how many it can have at most. Requests without one get no row.
     """
     keys = tiles.select(*by, "z", "x", "y").distinct()
-    zooms = keys.groupBy(*by).agg(F.array_sort(F.collect_set("z")).alias("_zooms"))
-    asked = requests.join(zooms, by)  # a list of at most 25 zooms per source
-    steps = F.filter("_zooms", lambda anc: anc <= F.col("z"))
-    spread = asked.select(*by, *KEY, F.explode(steps).alias("anc_z"))
+    levels = F.array(*[F.lit(int(at)) for at in (stored_zooms(tiles) if zooms is None else zooms)])
+    steps = F.filter(levels.cast("array<int>"), lambda anc: anc <= F.col("z"))
+    spread = requests.select(*by, *KEY, F.explode(steps).alias("anc_z"))
     ax, ay = ancestor("z", "x", "y", "anc_z")
     spread = spread.select(*by, *KEY, "anc_z", ax.alias("anc_x"), ay.alias("anc_y"))
     stored = keys.select(

@@ -9,6 +9,7 @@ from tessella.functions.grid import box_buffer, tile_bounds
 from tessella import constants as C
 from tessella.operators.envelopes import edge_envelope
 from tessella.plans.planning import box_tiles, shard_boxes
+from tessella.operators.skew import unsized
 from tessella.session import pinned
 
 BOX = ["minx", "miny", "maxx", "maxy"]
@@ -65,7 +66,7 @@ def resolve_aois(aois: DataFrame, edges: DataFrame, land: DataFrame | None = Non
 
 def _on_land(boxes: DataFrame, land: DataFrame, z: int) -> DataFrame:
     key = ["aoi_id", "part"]
-    tiles = box_tiles(boxes.select(*key, *BOX), z).join(land.select("x", "y"), ["x", "y"], "left_semi")
+    tiles = box_tiles(boxes.select(*key, *BOX), z).join(unsized(land.select("x", "y")), ["x", "y"], "left_semi")
     located = pinned(tiles.select(*key, "z", "x", "y", *BOX), **{f"t_{c}": b for c, b in tile_bounds("z", "x", "y")._asdict().items()})
     hit = located.groupBy(*key).agg(
         F.min("t_minx").alias("a"), F.min("t_miny").alias("b"), F.max("t_maxx").alias("c"), F.max("t_maxy").alias("d"),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tessella import constants as C
 from tessella.functions.grid import Box, box_center, is_land, shard_of_tile, shr, tile_bounds, tile_range
 from tessella.functions.scalars import season_window
+from tessella.operators.skew import unsized
 from tessella.session import inline_table, pinned
 
 COLLECTIONS = ("hls2-s30", "hls2-l30")
@@ -61,7 +62,7 @@ def plan_tiles(
     boxed = boxed.filter(is_land(Box("minx", "miny", "maxx", "maxy"), buffer_km))
     for keys in (region, land):
         if keys is not None:
-            boxed = boxed.join(keys.select("z", "x", "y"), ["z", "x", "y"], "left_semi")
+            boxed = boxed.join(unsized(keys.select("z", "x", "y")), ["z", "x", "y"], "left_semi")
     _, lat = box_center("minx", "miny", "maxx", "maxy")
     season, hemisphere, start, end = season_window(lat, year)
     return boxed.select(
