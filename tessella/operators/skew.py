@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000
+BROADCAST_ROWS = 200_000  # of key columns, counted before a side is broadcast
 
 
 def unsized(df: DataFrame) -> DataFrame:

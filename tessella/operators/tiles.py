@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tessella import constants as C
 from tessella.functions.grid import ancestor, shl, tile_bounds
-from tessella.operators.skew import salted
+from tessella.operators.skew import BROADCAST_ROWS, salted
 from tessella.session import inline_table
 
 KEY = ["z", "x", "y"]
@@ -142,23 +142,25 @@ def tileset_bounds(tiles: DataFrame, by: list[str], mode: str = "auto") -> DataF
     )
 
 
-def stored_zooms(tiles: DataFrame) -> list[int]:
-    """Zooms that occur, a list of at most a few dozen numbers."""
-    return sorted(row.z for row in tiles.select("z").distinct().collect())
+def rows_per_zoom(tiles: DataFrame) -> dict[int, int]:
+    """Stored rows by zoom: at most a few dozen numbers, from the key columns alone."""
+    return {row["z"]: row["count"] for row in tiles.groupBy("z").count().collect()}
 
 
-def nearest_ancestor(requests: DataFrame, tiles: DataFrame, by: list[str], zooms: list[int] | None = None) -> DataFrame:
+def nearest_ancestor(requests: DataFrame, tiles: DataFrame, by: list[str]) -> DataFrame:
     """Deepest stored ancestor-or-self of each requested tile, per ``by`` (a source).
 
-    Both sides carry the ``by`` columns; see ``for_sources``. ``zooms`` are the stored
-    zooms, looked up when not given.
+    Both sides carry the ``by`` columns; see ``for_sources``. The tiles are read more
+    than once, so pass a stored (or checkpointed) table.
 
     Keys only, so attach payloads afterwards. Requests are spread over their
-    ancestors at stored zooms; a coarse ancestor is shared by many requests, so it
-    is salted by how many it can have at most. Requests without one get no row.
+    ancestors at stored zooms. A counted, small set of stored keys is broadcast; else
+    both sides shuffle, and coarse ancestors that many requests share are salted.
+    Requests without an ancestor get no row.
     """
     keys = tiles.select(*by, "z", "x", "y").distinct()
-    levels = F.array(*[F.lit(int(at)) for at in (stored_zooms(tiles) if zooms is None else zooms)])
+    stored_rows = rows_per_zoom(tiles)
+    levels = F.array(*[F.lit(int(at)) for at in sorted(stored_rows)])
     steps = F.filter(levels.cast("array<int>"), lambda anc: anc <= F.col("z"))
     spread = requests.select(*by, *KEY, F.explode(steps).alias("anc_z"))
     ax, ay = ancestor("z", "x", "y", "anc_z")
@@ -167,8 +169,11 @@ def nearest_ancestor(requests: DataFrame, tiles: DataFrame, by: list[str], zooms
         *by, F.col("z").alias("anc_z"), F.col("x").alias("anc_x"), F.col("y").alias("anc_y")
     )
     on = [*by, "anc_z", "anc_x", "anc_y"]
-    stored, spread = salted(stored, spread, on)
-    hits = spread.join(stored, [*on, "salt"])
+    if sum(stored_rows.values()) <= BROADCAST_ROWS:
+        hits = spread.join(F.broadcast(stored), on)
+    else:
+        stored, spread = salted(stored, spread, on)
+        hits = spread.join(stored, [*on, "salt"])
     best = hits.groupBy(*by, *KEY).agg(F.max("anc_z").cast("int").alias("anc_z"))
     ax, ay = ancestor("z", "x", "y", "anc_z")
     depth = F.col("z") - F.col("anc_z")

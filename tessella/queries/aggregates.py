@@ -80,7 +80,7 @@ ROLES = """SELECT CAST(5 AS INT) AS z, o_custkey % 32 AS x, o_orderkey % 16 AS y
 
 
 @query("agg_manifest_summary", f"""
-    SELECT 512 AS tiles_evaluated, (SELECT count(*) FROM (SELECT DISTINCT collection_id, item_id FROM ({ROLES}) AS a)) AS unique_scenes,
+    SELECT CAST(512 AS BIGINT) AS tiles_evaluated, (SELECT count(*) FROM (SELECT DISTINCT collection_id, item_id FROM ({ROLES}) AS a)) AS unique_scenes,
            512 - (SELECT count(*) FROM (SELECT DISTINCT x, y FROM ({ROLES}) AS b WHERE role = 'primary')) AS fallback_tiles, 3 AS max_scenes_per_tile""")
 def _(v):
     plan = grid_tiles(v.spark, 5).filter(F.col("y") < 16)

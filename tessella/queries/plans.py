@@ -148,7 +148,7 @@ def _(v):
     WITH finest AS (SELECT DISTINCT gx // 16 AS x, gy // 16 AS y FROM (
         SELECT a.i AS gx, b.i AS gy, floor((a.i + 0.5) / 512 * 360.0 - 180.0) AS lon, ceil(degrees(atan(sinh(pi() * (1.0 - 2.0 * (b.i + 0.5) / 512))))) AS lat
         FROM range(512) AS a(i), range(512) AS b(i)) AS g JOIN ({CELLS}) AS c USING (lon, lat))
-    SELECT z, CAST(count(*) AS BIGINT) AS tiles, true AS valid FROM (SELECT DISTINCT z, x >> (5 - z) AS x, y >> (5 - z) AS y FROM finest, range(2, 6) AS l(z)) AS t GROUP BY z""")
+    SELECT CAST(z AS INT) AS z, CAST(count(*) AS BIGINT) AS tiles, true AS valid FROM (SELECT DISTINCT z, x >> (5 - z) AS x, y >> (5 - z) AS y FROM finest, range(2, 6) AS l(z)) AS t GROUP BY z""")
 def _(v):
     pixels = PX.raster_to_tiles(v.sql(CELLS), [], 1.0, 5, 16)
     chunks = CH.assemble_chunks(pixels, ["z", "x", "y"], 16, 16)

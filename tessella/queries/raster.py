@@ -8,6 +8,7 @@ from tessella.operators import pixels as PX
 from tessella.operators.regions import clip_pixels, land_in_region, polygon_cover
 from tessella.plans.planning import land_tiles
 from tessella.queries import query
+from tessella.session import cut_lineage
 from tessella.queries.filters import BOUNDS, INSIDE, LAND, POINT_TILES, point_tiles, region_tiles
 
 TILE = ["z", "x", "y"]
@@ -194,7 +195,16 @@ def _(v):
     return v.fx_elev.select("x", "y", "px", "py", *[c.alias(n) for n, c in colours.items()])
 
 
-@query("ras_hillshade")
+# every tile of the zoom holds data, so the raster is one 128 by 128 grid whose outer
+# border is repeated; a neighbour's weight is 2 on the axis and 1 on the diagonal
+@query("ras_hillshade", """
+    WITH grid AS (SELECT a.i AS gx, b.i AS gy, coalesce(elev, 0) AS v FROM range(128) AS a(i) CROSS JOIN range(128) AS b(i) LEFT JOIN {fx_elev} AS e ON e.x * 16 + e.px = a.i AND e.y * 16 + e.py = b.i),
+    slopes AS (SELECT c.gx, c.gy, sum(n.v * ox * (2 - abs(oy))) / (8.0E0 * 250.0E0) AS dx, sum(n.v * oy * (2 - abs(ox))) / (8.0E0 * 250.0E0) AS dy
+      FROM grid AS c CROSS JOIN (VALUES (-1, -1), (0, -1), (1, -1), (-1, 0), (1, 0), (-1, 1), (0, 1), (1, 1)) AS d(ox, oy)
+      JOIN grid AS n ON n.gx = greatest(0, least(127, c.gx + ox)) AND n.gy = greatest(0, least(127, c.gy + oy)) GROUP BY c.gx, c.gy)
+    SELECT 3 AS z, gx // 16 AS x, gy // 16 AS y, CAST(gx % 16 AS INT) AS px, CAST(gy % 16 AS INT) AS py,
+           CAST(greatest(1, least(255, floor(1 + 254 * greatest(0.0, cos(radians(45.0)) * cos(s) + sin(radians(45.0)) * sin(s) * cos(radians(135.0) - a)) + 0.5))) AS INT) AS shade
+    FROM (SELECT *, atan(sqrt(dx * dx + dy * dy)) AS s, atan2(dy, -dx) AS a FROM slopes) AS t""")
 def _(v):
     elev = CH.assemble_chunks(v.fx_elev.withColumnRenamed("elev", "dn"), TILE, 16, 16)
     shaded = CH.hillshade_chunks(elev, [], 250.0, 250.0)
@@ -254,7 +264,8 @@ REQUESTS = f"""SELECT 6 AS z, x >> 1 AS x, y >> 1 AS y FROM {POINT_TILES} AS p G
 
 
 def layer_chunks(v):
-    return rgba_chunks(v.fx_layers, ["src", *TILE], 8)
+    """The stack's tiles as a stored table, since the operators read it several times."""
+    return cut_lineage(rgba_chunks(v.fx_layers, ["src", *TILE], 8))
 
 
 @query("ras_overzoom_stack", f"WITH {overzoom_ctes(REQUESTS)} {overzoom_sql(REQUESTS)}")

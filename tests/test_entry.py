@@ -25,8 +25,8 @@ def test_entry(spark):
     assert entry.entry(spark).count() > 0
 
 
-def test_every_query_but_two_has_an_oracle():
-    assert set(QUERIES) - set(ORACLES) == {"agg_balanced_partition", "ras_hillshade"}
+def test_every_query_but_one_has_an_oracle():
+    assert set(QUERIES) - set(ORACLES) == {"agg_balanced_partition"}
 
 
 @pytest.mark.parametrize("name", QUICK)
