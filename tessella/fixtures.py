@@ -83,7 +83,7 @@ VIEWS = {
                CAST(max(l_partkey) % 256 AS INT) AS r, CAST(max(l_suppkey) % 256 AS INT) AS g,
                CAST(max(l_orderkey) % 256 AS INT) AS b,
                CASE WHEN max(l_orderkey) % 3 = 0 THEN 0 ELSE 255 END AS a
-        FROM {lineitem} WHERE l_shipdate IS NOT NULL
+        FROM {lineitem}
         GROUP BY 1, 2, 3, 4, 5, 6""",
     "fx_fetch_log": """
         SELECT event_id AS seq, ts, CASE event_type WHEN 'error' THEN 503 WHEN 'signup' THEN 404 WHEN 'click' THEN 0 ELSE 200 END AS status,
@@ -113,12 +113,12 @@ VIEWS = {
         FROM {part}""",
     # one four-sided region per supplier
     "fx_corners": """
-        SELECT s_suppkey AS region_id, i AS corner,
+        SELECT s_suppkey AS region_id, s_nationkey AS nation, i AS corner,
                (s_suppkey * 53 % 320) - 160 + CASE i WHEN 0 THEN -9.13E0 WHEN 2 THEN 11.37E0 ELSE 0.71E0 + s_suppkey % 5 END AS lon,
                (s_suppkey * 29 % 130) - 65 + CASE i WHEN 1 THEN -7.31E0 WHEN 3 THEN 8.77E0 ELSE 0.53E0 + s_suppkey % 3 END AS lat
         FROM {supplier} CROSS JOIN (SELECT 0 AS i UNION ALL SELECT 1 UNION ALL SELECT 2 UNION ALL SELECT 3) AS c""",
     "fx_edges": """
-        SELECT a.region_id, a.corner AS seg, a.lon AS x1, a.lat AS y1, b.lon AS x2, b.lat AS y2
+        SELECT a.region_id, a.nation, a.corner AS seg, a.lon AS x1, a.lat AS y1, b.lon AS x2, b.lat AS y2
         FROM {fx_corners} AS a JOIN {fx_corners} AS b
           ON a.region_id = b.region_id AND b.corner = (a.corner + 1) % 4""",
     # elevation pixels of one raster per tile
@@ -132,7 +132,7 @@ VIEWS = {
     "fx_files": """
         SELECT concat('asset_', CASE WHEN c_custkey % 17 = 0 THEN c_custkey + 10000000 ELSE c_custkey END) AS asset_id,
                concat(c_name, CASE WHEN c_custkey % 13 = 0 THEN 3 ELSE c_custkey % 10 END) AS content
-        FROM {customer} WHERE c_custkey IS NOT NULL""",
+        FROM {customer}""",
     "fx_products": """
         SELECT concat(CASE WHEN o_orderkey % 4 = 0 THEN 'viirs_vnp09ga_' ELSE 'modis_mcd43a4_' END,
                       CASE WHEN o_orderkey % 19 = 0 THEN '20241' ELSE concat(2020 + o_orderkey % 5, lpad(CAST(o_orderkey * 7 % 380 AS VARCHAR(8)), 3, '0')) END,

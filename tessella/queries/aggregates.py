@@ -75,15 +75,15 @@ def _(v):
     return SC.unique_scenes(rows, ["x", "y", "z", "seq"]).select("collection_id", "item_id", "z", "x", "y")
 
 
-ROLES = """SELECT CAST(5 AS INT) AS z, o_custkey % 32 AS x, o_orderkey % 16 AS y, concat('c', o_orderkey % 2) AS collection_id, concat('S', o_custkey) AS item_id,
-           CASE WHEN o_orderkey % 16 < 5 OR o_orderstatus = 'F' THEN 'fallback' ELSE 'primary' END AS role FROM {orders}"""
+ROLES = """SELECT CAST(5 AS INT) AS z, o_custkey % 32 AS x, o_orderkey % 32 AS y, concat('c', o_orderkey % 2) AS collection_id, concat('S', o_custkey) AS item_id,
+           CASE WHEN o_orderkey % 32 < 9 OR o_orderstatus = 'F' THEN 'fallback' ELSE 'primary' END AS role FROM {orders}"""
 
 
 @query("agg_manifest_summary", f"""
-    SELECT CAST(512 AS BIGINT) AS tiles_evaluated, (SELECT count(*) FROM (SELECT DISTINCT collection_id, item_id FROM ({ROLES}) AS a)) AS unique_scenes,
-           512 - (SELECT count(*) FROM (SELECT DISTINCT x, y FROM ({ROLES}) AS b WHERE role = 'primary')) AS fallback_tiles, 3 AS max_scenes_per_tile""")
+    SELECT CAST(1024 AS BIGINT) AS tiles_evaluated, (SELECT count(*) FROM (SELECT DISTINCT collection_id, item_id FROM ({ROLES}) AS a)) AS unique_scenes,
+           1024 - (SELECT count(*) FROM (SELECT DISTINCT x, y FROM ({ROLES}) AS b WHERE role = 'primary')) AS fallback_tiles, 3 AS max_scenes_per_tile""")
 def _(v):
-    plan = grid_tiles(v.spark, 5).filter(F.col("y") < 16)
+    plan = grid_tiles(v.spark, 5)
     candidates = v.sql(ROLES)
     return SC.manifest_summary(plan, candidates, candidates, 3)
 

@@ -52,14 +52,14 @@ def region_tiles(source):
 
 
 POINT_TILES = """(SELECT DISTINCT 7 AS z, CAST(floor((lon + 180.0) / 360.0 * 128) AS BIGINT) AS x,
-    CAST(floor((1.0 - asinh(tan(radians(lat))) / pi()) / 2.0 * 128) AS BIGINT) AS y FROM {fx_points} WHERE abs(lat) < 85.0)"""
+    CAST(floor((1.0 - asinh(tan(radians(lat))) / pi()) / 2.0 * 128) AS BIGINT) AS y FROM {fx_points})"""
 
 
 def point_tiles(v, z=7):
     from tessella.functions.grid import lonlat_to_tile
 
     x, y = lonlat_to_tile("lon", "lat", z)
-    return v.fx_points.filter(F.abs("lat") < 85.0).select(F.lit(z).alias("z"), x.alias("x"), y.alias("y")).distinct()
+    return v.fx_points.select(F.lit(z).alias("z"), x.alias("x"), y.alias("y")).distinct()
 
 
 @query("flt_region_polygon", region_tiles(POINT_TILES + " AS p"))

@@ -226,17 +226,21 @@ def _(v):
 
 
 @query("fn_modis_tile_polygon", """
-    SELECT o_orderkey, i AS corner, round(degrees((CASE WHEN i IN (1, 2) THEN h + 1 ELSE h END * 1111950.5196666666 - 1111950.5196666666 * 36 / 2.0) / (6371007.181 * c)), 7) AS lon,
+    SELECT o_orderkey, i AS corner, CASE WHEN abs(degrees(lat)) < 89.999 THEN round(degrees((CASE WHEN i IN (1, 2) THEN h + 1 ELSE h END * 1111950.5196666666 - 1111950.5196666666 * 36 / 2.0) / (6371007.181 * c)), 7) END AS lon,
            round(degrees(lat), 7) AS lat
     FROM (SELECT *, CASE WHEN abs(cos(lat)) < 1e-12 THEN CASE WHEN cos(lat) >= 0 THEN 1e-12 ELSE -1e-12 END ELSE cos(lat) END AS c
           FROM (SELECT *, (1111950.5196666666 * 18 / 2.0 - CASE WHEN i IN (2, 3) THEN v + 1 ELSE v END * 1111950.5196666666) / 6371007.181 AS lat
                 FROM (SELECT o_orderkey, o_custkey % 40 AS h, o_custkey % 20 AS v FROM {orders}) AS o, (VALUES (0), (1), (2), (3), (4)) AS t(i)
-                WHERE h < 36 AND v BETWEEN 1 AND 16) AS a) AS b""")
+                WHERE h < 36 AND v < 18) AS a) AS b""")
 def _(v):
     tiles = v.sql("""SELECT o_orderkey, concat('h', lpad(CAST(o_custkey % 40 AS STRING), 2, '0'), 'v', lpad(CAST(o_custkey % 20 AS STRING), 2, '0')) AS tile
-                     FROM {orders} WHERE o_custkey % 20 BETWEEN 1 AND 16""")
+                     FROM {orders}""")
     return tiles.select("o_orderkey", F.posexplode(S.sinusoidal_ring("tile")).alias("corner", "p")).select(
-        "o_orderkey", "corner", F.round("p.lon", 7).alias("lon"), F.round("p.lat", 7).alias("lat")
+        "o_orderkey",
+        "corner",
+        # at the poles longitude has no meaning
+        F.when(F.abs("p.lat") < 89.999, F.round("p.lon", 7)).alias("lon"),
+        F.round("p.lat", 7).alias("lat"),
     )
 
 

@@ -190,19 +190,19 @@ def _(v):
 
 
 @query("src_features", """
-    SELECT region_id, count(*) AS edges, round(sum(x1 * y2 - x2 * y1), 6) AS twice_area FROM {fx_edges} WHERE region_id % 3 <> 0 GROUP BY region_id""")
+    SELECT region_id, count(*) AS edges, round(sum(x1 * y2 - x2 * y1), 6) AS twice_area FROM {fx_edges} WHERE nation < 20 GROUP BY region_id""")
 def _(v):
     points = F.array_sort(F.collect_list(F.struct("corner", "lon", "lat")))
-    rings = v.fx_corners.groupBy("region_id").agg(points.alias("p")).withColumn(
+    rings = v.fx_corners.groupBy("region_id", "nation").agg(points.alias("p")).withColumn(
         "ring", F.transform("p", lambda c: F.array(c.lon, c.lat))
     )
     closed = F.concat("ring", F.slice("ring", 1, 1))
     feature = F.struct(
-        F.struct(F.col("region_id").cast("string").alias("region")).alias("properties"),
+        F.struct(F.col("region_id").cast("string").alias("region"), F.col("nation").cast("string").alias("nation")).alias("properties"),
         F.struct(F.lit("Polygon").alias("type"), F.array(closed).alias("coordinates")).alias("geometry"),
     )
     docs = rings.select("region_id", F.to_json(F.struct(F.array(feature).alias("features"))).alias("value"))
-    where = F.col("properties.region").cast("int") % 3 != 0
+    where = F.col("properties.nation").cast("int") < 20
     edges = records.parse_features(docs, where=where)
     names = docs.select(F.from_json("value", records.FEATURE_SCHEMA)["features"][0].alias("f")).select(
         F.xxhash64("f.geometry.coordinates", F.to_json("f.properties")).alias("feature_id"),

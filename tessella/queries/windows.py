@@ -6,7 +6,7 @@ from tessella.functions.grid import box_from_point
 from tessella.operators import scenes as SC
 from tessella.operators import tiles as T
 from tessella.operators.pixels import first_clear, last_painted
-from tessella.operators.ranking import top_in_group
+from tessella.operators.ranking import ranked_in_group, top_in_group
 from tessella.queries import query
 
 CELL = "concat(CAST(floor(minx / 30) AS INT), '_', CAST(floor(miny / 30) AS INT))"
@@ -86,14 +86,12 @@ def _(v):
 
 
 @query("top_scene_hls_order", """
-    SELECT r, item_id, collection_id FROM (SELECT *, row_number() OVER (ORDER BY coalesce(cloud, 100), acq_date, item_id) AS r FROM {fx_scenes}) AS t WHERE r <= 500""")
+    SELECT collection_id, item_id, row_number() OVER (PARTITION BY collection_id ORDER BY coalesce(cloud, 100), acq_date, item_id) AS rank FROM {fx_scenes}""")
 def _(v):
-    order = [F.coalesce("cloud", F.lit(100.0)), F.col("acq_date"), F.col("item_id")]
-    head = v.fx_scenes.orderBy(*order).limit(500)
-    from pyspark.sql import Window
-
-    # the 500 rows of a report, already cut by the limit
-    return head.select(F.row_number().over(Window.orderBy(*order)).cast("bigint").alias("r"), "item_id", "collection_id")
+    cloud = F.coalesce("cloud", F.lit(100.0))
+    order = [cloud, F.col("acq_date"), F.col("item_id")]
+    ranked = ranked_in_group(v.fx_scenes, ["collection_id"], cloud, order, "rank")
+    return ranked.select("collection_id", "item_id", "rank")
 
 
 @query("top_scene_s2", f"""
