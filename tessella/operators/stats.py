@@ -42,6 +42,12 @@ def failed_fetches(log: DataFrame, tile_keys: list[str], retries: int) -> DataFr
     return per_tile.filter((F.col("bad") == F.col("attempts")) & (F.col("attempts") >= retries))
 
 
+def fetch_report(log: DataFrame, by: list[str], tile_keys: list[str], retries: int) -> DataFrame:
+    """Fetch counters with the number of tiles given up, per group."""
+    failed = failed_fetches(log, [*by, *tile_keys], retries).groupBy(*by).agg(F.count("*").alias("failed"))
+    return fetch_stats(log, by).join(failed, by, "left").fillna(0, ["failed"])
+
+
 def transfer_health(log: DataFrame, by: list[str]) -> DataFrame:
     """Throughput class and wait range per overlay from (bytes, seconds) rows."""
     sums = log.groupBy(*by).agg(F.sum("bytes").alias("bytes"), F.sum("seconds").alias("seconds"))

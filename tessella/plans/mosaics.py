@@ -39,7 +39,7 @@ def clean_mosaic(
         at = top.withColumn("px", (F.col("pos") % F.col("w")).cast("int")).withColumn(
             "py", F.floor(F.col("pos") / F.col("w")).cast("int")
         )
-        size = bands.select(F.first("w").alias("w"), F.first("h").alias("h")).first()  # one row
+        size = bands.select("w", "h").first()  # the chunks of a layer have one size
         merged = CH.assemble_chunks(at, keys, size.w, size.h)
     return stretch_chunks(merged, *stretch)
 

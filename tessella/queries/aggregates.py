@@ -113,11 +113,13 @@ def _(v):
 
 
 @query("agg_fetch_stats", """
-    SELECT job, count(*) FILTER (WHERE status = 200) AS ok, count(*) FILTER (WHERE status = 0) AS cached, count(*) FILTER (WHERE status = 404) AS http_404,
-           count(*) FILTER (WHERE status IN (403, 429, 503)) AS blocked, CAST(0 AS BIGINT) AS error, CAST(sum(CASE WHEN status = 200 THEN bytes ELSE 0 END) AS BIGINT) AS bytes
-    FROM {fx_fetch_log} GROUP BY job""")
+    SELECT s.*, coalesce(failed, 0) AS failed FROM (
+      SELECT job, count(*) FILTER (WHERE status = 200) AS ok, count(*) FILTER (WHERE status = 0) AS cached, count(*) FILTER (WHERE status = 404) AS http_404,
+             count(*) FILTER (WHERE status IN (403, 429, 503)) AS blocked, count(*) FILTER (WHERE status NOT IN (0, 200, 404, 403, 429, 503)) AS error,
+             CAST(sum(CASE WHEN status = 200 THEN bytes ELSE 0 END) AS BIGINT) AS bytes FROM {fx_fetch_log} GROUP BY job) AS s
+    LEFT JOIN (SELECT job, count(*) AS failed FROM (SELECT job, seq % 40 AS tile FROM {fx_fetch_log} GROUP BY 1, 2 HAVING count(*) >= 2 AND count(*) = count(*) FILTER (WHERE status IN (403, 429, 503))) AS t GROUP BY job) AS f USING (job)""")
 def _(v):
-    return stats.fetch_stats(v.fx_fetch_log, ["job"])
+    return stats.fetch_report(v.fx_fetch_log.withColumn("tile", F.col("seq") % 40), ["job"], ["tile"], 2)
 
 
 @query("agg_transfer_health", """

@@ -104,11 +104,16 @@ def _(v):
     return v.fx_images.filter(F.col("gsd") <= 1.5).select("image_id", "gsd")
 
 
-@query("flt_visible_tile", "SELECT ord, x, y FROM {fx_rgba} GROUP BY ord, x, y HAVING max(a) > 0")
+@query("flt_visible_tile", """
+    SELECT ord, x, y FROM (SELECT ord, x * 4 + px // 2 AS x, y * 4 + py // 2 AS y, a FROM {fx_rgba}) AS t GROUP BY ord, x, y HAVING max(a) > 0""")
 def _(v):
     from tessella.operators.pixels import visible_tiles
 
-    return visible_tiles(v.fx_rgba, ["ord", "x", "y"])
+    # the pixels as tiles of two by two
+    small = v.fx_rgba.select(
+        "ord", (F.col("x") * 4 + F.floor(F.col("px") / 2)).alias("x"), (F.col("y") * 4 + F.floor(F.col("py") / 2)).alias("y"), "a"
+    )
+    return visible_tiles(small, ["ord", "x", "y"])
 
 
 LAYERS = """SELECT seq, z, x, y, concat('layer', src) AS layer, CASE src WHEN 0 THEN 'modis' WHEN 1 THEN 'hls' ELSE 'private' END AS source FROM {fx_tiles}"""
