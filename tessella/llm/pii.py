@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessella.llm.registry import query, table
-from tessella.llm.spans import SPAN, count_kind, span_text
+from tessella.llm.spans import SPAN, count_kind, oracle, span_text
 from tessella.session import pinned
 
 _BLOCK = 256
@@ -200,25 +200,7 @@ def _oracle() -> str:
         "phone": "length(num) BETWEEN 9 AND 15",
         "iban": mod97,
     }
-    parts = []
-    for rank, (kind, pattern) in enumerate(patterns.items()):
-        parts.append(f"""
-        SELECT row, {rank} AS rank, '{kind}' AS kind, start, start + length(hit) AS stop FROM (
-          SELECT row, hit, regexp_replace(hit, '[^0-9]', '', 'g') AS num,
-                 list_sum(list_transform(gaps[1:i], lambda s: length(s))) + coalesce(list_sum(list_transform(hits[1:i - 1], lambda s: length(s))), 0) AS start
-          FROM (SELECT row, hits, gaps, unnest(hits) AS hit, unnest(range(1, len(hits) + 1)) AS i
-                FROM (SELECT row, regexp_extract_all(body, '{pattern}') AS hits, regexp_split_to_array(body, '{pattern}') AS gaps FROM d)))
-        WHERE {valid[kind]}""")
-    base = "rank < 4"
-    return f"""
-    WITH d AS MATERIALIZED (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS body FROM documents),
-    s AS ({" UNION ALL ".join(parts)}),
-    g AS (SELECT row, {", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in _BASE)},
-                 string_agg(kind || ':' || CAST(start AS BIGINT) || ':' || CAST(stop AS BIGINT), ',' ORDER BY start, rank) FILTER ({base}) AS base,
-                 string_agg(kind || ':' || CAST(start AS BIGINT) || ':' || CAST(stop AS BIGINT), ',' ORDER BY start, rank) AS spans
-          FROM s GROUP BY row)
-    SELECT doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in _BASE)}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
-    FROM d LEFT JOIN g USING (row)"""
+    return oracle(patterns, valid, _BASE)
 
 
 @query("op2_pii", _oracle())
