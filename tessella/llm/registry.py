@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
-_MODULES = ("pii", "urls", "secrets", "token_files")
+_MODULES = ("pii", "urls", "secrets", "token_files", "simhash")
 _LATER = (
     "quality", "pii", "token_files", "topk", "mixing", "simhash", "decontaminate", "urls", "secrets", "extract",
 )
