@@ -89,8 +89,12 @@ def scan_unseen(docs: DataFrame, ledger: DataFrame | None = None, id_col: str =
 
 
 def findings(docs: DataFrame, ledger: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Each row's id and ``spans``, looked up by its blob under the present rules."""
-    found = ledger.where((F.col("rules") == RULES_VERSION) & (F.size("spans") > 0)).select("blob", "spans").groupBy("blob").agg(F.first("spans").alias("spans"))
+    """Each row's id and ``spans``, looked up by its blob under the present rules.
+
+    A blob stands in the ledger once for each version of the rules, so the join needs no
+    reduction and a blob that many rows share can be split.
+    """
+    found = ledger.where((F.col("rules") == RULES_VERSION) & (F.size("spans") > 0)).select("blob", "spans")
     named = addressed(docs, id_col, text_col).select("id", "blob").join(found, "blob", "left")
     return named.select(F.col("id").alias(id_col), F.coalesce("spans", F.array().cast(f"array<{SPAN}>")).alias("spans"))
 
@@ -101,7 +105,7 @@ def scan_versions(docs: DataFrame, ledger_path: str, id_col: str = "doc_id", tex
     One row per row of ``docs``: its id and ``spans`` (start, rank, kind, stop, score), by
     start. Null texts are empty and have no spans; repeated rows and copies share one scan;
     an empty table gives no rows. Other columns are not read. A run that fails half way
-    leaves the ledger as it was, so it can be repeated.
+    leaves the ledger as it was, so it can be repeated; one run writes to a ledger at a time.
     """
     spark = docs.sparkSession
     fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(ledger_path)
