@@ -32,6 +32,8 @@ HEAD = "<IBHH"  # least id, width in bits, ids, exceptions
 TAIL = "<QQQQQ8s"  # place of the block starts, of the documents; blocks, documents, ids
 MAGIC = b"PFORTOK1"
 _STEP = 64
+#: Widths of whole bytes need no bit packing; the bits are the same, high ones first.
+_WHOLE = {8: ">u1", 16: ">u2", 32: ">u4"}
 _TEXT_BYTES = 1 << 20
 
 
@@ -54,8 +56,11 @@ def _pack_rows(rows: np.ndarray, share: float) -> list[bytes]:
         chosen = np.flatnonzero(widths == width)
         part = rest[chosen]
         large = part >> width > 0 if width < 32 else np.zeros(part.shape, bool)
-        bits = np.unpackbits(np.where(large, 0, part).astype(">u4").view(np.uint8).reshape(len(chosen), size, 4), axis=2)[:, :, 32 - width:]
-        packed = np.packbits(bits.reshape(len(chosen), -1), axis=1)
+        if width in _WHOLE:
+            packed = np.where(large, 0, part).astype(_WHOLE[width]).view(np.uint8).reshape(len(chosen), -1)
+        else:
+            bits = np.unpackbits(np.where(large, 0, part).astype(">u4").view(np.uint8).reshape(len(chosen), size, 4), axis=2)[:, :, 32 - width:]
+            packed = np.packbits(bits.reshape(len(chosen), -1), axis=1)
         for i, row in enumerate(chosen):
             places = np.flatnonzero(large[i])
             out[row] = b"".join((
@@ -70,7 +75,9 @@ def unpack_block(data: bytes) -> np.ndarray:
     at = struct.calcsize(HEAD)
     packed = (size * width + 7) // 8
     ids = np.zeros(size, np.uint32)
-    if width:
+    if width in _WHOLE:
+        ids = np.frombuffer(data, _WHOLE[width], size, at).astype(np.uint32)
+    elif width:
         bits = np.unpackbits(np.frombuffer(data, np.uint8, packed, at), count=size * width).reshape(size, width)
         wide = np.zeros((size, 32), np.uint8)
         wide[:, 32 - width:] = bits

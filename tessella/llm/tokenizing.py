@@ -7,24 +7,27 @@ import re
 
 import numpy as np
 
-#: White space other than single spaces and line feeds between two other characters.
-_ODD = re.compile(r"[^\S \n]|[ \n][ \n]|^[ \n]|[ \n]$")
 #: Places where the byte-level pattern always starts a new piece: before a single space,
 #: before and after a line feed, between two characters that are no white space.
 _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)|(?<=\S\n)(?=\S)")
 _PLAIN = re.compile(r" ?\S+")
 _KEPT = 400_000
+_FEED, _BARE = "\n", "\0"
 
 
 class _Numbers(dict):
-    """Chunk to number; a new chunk gets the next one."""
+    """Chunk to number; a new chunk gets the next one and is listed.
 
-    def __init__(self, shared: list, lead: str):
-        self.shared, self.lead = shared, lead
+    A chunk is a word after a space, or has a mark in front: ``_FEED`` after a line feed,
+    ``_BARE`` as it stands.
+    """
+
+    def __init__(self):
+        self.listed: list[str] = []
 
     def __missing__(self, chunk: str) -> int:
-        self.shared.append(self.lead + chunk)
-        self[chunk] = number = len(self.shared) - 1
+        self[chunk] = number = len(self.listed)
+        self.listed.append(chunk)
         return number
 
 
@@ -45,8 +48,7 @@ class TextEncoder:
         self._clear()
 
     def _clear(self):
-        self.chunks: list[str] = []
-        self.after_space, self.plain = _Numbers(self.chunks, " "), _Numbers(self.chunks, "")
+        self.numbers = _Numbers()
         self.sizes = np.zeros(0, np.int64)
         self.starts = np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.uint32)
@@ -57,27 +59,28 @@ class TextEncoder:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if not self.cuts:
             return self._ids(texts)
-        if len(self.chunks) > _KEPT:
+        if len(self.numbers) > _KEPT:
             self._clear()
-        numbers = [np.array(self._numbered(t), dtype=np.int64) for t in texts]
+        parts = [self._chunks(t) for t in texts]
+        numbers = [np.fromiter(map(self.numbers.__getitem__, p), np.int64, len(p)) for p in parts]
         self._learn()
         return [self._gather(n) for n in numbers]
 
-    def _numbered(self, text: str) -> list[int]:
-        if not text:
-            return []
-        out: list[int] = []
-        if _ODD.search(text):
-            for chunk in _CUT.split(text):
-                out.append(self.plain[chunk])
-            return out
+    @staticmethod
+    def _chunks(text: str) -> list[str]:
+        words = text.split()
+        if not words:
+            return [_BARE + text] if text else []
+        gaps = len(words) - 1
+        if _BARE in text or gaps != text.count(" ") + text.count("\n") or len(text) != sum(map(len, words)) + gaps:
+            return [_BARE + c for c in _CUT.split(text)]
+        # every separator is a single space or line feed
+        at = 0
         for line in text.split("\n"):
-            first, *rest = line.split(" ")
-            if out:
-                out.append(self.plain["\n"])
-            out.append(self.plain[first])
-            out.extend(map(self.after_space.__getitem__, rest))
-        return out
+            words[at] = _FEED + words[at]
+            at += line.count(" ") + 1
+        words[0] = _BARE + words[0][1:]
+        return words
 
     def _gather(self, numbers: np.ndarray) -> np.ndarray:
         sizes = self.sizes[numbers]
@@ -90,10 +93,12 @@ class TextEncoder:
 
         A line feed before a chunk is an id of its own, so it tells where a chunk ends.
         """
-        new = self.chunks[len(self.sizes):]
+        new = self.numbers.listed[len(self.sizes):]
         if not new:
             return
         feed = self._ids(["\n"])[0]
+        fed = np.array([c[0] == _FEED for c in new]) if len(feed) == 1 else np.zeros(len(new), bool)
+        new = [c[1:] if c[0] == _BARE or fed[i] else c if c[0] == _FEED else " " + c for i, c in enumerate(new)]
         joined = [i for i, c in enumerate(new) if _PLAIN.fullmatch(c)] if len(feed) == 1 else []
         apart = sorted(set(range(len(new))) - set(joined))
         groups = []
@@ -108,7 +113,12 @@ class TextEncoder:
         if apart:
             groups += [([i], ids, np.array([len(ids)])) for i, ids in zip(apart, self._ids([new[i] for i in apart]))]
         sizes, starts, at = np.zeros(len(new), np.int64), np.zeros(len(new), np.int64), len(self.flat)
-        for part, ids, each in groups:
+        for g, (part, ids, each) in enumerate(groups):
+            lead = fed[part]
+            if lead.any():
+                ids = np.insert(ids, (np.cumsum(each) - each)[lead], feed[0])
+                each = each + lead
+                groups[g] = part, ids, each
             sizes[part] = each
             starts[part] = at + np.cumsum(each) - each
             at += len(ids)
