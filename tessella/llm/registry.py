@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
-_MODULES = ("pii", "urls", "secrets", "token_files", "simhash", "topk", "quality", "decontaminate", "mixing")
-_LATER = (
+_MODULES = (
     "quality", "pii", "token_files", "topk", "mixing", "simhash", "decontaminate", "urls", "secrets", "extract",
 )
 
