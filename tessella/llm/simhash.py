@@ -14,9 +14,12 @@ from __future__ import annotations
 import re
 
 import numpy as np
+import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import LongType
 
 from tessella.llm.arrow import map_batches
 from tessella.llm.components import components
@@ -178,6 +181,16 @@ def near_links(nodes: DataFrame) -> DataFrame:
     return map_batches(ordered, _links, "u bigint, v bigint")
 
 
+def _classes(docs: DataFrame, id_col: str, text_col: str, words: int) -> tuple[DataFrame, DataFrame]:
+    """(id, print) of each row, and (print, least, root, component_id) of each fingerprint."""
+    prints = cut_lineage(fingerprints(docs, id_col, text_col, words))
+    nodes = cut_lineage(prints.groupBy("print").agg(F.min("id").alias("least")))
+    roots = components(near_links(nodes)).withColumnRenamed("node", "print")
+    rooted = nodes.join(roots, "print", "left").withColumn("root", F.coalesce("root", "print"))
+    named = cut_lineage(rooted.groupBy("root").agg(F.min("least").alias("component_id")))
+    return prints, cut_lineage(rooted.join(named, "root").select("print", "least", "root", "component_id"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3) -> DataFrame:
     """One row per row of ``docs``: id, ``print`` (bigint) and ``component_id``.
 
@@ -187,13 +200,27 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     of fewer words than a shingle are one shingle. Copies share one fingerprint and are
     never paired; an empty table gives no rows. Other columns are not read.
     """
-    prints = cut_lineage(fingerprints(docs, id_col, text_col, words))
-    nodes = cut_lineage(prints.groupBy("print").agg(F.min("id").alias("least")))
-    roots = components(near_links(nodes)).withColumnRenamed("node", "print")
-    rooted = nodes.join(roots, "print", "left").withColumn("root", F.coalesce("root", "print"))
-    named = cut_lineage(rooted.groupBy("root").agg(F.min("least").alias("component_id")))
-    labels = cut_lineage(rooted.select("print", "root").join(named, "root").select("print", "component_id"))
-    return prints.join(labels, "print").select(F.col("id").alias(id_col), "print", "component_id")
+    prints, classes = _classes(docs, id_col, text_col, words)
+    return prints.join(classes.select("print", "component_id"), "print").select(F.col("id").alias(id_col), "print", "component_id")
+
+
+def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3) -> DataFrame:
+    """One row of each group of near duplicates, with all columns: that of the smallest id.
+
+    Of rows that share the id and the fingerprint, the one with the least text hash stays.
+    """
+    _, classes = _classes(docs, id_col, text_col, words)
+    chosen = classes.where(F.col("least").eqNullSafe(F.col("component_id"))).groupBy("root").agg(F.min(F.struct("print", "component_id")).alias("first"))
+    no_id, some_id = F.col("id").isNull().alias("no_id"), F.coalesce("id", F.lit(0)).alias("some_id")
+    chosen = chosen.select("first.print", F.col("first.component_id").alias("id")).select("print", no_id, some_id)
+
+    @pandas_udf(LongType())
+    def printed(texts: pd.Series) -> pd.Series:
+        return pd.Series(np.array([fingerprint(t, words) for t in texts], np.uint64).view(np.int64))
+
+    rows = docs.select(F.struct("*").alias("doc"), F.col(id_col).alias("id"), printed(F.col(text_col)).alias("print"))
+    rows = rows.select("doc", "print", no_id, some_id).groupBy("print", "no_id", "some_id").agg(F.min_by("doc", F.xxhash64(f"doc.{text_col}")).alias("doc"))
+    return rows.join(chosen, ["print", "no_id", "some_id"], "left_semi").select("doc.*")
 
 
 @query("op6_simhash")
