@@ -128,7 +128,8 @@ def top_k(
     candidates for it; rows of another dimension have no score with it. Rows with a null id
     or vector, or a null or non-finite component, take no part. Repeated rows are candidates
     each; a repeated query is answered once for each of its rows. With fewer than ``k``
-    candidates all are returned; empty tables give no rows. Scores beyond 64 bits wrap.
+    candidates all are returned; empty tables give no rows. Scores must lie within 2 ** 61;
+    larger ones do not fail, but are not ranked rightly.
     """
     spark = vectors.sparkSession
     folder = f"{shared_folder(spark)}/topk-{uuid.uuid4().hex}"
@@ -137,7 +138,7 @@ def top_k(
     norm = F.aggregate("vec", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
     longest = rows.agg(F.max(norm)).first()[0] or 0.0
     # no score exceeds the product of the norms
-    bound = (F.ceil(F.sqrt(norm * longest) * (1 + 1e-9)) + 1).cast("long")
+    bound = F.least(F.ceil(F.sqrt(norm * longest) * (1 + 1e-9)), F.lit(1 << 61)) + 1
     state = asked.select(
         F.monotonically_increasing_id().alias("q"), F.col("id").alias("own"), "dim", "vec",
         (-bound).alias("low"), (bound + 1).alias("high"), F.lit(0).cast("long").alias("above"),
