@@ -164,7 +164,8 @@ def block_parts(rows: DataFrame, targets: DataFrame) -> DataFrame:
 
 def taken_parts(rows: DataFrame, targets: DataFrame, seed: int = SEED) -> DataFrame:
     """(row, key, shard, slot, epoch, first, stop): the words of documents that the mix takes."""
-    joined = block_parts(rows, targets).join(slots(targets, seed), ["key", "block"])
+    # both sides come from explode, whose size the planner takes for that of its input
+    joined = block_parts(rows, targets).hint("merge").join(slots(targets, seed), ["key", "block"])
     stop = F.least(F.col("stop"), F.col("first") + F.col("words") - F.col("skip"))
     return joined.select("row", "key", "shard", "slot", "epoch", "first", stop.alias("stop")).where("stop > first")
 
