@@ -1,26 +1,25 @@
 """Raster operators on chunk rows: keys, z, x, y, w, h, data ARRAY<INT>.
 
 Spark partitions, joins and groups. Groups are bounded by construction (four
-children, nine halo pieces, one row per source), a deep temporal stack takes the
-pixel form instead. The grouped rows reach numpy in Arrow batches of many tiles.
+children, nine halo pieces, one row per source, one strip per scene of a stack). The grouped rows reach numpy in Arrow batches of many tiles.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessella.functions.grid import shl, shr
 from tessella.operators import kernels
-from tessella.operators.pixels import median_pixels
 from tessella.operators.skew import unsized
 from tessella.operators.tiles import KEY, for_sources, nearest_ancestor, union_tiles
 from tessella.session import cut_lineage
 
 OUT_VALUES = 8_000_000  # values of one output batch
 CUT_BITS = 4
+BYTE = (0, 255)
 
 
 def _types(df: DataFrame, names) -> str:
@@ -257,34 +256,51 @@ def hillshade_chunks(elev: DataFrame, keys: list[str], cell_x, cell_y, azimuth=3
     return with_neighbours(elev, keys, 1, shade, edge="nearest")
 
 
-def median_chunks(chunks: DataFrame, keys: list[str], max_depth: int = 256) -> DataFrame:
-    """Per-pixel temporal median of each tile's stack, ignoring 0.
+STRIP = 1024  # values of a chunk that are reduced together
 
-    Stacks of up to ``max_depth`` chunks are reduced as arrays. Deeper ones would not
-    fit a task, so they take the pixel form, which gives the same numbers.
+
+def _reduced_stack(chunks: DataFrame, keys: list[str], order: list[Column], kernel) -> DataFrame:
+    """Reduce each tile's stack with ``kernel`` (k, depth, n) -> (k, n), strip by strip.
+
+    Chunks are cut into strips before they are gathered, so a group holds a strip of each
+    scene, however deep the stack is. ``order`` sorts a stack, the greatest first.
     """
-    names = list(keys)
-    depth = chunks.groupBy(*names).agg(F.count("*").alias("_depth"))
-    sized = chunks.join(depth, names)
+    names = [*keys, "w", "h"]
+    count = F.ceil(F.size("data") / STRIP).cast("int")
+    cut = F.transform(F.sequence(F.lit(0), count - 1), lambda i: F.slice("data", i * STRIP + 1, F.lit(STRIP)))
+    ranks = [o.alias(f"o{i}") for i, o in enumerate(order)]
+    strips = chunks.filter(F.size("data") > 0).select(*names, *ranks, F.posexplode(cut).alias("strip", "part"))
+    stack = F.sort_array(F.collect_list(F.struct(*[f"o{i}" for i in range(len(order))], F.col("part").alias("data"))), asc=False)
+    grouped = strips.groupBy(*names, "strip").agg(stack.alias("g"))
 
     def reduce(batches):
         for batch in batches:
             group = Grouped(batch.column("g"))
             data = group.lists()
-            w, h = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("w", "h"))
-            for (wide, high, count), index in _same(w, h, group.counts):
-                for part in _runs(index, wide * high * count):
-                    items = group.first[part][:, None] + np.arange(count)[None, :]
-                    stack = data.rows(items.ravel()).reshape(len(part), count, -1)
-                    yield _emit(batch, names, part, wide, high, kernels.stack_median(stack))
-
-    shallow = sized.filter(F.col("_depth") <= max_depth)
-    gathered = _gather(shallow, [*names, "w", "h"], ["data"])
-    fast = gathered.mapInArrow(reduce, _types(chunks, names) + "w int, h int, data array<int>")
-    deep = sized.filter(F.col("_depth") > max_depth).select(*names, "w", "h", F.posexplode("data").alias("pos", "dn"))
-    pixels = median_pixels(deep, [*names, "w", "h", "pos"])
-    slow = pixels.groupBy(*names, "w", "h").agg(F.array_sort(F.collect_list(F.struct("pos", "dn"))).alias("p"))
-    return fast.unionByName(slow.select(*names, "w", "h", F.transform("p", lambda p: p.dn).alias("data")))
+            for (depth, length), index in _same(group.counts, data.sizes[group.first]):
+                for part in _runs(index, depth * length):
+                    items = group.first[part][:, None] + np.arange(depth)[None, :]
+                    stack = data.rows(items.ravel()).reshape(len(part), depth, length)
+                    head = batch.select([*names, "strip"]).take(pa.array(part, pa.int64()))
+                    yield pa.RecordBatch.from_arrays([*head.columns, _list_column(kernel(stack))], names=[*names, "strip", "data"])
+
+    done = grouped.mapInArrow(reduce, _types(grouped, [*names, "strip"]) + "data array<int>")
+    whole = done.groupBy(*names).agg(F.array_sort(F.collect_list(F.struct("strip", "data"))).alias("parts"))
+    return whole.select(*names, F.flatten(F.transform("parts", lambda p: p.data)).alias("data"))
+
+
+def median_chunks(chunks: DataFrame, keys: list[str]) -> DataFrame:
+    """Per-pixel temporal median of each tile's stack of any depth; 0 is nodata."""
+    return _reduced_stack(chunks, list(keys), [], kernels.stack_median)
+
+
+def priority_chunks(chunks: DataFrame, keys: list[str], order: str = "scene", cloud: str = "cloud") -> DataFrame:
+    """Per pixel the clear value of the least cloudy scene, on equal cloud of the later ``order``.
+
+    Unknown cloud is worst. Pixels that are clear in no scene are 0.
+    """
+    clear = -F.coalesce(F.col(cloud).cast("double"), F.lit(float("inf")))
+    return _reduced_stack(chunks, list(keys), [clear, F.col(order)], kernels.first_nonzero)
 
 
 def _compose(size: int, method: str, keep_hidden: bool):
@@ -300,7 +316,7 @@ def _compose(size: int, method: str, keep_hidden: bool):
             else:
                 for i, item in zip(index, range(len(at))):
                     cut = kernels.window(images[item], deep, int(sx[at[item]]), int(sy[at[item]]))
-                    out[i] = kernels.resize(cut, size, size, method)
+                    out[i] = kernels.resize(cut, size, size, method, rgba=True, limits=BYTE)
         return out
 
     def fold(batches):
@@ -377,19 +393,20 @@ def _pieces(tiles: DataFrame, wanted: DataFrame) -> DataFrame:
     return needed.mapInArrow(cut, _types(needed, names) + "w int, h int, data array<int>, bx bigint, by bigint")
 
 
-def overzoom_stack(requests: DataFrame, tiles: DataFrame, sources: list[int], size: int, method="nearest", tile_bits: int = 8) -> DataFrame:
+def overzoom_stack(requests: DataFrame, tiles: DataFrame, sources: list[int], size: int, method="nearest") -> DataFrame:
     """Compose requested tiles from an ordered stack of sources, filling by overzoom.
 
     ``tiles`` are RGBA chunks with ``src``; ``sources`` lists them bottom to top. Each
     source gives its tile or the matching window of its nearest ancestor; layers are
     put over one another in order. Requests without any visible data get no tile.
-    ``tile_bits`` is the power of two of the source tile width, which bounds the cut.
+    A tile is cut at most as often as its width and height can be halved.
     """
-    tiles = tiles.filter(F.col("src").isin(*sources))
-    hits = nearest_ancestor(for_sources(requests.select(*KEY), sources), tiles, ["src"])
+    both = F.col("w").bitwiseOR(F.col("h"))
+    tiles = tiles.filter(F.col("src").isin(*sources)).withColumn("halvings", F.round(F.log2(both.bitwiseAND(-both))).cast("int"))
+    hits = nearest_ancestor(for_sources(requests.select(*KEY), sources), tiles, ["src"], "halvings")
     depth = (F.col("z") - F.col("anc_z")).cast("int")
     # pieces matter to neighbouring kernels, so only nearest cuts below whole tiles
-    bits = F.least(F.floor(depth / CUT_BITS) * CUT_BITS, F.lit(tile_bits)) if method == "nearest" else F.lit(0)
+    bits = F.least(F.floor(depth / CUT_BITS) * CUT_BITS, F.col("halvings")) if method == "nearest" else F.lit(0)
     hits = hits.withColumn("bits", bits.cast("int")).withColumn("depth", depth - F.col("bits"))
     hits = hits.withColumns({"bx": shr("off_x", "depth"), "by": shr("off_y", "depth")})
     hits = hits.withColumns(
@@ -473,12 +490,23 @@ def stitch(chunks: DataFrame, keys: list[str], background=None, size: tuple[int,
     return _parents(chunks, keys, lambda canvas: canvas, background, size)
 
 
-def overview(chunks: DataFrame, keys: list[str], method: str = "average") -> DataFrame:
-    """Next coarser zoom at the same tile size."""
-    return _parents(chunks, keys, lambda canvas: kernels.halve(canvas, method), None, None)
+def overview(
+    chunks: DataFrame, keys: list[str], method: str = "average", rgba: bool = False, nodata: int | None = None,
+    limits: tuple[int, int] | None = None,
+) -> DataFrame:
+    """Next coarser zoom at the same tile size.
+
+    ``rgba`` weights colours by alpha; ``nodata`` is left out of averages and modes, and
+    fills the place of a missing child; ``limits`` bound what smooth kernels overshoot.
+    """
+    finish = lambda canvas: kernels.halve(canvas, method, rgba, nodata, limits)
+    return _parents(chunks, keys, finish, nodata, None)
 
 
-def pyramid(chunks: DataFrame, keys: list[str], zmax: int, zmin: int, method: str = "average", checkpoint: bool = True) -> DataFrame:
+def pyramid(
+    chunks: DataFrame, keys: list[str], zmax: int, zmin: int, method: str = "average", checkpoint: bool = True,
+    rgba: bool = False, nodata: int | None = None, limits: tuple[int, int] | None = None,
+) -> DataFrame:
     """All zooms from ``zmax`` to ``zmin``.
 
     Every level is both output and input of the next, so it is checkpointed: work is
@@ -489,13 +517,15 @@ def pyramid(chunks: DataFrame, keys: list[str], zmax: int, zmin: int, method: st
     level = kept(chunks.filter(F.col("z") == zmax).select(*keys, F.col("z").cast("int").alias("z"), "x", "y", "w", "h", "data"))
     out = level
     for _ in range(zmax - zmin):
-        level = kept(overview(level, keys, method))
+        level = kept(overview(level, keys, method, rgba, nodata, limits))
         out = out.unionByName(level)
     return out
 
 
-def resize_chunks(chunks: DataFrame, w: int, h: int, method: str = "nearest") -> DataFrame:
-    """Every chunk to one size; planes are kept."""
+def resize_chunks(
+    chunks: DataFrame, w: int, h: int, method: str = "nearest", rgba: bool = False, limits: tuple[int, int] | None = None,
+) -> DataFrame:
+    """Every chunk to one size; planes are kept. See ``kernels.resize`` for the last two."""
     names = [c for c in chunks.columns if c not in ("w", "h", "data")]
 
     def run(batches):
@@ -510,7 +540,7 @@ def resize_chunks(chunks: DataFrame, w: int, h: int, method: str = "nearest") ->
                         rows, cols = np.arange(h) * high // h, np.arange(w) * wide // w
                         done = images[:, :, rows][:, :, :, cols]
                     else:
-                        done = np.stack([kernels.resize(i, h, w, method) for i in images])
+                        done = np.stack([kernels.resize(i, h, w, method, rgba, limits) for i in images])
                     yield _emit(batch, names, part, w, h, done)
 
     return chunks.select(*names, "w", "h", "data").mapInArrow(run, _types(chunks, names) + "w int, h int, data array<int>")

@@ -5,30 +5,37 @@ from __future__ import annotations
 import numpy as np
 
 
+def _least_steps(cost: np.ndarray, axis: int) -> np.ndarray:
+    """Least cost of any pixel along an axis plus the steps to it: two running minima."""
+    shape = [1] * cost.ndim
+    shape[axis] = cost.shape[axis]
+    place = np.arange(cost.shape[axis], dtype=cost.dtype).reshape(shape)
+    ahead = np.minimum.accumulate(cost - place, axis=axis) + place
+    back = np.flip(np.minimum.accumulate(np.flip(cost + place, axis), axis=axis), axis) - place
+    return np.minimum(ahead, back)
+
+
 def dilate(mask: np.ndarray, n: int) -> np.ndarray:
-    """Grow boolean rasters (..., h, w) by ``n`` 4-connected steps, not wrapping."""
-    grown = mask.astype(bool)
-    for _ in range(max(0, n)):
-        wider = grown.copy()
-        wider[..., 1:, :] |= grown[..., :-1, :]
-        wider[..., :-1, :] |= grown[..., 1:, :]
-        wider[..., :, 1:] |= grown[..., :, :-1]
-        wider[..., :, :-1] |= grown[..., :, 1:]
-        grown = wider
-    return grown
+    """Pixels of boolean rasters (..., h, w) within city-block distance ``n`` of a set one."""
+    far = sum(mask.shape[-2:]) + max(n, 0) + 1
+    distance = np.where(mask, 0, far).astype(np.int64)
+    return _least_steps(_least_steps(distance, mask.ndim - 1), mask.ndim - 2) <= max(n, 0)
 
 
 def stack_median(stack: np.ndarray) -> np.ndarray:
-    """Median of the non-zero values of stacks (..., depth, n), half to even; 0 where none."""
-    ordered = np.sort(stack, axis=-2)  # zeros first, as values are not negative
-    depth = ordered.shape[-2]
-    clear = (ordered > 0).sum(axis=-2, keepdims=True)
-    start = depth - clear
-    low = np.minimum(start + np.maximum(clear - 1, 0) // 2, depth - 1)
-    high = np.minimum(start + clear // 2, depth - 1)
-    pick = lambda at: np.take_along_axis(ordered, at, axis=-2).astype(np.float64)
-    middle = np.where(clear > 0, np.rint((pick(low) + pick(high)) / 2.0), 0)
-    return np.squeeze(middle, axis=-2).astype(np.int32)
+    """Median of the values other than 0 of stacks (..., depth, n), half to even; 0 where none."""
+    none = np.iinfo(np.int64).max
+    ordered = np.sort(np.where(stack == 0, none, stack.astype(np.int64)), axis=-2)  # missing values last
+    clear = (stack != 0).sum(axis=-2, keepdims=True)
+    pick = lambda at: np.take_along_axis(ordered, np.minimum(at, ordered.shape[-2] - 1), axis=-2).astype(np.float64)
+    middle = (pick(np.maximum(clear - 1, 0) // 2) + pick(clear // 2)) / 2.0
+    return np.squeeze(np.where(clear > 0, np.rint(middle), 0), axis=-2).astype(np.int32)
+
+
+def first_nonzero(stack: np.ndarray) -> np.ndarray:
+    """First value other than 0 of stacks (..., depth, n); 0 where none."""
+    at = np.argmax(stack != 0, axis=-2)
+    return np.take_along_axis(stack, at[..., None, :], axis=-2).squeeze(-2).astype(np.int32)
 
 
 def alpha_over(base: np.ndarray, top: np.ndarray) -> np.ndarray:
@@ -77,9 +84,13 @@ def _weights(src: int, dst: int, method: str) -> np.ndarray:
     return matrix / matrix.sum(axis=1, keepdims=True)
 
 
-def resize(image: np.ndarray, h: int, w: int, method: str = "nearest") -> np.ndarray:
-    """Resize planes (p, H, W); colours of RGBA are weighted by alpha."""
-    p, src_h, src_w = image.shape
+def resize(image: np.ndarray, h: int, w: int, method: str = "nearest", rgba: bool = False, limits: tuple[int, int] | None = None) -> np.ndarray:
+    """Resize planes (p, H, W); colours are weighted by alpha if the planes are RGBA.
+
+    ``limits`` are the least and greatest value of the data's type, which smooth kernels
+    may overshoot; without them the array's own type bounds the result.
+    """
+    _, src_h, src_w = image.shape
     if (src_h, src_w) == (h, w):
         return image
     if method == "nearest":
@@ -88,33 +99,65 @@ def resize(image: np.ndarray, h: int, w: int, method: str = "nearest") -> np.nda
         return image[:, rows][:, :, cols]
     rows, cols = _weights(src_h, h, method), _weights(src_w, w, method)
     work = image.astype(np.float64)
-    if p == 4:
+    if rgba:
         work[:3] *= work[3] / 255.0
     out = np.einsum("ij,pjk,lk->pil", rows, work, cols)
-    if p == 4:
+    if rgba:
         alpha = np.where(out[3] > 0, out[3] / 255.0, 1.0)
         out[:3] = out[:3] / alpha
-    return np.clip(np.floor(out + 0.5), 0, max(255, int(image.max(initial=0)))).astype(image.dtype)
-
-
-def halve(image: np.ndarray, method: str) -> np.ndarray:
-    """Images (..., 2h, 2w) to half size; 0 is nodata for average and mode."""
+    low, high = limits or (np.iinfo(image.dtype).min, np.iinfo(image.dtype).max)
+    return np.clip(np.floor(out + 0.5), low, high).astype(image.dtype)
+
+
+def _quads(image: np.ndarray) -> np.ndarray:
+    return np.stack([image[..., i::2, j::2] for i in (0, 1) for j in (0, 1)])
+
+
+def _mean_of_four(image: np.ndarray, rgba: bool, nodata: int | None) -> np.ndarray:
+    quads = _quads(image).astype(np.float64)
+    if rgba:
+        alpha = quads[..., 3:4, :, :]
+        total = alpha.sum(axis=0)
+        colour = (quads[..., :3, :, :] * alpha).sum(axis=0) / np.where(total > 0, total, 1.0)
+        return np.rint(np.concatenate([colour, total / 4.0], axis=-3)).astype(image.dtype)
+    clear = np.ones(quads.shape, bool) if nodata is None else quads != nodata
+    count = clear.sum(axis=0)
+    mean = np.where(clear, quads, 0.0).sum(axis=0) / np.maximum(count, 1)
+    return np.where(count > 0, np.rint(mean), nodata or 0).astype(image.dtype)
+
+
+def _most_of_four(image: np.ndarray, rgba: bool, nodata: int | None) -> np.ndarray:
+    """The most frequent of four values (of RGBA: of the visible pixels), the lowest of several."""
+    quads = _quads(image).astype(np.int64)
+    if rgba:
+        quads = ((quads[..., 0, :, :] * 256 + quads[..., 1, :, :]) * 256 + quads[..., 2, :, :]) * 256 + quads[..., 3, :, :]
+        clear = quads % 256 > 0
+    else:
+        clear = np.ones(quads.shape, bool) if nodata is None else quads != nodata
+    votes = ((quads[:, None] == quads[None, :]) & clear[None]).sum(axis=1) * clear
+    lowest = np.where((votes == votes.max(axis=0)) & clear, quads, np.iinfo(np.int64).max).min(axis=0)
+    lowest = np.where(clear.any(axis=0), lowest, 0 if rgba else nodata or 0)
+    if not rgba:
+        return lowest.astype(image.dtype)
+    return np.stack([lowest >> shift & 255 for shift in (24, 16, 8, 0)], axis=-3).astype(image.dtype)
+
+
+def halve(image: np.ndarray, method: str, rgba: bool = False, nodata: int | None = None, limits: tuple[int, int] | None = None) -> np.ndarray:
+    """Images (..., planes, 2h, 2w) to half size.
+
+    Averages of RGBA weight the colours by alpha. Else values equal to ``nodata`` (none by
+    default) do not count for average and mode; a pixel of nothing else stays nodata.
+    """
     *lead, h, w = image.shape
     if method == "nearest":
         return image[..., ::2, ::2].copy()
-    if method in ("average", "mode"):
-        quads = np.stack([image[..., i::2, j::2] for i in (0, 1) for j in (0, 1)])
-        clear = quads != 0
-        if method == "average":
-            count = np.maximum(clear.sum(axis=0), 1)
-            return np.rint(quads.sum(axis=0, dtype=np.int64) / count).astype(image.dtype)
-        votes = (quads[:, None] == quads[None, :]).sum(axis=1) * clear
-        tied = (votes == votes.max(axis=0)) & clear
-        lowest = np.where(tied, quads, np.iinfo(np.int32).max).min(axis=0)
-        return np.where(clear.any(axis=0), lowest, 0).astype(image.dtype)
+    if method == "average":
+        return _mean_of_four(image, rgba, nodata)
+    if method == "mode":
+        return _most_of_four(image, rgba, nodata)
     planes = image.reshape(-1, lead[-1] if lead else 1, h, w)
     kernel = method if method in KERNELS else "cubic"
-    return np.stack([resize(p, h // 2, w // 2, kernel) for p in planes]).reshape(*lead, h // 2, w // 2)
+    return np.stack([resize(p, h // 2, w // 2, kernel, rgba, limits) for p in planes]).reshape(*lead, h // 2, w // 2)
 
 
 def hillshade(elev: np.ndarray, cell_x: float, cell_y: float, azimuth=315.0, altitude=45.0) -> np.ndarray:

@@ -192,10 +192,21 @@ def tilejson_check(docs: DataFrame, text: str = "tilejson") -> DataFrame:
     return docs.withColumn("missing", F.array_join(missing, ",")).withColumn("valid", F.col("missing") == "")
 
 
-def chunk_check(chunks: DataFrame) -> DataFrame:
-    """Chunks with ``valid``: data present, w*h long and matching its checksum, if any."""
-    whole = (F.col("w") > 0) & (F.col("h") > 0) & (F.size("data") == F.col("w") * F.col("h"))
+def chunk_check(chunks: DataFrame, planes: int | None = None) -> DataFrame:
+    """Chunks with ``valid``: data present, whole planes of w*h and the checksum, if any.
+
+    ``planes`` is the number of planes to expect; without it any whole number will do.
+    """
+    area = F.col("w") * F.col("h")
+    filled = (F.size("data") > 0) & (F.size("data") % F.nullif(area, F.lit(0)) == 0) if planes is None else F.size("data") == area * planes
+    whole = (F.col("w") > 0) & (F.col("h") > 0) & filled
     if "checksum" in chunks.columns:
         digest = F.sha2(F.array_join("data", ",").cast("binary"), 256)
         whole = whole & (F.col("checksum").isNull() | (F.col("checksum") == digest))
     return chunks.withColumn("valid", F.coalesce(whole, F.lit(False)))
+
+
+def quarantined(chunks: DataFrame, planes: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(chunks to use, chunks to put aside)."""
+    checked = chunk_check(chunks, planes)
+    return checked.filter("valid").drop("valid"), checked.filter("NOT valid").drop("valid")

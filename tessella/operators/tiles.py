@@ -147,7 +147,7 @@ def rows_per_zoom(tiles: DataFrame) -> dict[int, int]:
     return {row["z"]: row["count"] for row in tiles.groupBy("z").count().collect()}
 
 
-def nearest_ancestor(requests: DataFrame, tiles: DataFrame, by: list[str]) -> DataFrame:
+def nearest_ancestor(requests: DataFrame, tiles: DataFrame, by: list[str], carry: str | None = None) -> DataFrame:
     """Deepest stored ancestor-or-self of each requested tile, per ``by`` (a source).
 
     Both sides carry the ``by`` columns; see ``for_sources``. The tiles are read more
@@ -156,9 +156,11 @@ def nearest_ancestor(requests: DataFrame, tiles: DataFrame, by: list[str]) -> Da
     Keys only, so attach payloads afterwards. Requests are spread over their
     ancestors at stored zooms. A counted, small set of stored keys is broadcast; else
     both sides shuffle, and coarse ancestors that many requests share are salted.
-    Requests without an ancestor get no row.
+    Requests without an ancestor get no row. ``carry`` names a column of the tiles to
+    keep (of equal keys the least value).
     """
-    keys = tiles.select(*by, "z", "x", "y").distinct()
+    held = [carry] if carry else []
+    keys = tiles.groupBy(*by, "z", "x", "y").agg(F.min(carry).alias(carry)) if carry else tiles.select(*by, "z", "x", "y").distinct()
     stored_rows = rows_per_zoom(tiles)
     levels = F.array(*[F.lit(int(at)) for at in sorted(stored_rows)])
     steps = F.filter(levels.cast("array<int>"), lambda anc: anc <= F.col("z"))
@@ -166,7 +168,7 @@ def nearest_ancestor(requests: DataFrame, tiles: DataFrame, by: list[str]) -> Da
     ax, ay = ancestor("z", "x", "y", "anc_z")
     spread = spread.select(*by, *KEY, "anc_z", ax.alias("anc_x"), ay.alias("anc_y"))
     stored = keys.select(
-        *by, F.col("z").alias("anc_z"), F.col("x").alias("anc_x"), F.col("y").alias("anc_y")
+        *by, F.col("z").alias("anc_z"), F.col("x").alias("anc_x"), F.col("y").alias("anc_y"), *held
     )
     on = [*by, "anc_z", "anc_x", "anc_y"]
     if sum(stored_rows.values()) <= BROADCAST_ROWS:
@@ -174,7 +176,8 @@ def nearest_ancestor(requests: DataFrame, tiles: DataFrame, by: list[str]) -> Da
     else:
         stored, spread = salted(stored, spread, on)
         hits = spread.join(stored, [*on, "salt"])
-    best = hits.groupBy(*by, *KEY).agg(F.max("anc_z").cast("int").alias("anc_z"))
+    best = hits.groupBy(*by, *KEY).agg(F.max(F.struct(F.col("anc_z").cast("int").alias("anc_z"), *held)).alias("best"))
+    best = best.select(*by, *KEY, "best.*")
     ax, ay = ancestor("z", "x", "y", "anc_z")
     depth = F.col("z") - F.col("anc_z")
     return best.select(
@@ -185,6 +188,7 @@ def nearest_ancestor(requests: DataFrame, tiles: DataFrame, by: list[str]) -> Da
         ay.alias("anc_y"),
         (F.col("x") - shl(ax, depth)).alias("off_x"),
         (F.col("y") - shl(ay, depth)).alias("off_y"),
+        *held,
     )
 
 
@@ -210,7 +214,7 @@ def children_of(tiles: DataFrame, value: str) -> DataFrame:
     )
 
 
-def cluster_key(z, x, y, bits: int = 24) -> Column:
+def cluster_key(z, x, y) -> Column:
     """Z-order position of a tile at its zoom, for range-read layouts."""
     from tessella.functions.grid import col
 

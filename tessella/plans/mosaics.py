@@ -34,13 +34,7 @@ def clean_mosaic(
     if PX.use_median(strategy):
         merged = CH.median_chunks(bands.select("scene", *keys, "w", "h", "data"), keys)
     else:
-        rows = bands.select(*keys, "scene", "cloud", "w", "h", F.posexplode("data").alias("pos", "dn"))
-        top = PX.first_clear(rows, [*keys, "w", "h", "pos"], F.struct("scene"))
-        at = top.withColumn("px", (F.col("pos") % F.col("w")).cast("int")).withColumn(
-            "py", F.floor(F.col("pos") / F.col("w")).cast("int")
-        )
-        size = bands.select("w", "h").first()  # the chunks of a layer have one size
-        merged = CH.assemble_chunks(at, keys, size.w, size.h)
+        merged = CH.priority_chunks(bands.select("scene", "cloud", *keys, "w", "h", "data"), keys)
     return stretch_chunks(merged, *stretch)
 
 

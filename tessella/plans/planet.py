@@ -55,7 +55,7 @@ def stack_requests(spark, overlay: Overlay, first_zoom: int) -> DataFrame:
 
 def build_planet(
     tiles: DataFrame, base_src: int, base_source: str, base_max: int, overlays: list[Overlay],
-    size: int, tile_bits: int, method: str = "nearest", checkpoint: bool = False,
+    size: int, method: str = "nearest", checkpoint: bool = False,
 ) -> DataFrame:
     """Fold ordered overlays over a base.
 
@@ -72,18 +72,18 @@ def build_planet(
     for overlay in overlays:
         sources.append(overlay.src)
         requests = stack_requests(tiles.sparkSession, overlay, base_max + 1)
-        stack = CH.overzoom_stack(requests, tiles, list(sources), size, method, tile_bits)
+        stack = CH.overzoom_stack(requests, tiles, list(sources), size, method)
         planet = CH.merged_tiles(planet, stack)
         if checkpoint:
             planet = cut_lineage(planet)
     return planet
 
 
-def tileset_report(chunks: DataFrame, by: str = "z") -> DataFrame:
+def tileset_report(chunks: DataFrame, by: str = "z", planes: int | None = None) -> DataFrame:
     """Tiles, distinct contents and validity per zoom of a finished tile set."""
     from tessella.operators.stats import chunk_check
 
-    checked = chunk_check(chunks).withColumn("digest", F.sha2(F.array_join("data", ",").cast("binary"), 256))
+    checked = chunk_check(chunks, planes).withColumn("digest", F.sha2(F.array_join("data", ",").cast("binary"), 256))
     per = checked.groupBy(by, "digest").agg(F.count("*").alias("n"), F.bool_and("valid").alias("ok"))
     return per.groupBy(by).agg(
         F.sum("n").alias("tiles"), F.count("*").alias("contents"), F.bool_and("ok").alias("valid")

@@ -140,7 +140,7 @@ AREA_TILES = " UNION ALL ".join(
     WITH {overzoom_ctes(AREA_TILES)} {overzoom_sql(AREA_TILES)} UNION ALL SELECT z, x, y, px, py, r, g, b FROM {{fx_layers}} WHERE src = 0 AND a = 255""")
 def _(v):
     overlay = planet.Overlay("detail", "sentinel2", 1, (AREA,), 6)
-    done = planet.build_planet(layer_chunks(v), 0, "bmng", 3, [overlay], 8, 3)
+    done = planet.build_planet(layer_chunks(v), 0, "bmng", 3, [overlay], 8)
     return visible_pixels(done, ["z", "x", "y"]).drop("a")
 
 
@@ -152,7 +152,7 @@ def _(v):
 def _(v):
     pixels = PX.raster_to_tiles(v.sql(CELLS), [], 1.0, 5, 16)
     chunks = CH.assemble_chunks(pixels, ["z", "x", "y"], 16, 16)
-    done = CH.pyramid(chunks, [], 5, 2, "average")
+    done = CH.pyramid(chunks, [], 5, 2, "average", nodata=0)
     return planet.tileset_report(done).select("z", "tiles", "valid")
 
 

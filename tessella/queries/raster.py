@@ -103,8 +103,9 @@ def _(v):
 @query("ras_priority_mosaic", f"""
     SELECT x, y, band, px, py, dn FROM (SELECT *, row_number() OVER (PARTITION BY x, y, band, px, py ORDER BY coalesce(cloud, 1e9), scene DESC) AS r FROM {MASKED} AS m WHERE dn <> 0) AS t WHERE r = 1""")
 def _(v):
-    masked = PX.mask_pixels(v.fx_stack, v.fx_qa, ["scene", *TILE], 15)
-    return PX.first_clear(masked, ["x", "y", "band", "px", "py"], F.struct("scene"))
+    clouds = v.fx_stack.select("scene", "cloud").distinct()
+    masked = CH.mask_chunks(stack_chunks(v), qa_chunks(v), ["scene", *TILE], 15).join(clouds, "scene")
+    return clear_rows(CH.priority_chunks(masked, [*TILE, "band"]), ["x", "y", "band"])
 
 
 @query("ras_paint_mosaic", """
@@ -273,7 +274,7 @@ def _(v):
     tiles = point_tiles(v)
     six = tiles.select(F.lit(6).alias("z"), F.shiftright("x", 1).alias("x"), F.shiftright("y", 1).alias("y")).distinct()
     nine = tiles.select(F.lit(9).alias("z"), (F.col("x") * 4 + 1).alias("x"), (F.col("y") * 4 + 2).alias("y"))
-    done = CH.overzoom_stack(six.unionByName(nine), layer_chunks(v), [0, 1], 8, tile_bits=3)
+    done = CH.overzoom_stack(six.unionByName(nine), layer_chunks(v), [0, 1], 8)
     return visible_pixels(done, TILE).drop("a")
 
 
@@ -309,5 +310,5 @@ def _half(value, extra=""):
         FROM {{fx_stack}} WHERE dn <> 0 GROUP BY 1, 2, 3, 4, 5, 6, 7, 8) AS m) AS c WHERE r = 1""")
 def _(v):
     chunks, keys = stack_chunks(v), ["scene", "band", *TILE]
-    part = lambda m: clear_rows(CH.overview(chunks, ["scene", "band"], m), keys).select(F.lit(m).alias("method"), *keys, "px", "py", "dn")
+    part = lambda m: clear_rows(CH.overview(chunks, ["scene", "band"], m, nodata=0), keys).select(F.lit(m).alias("method"), *keys, "px", "py", "dn")
     return part("average").unionByName(part("nearest")).unionByName(part("mode"))

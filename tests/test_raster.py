@@ -6,6 +6,7 @@ from tessella.operators import chunks as CH
 from tessella.operators import kernels as K
 from tessella.operators import pixels as PX
 from tessella.operators import regions as R
+from tessella.operators import stats
 from tessella.plans import mosaics, planet
 from tessella.plans.planning import grid_tiles
 
@@ -24,24 +25,70 @@ def image(row):
     return np.array(row.data).reshape(-1, row.h, row.w)
 
 
-def medians(spark, stack, max_depth=256):
+def merged(spark, stack, merge=CH.median_chunks, clouds=None):
     h, w = len(stack[0]), len(stack[0][0])
-    rows = [(i, 3, 1, 1, w, h, [v for r in s for v in r]) for i, s in enumerate(stack)]
-    return image(CH.median_chunks(chunks(spark, rows), ["z", "x", "y"], max_depth).first())[0].tolist()
+    clouds = clouds or [None] * len(stack)
+    rows = [(i, c, 3, 1, 1, w, h, [v for r in s for v in r]) for i, (s, c) in enumerate(zip(stack, clouds))]
+    table = spark.createDataFrame(rows, "scene int, cloud double, z int, x bigint, y bigint, w int, h int, data array<int>")
+    return image(merge(table, ["z", "x", "y"]).first())[0].tolist()
 
 
-@pytest.mark.parametrize("max_depth", [256, 1])
-def test_median(spark, max_depth):
-    assert medians(spark, [[[10, 100]], [[20, 0]], [[30, 200]]], max_depth) == [[20, 150]]
-    assert medians(spark, [[[0, 5]], [[0, 7]]], max_depth) == [[0, 6]]
-    assert medians(spark, [[[3, 0, 9]]], max_depth) == [[3, 0, 9]]
-    assert medians(spark, [[[10, 0], [5, 5]], [[20, 100], [5, 0]], [[30, 200], [0, 5]]], max_depth) == [[20, 150], [5, 5]]
-    assert medians(spark, [[[1, 3]], [[2, 4]]], max_depth) == [[2, 4]]  # halves go to even
+def test_median(spark):
+    assert merged(spark, [[[41, 7]], [[-6, 0]], [[12, 9]]]) == [[12, 8]]
+    assert merged(spark, [[[0, -5]], [[0, -8]]]) == [[0, -6]]  # halves go to even
+    assert merged(spark, [[[-50]], [[-30]], [[500]]]) == [[-30]]
+    assert merged(spark, [[[8, 0, -2]]]) == [[8, 0, -2]]
+    assert merged(spark, [[[17, 0], [6, 1]], [[4, 90], [3, 0]]]) == [[10, 90], [4, 1]]
+
+
+def test_deep_and_wide_stacks(spark):
+    """Stacks deeper than any batch and chunks of several strips, against one sort."""
+    rng = np.random.default_rng(4)
+    stack = rng.integers(-9, 10, (300, 41, 53))
+    work = np.where(stack == 0, np.nan, stack.astype(float))
+    assert merged(spark, stack.tolist()) == np.rint(np.nanmedian(work, axis=0)).astype(int).tolist()
+    clouds = [float(c) if c < 95 else None for c in rng.integers(0, 100, 300)]
+    order = sorted(range(300), key=lambda i: (clouds[i] is None, clouds[i] or 0, -i))
+    want = np.zeros((41, 53), int)
+    for i in reversed(order):
+        want = np.where(stack[i] != 0, stack[i], want)
+    assert merged(spark, stack.tolist(), CH.priority_chunks, clouds) == want.tolist()
+
+
+@pytest.mark.parametrize("n", [0, 1, 4])
+def test_dilation_kernel_is_the_diamond(n):
+    mask = np.zeros((3, 9, 11), bool)
+    mask[0, 4, 5] = mask[1, 0, 0] = mask[1, 8, 9] = True
+    ys, xs = np.mgrid[:9, :11]
+    for m, grown in zip(mask, K.dilate(mask, n)):
+        near = [abs(ys - y) + abs(xs - x) <= n for y, x in np.argwhere(m)]
+        assert (grown == (np.any(near, axis=0) if near else False)).all()
+
+
+def test_overviews_weigh_by_alpha():
+    pixels = np.array([[[200, 0], [10, 0]], [[0, 200], [20, 0]], [[0, 0], [30, 0]], [[255, 255], [85, 0]]])
+    got = K.halve(pixels, "average", rgba=True)[:, 0, 0]
+    share = np.array([255, 255, 85])
+    colours = np.array([[200, 0, 0], [0, 200, 0], [10, 20, 30]])
+    assert got.tolist() == [*np.rint((colours * share[:, None]).sum(axis=0) / share.sum()).astype(int), round(share.sum() / 4)]
+    assert K.halve(pixels, "mode", rgba=True)[:, 0, 0].tolist() == [0, 200, 0, 255]  # the lowest of three
+    depths = np.array([[[-300, -300], [-100, 0]]])
+    assert K.halve(depths, "average")[0, 0, 0] == -175 and K.halve(depths, "average", nodata=0)[0, 0, 0] == -233
+    assert K.halve(depths, "mode", nodata=0)[0, 0, 0] == -300 and (K.halve(np.full((1, 8, 8), -300), "cubic") == -300).all()
+    assert K.resize(np.array([[[0, 255], [0, 255]]]), 8, 8, "cubic", limits=(0, 255)).min() == 0
+
+
+def test_checks_count_planes(spark):
+    rows = [(0, 1, 0, 0, 2, 2, rgba((1, 2, 3), 2)), (1, 1, 0, 0, 2, 2, [1] * 15), (2, 1, 0, 0, 2, 2, []), (3, 1, 0, 0, 0, 2, [1]), (4, 1, 0, 0, 2, 2, [1] * 4)]
+    valid = lambda **a: [r.src for r in stats.chunk_check(chunks(spark, rows), **a).filter("valid").orderBy("src").collect()]
+    assert valid() == [0, 4] and valid(planes=4) == [0]
+    good, bad = stats.quarantined(chunks(spark, rows), 4)
+    assert good.count() == 1 and bad.count() == 4 and bad.columns == good.columns
 
 
 def test_median_kernel_against_numpy():
     rng = np.random.default_rng(1)
-    stack = rng.integers(0, 4, (6, 7, 50)) * rng.integers(1, 900, (6, 7, 50))
+    stack = rng.integers(0, 4, (6, 7, 50)) * rng.integers(-900, 900, (6, 7, 50))
     work = np.where(stack == 0, np.nan, stack.astype(float))
     with np.testing.suppress_warnings() as mute:
         mute.filter(RuntimeWarning)
@@ -135,7 +182,7 @@ def test_overzoom_prefers_the_finest(spark):
     coarse, fine = rgba((100, 0, 0), 4), rgba((0, 200, 0), 4)
     table = chunks(spark, [(0, 1, 1, 1, 4, 4, coarse), (1, 3, 5, 5, 4, 4, fine)])
     requests = spark.createDataFrame([(3, 5, 5), (3, 4, 5), (3, 0, 0), (5, 20, 21), (9, 330, 340)], "z int, x bigint, y bigint")
-    got = {(r.z, r.x, r.y): image(r)[:3, 0, 0].tolist() for r in CH.overzoom_stack(requests, table, [0, 1], 4, tile_bits=2).collect()}
+    got = {(r.z, r.x, r.y): image(r)[:3, 0, 0].tolist() for r in CH.overzoom_stack(requests, table, [0, 1], 4).collect()}
     assert got == {(3, 5, 5): [0, 200, 0], (3, 4, 5): [100, 0, 0], (5, 20, 21): [0, 200, 0], (9, 330, 340): [0, 200, 0]}
 
 
@@ -146,7 +193,7 @@ def test_overzoom_cuts_equal_direct_windows(spark):
     table = chunks(spark, [(0, 1, 1, 0, size, size, data.astype(int).ravel().tolist())])
     asked = [(z, (1 << (z - 1)) + (5 * z) % (1 << (z - 1)), (3 * z + 1) % (1 << (z - 1))) for z in range(1, 12)]
     requests = spark.createDataFrame(asked, "z int, x bigint, y bigint")
-    got = {r.z: image(r) for r in CH.overzoom_stack(requests, table, [0], size, tile_bits=4).collect()}
+    got = {r.z: image(r) for r in CH.overzoom_stack(requests, table, [0], size).collect()}
     for z, x, y in asked:
         d = z - 1
         at = lambda v, i, first: ((v - (first << d)) * size + i) >> d
@@ -166,7 +213,7 @@ def test_pixel_and_chunk_overviews_agree(spark, views):
     keys = ["scene", "band"]
     table = CH.assemble_chunks(views.fx_stack, ["scene", "band", "z", "x", "y"], 16, 16)
     for method in ("average", "nearest", "mode"):
-        chunk = CH.explode_chunks(CH.overview(table, keys, method), [*keys, "z", "x", "y"]).filter("dn <> 0").drop("plane")
+        chunk = CH.explode_chunks(CH.overview(table, keys, method, nodata=0), [*keys, "z", "x", "y"]).filter("dn <> 0").drop("plane")
         pixel = PX.overview_pixels(views.fx_stack, keys, 16, method).filter("dn <> 0")
         cols = [*keys, "x", "y", "px", "py", "dn"]
         assert chunk.select(cols).exceptAll(pixel.select(cols)).count() == 0
@@ -214,12 +261,12 @@ def test_planet_folds_in_order(spark):
     area = (1.0, 1.0, 40.0, 40.0)
     layers = [planet.Overlay("ctx", "hls", 1, (area,), 4), planet.Overlay("city", "sentinel2", 2, ((5.0, 5.0, 6.0, 6.0),), 5)]
     table = chunks(spark, [(0, 2, 2, 1, 2, 2, rgba((9, 9, 9), 2)), (1, 4, 8, 7, 2, 2, rgba((1, 1, 1), 2)), (2, 5, 16, 15, 2, 2, rgba((2, 2, 2), 2))])
-    done = planet.build_planet(table, 0, "bmng", 2, layers, 2, 1, checkpoint=True)
+    done = planet.build_planet(table, 0, "bmng", 2, layers, 2, checkpoint=True)
     got = {(r.z, r.x, r.y): image(r)[0, 0, 0] for r in done.collect()}
     assert got[2, 2, 1] == 9 and got[3, 4, 3] == 9 and got[4, 8, 7] == 1 and got[5, 16, 15] == 2
     assert max(k[0] for k in got) == 5
-    base = planet.build_planet(table, 0, "bmng", 2, [], 2, 1)
+    base = planet.build_planet(table, 0, "bmng", 2, [], 2)
     assert base.count() == 1
     with pytest.raises(ValueError, match="ceiling"):
-        planet.build_planet(table, 0, "bmng", 9, [], 2, 1)
+        planet.build_planet(table, 0, "bmng", 9, [], 2)
     assert len(planet.overlay_faults("bmng", 8, [planet.Overlay("a", "hls", 1, (), 13, 14), planet.Overlay("a", "hls", 1, (), 12)])) == 3
