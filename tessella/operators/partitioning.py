@@ -43,17 +43,16 @@ def balanced_partition(grid: DataFrame, n: int, extent: tuple[int, int, int, int
     cells = grid.select("x", "y", "w")
     boxes = [("", x0, y0, x1, y1, n)]
     while any(box[5] > 1 for box in boxes):
-        for _, bx0, by0, bx1, by1, leaves in boxes:
-            width, height = bx1 - bx0 + 1, by1 - by0 + 1
-            if width < leaves and height < leaves and width * height < leaves:
-                raise ValueError(f"box {(bx0, by0, bx1, by1)} too small for {leaves} regions")
         open_boxes = [b for b in boxes if b[5] > 1]
         splits = []
         for path, bx0, by0, bx1, by1, leaves in open_boxes:
             width, height, left = bx1 - bx0 + 1, by1 - by0 + 1, leaves // 2
             on_x = (width >= height and width >= leaves) or height < leaves
             a, b = (bx0, bx1) if on_x else (by0, by1)
-            splits.append((path, bx0, by0, bx1, by1, leaves, left, on_x, a + left - 1, b - (leaves - left)))
+            first, last = a + left - 1, b - (leaves - left)
+            if first > last:
+                raise ValueError(f"{leaves} regions need as many lines; the box at {bx0}, {by0} has {b - a + 1}")
+            splits.append((path, bx0, by0, bx1, by1, leaves, left, on_x, first, last))
         names = ["path", "x0", "y0", "x1", "y1", "leaves", "left", "on_x", "lo", "hi"]
         table = inline_table(spark, splits, names)
         inside = F.col("x").between(F.col("x0"), F.col("x1")) & F.col("y").between(F.col("y0"), F.col("y1"))

@@ -49,6 +49,15 @@ def _searches(plan: DataFrame) -> DataFrame:
     )
 
 
+def _whole_boxes(df: DataFrame, prefix: str) -> DataFrame:
+    """Boxes over the antimeridian (minx > maxx) as two rows, one on each side."""
+    west, east = F.col(f"{prefix}minx"), F.col(f"{prefix}maxx")
+    side = lambda a, b: F.struct(a.cast("double").alias("a"), b.cast("double").alias("b"))
+    parts = F.when(west > east, F.array(side(west, F.lit(180.0)), side(F.lit(-180.0), east))).otherwise(F.array(side(west, east)))
+    split = df.withColumn("_part", F.explode(parts))
+    return split.withColumns({f"{prefix}minx": F.col("_part.a"), f"{prefix}maxx": F.col("_part.b")}).drop("_part")
+
+
 def _cells(df: DataFrame, prefix: str, size: float) -> DataFrame:
     span = lambda lo, hi: F.explode(
         F.sequence(F.floor(F.col(prefix + lo) / size), F.floor(F.col(prefix + hi) / size))
@@ -64,7 +73,8 @@ def match_plan_scenes(
     Both sides are spread over coarse cells and months, joined on (collection,
     cell, month) and checked exactly. A pair is reported only in the cell of the
     south-west corner of its overlap, so it comes out once without a dedupe. Hot
-    cells are salted.
+    cells are salted. A scene over the antimeridian is matched by either part; a tile
+    that meets both gets it once, from the western part of the map.
     """
     month = lambda d: F.trunc(d, "month")
     left = _cells(_searches(plan), "", cell_deg).withColumn(
@@ -72,11 +82,9 @@ def match_plan_scenes(
         F.explode(F.sequence(month("start_date"), month("end_date"), F.expr("INTERVAL 1 MONTH"))),
     )
     box = {n: f"s_{n}" for n in ("minx", "miny", "maxx", "maxy")}
-    right = _cells(
-        scenes.filter(F.col("cloud").isNotNull() & F.col("acq_date").isNotNull()).withColumnsRenamed(box),
-        "s_",
-        cell_deg,
-    ).withColumn("month", month("acq_date"))
+    known = scenes.filter(F.col("cloud").isNotNull() & F.col("acq_date").isNotNull()).withColumnsRenamed(box)
+    known = known.withColumns({"_west": F.col("s_minx"), "_east": F.col("s_maxx")})
+    right = _cells(_whole_boxes(known, "s_"), "s_", cell_deg).withColumn("month", month("acq_date"))
     keys = ["collection_id", "cx", "cy", "month"]
     left, right = salted(left, right, keys, hot_rows)
     pairs = left.join(right, [*keys, "salt"])
@@ -88,8 +96,11 @@ def match_plan_scenes(
         & F.col("acq_date").between(F.col("start_date"), F.col("end_date"))
         & (F.col("cloud") <= F.col("max_cloud"))
     )
+    # the part that ends at 180 degrees stands back where the other one meets the tile
+    first = (F.col("_west") <= F.col("_east")) | (F.col("s_minx") < F.col("_east")) | (F.col("minx") > F.col("_east"))
     extra = [c for c in scenes.columns if c not in ("collection_id", *box)]
-    return pairs.filter(corner & exact).select(*TILE, "role", "collection_id", *extra, *box.values())
+    sides = [F.col("_west").alias("s_minx"), "s_miny", F.col("_east").alias("s_maxx"), "s_maxy"]
+    return pairs.filter(corner & exact & first).select(*TILE, "role", "collection_id", *extra, *sides)
 
 
 def cap_search(candidates: DataFrame, limit: int) -> DataFrame:
@@ -198,7 +209,7 @@ def best_at_points(points: DataFrame, scenes: DataFrame, box: Box, start, end, m
     boxed = points.select("point_id", *[c.alias(n) for n, c in box._asdict().items()])
     s_box = {n: f"s_{n}" for n in ("minx", "miny", "maxx", "maxy")}
     usable = scenes.filter((F.col("cloud") <= max_cloud) & F.col("acq_date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
-    right = _cells(usable.withColumnsRenamed(s_box), "s_", cell_deg)
+    right = _cells(_whole_boxes(usable.withColumnsRenamed(s_box), "s_"), "s_", cell_deg)
     left, right = salted(_cells(boxed, "", cell_deg), right, ["cx", "cy"])
     pairs = left.join(right, ["cx", "cy", "salt"]).filter(
         boxes_intersect(Box("minx", "miny", "maxx", "maxy"), Box("s_minx", "s_miny", "s_maxx", "s_maxy"))

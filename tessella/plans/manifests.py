@@ -15,20 +15,22 @@ BOX = ("minx", "miny", "maxx", "maxy")
 
 
 def scene_manifest(
-    plan: DataFrame, scenes: DataFrame, depth: int = 12, search_limit: int | None = None, checkpoint: bool = False
+    plan: DataFrame, scenes: DataFrame, depth: int = 12, search_limit: int | None = None, checkpoint: bool = True
 ):
     """(scenes, summary) of a plan, in one job instead of one search per tile.
 
-    Candidates by place, date and cloud, capped per tile and collection; fallback
-    where there is no primary candidate; a date-diverse stack per tile; each scene
-    once, as first seen in plan order. ``checkpoint`` keeps the candidates, which
-    pays when both results are used.
+    Candidates by place, date and cloud; fallback where there is no primary candidate;
+    a date-diverse stack per tile; each scene once, as first seen in plan order.
+    ``search_limit`` caps the candidates of a tile and collection, as a page of a remote
+    search would; by default all count. ``checkpoint`` keeps the candidates, which are
+    read several times.
     """
-    limit = search_limit or max(depth, 100)
-    candidates = SC.cap_search(SC.match_plan_scenes(plan, scenes), limit)
+    candidates = SC.match_plan_scenes(plan, scenes)
+    if search_limit:
+        candidates = SC.cap_search(candidates, search_limit)
     if checkpoint:
         candidates = cut_lineage(candidates)
-    chosen = SC.scene_stack(SC.pick_role(candidates), depth, SC.TILE)
+    chosen = SC.scene_stack(SC.pick_role(candidates, capped=bool(search_limit)), depth, SC.TILE)
     unique = SC.unique_scenes(chosen, ["x", "y", "z", "pos"])
     return unique, SC.manifest_summary(plan, candidates, chosen, depth)
 
@@ -45,7 +47,7 @@ def covering_manifest(regions: DataFrame, scenes: DataFrame, region: str, n: int
         F.floor(F.col("miny") / cell_deg).alias("cy"),
     )
     renamed = scenes.withColumnsRenamed({c: f"s_{c}" for c in BOX})
-    spread = SC._cells(renamed, "s_", cell_deg)
+    spread = SC._cells(SC._whole_boxes(renamed, "s_"), "s_", cell_deg)
     left, right = salted(corner, spread, ["cx", "cy"])
     pairs = left.join(right, ["cx", "cy", "salt"]).filter(box_covers(Box(*(f"s_{c}" for c in BOX)), Box(*BOX)))
     return SC.order_newest(pairs.drop("cx", "cy", "salt", *BOX), [region], n)

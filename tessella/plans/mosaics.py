@@ -41,14 +41,13 @@ def clean_mosaic(
 def visual_mosaic(pixels: DataFrame, scenes_per_region: int, box: Box, z: int, size: int, stretch=C.STRETCHES["sentinel2"]) -> DataFrame:
     """Clearest scenes only, cleanest on top, cut to a box and stretched to bytes.
 
-    ``pixels`` has scene, cloud, band; scenes are capped before pixels are touched.
+    ``pixels`` has scene, cloud, band; the scenes that have pixels in the box are capped.
     """
-    scenes = pixels.select("scene", "cloud").distinct().withColumn("item_id", F.col("scene"))
-    if scenes_per_region > 0:
-        order = [F.col("cloud").asc_nulls_last(), F.col("item_id")]
-        kept = scenes.orderBy(*order).limit(scenes_per_region)
-        pixels = pixels.join(kept.select("scene"), "scene", "left_semi")  # at most the cap
     inside = PX.crop_box(pixels, box, z, size)
+    if scenes_per_region > 0:
+        scenes = inside.select("scene", "cloud").distinct()
+        kept = scenes.orderBy(F.col("cloud").asc_nulls_last(), "scene").limit(scenes_per_region)
+        inside = inside.join(F.broadcast(kept.select("scene")), "scene", "left_semi")  # at most the cap
     top = PX.first_clear(inside, [*KEY, "band", "px", "py"], F.struct("scene"))
     return top.withColumn("dn", PX.stretched("dn", *stretch))
 

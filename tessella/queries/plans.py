@@ -64,8 +64,7 @@ def _(v):
         SELECT *, row_number() OVER (PARTITION BY x, y, bin ORDER BY cloud, r) AS pick FROM (
           SELECT *, CASE WHEN n <= 3 THEN r - 1 ELSE (r * 3 - 1) // n END AS bin FROM (
             SELECT *, row_number() OVER (PARTITION BY x, y ORDER BY acq_date, cloud, collection_id, item_id) AS r, count(*) OVER (PARTITION BY x, y) AS n FROM (
-              SELECT *, max(CASE WHEN role = 'primary' THEN 1 ELSE 0 END) OVER (PARTITION BY x, y) AS has_primary FROM (
-                SELECT *, row_number() OVER (PARTITION BY x, y, role, collection_id ORDER BY cloud, acq_date, item_id) AS cap FROM {CANDIDATES} AS c) AS a WHERE cap <= 100) AS b
+              SELECT *, max(CASE WHEN role = 'primary' THEN 1 ELSE 0 END) OVER (PARTITION BY x, y) AS has_primary FROM {CANDIDATES} AS c) AS b
             WHERE (role = 'primary') = (has_primary = 1)) AS d) AS e) AS f WHERE pick = 1) AS g WHERE seen = 1""")
 def _(v):
     scenes, _ = manifests.scene_manifest(z5_plan(v), v.fx_scenes, 3)
@@ -120,7 +119,7 @@ S2_BOX = (-179.9, 85.0445, -179.5, 85.0505)
 
 @query("pipe_s2_mosaic", f"""
     SELECT x, y, band, px, py, CAST(round_even(255 * least(1.0, dn / 10000.0), 0) AS INT) AS dn FROM (
-      SELECT *, row_number() OVER (PARTITION BY x, y, band, px, py ORDER BY cloud NULLS LAST, scene DESC) AS r FROM {{fx_stack}} SEMI JOIN (SELECT scene FROM {{fx_stack}} GROUP BY scene, cloud ORDER BY cloud NULLS LAST, scene LIMIT 3) AS k USING (scene)
+      SELECT *, row_number() OVER (PARTITION BY x, y, band, px, py ORDER BY cloud NULLS LAST, scene DESC) AS r FROM {{fx_stack}} SEMI JOIN (SELECT scene FROM {{fx_stack}} WHERE {LON} BETWEEN {S2_BOX[0]} AND {S2_BOX[2]} AND {PLAT} BETWEEN {S2_BOX[1]} AND {S2_BOX[3]} GROUP BY scene, cloud ORDER BY cloud NULLS LAST, scene LIMIT 3) AS k USING (scene)
       WHERE dn <> 0 AND {LON} BETWEEN {S2_BOX[0]} AND {S2_BOX[2]} AND {PLAT} BETWEEN {S2_BOX[1]} AND {S2_BOX[3]}) AS t WHERE r = 1""")
 def _(v):
     done = mosaics.visual_mosaic(v.fx_stack, 3, Box(*S2_BOX), 14, 16)

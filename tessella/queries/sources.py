@@ -1,11 +1,14 @@
 """Scans and sinks over text, JSON, XML and file listings."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tessella import constants as C
 from tessella.operators import tiles as T
 from tessella.plans.planning import plan_tiles
 from tessella.queries import query
+from tessella.session import shared_folder
 from tessella.sources import catalogs, records
 
 CATALOG = """
@@ -93,8 +96,10 @@ def _(v):
         ON (o_orderkey % 64) >> (o_orderkey % 6) BETWEEN x0 AND x1 AND (o_custkey % 64) >> (o_orderkey % 6) BETWEEN y0 AND y1
       WHERE o_orderkey % 29 <> 0 AND o_orderkey % 31 <> 0 AND o_orderkey % 37 <> 0 AND o_orderkey % 41 <> 0) AS p GROUP BY shard""")
 def _(v):
-    plan = records.with_plan_shard(records.parse_plan(v.sql(PLAN_TEXT)))
-    return plan.groupBy("shard").agg(F.count("*").alias("tiles"))
+    folder = f"{shared_folder(v.spark)}/{uuid.uuid4().hex}"
+    records.write_plan_by_shard(records.parse_plan(v.sql(PLAN_TEXT)), folder)
+    back = v.spark.read.schema("z int, x bigint, y bigint, shard string").json(folder)
+    return back.filter("z IS NOT NULL").groupBy("shard").agg(F.count("*").alias("tiles"))
 
 
 ITEMS = """
@@ -135,22 +140,21 @@ def _(v):
     SELECT collection_id, item_id, cloud FROM {fx_scenes}""")
 def _(v):
     scenes = v.fx_scenes.select(F.date_format("acq_date", "yyyyMMdd").alias("day"), "collection_id", "item_id", "cloud")
-    summary = scenes.groupBy("day").agg(F.count("*").alias("n"))
-    docs = records.manifest_json(summary, scenes, "day")
-    broken = docs.withColumn("value", F.replace("value", F.lit('"scenes":['), F.lit('"scenes":["text",7,')))
-    return records.parse_manifest(broken, "collection_id string, item_id string, cloud double")
+    entries = F.concat_ws(",", F.collect_list(F.to_json(F.struct("collection_id", "item_id", "cloud"))))
+    text = F.concat(F.lit('{"summary":{"n":'), F.count("*").cast("string"), F.lit('},"scenes":["text",7,'), entries, F.lit("]}"))
+    docs = scenes.groupBy("day").agg(text.alias("value"))
+    return records.parse_manifest(docs, "collection_id string, item_id string, cloud double")
 
 
 @query("snk_manifest", """
-    SELECT strftime(acq_date, '%Y%m%d') AS day, count(*) AS n, min(item_id) AS first_item FROM {fx_scenes} GROUP BY 1""")
+    SELECT strftime(acq_date, '%Y%m%d') AS day, count(*) OVER (PARTITION BY acq_date) AS n, collection_id, item_id, cloud FROM {fx_scenes}""")
 def _(v):
-    scenes = v.fx_scenes.select(F.date_format("acq_date", "yyyyMMdd").alias("day"), "item_id", "collection_id")  # item leads the sort
-    docs = records.manifest_json(scenes.groupBy("day").agg(F.count("*").alias("n")), scenes, "day")
-    return docs.select(
-        "day",
-        F.get_json_object("value", "$.summary.n").cast("bigint").alias("n"),
-        F.get_json_object("value", "$.scenes[0].item_id").alias("first_item"),
-    )
+    scenes = v.fx_scenes.select(F.date_format("acq_date", "yyyyMMdd").alias("day"), "item_id", "collection_id", "cloud")
+    folder = f"{shared_folder(v.spark)}/{uuid.uuid4().hex}"
+    records.write_manifests(scenes.groupBy("day").agg(F.count("*").alias("n")), scenes, "day", folder)
+    lines = v.spark.read.schema("value string, day string").text(folder)
+    summary = records.parse_manifest_lines(lines, "summary", "n bigint")
+    return records.parse_manifest_lines(lines, "scene", "collection_id string, item_id string, cloud double").join(summary, "day")
 
 
 @query("src_oam_items", """
@@ -303,10 +307,7 @@ NEWEST = """(SELECT z, x, y, payload FROM (SELECT *, row_number() OVER (PARTITIO
 
 def _archived(v):
     """Newest tiles written as one archive per shard in the shared folder."""
-    import uuid
-
     from tessella.functions.grid import shard_of_tile
-    from tessella.session import shared_folder
     from tessella.sources import archives
 
     folder = f"{shared_folder(v.spark)}/{uuid.uuid4().hex}"
@@ -323,7 +324,7 @@ def _(v):
 
 
 @query("snk_mbtiles_shards", f"""
-    SELECT concat(shard, '.mbtiles') AS archive, CAST(min(z) AS VARCHAR) AS minzoom, CAST(max(z) AS VARCHAR) AS maxzoom, 'fixture' AS name, count(*) AS tiles
+    SELECT concat(shard, '_0.mbtiles') AS archive, CAST(min(z) AS VARCHAR) AS minzoom, CAST(max(z) AS VARCHAR) AS maxzoom, 'fixture' AS name, count(*) AS tiles
     FROM {NEWEST} AS n JOIN (VALUES """ + ", ".join(
     f"('{i:02d}', {a}, {b}, {c}, {d})"
     for i, (a, b, c, d) in enumerate(C.SHARD_RECTANGLES)

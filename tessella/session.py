@@ -23,17 +23,23 @@ def local_session(name: str = "tessella", cpus: str = "*", partitions: int = 8)
     )
 
 
+_OWN: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session (tests) without one gets a folder of its own.
+    Only a local session (tests) without one gets a folder of its own, one a session.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
-        return named
+        return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-    return tempfile.mkdtemp(prefix="tessella-")
+    session = spark.sparkContext.applicationId
+    if session not in _OWN:
+        _OWN[session] = tempfile.mkdtemp(prefix="tessella-")
+    return _OWN[session]
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -22,6 +22,7 @@ from pyspark.sql.datasource import (
     DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage,
 )
 
+from tessella.constants import UNASSIGNED_SHARD
 from tessella.functions.grid import tms_flip
 
 FORMAT = "tile_archive"
@@ -140,6 +141,11 @@ class ArchiveWriter(DataSourceWriter):
                 if not self.overwrite and os.path.exists(message.final):
                     raise FileExistsError(message.final)
                 os.replace(message.temporary, message.final)
+        if self.overwrite and os.path.isdir(self.folder):
+            fresh = {m.final for m in messages if m and m.final}
+            for name in os.listdir(self.folder):
+                if name.endswith(".mbtiles") and os.path.join(self.folder, name) not in fresh:
+                    os.remove(os.path.join(self.folder, name))
 
     def abort(self, messages):
         for message in messages:
@@ -169,11 +175,13 @@ def read_archives(spark: SparkSession, path: str, rows_per_partition: int = 50_0
 
 
 def write_archives(tiles: DataFrame, path: str, shard: str = "shard", meta: dict | None = None, rows_per_file: int = 500_000) -> None:
-    """One archive per shard; a shard above ``rows_per_file`` gets several.
+    """Archives ``<shard>_<part>`` of about ``rows_per_file`` tiles; older archives there go.
 
-    Big shards are split by key, so that a hot shard is no single task.
+    Big shards are split by key, so that a hot shard is no single task. Tiles without a
+    shard (those above the shard zoom) are kept as ``unassigned``.
     """
     spark = tiles.sparkSession
+    tiles = tiles.withColumn(shard, F.coalesce(F.col(shard), F.lit(UNASSIGNED_SHARD)))
     spark.dataSource.register(TileArchive)
     files = F.ceil(F.count("*") / rows_per_file).cast("int")
     plan = tiles.groupBy(shard).agg(files.alias("n")).collect()  # one row per shard
@@ -184,7 +192,7 @@ def write_archives(tiles: DataFrame, path: str, shard: str = "shard", meta: dict
     start = F.create_map(*[F.lit(v) for k, (at, _) in first.items() for v in (k, at)])[F.col(shard)]
     parts = F.create_map(*[F.lit(v) for k, (_, n) in first.items() for v in (k, n)])[F.col(shard)]
     piece = F.pmod(F.xxhash64("z", "x", "y"), parts).cast("int")
-    name = F.when(parts > 1, F.concat_ws("_", F.col(shard), piece)).otherwise(F.col(shard))
+    name = F.concat_ws("_", F.col(shard), piece)
     placed = tiles.select(
         name.alias("shard"), "z", "x", tms_flip("z", "y").alias("tms_row"),
         F.col("payload").cast("binary").alias("payload"), (start + piece).alias("_p"),

@@ -102,14 +102,29 @@ def _layer_type(depth: int) -> str:
     return f"struct<Name: string, Title: string{inner}>"
 
 
-def parse_layers_xml(docs: DataFrame, text: str = "xml", depth: int = 4) -> DataFrame:
+def _nesting(plain: Column) -> Column:
+    """Deepest nesting of ``Layer`` elements in a document."""
+    tags = F.regexp_extract_all(F.regexp_replace(plain, r"<Layer\b[^>]*/>", ""), F.lit(r"<(/?)Layer\b"), F.lit(1))
+    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+
+    def step(a, tag):
+        now = a["now"] + F.when(tag == "", 1).otherwise(-1)
+        return F.struct(now.alias("now"), F.greatest(a["most"], now).alias("most"))
+
+    return F.aggregate(tags, start, step)["most"]
+
+
+def parse_layers_xml(docs: DataFrame, text: str = "xml", depth: int | None = None) -> DataFrame:
     """Name and title of all nested layers of service-capability documents.
 
-    Layers nest up to ``depth`` levels; the title falls back to the name and
-    layers without a name are skipped (their children are still listed).
+    Without a ``depth`` the deepest nesting is measured first (one number for the whole
+    table). The title falls back to the name and layers without a name are skipped (their
+    children are still listed).
     """
-    schema = f"struct<Capability: struct<Layer: array<{_layer_type(depth)}>>>"
     unprefixed = F.regexp_replace(F.col(text), r"<(/?)\w+:", "<$1")
+    if depth is None:
+        depth = max(1, docs.agg(F.max(_nesting(unprefixed))).first()[0] or 1)
+    schema = f"struct<Capability: struct<Layer: array<{_layer_type(depth)}>>>"
     plain = F.regexp_replace(unprefixed, r"\sxmlns(:\w+)?=(\"[^\"]*\"|'[^']*')", "")
     nodes = pinned(docs, doc=F.from_xml(plain, schema)).withColumn("level", F.col("doc.Capability.Layer"))
     named = lambda n: F.struct(F.trim(n.Name).alias("name"), F.trim(n.Title).alias("title"))

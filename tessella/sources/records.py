@@ -179,25 +179,26 @@ def parse_manifest(docs: DataFrame, scene_schema: str, text: str = "value") -> D
     return objects.select(F.from_json("e", scene_schema).alias("s")).select("s.*")
 
 
-def manifest_json(summary: DataFrame, scenes: DataFrame, key: str, max_scenes: int = 20_000) -> DataFrame:
-    """``{summary, scenes}`` documents per manifest ``key``: (key, part, value).
+def manifest_lines(summary: DataFrame, scenes: DataFrame, key: str) -> DataFrame:
+    """(key, value): per manifest a ``{"summary": ...}`` line and a ``{"scene": ...}`` line a scene.
 
-    A manifest above ``max_scenes`` is spread over several documents with the same
-    summary, since one JSON text has to fit a task; readers take them together.
+    The one layout for manifests of any size: nothing is gathered, and ``write_manifests``
+    keeps the lines of a manifest in its folder.
     """
-    parts = scenes.groupBy(key).agg(F.ceil(F.count("*") / max_scenes).cast("int").alias("_parts"))
-    head = F.struct(*[c for c in summary.columns if c != key]).alias("summary")
-    heads = summary.join(parts, key, "left").select(
-        key, head, F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)).alias("part")
-    )
-    fields = [c for c in scenes.columns if c != key]
-    hashable = [n for n, kind in scenes.dtypes if "map<" not in kind]
-    placed = scenes.join(parts, key).withColumn("part", F.pmod(F.xxhash64(*hashable), "_parts").cast("int"))
-    body = placed.groupBy(key, "part").agg(F.array_sort(F.collect_list(F.to_json(F.struct(*fields)))).alias("scenes"))
-    text = F.concat(
-        F.lit('{"summary":'), F.to_json("summary"), F.lit(',"scenes":['), F.array_join(F.coalesce("scenes", F.array().cast("array<string>")), ","), F.lit("]}")
-    )
-    return heads.join(body, [key, "part"], "left").select(key, "part", text.alias("value"))
+    line = lambda df, name: df.select(key, F.to_json(F.struct(F.struct(*[c for c in df.columns if c != key]).alias(name))).alias("value"))
+    return line(summary, "summary").unionByName(line(scenes, "scene"))
+
+
+def write_manifests(summary: DataFrame, scenes: DataFrame, key: str, path: str) -> None:
+    manifest_lines(summary, scenes, key).write.mode("overwrite").partitionBy(key).text(path)
+
+
+def parse_manifest_lines(lines: DataFrame, kind: str, schema: str, text: str = "value") -> DataFrame:
+    """The ``summary`` or ``scene`` lines with the other columns; broken lines are dropped."""
+    keep = [c for c in lines.columns if c != text]
+    entry = F.get_json_object(text, f"$.{kind}")
+    rows = lines.filter(entry.startswith("{")).select(*keep, F.from_json(entry, schema).alias("s"))
+    return rows.select(*keep, "s.*")
 
 
 def refresh_urls(scenes: DataFrame, tokens: DataFrame, default_collection: str | None = None) -> DataFrame:
@@ -238,6 +239,8 @@ def parse_features(docs: DataFrame, text: str = "value", where=None) -> DataFram
     )
     if where is not None:
         features = features.filter(where)
+    # a repeated feature is the same area: its doubled edges would cancel each other
+    features = features.dropDuplicates(["feature_id"])
     polygon = F.from_json("coordinates", "array<array<array<double>>>")
     multi = F.flatten(F.from_json("coordinates", "array<array<array<array<double>>>>"))
     rings = features.withColumn(

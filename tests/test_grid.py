@@ -9,15 +9,15 @@ from tessella.functions import scalars as S
 from tessella.operators.tiles import exact_cover
 from tessella.plans.planning import grid_tiles, land_tiles, plan_summary, plan_tiles, shard_boxes, shard_table
 
-CITIES = {
-    "tokyo": (139.767, 35.681, "east"),
-    "sendai": (140.872, 38.268, "east"),
-    "osaka": (135.502, 34.694, "west"),
-    "nagoya": (136.907, 35.181, "west"),
-    "sapporo": (141.354, 43.062, "north"),
-    "fukuoka": (130.401, 33.590, "south"),
-    "hiroshima": (132.455, 34.385, "south"),
-}
+def around_thresholds(z):
+    """Points half a tile or more to either side of each limit of the four regions, at zoom z."""
+    gap = 360.0 / 2**z
+    north, east, south = 62 / 1.5, 138.0, 133.0
+    return [
+        (south - 3 * gap, north + gap, "north"), (east + 9 * gap, north + gap, "north"), (south + gap, north - gap, "west"),
+        (east + gap, north - gap, "east"), (east + 40 * gap, 0.0, "east"), (east - gap, north - gap, "west"),
+        (south - gap, north - 2 * gap, "south"), (south - 50 * gap, -10.0, "south"), (south + gap, 5.0, "west"),
+    ]
 
 
 def one(spark, **cols):
@@ -57,7 +57,7 @@ def test_shard_boxes_reach_the_edges(spark):
 
 @pytest.mark.parametrize("z", [12, 16, 18])
 def test_quadrants(spark, z):
-    rows = spark.createDataFrame([(n, *v) for n, v in CITIES.items()], "name string, lon double, lat double, want string")
+    rows = spark.createDataFrame(around_thresholds(z), "lon double, lat double, want string")
     x, y = G.lonlat_to_tile("lon", "lat", z)
     got = rows.withColumns({"x": x, "y": y}).withColumn("got", G.quadrant_of_tile(F.lit(z), "x", "y"))
     assert got.filter("got <> want").count() == 0

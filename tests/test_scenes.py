@@ -124,3 +124,20 @@ def test_aoi_rules(spark, views):
     assert got["box", 0] == (10.0, 20.0)
     assert got["wrap", 0] == (170.0, 180.0) and got["wrap", 1] == (-180.0, -170.0)
     assert got["sea", 0] == (56.25, 180.0)  # no land there: the whole land
+
+
+def test_scenes_over_the_antimeridian(spark):
+    scenes = spark.createDataFrame(
+        [("c", "over", "2024-05-01", 3.0, 178.0, -1.0, -178.5, 1.0), ("c", "plain", "2024-05-01", 4.0, 10.0, -1.0, 12.0, 1.0)],
+        "collection_id string, item_id string, d string, cloud double, minx double, miny double, maxx double, maxy double",
+    ).withColumn("acq_date", F.col("d").cast("date")).drop("d")
+    tiles = [(1, -180.0, -179.0), (2, 179.0, 180.0), (3, 9.0, 11.0), (4, -180.0, 180.0), (5, -178.0, -177.0), (6, 170.0, 177.0)]
+    plan = spark.createDataFrame([(8, i, 0, a, -0.5, b, 0.5) for i, a, b in tiles], "z int, x int, y int, minx double, miny double, maxx double, maxy double")
+    plan = plan.selectExpr(
+        "*", "DATE'2024-01-01' AS start_date", "DATE'2024-12-31' AS end_date", "array('c') AS collections", "array('c') AS fallback_collections",
+        "50.0 AS max_cloud", "60.0 AS fallback_max_cloud",
+    )
+    for cell in (1.0, 4.0):
+        got = SC.match_plan_scenes(plan, scenes, cell_deg=cell).filter("role = 'primary'").collect()
+        assert sorted((r.x, r.item_id) for r in got) == [(1, "over"), (2, "over"), (3, "plain"), (4, "over"), (4, "plain")]
+        assert {(r.s_minx, r.s_maxx) for r in got if r.item_id == "over"} == {(178.0, -178.5)}

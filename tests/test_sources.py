@@ -52,11 +52,15 @@ def test_plan_round_trip(spark, tmp_path):
 
 
 def test_plan_split_loses_nothing(spark, tmp_path):
-    keys = [(10, 909, 403, None), (10, 160, 395, None), (10, 909, 404, "77"), (5, 1, 1, None)]
-    plan = spark.createDataFrame(keys, "z int, x bigint, y bigint, shard string")
-    records.write_plan_by_shard(plan, str(tmp_path / "split"))
-    back = spark.read.option("basePath", str(tmp_path / "split")).json(str(tmp_path / "split"), schema="z int, x bigint, y bigint, shard string")
-    assert {(r.z, r.y, r.shard) for r in back.collect()} == {(10, 403, "12"), (10, 395, "01"), (10, 404, "77"), (5, 1, "unassigned")}
+    plan = grid_tiles(spark, 6).select("z", "x", "y").withColumn("shard", F.when(F.col("x") == 7, "own").when(F.col("x") == 8, ""))
+    plan = plan.unionByName(spark.createDataFrame([(3, 2, 5, None)], plan.schema))
+    folder = str(tmp_path / "split")
+    records.write_plan_by_shard(plan, folder)
+    back = spark.read.schema(plan.schema).json(folder).groupBy("shard").count().collect()
+    counts = {r["shard"]: r["count"] for r in back}
+    assert sum(counts.values()) == 4**6 + 1 and counts["own"] == 64 and counts["unassigned"] == 1
+    tagged = records.with_plan_shard(plan).groupBy("shard").count().collect()
+    assert counts == {r["shard"]: r["count"] for r in tagged}
 
 
 def test_plan_defaults_and_rejects(spark):
@@ -71,15 +75,15 @@ def test_archives_round_trip(spark, tmp_path):
     tiles = grid_tiles(spark, 4).withColumn("payload", F.concat("x", F.lit("/"), "y")).withColumn("shard", F.when(F.col("x") < 12, "a").otherwise("b"))
     archives.write_archives(tiles, str(tmp_path), meta={"name": "n"}, rows_per_file=100)
     names = sorted(p.name for p in tmp_path.glob("*.mbtiles"))
-    assert names == ["a_0.mbtiles", "a_1.mbtiles", "b.mbtiles"]
+    assert names == ["a_0.mbtiles", "a_1.mbtiles", "b_0.mbtiles"]
     back = archives.read_archives(spark, str(tmp_path), rows_per_partition=40)
     assert back.rdd.getNumPartitions() > 3
     rows = back.select("z", "x", "y", F.col("payload").cast("string").alias("payload"))
     assert rows.exceptAll(tiles.select("z", "x", "y", "payload")).count() == 0 and rows.count() == 256
-    with sqlite3.connect(tmp_path / "b.mbtiles") as conn:  # rows are TMS on disk
+    with sqlite3.connect(tmp_path / "b_0.mbtiles") as conn:  # rows are TMS on disk
         assert conn.execute("SELECT tile_data FROM tiles WHERE tile_column = 12 AND tile_row = 0").fetchone()[0] == b"12/15"
     meta = {(r.archive, r.name): r.value for r in archives.read_archive_meta(spark, str(tmp_path)).collect()}
-    assert meta["b.mbtiles", "maxzoom"] == "4" and meta["a_0.mbtiles", "name"] == "n"
+    assert meta["b_0.mbtiles", "maxzoom"] == "4" and meta["a_0.mbtiles", "name"] == "n"
 
 
 def test_meta_fills_zooms_and_keeps_bad_text(spark):
@@ -103,3 +107,42 @@ def test_multipolygon_features(spark):
     edges = records.parse_features(lines(spark, [doc], "value"))
     assert edges.count() == 9
     assert records.parse_features(lines(spark, [doc], "value"), where=F.col("properties.name") == "b").count() == 3
+
+
+def test_archives_are_replaced_whole(spark, tmp_path):
+    many = grid_tiles(spark, 3).withColumn("payload", F.lit("a")).withColumn("shard", F.when(F.col("x") < 4, "s"))
+    archives.write_archives(many, str(tmp_path), rows_per_file=10)
+    few = many.filter("x = 0")
+    archives.write_archives(few, str(tmp_path))
+    assert [p.name for p in tmp_path.glob("*.mbtiles")] == ["s_0.mbtiles"]
+    assert archives.read_archives(spark, str(tmp_path)).count() == few.count()
+    archives.write_archives(many.filter("x = 7"), str(tmp_path))
+    assert [p.name for p in tmp_path.glob("*.mbtiles")] == ["unassigned_0.mbtiles"]
+
+
+def test_layers_of_any_depth(spark):
+    nested = "".join(f"<Layer><Name>n{i}</Name>" for i in range(7)) + "<Layer/>" + "</Layer>" * 7
+    doc = f"<WMS><Capability><Layer><Title>root</Title>{nested}</Layer></Capability></WMS>"
+    got = catalogs.parse_layers_xml(lines(spark, [doc], "xml")).collect()
+    assert {r["name"] for r in got} == {f"n{i}" for i in range(7)}
+
+
+def test_repeated_features_count_once(spark):
+    ring = "[[0,0],[4,0],[4,4],[0,4],[0,0]]"
+    one = '{"type":"Feature","properties":{"name":"a"},"geometry":{"type":"Polygon","coordinates":[%s]}}' % ring
+    doc = '{"type":"FeatureCollection","features":[%s]}'
+    single, double = (records.parse_features(lines(spark, [doc % t], "value")) for t in (one, f"{one},{one}"))
+    assert single.count() == 4 and double.exceptAll(single).count() == 0 and double.count() == 4
+    again = records.parse_features(lines(spark, [doc % one, doc % one], "value"))
+    assert again.count() == 4
+
+
+def test_manifest_lines(spark, tmp_path):
+    scenes = spark.createDataFrame([("d1", f"s{i}", 1.5) for i in range(50)] + [("d2", 'q"uote', None)], "day string, item_id string, cloud double")
+    summary = scenes.groupBy("day").agg(F.count("*").alias("n"))
+    records.write_manifests(summary, scenes, "day", str(tmp_path / "m"))
+    back = spark.read.schema("value string, day string").text(str(tmp_path / "m"))
+    got = records.parse_manifest_lines(back, "scene", "item_id string, cloud double")
+    assert got.exceptAll(scenes).count() == 0 and got.count() == scenes.count()
+    assert records.parse_manifest_lines(back, "summary", "n bigint").exceptAll(summary).count() == 0
+    assert records.parse_manifest_lines(lines(spark, ["{broken", "7", '{"scene":1}'], "value"), "scene", "item_id string").count() == 0

@@ -62,3 +62,20 @@ def test_late_rows_are_dropped(spark, tmp_path):
     feed([("2024-01-01 00:00:10", 200, 99), ("2024-01-01 00:10:00", 404, 0)])
     got = {str(r.start)[11:]: (r.ok, r.blocked, r.bytes) for r in spark.read.parquet(str(out)).collect()}
     assert got["00:00:00"] == (1, 1, 10)
+
+
+def test_streams_of_other_checkpoints_add(spark, tmp_path):
+    schema = "z int, x bigint, y bigint, seq bigint, payload string"
+    log = TileLog(str(tmp_path / "log"), ["seq"])
+
+    def feed(source, checkpoint, rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / source))
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / source))
+        log.start(stream, str(tmp_path / checkpoint)).awaitTermination()
+        return {(r.x, r.payload) for r in log.read(spark).collect()}
+
+    assert feed("a", "first", [(1, 0, 0, 1, "a")]) == {(0, "a")}
+    assert feed("b", "second", [(1, 1, 0, 1, "b")]) == {(0, "a"), (1, "b")}
+    assert feed("b", "second", [(1, 0, 0, 0, "later")]) == {(0, "later"), (1, "b")}
+    # the first stream goes on in its generation, below the second
+    assert feed("a", "first", [(1, 0, 0, 9, "older"), (1, 2, 0, 9, "c")]) == {(0, "later"), (1, "b"), (2, "c")}
