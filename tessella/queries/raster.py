@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from tessella.functions.grid import Box
 from tessella.operators import chunks as CH
 from tessella.operators import pixels as PX
+from tessella.operators import planes as PL
 from tessella.operators.regions import clip_pixels, land_in_region, polygon_cover
 from tessella.plans.planning import land_tiles
 from tessella.queries import query
@@ -32,6 +33,15 @@ def visible_pixels(chunks, keys):
     )
 
 
+def plane_columns(chunks, keys, names):
+    """Chunks of several planes to one row per pixel, a column per plane."""
+    area = F.col("w") * F.col("h")
+    planes = [F.slice("data", F.lit(i) * area + 1, area).alias(n) for i, n in enumerate(names)]
+    rows = chunks.select(*keys, "w", *planes).select(*keys, "w", F.posexplode(F.arrays_zip(*names)).alias("pos", "c"))
+    px, py = (F.col("pos") % F.col("w")).cast("int"), F.floor(F.col("pos") / F.col("w")).cast("int")
+    return rows.select(*keys, px.alias("px"), py.alias("py"), "c.*")
+
+
 def stack_chunks(v):
     return CH.assemble_chunks(v.fx_stack, ["scene", "band", *TILE], 16, 16)
 
@@ -125,7 +135,11 @@ def _(v):
     SELECT scene, x, y, px, py, max(CASE WHEN band = 2 THEN dn END) AS r, max(CASE WHEN band = 1 THEN dn END) AS g, max(CASE WHEN band = 0 THEN dn END) AS b
     FROM {fx_stack} GROUP BY scene, x, y, px, py HAVING count(DISTINCT band) = 3""")
 def _(v):
-    return PX.band_stack(v.fx_stack, ["scene", "x", "y", "px", "py"], (2, 1, 0))
+    keys = ["scene", *TILE]
+    stacked = PL.band_stack_chunks(stack_chunks(v), keys, (2, 1, 0))
+    # pixels that all three bands hold: chunks have no absent pixels
+    whole = v.fx_stack.groupBy("scene", "x", "y", "px", "py").agg(F.countDistinct("band").alias("n")).filter("n = 3")
+    return plane_columns(stacked, ["scene", "x", "y"], "rgb").join(whole.drop("n"), ["scene", "x", "y", "px", "py"], "left_semi")
 
 
 @query("ras_stretch", """
@@ -176,8 +190,11 @@ def _(v):
 @query("ras_nodata_alpha", """
     SELECT ord, x, y, px, py, CASE WHEN r = 0 AND g = 0 AND b = 0 THEN 0 ELSE 255 END AS alpha FROM (SELECT ord, x, y, px, py, r % 3 AS r, g % 3 AS g, b % 3 AS b FROM {fx_rgba}) AS t""")
 def _(v):
-    low = v.fx_rgba.select("ord", "x", "y", "px", "py", *[(F.col(n) % 3).alias(n) for n in "rgb"])
-    return low.select("ord", "x", "y", "px", "py", PX.nodata_alpha(["r", "g", "b"]).alias("alpha"))
+    at = ["ord", "x", "y", "px", "py"]
+    low = v.fx_rgba.select("z", *at, *[(F.col(n) % 3).alias(n) for n in "rgb"])
+    chunks = CH.assemble_chunks(low, ["ord", *TILE], 8, 8, ["r", "g", "b"])
+    done = plane_columns(PL.nodata_alpha_chunks(chunks, ["ord", *TILE]), ["ord", "x", "y"], ["r", "g", "b", "alpha"])
+    return done.select(*at, "alpha").join(low, at, "left_semi")
 
 
 RAMP = ((-2000, 8, 24, 58), (-500, 20, 70, 140), (0, 120, 180, 220), (800, 90, 140, 60), (2000, 240, 240, 235))
@@ -192,8 +209,9 @@ def _ramp_sql(i):
 
 @query("ras_color_relief", f"SELECT x, y, px, py, {_ramp_sql(1)} AS r, {_ramp_sql(2)} AS g, {_ramp_sql(3)} AS b, 255 AS a FROM {{fx_elev}}")
 def _(v):
-    colours = PX.color_relief("elev", RAMP)
-    return v.fx_elev.select("x", "y", "px", "py", *[c.alias(n) for n, c in colours.items()])
+    elev = CH.assemble_chunks(v.fx_elev.withColumnRenamed("elev", "dn"), TILE, 16, 16)
+    done = plane_columns(PL.color_relief_chunks(elev, TILE, RAMP), ["x", "y"], "rgba")
+    return done.join(v.fx_elev, ["x", "y", "px", "py"], "left_semi")
 
 
 # every tile of the zoom holds data, so the raster is one 128 by 128 grid whose outer
@@ -216,9 +234,11 @@ def _(v):
     SELECT b.x, b.y, b.px, b.py, round(b.r * 0.65E0 + t.r * 0.35E0, 9) AS r FROM (SELECT * FROM {fx_rgba} WHERE ord = 0) AS b JOIN (SELECT * FROM {fx_rgba} WHERE ord = 1) AS t USING (x, y, px, py)""")
 def _(v):
     at = ["x", "y", "px", "py"]
-    base = v.fx_rgba.filter(F.col("ord") == 0).select(*at, F.col("r").alias("a"))
-    top = v.fx_rgba.filter(F.col("ord") == 1).select(*at, F.col("r").alias("b"))
-    return base.join(top, at).select(*at, F.round(PX.blended("a", "b", 0.35), 9).alias("r"))
+    layer = lambda i: v.fx_rgba.filter(F.col("ord") == i)
+    chunk = lambda i: CH.assemble_chunks(layer(i).select(*TILE, "px", "py", F.col("r").alias("dn")), TILE, 8, 8)
+    done = CH.explode_chunks(PL.blend_chunks(chunk(0), chunk(1), TILE, 0.35), ["x", "y"], "r")
+    both = layer(0).join(layer(1), at, "left_semi")
+    return done.select(*at, F.round("r", 9).alias("r")).join(both, at, "left_semi")
 
 
 @query("ras_over", """

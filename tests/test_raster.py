@@ -2,9 +2,11 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tessella.functions.grid import Box
 from tessella.operators import chunks as CH
 from tessella.operators import kernels as K
 from tessella.operators import pixels as PX
+from tessella.operators import planes as PL
 from tessella.operators import regions as R
 from tessella.operators import stats
 from tessella.plans import mosaics, planet
@@ -270,3 +272,30 @@ def test_planet_folds_in_order(spark):
     with pytest.raises(ValueError, match="ceiling"):
         planet.build_planet(table, 0, "bmng", 9, [], 2)
     assert len(planet.overlay_faults("bmng", 8, [planet.Overlay("a", "hls", 1, (), 13, 14), planet.Overlay("a", "hls", 1, (), 12)])) == 3
+
+
+def test_chunk_crop_keeps_the_pixels_of_the_box(spark, views):
+    keys = ["scene", "band", "z", "x", "y"]
+    pixels = views.fx_stack.filter("dn <> 0")
+    lon = pixels.agg(F.min("x"), F.max("x")).first()
+    box = Box(-180.0, 84.9, (lon[0] + lon[1]) / 2 / 2**14 * 360.0 - 180.0, 85.05)
+    chunks_ = CH.assemble_chunks(pixels, keys, 16, 16)
+    cropped = CH.explode_chunks(PL.crop_box_chunks(chunks_, keys, box, 14), keys).filter("dn <> 0").drop("plane")
+    want = PX.crop_box(pixels, box, 14, 16).select(*keys, "px", "py", "dn")
+    cols = [*keys, "px", "py", "dn"]
+    assert 0 < want.count() < pixels.count()
+    assert cropped.select(cols).exceptAll(want.select(cols)).count() == 0 and cropped.count() == want.count()
+
+
+def test_relief_and_alpha_of_odd_chunks(spark):
+    rows = [(0, 1, 0, 0, 2, 1, [-500, 0]), (1, 1, 1, 0, 1, 1, [7]), (2, 1, 1, 1, 2, 2, [])]
+    table = chunks(spark, rows)
+    ramp = [(100, 200, 100, 50), (-100, 0, 0, 0)]
+    got = {r.src: r.data for r in PL.color_relief_chunks(table, ["src"], ramp).collect()}
+    assert got[0] == [0, 100, 0, 50, 0, 25, 255, 255] and 2 not in got
+    alpha = {r.src: r.data for r in PL.nodata_alpha_chunks(table, ["src"]).collect()}
+    assert alpha[0] == [-500, 0, 255, 0]
+    with pytest.raises(ValueError):
+        PL.color_relief_chunks(table, ["src"], [(0, 1, 2)])
+    mixed = PL.blend_chunks(table, table.withColumn("data", F.transform("data", lambda d: d + 10)), ["src"], 2.0)
+    assert {r.src: r.data for r in mixed.collect()}[0] == [-490.0, 10.0]
