@@ -17,7 +17,7 @@ from tessella.session import local_session
 HEADLINE = (
     "src_tile_catalog win_last_wins set_union_tiles join_overlay_wins join_nearest_ancestor agg_tile_dedup "
     "join_plan_scenes win_scene_stack pipe_scene_manifest top_best_at_point flt_region_polygon "
-    "agg_pixel_median win_priority_pixel ras_dilate ras_median_rgb ras_overzoom_stack ras_stitch ras_overviews pipe_clean_mosaic"
+    "agg_pixel_median win_priority_pixel ras_dilate ras_median_rgb ras_overzoom_stack ras_stitch ras_overviews pipe_clean_mosaic pipe_planet pipe_tileset"
 ).split()
 
 

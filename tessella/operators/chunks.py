@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tessella.functions.grid import shl, shr
 from tessella.operators import kernels
 from tessella.operators.skew import unsized
-from tessella.operators.tiles import KEY, for_sources, nearest_ancestor, union_tiles
+from tessella.operators.tiles import KEY, for_sources, nearest_ancestor
 from tessella.session import cut_lineage
 
 OUT_VALUES = 8_000_000  # values of one output batch
@@ -546,11 +546,6 @@ def resize_chunks(
     return chunks.select(*names, "w", "h", "data").mapInArrow(run, _types(chunks, names) + "w int, h int, data array<int>")
 
 
-def merged_tiles(base: DataFrame, overlay: DataFrame) -> DataFrame:
-    """Whole-tile replacement by key."""
-    return union_tiles([overlay, base.select(*overlay.columns)])
-
-
 def panels_to_chunks(panels: DataFrame, keys: list[str]) -> DataFrame:
     """Panels laid out on one canvas: (col, row) of a panel become its chunk position.
 

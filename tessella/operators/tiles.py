@@ -55,8 +55,14 @@ def union_meta(metas: list[DataFrame], zooms: DataFrame, overrides: dict[str, st
 
 
 def overlay_wins(base: DataFrame, overlay: DataFrame, keys=KEY) -> DataFrame:
-    """All overlay tiles and the base tiles they do not replace, in one shuffle."""
-    return union_tiles([overlay, base.select(*overlay.columns)], keys)
+    """All overlay tiles and the base tiles they do not replace.
+
+    Only the overlay's keys meet the base, so the base's payload is not moved when the
+    planner finds them small. The overlay is read twice: pass a stored (or checkpointed)
+    table. Keys are unique on either side.
+    """
+    kept = base.select(*overlay.columns).join(overlay.select(*keys), keys, "left_anti")
+    return overlay.unionByName(kept)
 
 
 def upsert(stored: DataFrame, fresh: DataFrame, order: list[str], keys=KEY) -> DataFrame:

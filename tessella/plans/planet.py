@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tessella import constants as C
 from tessella.operators import chunks as CH
-from tessella.operators.tiles import KEY
+from tessella.operators.tiles import KEY, overlay_wins
 from tessella.plans.planning import box_tiles
 from tessella.session import cut_lineage, inline_table
 
@@ -55,13 +55,14 @@ def stack_requests(spark, overlay: Overlay, first_zoom: int) -> DataFrame:
 
 def build_planet(
     tiles: DataFrame, base_src: int, base_source: str, base_max: int, overlays: list[Overlay],
-    size: int, method: str = "nearest", checkpoint: bool = False,
+    size: int, method: str = "nearest", checkpoint: bool = True,
 ) -> DataFrame:
     """Fold ordered overlays over a base.
 
     Each overlay is composed over its area from every source so far, filling by
-    overzoom, and replaces the planet's tiles there. ``checkpoint`` cuts the lineage
-    after each overlay, for long lists.
+    overzoom, and replaces the planet's tiles there. ``checkpoint`` stores each composed
+    overlay, which is read twice; the planet itself is never rewritten, only its keys are
+    compared with the overlay's.
     """
     faults = overlay_faults(base_source, base_max, overlays)
     if faults:
@@ -73,9 +74,7 @@ def build_planet(
         sources.append(overlay.src)
         requests = stack_requests(tiles.sparkSession, overlay, base_max + 1)
         stack = CH.overzoom_stack(requests, tiles, list(sources), size, method)
-        planet = CH.merged_tiles(planet, stack)
-        if checkpoint:
-            planet = cut_lineage(planet)
+        planet = overlay_wins(planet, (cut_lineage(stack) if checkpoint else stack).select(*names))
     return planet
 
 

@@ -10,6 +10,7 @@ from tessella.operators.chunks import assemble_chunks, composite_tiles
 from tessella.operators.pixels import mask_pixels
 from tessella.plans.planning import grid_tiles, plan_tiles
 from tessella.queries import query
+from tessella.session import cut_lineage
 from tessella.queries.filters import BOUNDS, LAND, POINT_TILES, point_tiles
 from tessella.queries.scalars import SHARDS
 
@@ -54,7 +55,7 @@ NEWEST = "(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY src, z, x, y
 def _(v):
     newest = T.last_wins(v.fx_tiles, ["seq"], ["src", "z", "x", "y"]).select("src", "z", "x", "y", "seq", "payload")
     base, overlay = (newest.filter(F.col("src") == i).drop("src") for i in (0, 1))
-    return T.overlay_wins(base, overlay)
+    return T.overlay_wins(base, cut_lineage(overlay))
 
 
 @query("join_alpha_composite", """
