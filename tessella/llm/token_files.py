@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tessella.llm.arrow import map_batches
 from tessella.llm.registry import query, table
-from tessella.llm.tokenizing import TextEncoder
+from tessella.llm.tokenizing import worker_encoder
 from tessella.session import shared_folder
 
 BLOCK = 1024
@@ -210,7 +210,7 @@ def write_tokens(
 
         for batch in batches:
             if writer is None and len(batch["id"]):
-                encoder, writer = TextEncoder(tokenizer), TokenFileWriter(folder, _name(number), share)
+                encoder, writer = worker_encoder(tokenizer), TokenFileWriter(folder, _name(number), share)
             ids, texts, held = [], [], 0
             for doc, body in zip(batch["id"], batch["text"]):
                 ids.append(doc.as_py())

@@ -4,38 +4,83 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+import types
+from itertools import chain
 
 import numpy as np
 
 #: Places where the byte-level pattern always starts a new piece: before a single space,
 #: before and after a line feed, between two characters that are no white space.
 _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)|(?<=\S\n)(?=\S)")
-_PLAIN = re.compile(r" ?\S+")
-_KEPT = 400_000
+#: A word of Latin letters and the ASCII signs after it: the pattern's own two pieces.
+_WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([!-/:-@\[-`{-~]*)")
+_KEPT = 300_000
 _FEED, _BARE = "\n", "\0"
 
 
-class _Numbers(dict):
-    """Chunk to number; a new chunk gets the next one and is listed.
+def _byte_letters() -> dict[int, str]:
+    """The byte-level alphabet: printable Latin-1 bytes stand for themselves, the rest follows from 256 on."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(others)}
 
-    A chunk is a word after a space, or has a mark in front: ``_FEED`` after a line feed,
-    ``_BARE`` as it stands.
-    """
 
-    def __init__(self):
+_LETTERS = _byte_letters()
+
+
+class _Numbers(dict):
+    """Text to number; a new text gets the next one and is listed."""
+
+    def __init__(self, *first: str):
         self.listed: list[str] = []
+        for text in first:
+            self[text]
 
-    def __missing__(self, chunk: str) -> int:
-        self[chunk] = number = len(self.listed)
-        self.listed.append(chunk)
+    def __missing__(self, text: str) -> int:
+        self[text] = number = len(self.listed)
+        self.listed.append(text)
         return number
 
 
+class _Store:
+    """Ids of numbered texts in one flat array."""
+
+    def __init__(self):
+        self.sizes, self.starts, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+
+    def add(self, sizes: np.ndarray, flat: np.ndarray, order: np.ndarray | None = None):
+        """New texts' sizes, and their ids in the order given (else in theirs)."""
+        order = np.arange(len(sizes)) if order is None else order
+        starts = np.zeros(len(sizes), np.int64)
+        starts[order] = len(self.flat) + np.cumsum(sizes[order]) - sizes[order]
+        self.starts = np.concatenate([self.starts, starts])
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.flat = np.concatenate([self.flat, flat])
+
+    def ids(self, numbers: np.ndarray) -> np.ndarray:
+        sizes = self.sizes[numbers]
+        ends = np.cumsum(sizes)
+        at = np.repeat(self.starts[numbers] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+        return self.flat[at]
+
+
+def worker_encoder(path: str) -> "TextEncoder":
+    """This process's encoder: a worker that runs several tasks keeps the chunks it knows."""
+    state = sys.modules.setdefault("tessella_worker_state", types.ModuleType("tessella_worker_state")).__dict__
+    known = state.setdefault("encoders", {})
+    if path not in known:
+        known[path] = TextEncoder(path)
+    return known[path]
+
+
 class TextEncoder:
     """Encodes whole texts, each distinct chunk between two safe cuts only once.
 
     The byte-level pattern never matches across a safe cut, so the ids of a text are those
-    of its chunks, one after the other. Other kinds of tokenizers get the whole text.
+    of its chunks, one after the other. A chunk that is a word with signs after it is two
+    pieces of the pattern, which go to the model at once. Other kinds of tokenizers get the
+    whole text.
     """
 
     def __init__(self, path: str):
@@ -45,29 +90,37 @@ class TextEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         split = str(self.tokenizer.pre_tokenizer)
         self.cuts = self.tokenizer.normalizer is None and split == "ByteLevel(add_prefix_space=False, trim_offsets=True, use_regex=True)"
+        model = self.tokenizer.model
+        if hasattr(model, "_resize_cache"):
+            model._resize_cache(0)  # every text it sees is new
+        #: The same model for single pieces in byte letters.
+        self.pieced = Tokenizer(model)
         self._clear()
 
     def _clear(self):
-        self.numbers = _Numbers()
-        self.sizes = np.zeros(0, np.int64)
-        self.starts = np.zeros(0, np.int64)
-        self.flat = np.zeros(0, np.uint32)
-
-    def _ids(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, dtype=np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        self.numbers, self.chunks = _Numbers(), _Store()
+        self.piece_numbers, self.pieces = _Numbers(""), _Store()
+        self.pieces.add(np.zeros(1, np.int64), np.zeros(0, np.uint32))
+        self.uses = np.zeros(0, np.int64)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if not self.cuts:
-            return self._ids(texts)
+            return self._ids(self.tokenizer, texts)
         if len(self.numbers) > _KEPT:
-            self._clear()
-        parts = [self._chunks(t) for t in texts]
+            self._forget()
+        parts = [self._chunked(t) for t in texts]
         numbers = [np.fromiter(map(self.numbers.__getitem__, p), np.int64, len(p)) for p in parts]
         self._learn()
-        return [self._gather(n) for n in numbers]
+        self.uses += np.bincount(np.concatenate(numbers), minlength=len(self.uses))
+        return [self.chunks.ids(n) for n in numbers]
 
     @staticmethod
-    def _chunks(text: str) -> list[str]:
+    def _ids(tokenizer, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, dtype=np.uint32) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    @staticmethod
+    def _chunked(text: str) -> list[str]:
+        """Words after a space, as they are; after a line feed or as they stand, with a mark."""
         words = text.split()
         if not words:
             return [_BARE + text] if text else []
@@ -82,45 +135,50 @@ class TextEncoder:
         words[0] = _BARE + words[0][1:]
         return words
 
-    def _gather(self, numbers: np.ndarray) -> np.ndarray:
-        sizes = self.sizes[numbers]
-        ends = np.cumsum(sizes)
-        at = np.repeat(self.starts[numbers] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
-        return self.flat[at]
+    def _forget(self):
+        """Drop the chunks seen only once since the last time; all, if that is not enough."""
+        keep = np.flatnonzero(self.uses > 1)
+        if len(keep) > _KEPT // 2:
+            return self._clear()
+        flat, sizes, listed = self.chunks.ids(keep), self.chunks.sizes[keep], self.numbers.listed
+        self._clear()
+        for at in keep.tolist():
+            self.numbers[listed[at]]
+        self.chunks.add(sizes, flat)
+        self.uses = np.zeros(len(keep), np.int64)
 
     def _learn(self):
-        """Encode the new chunks, those without line feeds many at a time.
-
-        A line feed before a chunk is an id of its own, so it tells where a chunk ends.
-        """
-        new = self.numbers.listed[len(self.sizes):]
+        new = self.numbers.listed[len(self.chunks.sizes):]
         if not new:
             return
-        feed = self._ids(["\n"])[0]
-        fed = np.array([c[0] == _FEED for c in new]) if len(feed) == 1 else np.zeros(len(new), bool)
-        new = [c[1:] if c[0] == _BARE or fed[i] else c if c[0] == _FEED else " " + c for i, c in enumerate(new)]
-        joined = [i for i, c in enumerate(new) if _PLAIN.fullmatch(c)] if len(feed) == 1 else []
-        apart = sorted(set(range(len(new))) - set(joined))
-        groups = []
-        for at in range(0, len(joined), 1000):
-            part = joined[at:at + 1000]
-            ids = self._ids(["\n" + "\n".join(new[i] for i in part)])[0]
-            ends = np.flatnonzero(ids == feed[0])
-            if len(ends) == len(part):
-                groups.append((part, ids[ids != feed[0]], np.diff(np.append(ends, len(ids))) - 1))
+        known, rows = self.piece_numbers, np.zeros((len(new), 3), np.int64)
+        for row, chunk in zip(rows, new):
+            mark = chunk[0]
+            body, lead = (chunk[1:], "") if mark in (_FEED, _BARE) else (chunk, " ")
+            if mark == _FEED:
+                row[0] = known[_BARE + _FEED]
+            word = _WORD.fullmatch(body)
+            if word:
+                row[1] = known[lead + word[1]]
+                if word[2]:
+                    row[2] = known[word[2]]
             else:
-                apart += part
-        if apart:
-            groups += [([i], ids, np.array([len(ids)])) for i, ids in zip(apart, self._ids([new[i] for i in apart]))]
-        sizes, starts, at = np.zeros(len(new), np.int64), np.zeros(len(new), np.int64), len(self.flat)
-        for g, (part, ids, each) in enumerate(groups):
-            lead = fed[part]
-            if lead.any():
-                ids = np.insert(ids, (np.cumsum(each) - each)[lead], feed[0])
-                each = each + lead
-                groups[g] = part, ids, each
-            sizes[part] = each
-            starts[part] = at + np.cumsum(each) - each
-            at += len(ids)
-        self.flat = np.concatenate([self.flat, *(ids for _, ids, _ in groups)])
-        self.sizes, self.starts = np.concatenate([self.sizes, sizes]), np.concatenate([self.starts, starts])
+                row[1] = known[_BARE + lead + body]
+        self._learn_pieces()
+        self.chunks.add(self.pieces.sizes[rows].sum(axis=1), self.pieces.ids(rows.ravel()))
+        self.uses = np.append(self.uses, np.zeros(len(new), np.int64))
+
+    def _learn_pieces(self):
+        """Single pieces go to the model in byte letters, marked texts through the whole tokenizer."""
+        new = self.piece_numbers.listed[len(self.pieces.sizes):]
+        if not new:
+            return
+        whole = [i for i, p in enumerate(new) if p[0] == _BARE]
+        single = [i for i, p in enumerate(new) if p[0] != _BARE]
+        letters = [p.replace(" ", _LETTERS[32]) if p.isascii() else p.encode().decode("latin-1").translate(_LETTERS) for p in map(new.__getitem__, single)]
+        found = [e.ids for e in self.tokenizer.encode_batch_fast([new[i][1:] for i in whole], add_special_tokens=False)]
+        found += [e.ids for e in self.pieced.encode_batch_fast(letters, add_special_tokens=False)]
+        order = np.array(whole + single)
+        sizes = np.zeros(len(new), np.int64)
+        sizes[order] = np.fromiter(map(len, found), np.int64, len(found))
+        self.pieces.add(sizes, np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum())), order)
