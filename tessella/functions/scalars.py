@@ -152,13 +152,17 @@ def season_window(lat, year: int, seasons=C.SEASONS):
     )
 
 
-def product_parts(product_id, prefix) -> tuple[Column, Column]:
-    """Acquisition date and grid tile of ``<product>_YYYYDDD_hXXvYY``; nulls when malformed."""
+def product_parts(product_id, *prefixes: str) -> tuple[Column, Column]:
+    """Acquisition date and grid tile of ``<product>_YYYYDDD_hXXvYY`` of any of the products.
+
+    Nulls when malformed.
+    """
     text = col(product_id)
     code = F.split_part(text, F.lit("_"), F.lit(3))
     tile = F.lower(F.split_part(text, F.lit("_"), F.lit(4)))
     instant = F.try_to_timestamp(F.when(code.rlike("^[0-9]{7}$"), code), F.lit("yyyyDDD"))
-    ok = text.startswith(prefix) & tile.startswith("h") & tile.contains("v")
+    known = reduce(lambda a, b: a | b, [text.startswith(p) for p in prefixes])
+    ok = known & tile.startswith("h") & tile.contains("v")
     return F.when(ok, F.to_date(instant)), F.when(ok & instant.isNotNull(), tile)
 
 

@@ -95,13 +95,16 @@ def _(v):
 
 
 @query("pipe_product_worklist", f"""
-    SELECT make_date(CAST(substr(code, 1, 4) AS INT), 1, 1) + (CAST(substr(code, 5, 3) AS INT) - 1) AS acquired,
+    SELECT family, make_date(CAST(substr(code, 1, 4) AS INT), 1, 1) + (CAST(substr(code, 5, 3) AS INT) - 1) AS acquired,
            coalesce(string_agg(DISTINCT CASE WHEN NOT have THEN tile END, ',' ORDER BY CASE WHEN NOT have THEN tile END), '') AS tiles, count(*) FILTER (WHERE have) AS reused
-    FROM (SELECT *, product_id IN (SELECT product_id FROM {{fx_products}} WHERE o_orderstatus = 'F') AS have FROM ({PRODUCT}) AS q WHERE ok) AS t GROUP BY 1""")
+    FROM (SELECT *, product_id IN (SELECT product_id FROM {{fx_products}} WHERE o_orderstatus = 'F') AS have FROM ({PRODUCT}) AS q WHERE ok) AS t GROUP BY 1, 2""")
 def _(v):
     existing = v.fx_products.filter(F.col("o_orderstatus") == "F")
-    work = manifests.product_worklist(v.fx_products, existing, "modis_mcd43a4_")
-    return work.select("acquired", F.array_join("tiles", ",").alias("tiles"), "reused")
+    parts = []
+    for prefix in ("modis_mcd43a4_", "viirs_vnp09ga_"):
+        work = manifests.product_worklist(v.fx_products, existing, prefix)
+        parts.append(work.select(F.lit(prefix.split("_")[0]).alias("family"), "acquired", F.array_join("tiles", ",").alias("tiles"), "reused"))
+    return parts[0].unionByName(parts[1])
 
 
 @query("pipe_clean_mosaic", f"""

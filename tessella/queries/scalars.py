@@ -246,19 +246,19 @@ def _(v):
 
 PRODUCT = """
     SELECT *, date_ok AND tile_ok AS ok FROM (
-      SELECT product_id, o_orderkey, o_orderstatus, split_part(product_id, '_', 3) AS code, split_part(product_id, '_', 4) AS tile,
+      SELECT product_id, split_part(product_id, '_', 1) AS family, o_orderkey, o_orderstatus, split_part(product_id, '_', 3) AS code, split_part(product_id, '_', 4) AS tile,
              regexp_matches(split_part(product_id, '_', 3), '^[0-9]{7}$')
                AND TRY_CAST(substr(split_part(product_id, '_', 3), 5, 3) AS INT) BETWEEN 1 AND
                    CASE WHEN TRY_CAST(substr(split_part(product_id, '_', 3), 1, 4) AS INT) % 4 = 0 THEN 366 ELSE 365 END AS date_ok,
              split_part(product_id, '_', 4) LIKE 'h%v%' AS tile_ok
-      FROM {fx_products} WHERE starts_with(product_id, 'modis_mcd43a4_')) AS p"""
+      FROM {fx_products} WHERE starts_with(product_id, 'modis_mcd43a4_') OR starts_with(product_id, 'viirs_vnp09ga_')) AS p"""
 
 
 @query("fn_product_id_parse", f"""
     SELECT product_id, make_date(CAST(substr(code, 1, 4) AS INT), 1, 1) + (CAST(substr(code, 5, 3) AS INT) - 1) AS acquired, tile
     FROM ({PRODUCT}) AS q WHERE ok""")
 def _(v):
-    acquired, tile = S.product_parts("product_id", "modis_mcd43a4_")
+    acquired, tile = S.product_parts("product_id", "modis_mcd43a4_", "viirs_vnp09ga_")
     return pinned(v.fx_products.select("product_id"), acquired=acquired, tile=tile).dropna()
 
 
