@@ -44,9 +44,12 @@ def _(v):
     return bounds.select("src", *[F.round(n, 9).alias(n) for n in ("minx", "miny", "maxx", "maxy")])
 
 
-@query("agg_weight_grid", """
+WEIGHTS = """
     SELECT g.x, g.y, coalesce(w, 0) AS w FROM (SELECT a.i AS x, b.i AS y FROM range(64) AS a(i), range(64) AS b(i)) AS g
-    LEFT JOIN (SELECT x >> (z - 6) AS x, y >> (z - 6) AS y, count(*) AS w FROM {fx_tiles} GROUP BY 1, 2) AS t ON g.x = t.x AND g.y = t.y""")
+    LEFT JOIN (SELECT x >> (z - 6) AS x, y >> (z - 6) AS y, count(*) AS w FROM {fx_tiles} GROUP BY 1, 2) AS t ON g.x = t.x AND g.y = t.y"""
+
+
+@query("agg_weight_grid", WEIGHTS)
 def _(v):
     return stats.weight_grid(v.fx_tiles, grid_tiles(v.spark, 6), 6)
 
@@ -59,7 +62,26 @@ def _(v):
     return balance.select("shard", "tiles", F.round("share", 9).alias("share"), F.round("ratio", 9).alias("ratio"))
 
 
-@query("agg_balanced_partition")
+def _bisected(leaves: int, side: int, levels: int) -> str:
+    """The recursive split as one pair of steps per level: the cuts, then the halves."""
+    steps = [f"b0 AS (SELECT '' AS path, 0 AS x0, 0 AS y0, {side} AS x1, {side} AS y1, {leaves} AS n)"]
+    for k in range(levels):
+        steps.append(f"""c{k} AS (SELECT *, CASE WHEN onx THEN x0 ELSE y0 END + l - 1 AS lo, CASE WHEN onx THEN x1 ELSE y1 END - (n - l) AS hi FROM (
+            SELECT *, n // 2 AS l, (x1 - x0 >= y1 - y0 AND x1 - x0 + 1 >= n) OR y1 - y0 + 1 < n AS onx FROM b{k} WHERE n > 1) AS t)""")
+        steps.append(f"""k{k} AS (SELECT path, line AS cut FROM (
+            SELECT path, line, row_number() OVER (PARTITION BY path ORDER BY abs(run - total * l / n), line) AS r FROM (
+              SELECT *, sum(w) OVER (PARTITION BY path ORDER BY line) AS run, sum(w) OVER (PARTITION BY path) AS total FROM (
+                SELECT path, l, n, lo, hi, CASE WHEN onx THEN x ELSE y END AS line, sum(w) AS w
+                FROM c{k} JOIN cells ON x BETWEEN x0 AND x1 AND y BETWEEN y0 AND y1 GROUP BY ALL) AS a) AS b WHERE line BETWEEN lo AND hi) AS d WHERE r = 1)""")
+        steps.append(f"""b{k + 1} AS (SELECT path, x0, y0, x1, y1, n FROM b{k} WHERE n = 1
+            UNION ALL SELECT path || '0', x0, y0, CASE WHEN onx THEN cut ELSE x1 END, CASE WHEN onx THEN y1 ELSE cut END, l FROM c{k} JOIN k{k} USING (path)
+            UNION ALL SELECT path || '1', CASE WHEN onx THEN cut + 1 ELSE x0 END, CASE WHEN onx THEN y0 ELSE cut + 1 END, x1, y1, n - l FROM c{k} JOIN k{k} USING (path))""")
+    return f"""WITH cells AS MATERIALIZED ({WEIGHTS}), {", ".join(steps)}
+    SELECT lpad(CAST(rank AS VARCHAR), 2, '0') AS shard, CAST(x0 AS INT) AS minx, CAST(y0 AS INT) AS miny, CAST(x1 AS INT) AS maxx, CAST(y1 AS INT) AS maxy, CAST(sum(w) AS BIGINT) AS w
+    FROM (SELECT *, row_number() OVER (ORDER BY path) - 1 AS rank FROM b{levels}) AS r JOIN cells ON x BETWEEN x0 AND x1 AND y BETWEEN y0 AND y1 GROUP BY ALL"""
+
+
+@query("agg_balanced_partition", _bisected(18, 63, 5))
 def _(v):
     grid = stats.weight_grid(v.fx_tiles, grid_tiles(v.spark, 6), 6)
     return balanced_partition(grid, 18, (0, 0, 63, 63))
