@@ -6,8 +6,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tessella import constants as C
+from tessella.functions.grid import tile_bounds
 from tessella.operators import chunks as CH
 from tessella.operators.tiles import KEY, overlay_wins
 from tessella.plans.planning import box_tiles
@@ -87,3 +89,18 @@ def tileset_report(chunks: DataFrame, by: str = "z", planes: int | None = None)
     return per.groupBy(by).agg(
         F.sum("n").alias("tiles"), F.count("*").alias("contents"), F.bool_and("ok").alias("valid")
     )
+
+
+def tileset_summary(chunks: DataFrame, planes: int | None = None) -> DataFrame:
+    """The report of each zoom with the tile set's bounds, centre and zoom range.
+
+    The bounds are the envelope of the finest zoom. The windows see one row per zoom.
+    """
+    spans = chunks.groupBy("z").agg(F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1"))
+    whole = Window.orderBy(F.desc("z")).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    finest = F.first(F.struct(F.col("z").alias("fz"), "x0", "x1", "y0", "y1")).over(whole)
+    about = spans.select("z", F.min("z").over(whole).alias("minzoom"), F.max("z").over(whole).alias("maxzoom"), finest.alias("f")).select("z", "minzoom", "maxzoom", "f.*")
+    first, last = tile_bounds("fz", "x0", "y0"), tile_bounds("fz", "x1", "y1")
+    about = about.select("z", "minzoom", "maxzoom", first.minx.alias("minx"), last.miny.alias("miny"), last.maxx.alias("maxx"), first.maxy.alias("maxy"))
+    middle = {"center_lon": (F.col("minx") + F.col("maxx")) / 2, "center_lat": (F.col("miny") + F.col("maxy")) / 2}
+    return tileset_report(chunks, "z", planes).join(about.withColumns(middle), "z")

@@ -149,13 +149,19 @@ def _(v):
 @query("pipe_tileset", f"""
     WITH finest AS (SELECT DISTINCT gx // 16 AS x, gy // 16 AS y FROM (
         SELECT a.i AS gx, b.i AS gy, floor((a.i + 0.5) / 512 * 360.0 - 180.0) AS lon, ceil(degrees(atan(sinh(pi() * (1.0 - 2.0 * (b.i + 0.5) / 512))))) AS lat
-        FROM range(512) AS a(i), range(512) AS b(i)) AS g JOIN ({CELLS}) AS c USING (lon, lat))
-    SELECT CAST(z AS INT) AS z, CAST(count(*) AS BIGINT) AS tiles, true AS valid FROM (SELECT DISTINCT z, x >> (5 - z) AS x, y >> (5 - z) AS y FROM finest, range(2, 6) AS l(z)) AS t GROUP BY z""")
+        FROM range(512) AS a(i), range(512) AS b(i)) AS g JOIN ({CELLS}) AS c USING (lon, lat)),
+    box AS (SELECT min(x) / 32.0 * 360.0 - 180.0 AS minx, (max(x) + 1) / 32.0 * 360.0 - 180.0 AS maxx,
+                   degrees(atan(sinh(pi() * (1.0 - 2.0 * (max(y) + 1) / 32.0)))) AS miny, degrees(atan(sinh(pi() * (1.0 - 2.0 * min(y) / 32.0)))) AS maxy FROM finest)
+    SELECT CAST(z AS INT) AS z, CAST(count(*) AS BIGINT) AS tiles, count(*) > 0 AS valid, 2 AS minzoom, 5 AS maxzoom, round(any_value(minx), 7) AS minx, round(any_value(miny), 7) AS miny,
+           round(any_value(maxx), 7) AS maxx, round(any_value(maxy), 7) AS maxy, round(any_value(minx + maxx) / 2, 7) AS center_lon, round(any_value(miny + maxy) / 2, 7) AS center_lat
+    FROM (SELECT DISTINCT z, x >> (5 - z) AS x, y >> (5 - z) AS y FROM finest, range(2, 6) AS l(z)) AS t, box GROUP BY z""")
 def _(v):
     pixels = PX.raster_to_tiles(v.sql(CELLS), [], 1.0, 5, 16)
     chunks = CH.assemble_chunks(pixels, ["z", "x", "y"], 16, 16)
     done = CH.pyramid(chunks, [], 5, 2, "average", nodata=0)
-    return planet.tileset_report(done).select("z", "tiles", "valid")
+    found = planet.tileset_summary(done, planes=1)
+    places = [F.round(c, 7).alias(c) for c in ("minx", "miny", "maxx", "maxy", "center_lon", "center_lat")]
+    return found.select("z", "tiles", "valid", "minzoom", "maxzoom", *places)
 
 
 @query("pipe_incremental", """
