@@ -13,12 +13,10 @@ import re
 from collections.abc import Iterator
 
 import ahocorasick
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
 
-from tessella.llm.arrow import map_batches
+from tessella.llm.arrow import map_batches, map_series
 from tessella.llm.registry import query, table
 
 RATE = 0.06
@@ -186,13 +184,11 @@ def is_leaked(items: DataFrame, text: Column, rate: float = RATE) -> Column:
 
 
 def _holds(block: list[tuple[int, str]], rate: float):
-    @pandas_udf("boolean")
-    def holds(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def task():
         matcher = Matcher(block, rate)
-        for texts in batches:
-            yield pd.Series([bool(matcher.matches(t)) for t in texts], dtype=bool)
+        return lambda text: bool(matcher.matches(text))
 
-    return holds
+    return map_series(task, "boolean")
 
 
 @query("op7_decontaminate")

@@ -15,13 +15,14 @@ import re
 import uuid
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
+from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import ArrayType, LongType, StringType
 from pyspark.sql.window import Window
 
+from tessella.llm.arrow import give_back
 from tessella.llm.registry import query, table
 from tessella.session import cut_lineage, shared_folder
 
@@ -105,9 +106,9 @@ def permuted(place: np.ndarray, count: np.ndarray, seed: np.ndarray) -> np.ndarr
     return value.astype(np.int64)
 
 
-@pandas_udf(LongType())
-def _permuted(place: pd.Series, count: pd.Series, seed: pd.Series) -> pd.Series:
-    return pd.Series(permuted(place.to_numpy(), count.to_numpy(), seed.to_numpy()))
+@arrow_udf(LongType())
+def _permuted(place: pa.Array, count: pa.Array, seed: pa.Array) -> pa.Array:
+    return pa.array(permuted(place.to_numpy(), count.to_numpy(), seed.to_numpy()))
 
 
 def slots(targets: DataFrame, seed: int = SEED) -> DataFrame:
@@ -187,8 +188,8 @@ def mix_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
 
 
-@pandas_udf(ArrayType(StringType()))
-def _runs(text: pd.Series, parts: pd.Series) -> pd.Series:
+@arrow_udf(ArrayType(StringType()))
+def _runs(text: pa.Array, parts: pa.Array) -> pa.Array:
     """The texts of a document's runs: parts of one epoch that touch are one run."""
     word = re.compile(_WORD)
 
@@ -203,7 +204,10 @@ def _runs(text: pd.Series, parts: pd.Series) -> pd.Series:
         whole = lambda first, stop: first == 0 and stop == len(places)
         return [body if whole(f, s) else body[places[f][0]:places[s - 1][1]] for _, f, s in runs]
 
-    return pd.Series([cut(b, p) for b, p in zip(text, parts)])
+    try:
+        return pa.array([cut(b.as_py(), p.as_py()) for b, p in zip(text, parts)], pa.list_(pa.string()))
+    finally:
+        give_back()
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:

@@ -8,17 +8,16 @@ probability by a logistic curve fitted to labelled texts that the dictionaries h
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
 
-from tessella.llm.arrow import map_batches
+from tessella.llm.arrow import map_batches, map_series
 from tessella.llm.registry import query, table
 from tessella.session import cut_lineage
 
@@ -144,13 +143,16 @@ def fit_quality(
 def quality_score(model: QualityModel, text: Column) -> Column:
     """The probability that the label is 1; null and empty texts have difference 0."""
 
-    @pandas_udf("double")
-    def score(texts):
+    def task():
         sizes = _Sizes(model.good, model.bad)
-        x = np.array([sizes.difference(t) if model.slope else 0.0 for t in texts], np.float64)
-        return pd.Series(1 / (1 + np.exp(-np.clip(model.offset + model.slope * x, -30, 30))))
 
-    return score(text)
+        def score(body: str | None) -> float:
+            x = sizes.difference(body) if model.slope else 0.0
+            return 1 / (1 + math.exp(-min(30.0, max(-30.0, model.offset + model.slope * x))))
+
+        return score
+
+    return map_series(task, "double")(text)
 
 
 def held_out(doc_id: Column) -> Column:

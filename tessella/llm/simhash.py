@@ -14,14 +14,11 @@ from __future__ import annotations
 import re
 
 import numpy as np
-import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import LongType
 
-from tessella.llm.arrow import map_batches
+from tessella.llm.arrow import map_batches, map_series
 from tessella.llm.components import components
 from tessella.llm.registry import query, table
 from tessella.session import cut_lineage
@@ -214,10 +211,10 @@ def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     no_id, some_id = F.col("id").isNull().alias("no_id"), F.coalesce("id", F.lit(0)).alias("some_id")
     chosen = chosen.select("first.print", F.col("first.component_id").alias("id")).select("print", no_id, some_id)
 
-    @pandas_udf(LongType())
-    def printed(texts: pd.Series) -> pd.Series:
-        return pd.Series(np.array([fingerprint(t, words) for t in texts], np.uint64).view(np.int64))
+    def task():
+        return lambda text: int(np.uint64(fingerprint(text, words)).view(np.int64))
 
+    printed = map_series(task, "bigint")
     rows = docs.select(F.struct("*").alias("doc"), F.col(id_col).alias("id"), printed(F.col(text_col)).alias("print"))
     rows = rows.select("doc", "print", no_id, some_id).groupBy("print", "no_id", "some_id").agg(F.min_by("doc", F.xxhash64(f"doc.{text_col}")).alias("doc"))
     return rows.join(chosen, ["print", "no_id", "some_id"], "left_semi").select("doc.*")

@@ -15,7 +15,7 @@ import numpy as np
 _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)|(?<=\S\n)(?=\S)")
 #: A word of Latin letters and the ASCII signs after it: the pattern's own two pieces.
 _WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([!-/:-@\[-`{-~]*)")
-_KEPT = 300_000
+_KEPT = 150_000
 _FEED, _BARE = "\n", "\0"
 
 
@@ -66,7 +66,10 @@ class _Store:
 
 
 def worker_encoder(path: str) -> "TextEncoder":
-    """This process's encoder: a worker that runs several tasks keeps the chunks it knows."""
+    """This process's encoder: a worker that runs several tasks loads the file once.
+
+    Call ``clear`` at the end of a task, so that idle workers hold no chunks.
+    """
     state = sys.modules.setdefault("tessella_worker_state", types.ModuleType("tessella_worker_state")).__dict__
     known = state.setdefault("encoders", {})
     if path not in known:
@@ -95,13 +98,16 @@ class TextEncoder:
             model._resize_cache(0)  # every text it sees is new
         #: The same model for single pieces in byte letters.
         self.pieced = Tokenizer(model)
-        self._clear()
+        self.clear()
 
-    def _clear(self):
+    def clear(self):
         self.numbers, self.chunks = _Numbers(), _Store()
+        self._no_pieces()
+        self.uses = np.zeros(0, np.int64)
+
+    def _no_pieces(self):
         self.piece_numbers, self.pieces = _Numbers(""), _Store()
         self.pieces.add(np.zeros(1, np.int64), np.zeros(0, np.uint32))
-        self.uses = np.zeros(0, np.int64)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if not self.cuts:
@@ -139,9 +145,9 @@ class TextEncoder:
         """Drop the chunks seen only once since the last time; all, if that is not enough."""
         keep = np.flatnonzero(self.uses > 1)
         if len(keep) > _KEPT // 2:
-            return self._clear()
+            return self.clear()
         flat, sizes, listed = self.chunks.ids(keep), self.chunks.sizes[keep], self.numbers.listed
-        self._clear()
+        self.clear()
         for at in keep.tolist():
             self.numbers[listed[at]]
         self.chunks.add(sizes, flat)
@@ -167,6 +173,8 @@ class TextEncoder:
         self._learn_pieces()
         self.chunks.add(self.pieces.sizes[rows].sum(axis=1), self.pieces.ids(rows.ravel()))
         self.uses = np.append(self.uses, np.zeros(len(new), np.int64))
+        if len(known) > _KEPT:
+            self._no_pieces()
 
     def _learn_pieces(self):
         """Single pieces go to the model in byte letters, marked texts through the whole tokenizer."""
