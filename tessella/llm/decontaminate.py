@@ -21,9 +21,10 @@ from tessella.llm.registry import query, table
 
 RATE = 0.06
 _OTHER = re.compile(r"[\W_]+")
-#: Items with fewer words are compared with whole documents only.
-LEAST_WORDS = 5
-#: Longer items are cut into parts of this length, each searched by itself.
+#: Items with fewer words and fewer characters are compared with whole documents only.
+#: Scripts without spaces have few words, so characters count too.
+LEAST_WORDS, LEAST_CHARS = 5, 25
+#: Of longer items, stretches of this length count as well as the whole item.
 PART = 1000
 #: Characters of items in one automaton; more items take more passes.
 BLOCK_CHARS = 4_000_000
@@ -66,21 +67,26 @@ class Pattern:
         return least, end
 
 
+def stretches(text: str) -> list[str]:
+    """What counts as the item: its whole text, then stretches of ``PART`` that cover it."""
+    count = -(-len(text) // PART)
+    return [text, *(text[at:at + PART] for at in ((len(text) - PART) * i // (count - 1) for i in range(count if count > 1 else 0)))]
+
+
 class Matcher:
     """Finds all items of one block in a document."""
 
     def __init__(self, items: list[tuple[int, str]], rate: float):
         self.whole: dict[str, list[int]] = {}
-        self.parts: list[tuple[int, str, int]] = []
+        self.parts: list[tuple[int, str, int, bool]] = []
         pieces: dict[str, list[tuple[int, int]]] = {}
         for item, text in items:
-            if len(text.split()) < LEAST_WORDS:
+            if len(text.split()) < LEAST_WORDS and len(text) < LEAST_CHARS:
                 self.whole.setdefault(text, []).append(item)
                 continue
-            count = -(-len(text) // PART)
-            for part in (text[len(text) * i // count:len(text) * (i + 1) // count] for i in range(count)):
+            for k, part in enumerate(stretches(text)):
                 number, budget = len(self.parts), int(rate * len(part))
-                self.parts.append((item, part, budget))
+                self.parts.append((item, part, budget, k > 0))
                 for i in range(budget + 1):
                     start, stop = len(part) * i // (budget + 1), len(part) * (i + 1) // (budget + 1)
                     pieces.setdefault(part[start:stop], []).append((number, start))
@@ -92,9 +98,12 @@ class Matcher:
         self.patterns: dict[int, tuple[Pattern, Pattern]] = {}
 
     def matches(self, text: str | None) -> list[tuple[int, int, int, int]]:
-        """(item, distance, start, stop) of each item's best place in the normal form."""
+        """(item, distance, start, stop) of each item's best place in the normal form.
+
+        A place of the whole item is better than one of a stretch.
+        """
         body = normal_form(text)
-        best = {item: (0, 0, len(body)) for item in self.whole.get(body, ())}
+        best = {item: (False, 0, 0, len(body)) for item in self.whole.get(body, ())}
         exact: set[int] = set()
         tried: set[tuple[int, int]] = set()
         for end, (length, places) in self.automaton.iter(body) if self.parts and body else ():
@@ -108,12 +117,13 @@ class Matcher:
                     continue
                 if found[0] == 0:
                     exact.add(number)
-                item = self.parts[number][0]
-                best[item] = min(best.get(item, found), found)
-        return [(item, *found) for item, found in best.items()]
+                item, _, _, stretch = self.parts[number]
+                place = stretch, *found
+                best[item] = min(best.get(item, place), place)
+        return [(item, *place[1:]) for item, place in best.items()]
 
     def _verified(self, number: int, at: int, body: str) -> tuple[int, int, int] | None:
-        _, part, budget = self.parts[number]
+        _, part, budget, _ = self.parts[number]
         if body.startswith(part, at) and at >= 0:
             return 0, at, at + len(part)
         if not budget:
@@ -162,8 +172,9 @@ def leaks(
 
     ``distance`` is the least found at any place with an intact piece; start and stop are
     code points of the document's normal form. Null, empty and symbol-only texts hold
-    nothing; such items and null ids are left out. Items below ``LEAST_WORDS`` words match
-    whole documents only; a part of a long item counts for the item. Repeated documents are
+    nothing; such items and null ids are left out. Items below ``LEAST_WORDS`` words and
+    ``LEAST_CHARS`` characters match whole documents only. A stretch of ``PART`` characters of
+    a longer item counts for the item, with its own distance. Repeated documents are
     searched one by one, repeated items count once. Empty tables give no rows.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))

@@ -72,6 +72,27 @@ def test_many_blocks_give_the_same(spark, monkeypatch):
     assert sorted(map(tuple, leaks(docs, items(spark)).collect())) == one
 
 
+def test_items_without_spaces():
+    rnd = random.Random(4)
+    item = normal_form("".join(chr(0x4E00 + rnd.randrange(3000)) for _ in range(200)))
+    matcher = decontaminate.Matcher([(1, item)], decontaminate.RATE)
+    assert matcher.matches("前" * 50 + item + "后" * 50) == [(1, 0, 50, 250)]
+
+
+def test_half_of_a_long_item_is_no_leak():
+    """Items just above ``PART`` are found as a whole, with all their edits, not by one half."""
+    rnd = random.Random(6)
+    item = "".join(rnd.choice("abcdefghij") for _ in range(1001))
+    matcher = decontaminate.Matcher([(1, item)], decontaminate.RATE)
+    assert matcher.matches("x" * 300 + item[:501] + "y" * 300) == matcher.matches(item[500:]) == []
+    found = edited(item, 40)
+    assert [m[:2] for m in matcher.matches("x" * 300 + found + "y" * 300)] == [(1, distance(item, found))]
+    # all edits in the middle of an item of 1,500, more than any stretch of it may have
+    item = "".join(rnd.choice("abcdefghij") for _ in range(1500))
+    found = item[:600] + "z" * 80 + item[680:]
+    assert [m[:2] for m in decontaminate.Matcher([(1, item)], decontaminate.RATE).matches(found)] == [(1, 80)]
+
+
 @pytest.mark.parametrize("side", ["docs", "items"])
 def test_no_rows(spark, side):
     docs = empty(spark) if side == "docs" else documents(spark)
