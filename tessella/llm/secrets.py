@@ -21,10 +21,13 @@ from tessella.llm.spans import SPAN, count_kind, oracle, span_text
 from tessella.session import shared_folder
 
 #: Changes with every change of the rules below, so that old ledger rows no longer count.
-RULES_VERSION = "2"
+RULES_VERSION = "3"
 
 _BASE = ("assign", "access", "hex")
 
+#: From the first eyJ of a run, tried once a run and without backtracking: linear at any length.
+_JWT = r"(?<![A-Za-z0-9_-])(?:(?!eyJ)[A-Za-z0-9_-])*+(?P<span>eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]++)"
+
 #: Kind, words of which a text must hold one (lower case), pattern, least length, its group.
 RULES = (
     ("assign", ("password", "passwd", "secret", "token", "apikey", "api_key"),
@@ -32,7 +35,7 @@ RULES = (
     ("access", ("akia",), r"AKIA[A-Z0-9]+", 18, 0),
     ("hex", (), r"[0-9a-f]{16,}", 16, 0),
     ("pem", ("private key-----",), r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 0),
-    ("jwt", ("eyj",), r"eyJ[A-Za-z0-9_-]{8,1000}\.[A-Za-z0-9_-]{8,1000}\.[A-Za-z0-9_-]+", 0, 0),
+    ("jwt", ("eyj",), _JWT, 0, 0),
     ("hosted", ("ghp_", "gho_", "ghs_", "glpat-", "xoxb-", "xoxp-"), r"(?:gh[pos]_|glpat-|xox[bp]-)[A-Za-z0-9_-]{16,}", 0, 0),
 )
 
@@ -48,7 +51,8 @@ def text_spans(text: str) -> list[dict]:
             continue
         for hit in re.finditer(pattern, text, re.ASCII):
             if hit.end(group) - hit.start(group) >= least:
-                out.append({"start": hit.start(), "rank": rank, "kind": kind, "stop": hit.end(), "score": 1.0})
+                start = hit.start("span") if "span" in hit.re.groupindex else hit.start()
+                out.append({"start": start, "rank": rank, "kind": kind, "stop": hit.end(), "score": 1.0})
     return sorted(out, key=lambda s: (s["start"], s["rank"]))
 
 
@@ -118,6 +122,8 @@ def scan_versions(docs: DataFrame, ledger_path: str, id_col: str = "doc_id", tex
 
 def _oracle() -> str:
     patterns = {kind: pattern.replace("'", "''") for kind, _, pattern, _, _ in RULES}
+    # the oracle has no possessive runs; its own form stops at 1,000 characters a part
+    patterns["jwt"] = r"eyJ[A-Za-z0-9_-]{8,1000}\.[A-Za-z0-9_-]{8,1000}\.[A-Za-z0-9_-]+"
     valid = {kind: "true" for kind in patterns} | {
         "assign": f"length(regexp_extract(hit, '{patterns['assign']}', 1)) >= 12",
         "access": "length(hit) >= 18",

@@ -117,6 +117,16 @@ def test_added_rules(spark, folder):
     assert found == {107: ["pem"], 108: ["hosted"]}
 
 
+def test_long_tokens():
+    """Parts of any length; the first eyJ of a run counts; runs without a token take linear time."""
+    token = "eyJ" + "x" * 3000 + "." + "eyJ" * 1000 + ".sig"
+    assert [(s["kind"], s["start"], s["stop"]) for s in secrets.text_spans(f"x={token} y")] == [("jwt", 2, 2 + len(token))]
+    short = re.compile(r"eyJ[A-Za-z0-9_-]{8,1000}\.[A-Za-z0-9_-]{8,1000}\.[A-Za-z0-9_-]+")
+    for text in ("aaeyJxeyJ01234567.abcdefgh.s.eyJ01234567.abcdefgh.s", "eyJ.eyJ01234567.eyJabcde.q-", "eyJ0123456.abcdefgh.s eyJ01234567.abcdefg.s", "éeyJ01234567.abcdefgh."):
+        assert [(s["start"], s["stop"]) for s in secrets.text_spans(text) if s["kind"] == "jwt"] == [m.span() for m in short.finditer(text)]
+    assert secrets.text_spans("eyJ" * 300_000) == []
+
+
 def test_ledger_scans_each_blob_once(spark, folder):
     docs = secret_docs(spark)
     secrets.scan_versions(docs, folder).count()
