@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 _MODULES = (
-    "quality", "pii", "token_files", "topk", "mixing", "simhash", "decontaminate", "urls", "secrets", "extract", "licenses", "phrases",
+    "quality", "pii", "token_files", "topk", "mixing", "simhash", "decontaminate", "urls", "secrets", "extract", "licenses", "phrases", "hard_negatives",
 )
 
 
