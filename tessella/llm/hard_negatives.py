@@ -31,8 +31,8 @@ BLOCK = 256
 _SLAB = 8192
 _HELD = 64 << 20
 _EXACT = 2.0**53
-#: Scores are held within this bound.
-LARGEST = 1 << 62
+#: Scores are held within 64 bits.
+LARGEST = (1 << 63) - 2
 _NONE = -LARGEST - 1
 _SLACK = 1 + 1e-9
 _KEY = 16
@@ -295,7 +295,7 @@ def hard_negatives(
     another dimension have no score with it. Rows with a null id, label or vector, or a null
     or non-finite component, take no part. Repeated rows count each; a repeated anchor is
     answered for each of its rows. Empty tables give no rows; other columns are not read.
-    Scores are held within 2 ** 62.
+    Scores beyond 64 bits are held at their ends.
     """
     spark = rows.sparkSession
     folder = f"{shared_folder(spark)}/hard-negatives-{uuid.uuid4().hex}"
