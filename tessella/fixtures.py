@@ -25,12 +25,12 @@ VIEWS = {
         FROM {events}""",
     # tile catalog text, with malformed, blank and digest-less lines
     "fx_catalog": """
-        SELECT CASE WHEN seq % 50 = 0 THEN 'garbage' WHEN seq % 50 = 1 THEN ''
+        SELECT CASE WHEN seq % 50 = 0 THEN 'no tile here' WHEN seq % 50 = 1 THEN ''
                     WHEN seq % 50 = 3 THEN concat(z, '/', x, '/', y, 'a.jpg,1,2')
                     WHEN seq % 50 = 4 THEN concat(z, '/', x, '.jpg,1,2')
                     WHEN seq % 50 = 5 THEN concat(z, '/', x, '/', y, '.jpg,', seq)
-                    WHEN seq % 50 = 2 THEN concat(z, '/', x, '/', y, '.jpg,', 1583830819 + seq, ',', 1000 + seq % 9000)
-                    ELSE concat(z, '/', x, '/', y, '.jpg,', 1583830819 + seq, ',', 1000 + seq % 9000, ',', md5(payload))
+                    WHEN seq % 50 = 2 THEN concat(z, '/', x, '/', y, '.jpg,', 1700000500 + seq, ',', 1000 + seq % 9000)
+                    ELSE concat(z, '/', x, '/', y, '.jpg,', 1700000500 + seq, ',', 1000 + seq % 9000, ',', md5(payload))
                END AS line
         FROM {fx_tiles}""",
     # scene footprints of two degrees in three collections

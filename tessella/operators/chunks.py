@@ -1,7 +1,8 @@
 """Raster operators on chunk rows: keys, z, x, y, w, h, data ARRAY<INT>.
 
 Spark partitions, joins and groups. Groups are bounded by construction (four
-children, nine halo pieces, one row per source, one strip per scene of a stack). The grouped rows reach numpy in Arrow batches of many tiles.
+children, nine halo pieces, one row per source). The grouped rows reach numpy in Arrow
+batches of many tiles.
 """
 
 from __future__ import annotations
@@ -256,53 +257,6 @@ def hillshade_chunks(elev: DataFrame, keys: list[str], cell_x, cell_y, azimuth=3
     return with_neighbours(elev, keys, 1, shade, edge="nearest")
 
 
-STRIP = 1024  # values of a chunk that are reduced together
-
-
-def _reduced_stack(chunks: DataFrame, keys: list[str], order: list[Column], kernel) -> DataFrame:
-    """Reduce each tile's stack with ``kernel`` (k, depth, n) -> (k, n), strip by strip.
-
-    Chunks are cut into strips before they are gathered, so a group holds a strip of each
-    scene, however deep the stack is. ``order`` sorts a stack, the greatest first.
-    """
-    names = [*keys, "w", "h"]
-    count = F.ceil(F.size("data") / STRIP).cast("int")
-    cut = F.transform(F.sequence(F.lit(0), count - 1), lambda i: F.slice("data", i * STRIP + 1, F.lit(STRIP)))
-    ranks = [o.alias(f"o{i}") for i, o in enumerate(order)]
-    strips = chunks.filter(F.size("data") > 0).select(*names, *ranks, F.posexplode(cut).alias("strip", "part"))
-    stack = F.sort_array(F.collect_list(F.struct(*[f"o{i}" for i in range(len(order))], F.col("part").alias("data"))), asc=False)
-    grouped = strips.groupBy(*names, "strip").agg(stack.alias("g"))
-
-    def reduce(batches):
-        for batch in batches:
-            group = Grouped(batch.column("g"))
-            data = group.lists()
-            for (depth, length), index in _same(group.counts, data.sizes[group.first]):
-                for part in _runs(index, depth * length):
-                    items = group.first[part][:, None] + np.arange(depth)[None, :]
-                    stack = data.rows(items.ravel()).reshape(len(part), depth, length)
-                    head = batch.select([*names, "strip"]).take(pa.array(part, pa.int64()))
-                    yield pa.RecordBatch.from_arrays([*head.columns, _list_column(kernel(stack))], names=[*names, "strip", "data"])
-
-    done = grouped.mapInArrow(reduce, _types(grouped, [*names, "strip"]) + "data array<int>")
-    whole = done.groupBy(*names).agg(F.array_sort(F.collect_list(F.struct("strip", "data"))).alias("parts"))
-    return whole.select(*names, F.flatten(F.transform("parts", lambda p: p.data)).alias("data"))
-
-
-def median_chunks(chunks: DataFrame, keys: list[str]) -> DataFrame:
-    """Per-pixel temporal median of each tile's stack of any depth; 0 is nodata."""
-    return _reduced_stack(chunks, list(keys), [], kernels.stack_median)
-
-
-def priority_chunks(chunks: DataFrame, keys: list[str], order: str = "scene", cloud: str = "cloud") -> DataFrame:
-    """Per pixel the clear value of the least cloudy scene, on equal cloud of the later ``order``.
-
-    Unknown cloud is worst. Pixels that are clear in no scene are 0.
-    """
-    clear = -F.coalesce(F.col(cloud).cast("double"), F.lit(float("inf")))
-    return _reduced_stack(chunks, list(keys), [clear, F.col(order)], kernels.first_nonzero)
-
-
 def _compose(size: int, method: str, keep_hidden: bool):
     """Fold of each tile's layers, bottom to top."""
 

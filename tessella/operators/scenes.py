@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessella.functions.grid import Box, box_covers, boxes_intersect
+from tessella.operators.gridjoin import KEYS, met_once, spread_boxes, spread_days
 from tessella.operators.ranking import ranked_in_group, top_in_group
 from tessella.operators.skew import HOT_ROWS, salted
 
 TILE = ["z", "x", "y"]
+BOX = ("minx", "miny", "maxx", "maxy")
 
 
 def search_scenes(scenes: DataFrame, collections, box: Box, start, end, max_cloud=None) -> DataFrame:
@@ -33,8 +35,8 @@ def covering_scenes(scenes: DataFrame, box: Box) -> DataFrame:
 
 
 def _searches(plan: DataFrame) -> DataFrame:
-    """One row per tile, collection and role, with the role's cloud limit."""
-    cols = [*TILE, "minx", "miny", "maxx", "maxy", "start_date", "end_date"]
+    """One row per spread tile, collection and role, with the role's cloud limit."""
+    cols = [*TILE, *BOX, "start_date", "end_date", *KEYS, "_blocks", "_block"]
 
     def role(collections, limit, name):
         return plan.select(
@@ -58,41 +60,25 @@ def _whole_boxes(df: DataFrame, prefix: str) -> DataFrame:
     return split.withColumns({f"{prefix}minx": F.col("_part.a"), f"{prefix}maxx": F.col("_part.b")}).drop("_part")
 
 
-def _cells(df: DataFrame, prefix: str, size: float) -> DataFrame:
-    span = lambda lo, hi: F.explode(
-        F.sequence(F.floor(F.col(prefix + lo) / size), F.floor(F.col(prefix + hi) / size))
-    )
-    return df.withColumn("cx", span("minx", "maxx")).withColumn("cy", span("miny", "maxy"))
-
-
-def match_plan_scenes(
-    plan: DataFrame, scenes: DataFrame, cell_deg: float = 4.0, hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def match_plan_scenes(plan: DataFrame, scenes: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Candidate scenes of every plan tile: place, date, cloud and collection.
 
-    Both sides are spread over coarse cells and months, joined on (collection,
-    cell, month) and checked exactly. A pair is reported only in the cell of the
-    south-west corner of its overlap, so it comes out once without a dedupe. Hot
-    cells are salted. A scene over the antimeridian is matched by either part; a tile
-    that meets both gets it once, from the western part of the map.
+    Boxes meet in the cells of the larger one's size and days in blocks of the season's
+    length (``gridjoin``), so neither a world-wide scene nor a long season multiplies rows.
+    Every pair is checked exactly and comes out once. Hot cells are salted. A scene over the
+    antimeridian is matched by either part; a tile that meets both gets it once, from the
+    western part of the map.
     """
-    month = lambda d: F.trunc(d, "month")
-    left = _cells(_searches(plan), "", cell_deg).withColumn(
-        "month",
-        F.explode(F.sequence(month("start_date"), month("end_date"), F.expr("INTERVAL 1 MONTH"))),
-    )
-    box = {n: f"s_{n}" for n in ("minx", "miny", "maxx", "maxy")}
+    box = {n: f"s_{n}" for n in BOX}
     known = scenes.filter(F.col("cloud").isNotNull() & F.col("acq_date").isNotNull()).withColumnsRenamed(box)
     known = known.withColumns({"_west": F.col("s_minx"), "_east": F.col("s_maxx")})
-    right = _cells(_whole_boxes(known, "s_"), "s_", cell_deg).withColumn("month", month("acq_date"))
-    keys = ["collection_id", "cx", "cy", "month"]
-    left, right = salted(left, right, keys, hot_rows)
+    left, right = spread_boxes(plan, _whole_boxes(known, "s_"), "", "s_")
+    left, right = spread_days(left, right, "start_date", "end_date", "acq_date")
+    keys = ["collection_id", *KEYS, "_blocks", "_block"]
+    left, right = salted(_searches(left), right, keys, hot_rows)
     pairs = left.join(right, [*keys, "salt"])
-    corner = (F.floor(F.greatest("minx", "s_minx") / cell_deg) == F.col("cx")) & (
-        F.floor(F.greatest("miny", "s_miny") / cell_deg) == F.col("cy")
-    )
     exact = (
-        boxes_intersect(Box("minx", "miny", "maxx", "maxy"), Box("s_minx", "s_miny", "s_maxx", "s_maxy"))
+        boxes_intersect(Box(*BOX), Box(*box.values()))
         & F.col("acq_date").between(F.col("start_date"), F.col("end_date"))
         & (F.col("cloud") <= F.col("max_cloud"))
     )
@@ -100,7 +86,7 @@ def match_plan_scenes(
     first = (F.col("_west") <= F.col("_east")) | (F.col("s_minx") < F.col("_east")) | (F.col("minx") > F.col("_east"))
     extra = [c for c in scenes.columns if c not in ("collection_id", *box)]
     sides = [F.col("_west").alias("s_minx"), "s_miny", F.col("_east").alias("s_maxx"), "s_maxy"]
-    return pairs.filter(corner & exact & first).select(*TILE, "role", "collection_id", *extra, *sides)
+    return pairs.filter(met_once("", "s_") & exact & first).select(*TILE, "role", "collection_id", *extra, *sides)
 
 
 def cap_search(candidates: DataFrame, limit: int) -> DataFrame:
@@ -125,7 +111,7 @@ def pick_role(candidates: DataFrame, capped: bool = True) -> DataFrame:
     return primary.unionByName(rest.join(primary.select(*TILE).distinct(), TILE, "left_anti"))
 
 
-def scene_stack(scenes: DataFrame, keep: int, keys: list[str]) -> DataFrame:
+def scene_stack(scenes: DataFrame, keep: int, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """``keep`` scenes per group, spread over dates, the clearest of each date bin.
 
     Scenes sorted by (date, cloud, collection, item) are cut into ``keep`` contiguous
@@ -133,8 +119,8 @@ def scene_stack(scenes: DataFrame, keep: int, keys: list[str]) -> DataFrame:
     ``keep`` scenes, or any group when ``keep`` <= 0, stay whole. Adds ``pos``.
     """
     cloud = F.coalesce("cloud", F.lit(float("inf")))
-    order = [F.col("acq_date"), cloud, F.col("collection_id"), F.col("item_id")]
-    ranked = ranked_in_group(scenes, keys, F.col("acq_date"), order, "_r", "_n")
+    order = [F.col("acq_date").asc_nulls_last(), cloud, F.col("collection_id"), F.col("item_id")]
+    ranked = ranked_in_group(scenes, keys, order, "_r", "_n", hot_rows)
     r0 = F.col("_r") - 1
     if keep > 0:
         bins = F.floor(((r0 + 1) * keep - 1) / F.col("_n"))
@@ -200,20 +186,18 @@ def finest_images(images: DataFrame, keys: list[str], n: int, max_gsd: float | N
     return top_in_group(images, keys, order, n)
 
 
-def best_at_points(points: DataFrame, scenes: DataFrame, box: Box, start, end, max_cloud, cell_deg=4.0) -> DataFrame:
+def best_at_points(points: DataFrame, scenes: DataFrame, box: Box, start, end, max_cloud) -> DataFrame:
     """Single clearest scene that meets the box around each point.
 
     ``points`` has ``point_id``; ``box`` names its box columns. A point without a
     scene gets no row.
     """
     boxed = points.select("point_id", *[c.alias(n) for n, c in box._asdict().items()])
-    s_box = {n: f"s_{n}" for n in ("minx", "miny", "maxx", "maxy")}
+    s_box = {n: f"s_{n}" for n in BOX}
     usable = scenes.filter((F.col("cloud") <= max_cloud) & F.col("acq_date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
-    right = _cells(_whole_boxes(usable.withColumnsRenamed(s_box), "s_"), "s_", cell_deg)
-    left, right = salted(_cells(boxed, "", cell_deg), right, ["cx", "cy"])
-    pairs = left.join(right, ["cx", "cy", "salt"]).filter(
-        boxes_intersect(Box("minx", "miny", "maxx", "maxy"), Box("s_minx", "s_miny", "s_maxx", "s_maxy"))
-    )
+    usable = usable.select("cloud", "acq_date", "collection_id", "item_id", *BOX).withColumnsRenamed(s_box)
+    left, right = salted(*spread_boxes(boxed, _whole_boxes(usable, "s_"), "", "s_"), KEYS)
+    pairs = left.join(right, [*KEYS, "salt"]).filter(boxes_intersect(Box(*BOX), Box(*s_box.values())))
     best = pairs.groupBy("point_id").agg(
         F.min(F.struct("cloud", "acq_date", "collection_id", "item_id")).alias("b")
     )

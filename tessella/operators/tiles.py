@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessella import constants as C
 from tessella.functions.grid import ancestor, shl, tile_bounds
-from tessella.operators.skew import BROADCAST_ROWS, salted
-from tessella.session import inline_table
+from tessella.operators.gridjoin import KEYS as GRID_KEYS
+from tessella.operators.gridjoin import SPAN, spread_boxes
+from tessella.operators.skew import BROADCAST_ROWS, salted, unsized
+from tessella.session import cut_lineage, inline_table
 
 KEY = ["z", "x", "y"]
 
@@ -75,24 +77,52 @@ def missing_tiles(expected: DataFrame, present: DataFrame, keys=KEY) -> DataFram
     return expected.join(present.select(*keys), keys, "left_anti")
 
 
+def cover_runs(shards: DataFrame, extent: tuple[int, int, int, int]) -> DataFrame:
+    """How often rectangles cover an extent, as boxes (minx, miny, maxx, maxy, n).
+
+    ``shards`` has (minx, miny, maxx, maxy), inclusive. The extent is cut into slabs at the
+    rectangles' y borders; in a slab every rectangle adds 1 where it begins and takes it
+    back behind its end, and the running sum between two such places is the cover. No cell
+    is enumerated: the rows grow with the rectangles, not with the zoom.
+    """
+    x0, y0, x1, y1 = extent
+    clipped = shards.select(
+        F.greatest("minx", F.lit(x0)).cast("bigint").alias("a"), (F.least("maxx", F.lit(x1)) + 1).cast("bigint").alias("b"),
+        F.greatest("miny", F.lit(y0)).cast("bigint").alias("c"), (F.least("maxy", F.lit(y1)) + 1).cast("bigint").alias("d"), F.lit(1).alias("step"),
+    ).filter("a < b AND c < d")
+    # the extent itself opens and closes each slab without covering it
+    frame = inline_table(shards.sparkSession, [(x0, x1 + 1, y0, y1 + 1, 0)], clipped.columns)
+    boxes = clipped.unionByName(frame)
+    borders = boxes.select(F.explode(F.array("c", "d")).alias("y")).distinct()
+    ordered = Window.orderBy("y")  # two borders for each rectangle
+    slabs = borders.select("y", F.row_number().over(ordered).alias("slab"), F.lead("y").over(ordered).alias("next"))
+    low, high = (slabs.select(F.col("y").alias(c), F.col("slab").alias(f"slab_{c}")) for c in "cd")
+    placed = boxes.join(low, "c").join(high, "d").withColumn("slab", F.explode(F.sequence(F.col("slab_c"), F.col("slab_d") - 1)))
+    point = lambda x, step: F.struct(x.alias("x"), step.alias("step"))
+    events = placed.select("slab", F.inline(F.array(point(F.col("a"), F.col("step")), point(F.col("b"), -F.col("step")))))
+    sums = events.groupBy("slab", "x").agg(F.sum("step").alias("step"))
+    along = Window.partitionBy("slab").orderBy("x")
+    runs = sums.select("slab", F.col("x").alias("minx"), F.sum("step").over(along).alias("n"), F.lead("x").over(along).alias("after"))
+    runs = runs.filter(F.col("after").isNotNull()).join(slabs, "slab")
+    return runs.select("minx", F.col("y").alias("miny"), (F.col("after") - 1).alias("maxx"), (F.col("next") - 1).alias("maxy"), "n")
+
+
 def exact_cover(cells: DataFrame, shards: DataFrame) -> DataFrame:
     """Cells covered by no shard or by several.
 
-    ``cells`` has (x, y), ``shards`` has (shard, minx, miny, maxx, maxy) on the same
-    grid; the rectangles are enumerated, so the join is an equi-join.
+    ``cells`` has (x, y), ``shards`` has (shard, minx, miny, maxx, maxy) on the same grid.
+    Cells meet only the boxes of ``cover_runs`` that are faults, over a quadtree.
     """
-    covered = shards.select(
-        "shard",
-        F.explode(F.sequence("minx", "maxx")).alias("x"),
-        "miny",
-        "maxy",
-    ).select("shard", F.explode(F.sequence("miny", "maxy")).alias("y"), "x")
-    counted = covered.groupBy("x", "y").agg(F.count("*").alias("n"))
-    return (
-        cells.join(counted, ["x", "y"], "left")
-        .select("x", "y", F.coalesce("n", F.lit(0)).alias("n"))
-        .filter(F.col("n") != 1)
-    )
+    limits = cells.agg(F.min("x"), F.min("y"), F.max("x"), F.max("y")).first()
+    if limits[0] is None:
+        return cells.select("x", "y", F.lit(0).cast("bigint").alias("n")).limit(0)
+    faults = cut_lineage(cover_runs(shards, tuple(limits)).filter(F.col("n") != 1))
+    scale = SPAN / (1 + max(abs(v) for v in limits))
+    scaled = lambda df, prefix, *names: df.withColumns({f"{prefix}{t}": F.col(n) * scale for t, n in zip(("minx", "miny", "maxx", "maxy"), names)})
+    left, right = spread_boxes(scaled(cells.select("x", "y"), "c_", "x", "y", "x", "y"), scaled(faults, "f_", "minx", "miny", "maxx", "maxy"), "c_", "f_")
+    met = unsized(left).join(unsized(right), GRID_KEYS)
+    inside = F.col("x").between(F.col("minx"), F.col("maxx")) & F.col("y").between(F.col("miny"), F.col("maxy"))
+    return met.filter(inside).select("x", "y", "n")
 
 
 def content_store(tiles: DataFrame, keys=KEY, payload: str = "payload"):

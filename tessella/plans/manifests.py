@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tessella.functions.grid import Box, box_covers
 from tessella.functions.scalars import product_parts
 from tessella.operators import scenes as SC
+from tessella.operators.gridjoin import KEYS, spread_boxes
 from tessella.operators.skew import salted
 from tessella.session import cut_lineage, pinned
 
@@ -35,22 +36,19 @@ def scene_manifest(
     return unique, SC.manifest_summary(plan, candidates, chosen, depth)
 
 
-def covering_manifest(regions: DataFrame, scenes: DataFrame, region: str, n: int, cell_deg: float = 1.0) -> DataFrame:
+def covering_manifest(regions: DataFrame, scenes: DataFrame, region: str, n: int) -> DataFrame:
     """Scenes that fully cover each region box, clearest then newest, at most ``n``.
 
-    A covering scene holds the region's south-west corner, so the region sits in one
-    cell and only the scenes are spread.
+    A covering scene holds the region's south-west corner, so the corner alone meets the
+    scenes, in cells of their own sizes.
     """
     corner = regions.select(
-        region, *BOX,
-        F.floor(F.col("minx") / cell_deg).alias("cx"),
-        F.floor(F.col("miny") / cell_deg).alias("cy"),
+        region, *BOX, *[F.col(c).alias(f"_c_{n}") for n, c in zip(BOX, ("minx", "miny", "minx", "miny"))]
     )
     renamed = scenes.withColumnsRenamed({c: f"s_{c}" for c in BOX})
-    spread = SC._cells(SC._whole_boxes(renamed, "s_"), "s_", cell_deg)
-    left, right = salted(corner, spread, ["cx", "cy"])
-    pairs = left.join(right, ["cx", "cy", "salt"]).filter(box_covers(Box(*(f"s_{c}" for c in BOX)), Box(*BOX)))
-    return SC.order_newest(pairs.drop("cx", "cy", "salt", *BOX), [region], n)
+    left, right = salted(*spread_boxes(corner, SC._whole_boxes(renamed, "s_"), "_c_", "s_"), KEYS)
+    pairs = left.join(right, [*KEYS, "salt"]).filter(box_covers(Box(*(f"s_{c}" for c in BOX)), Box(*BOX)))
+    return SC.order_newest(pairs.drop(*KEYS, "salt", *BOX, *[f"_c_{c}" for c in BOX]), [region], n)
 
 
 def prefetch_list(overlays: DataFrame, scenes: DataFrame, assets, cached: DataFrame, n: int) -> DataFrame:

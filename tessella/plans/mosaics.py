@@ -10,6 +10,7 @@ from tessella.functions.scalars import qa_mask_literal
 from tessella.functions.grid import Box
 from tessella.operators import chunks as CH
 from tessella.operators import pixels as PX
+from tessella.operators import stacks as ST
 from tessella.operators.tiles import KEY
 
 
@@ -32,9 +33,9 @@ def clean_mosaic(
         bands = CH.mask_chunks(bands, cloud, ["scene", *KEY], 1)
     keys = [*KEY, "band"]
     if PX.use_median(strategy):
-        merged = CH.median_chunks(bands.select("scene", *keys, "w", "h", "data"), keys)
+        merged = ST.median_chunks(bands.select("scene", *keys, "w", "h", "data"), keys)
     else:
-        merged = CH.priority_chunks(bands.select("scene", "cloud", *keys, "w", "h", "data"), keys)
+        merged = ST.priority_chunks(bands.select("scene", "cloud", *keys, "w", "h", "data"), keys)
     return stretch_chunks(merged, *stretch)
 
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from tessella.functions.grid import Box
 from tessella.operators import chunks as CH
 from tessella.operators import pixels as PX
+from tessella.operators import stacks as ST
 from tessella.operators import planes as PL
 from tessella.operators.regions import clip_pixels, land_in_region, polygon_cover
 from tessella.plans.planning import land_tiles
@@ -100,7 +101,7 @@ RGB = """(SELECT x, y, px, py, coalesce(max(CASE WHEN band = 2 THEN dn END), 0)
 @query("ras_median_rgb", f"SELECT x, y, px, py, r, g, b FROM {RGB.replace('{m}', MEDIANS).replace('{{', '{').replace('}}', '}')} AS t WHERE r + g + b > 0")
 def _(v):
     masked = CH.mask_chunks(stack_chunks(v), qa_chunks(v), ["scene", *TILE], 15)
-    medians = CH.median_chunks(masked, [*TILE, "band"])
+    medians = ST.median_chunks(masked, [*TILE, "band"])
     picks = [F.max(F.when(F.col("band") == b, F.col("data"))).alias(n) for n, b in zip("rgb", (2, 1, 0))]
     rgb = medians.groupBy("x", "y", "w").agg(*picks).dropna()
     rows = rgb.select("x", "y", "w", F.posexplode(F.arrays_zip("r", "g", "b")).alias("pos", "c"))
@@ -115,7 +116,7 @@ def _(v):
 def _(v):
     clouds = v.fx_stack.select("scene", "cloud").distinct()
     masked = CH.mask_chunks(stack_chunks(v), qa_chunks(v), ["scene", *TILE], 15).join(clouds, "scene")
-    return clear_rows(CH.priority_chunks(masked, [*TILE, "band"]), ["x", "y", "band"])
+    return clear_rows(ST.priority_chunks(masked, [*TILE, "band"]), ["x", "y", "band"])
 
 
 @query("ras_paint_mosaic", """

@@ -354,7 +354,7 @@ def _(v):
     from tessella.operators.ranking import ranked_in_group
 
     order = [F.col("gsd").asc_nulls_last(), F.col("acquisition_start").desc_nulls_first(), F.col("image_id")]
-    ranked = ranked_in_group(v.fx_images, ["family"], F.col("gsd"), order, "rank")
+    ranked = ranked_in_group(v.fx_images, ["family"], order, "rank")
     return ranked.select("image_id", F.col("rank").cast("bigint").alias("rank"))
 
 

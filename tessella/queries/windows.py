@@ -90,7 +90,7 @@ def _(v):
 def _(v):
     cloud = F.coalesce("cloud", F.lit(100.0))
     order = [cloud, F.col("acq_date"), F.col("item_id")]
-    ranked = ranked_in_group(v.fx_scenes, ["collection_id"], cloud, order, "rank")
+    ranked = ranked_in_group(v.fx_scenes, ["collection_id"], order, "rank")
     return ranked.select("collection_id", "item_id", "rank")
 
 

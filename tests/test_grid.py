@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tessella import constants as C
 from tessella.functions import grid as G
 from tessella.functions import scalars as S
-from tessella.operators.tiles import exact_cover
+from tessella.operators.tiles import cover_runs, exact_cover
 from tessella.plans.planning import grid_tiles, land_tiles, plan_summary, plan_tiles, shard_boxes, shard_table
 
 def around_thresholds(z):
@@ -45,6 +45,28 @@ def test_shards_cover_the_grid_once(spark):
     assert {r.n for r in exact_cover(cells, gap).collect()} == {0}
 
 
+def test_faults_of_a_deep_cover_are_boxes(spark):
+    """Two gaps and an overlap among a million million cells, in a few rows."""
+    top = (1 << 20) - 1
+    rows = [("a", 0, 0, 99_999, top), ("b", 100_000, 0, 599_999, 400_000), ("c", 100_000, 400_001, 599_999, top), ("d", 600_000, 7, top - 1, top), ("e", 50_000, 50, 100_004, 60)]
+    shards = spark.createDataFrame(rows, "shard string, minx bigint, miny bigint, maxx bigint, maxy bigint")
+    runs = cover_runs(shards, (0, 0, top, top)).collect()
+    assert len(runs) < 40 and sum((r.maxx - r.minx + 1) * (r.maxy - r.miny + 1) for r in runs) == 1 << 40
+    covered = lambda x, y: sum(a <= x <= c and b <= y <= d for _, a, b, c, d in rows)
+    for r in runs:
+        assert {covered(x, y) for x in (r.minx, r.maxx) for y in (r.miny, r.maxy)} == {r.n}
+    area = {n: sum((r.maxx - r.minx + 1) * (r.maxy - r.miny + 1) for r in runs if r.n == n) for n in (0, 2)}
+    assert area == {0: 7 * (top - 600_000 + 1) + (top + 1 - 7), 2: (100_004 - 50_000 + 1) * 11}
+
+
+def test_cells_of_faults(spark):
+    shards = spark.createDataFrame([("a", 0, 0, 3, 7), ("b", 3, 0, 6, 7)], "shard string, minx int, miny int, maxx int, maxy int")
+    cells = spark.range(8).select(F.col("id").alias("x")).crossJoin(spark.range(8).select(F.col("id").alias("y")))
+    got = {(r.x, r.y): r.n for r in exact_cover(cells, shards).collect()}
+    assert got == {**{(3, y): 2 for y in range(8)}, **{(7, y): 0 for y in range(8)}}
+    assert exact_cover(cells.limit(0), shards).collect() == []
+
+
 def test_shard_needs_its_zoom(spark):
     row = one(spark, low=G.shard_of_tile(5, 3, 3), same=G.shard_of_tile(6, 0, 0), deep=G.shard_of_tile(10, 909, 403))
     assert row.low is None and row.same == "00" and row.deep == "12"
@@ -64,8 +86,9 @@ def test_quadrants(spark, z):
 
 
 def test_gsd_to_zoom(spark):
-    row = one(spark, a=G.gsd_to_zoom(0.05), b=G.gsd_to_zoom(0.5), c=G.gsd_to_zoom(10.0), d=G.gsd_to_zoom(0.0), e=G.gsd_to_zoom(F.lit(None).cast("double")))
-    assert tuple(row) == (21, 18, 13, 24, 24)
+    """Both sides of the borders of zooms 10 and 15 (152.874 and 4.7773 m a pixel)."""
+    row = one(spark, a=G.gsd_to_zoom(152.8), b=G.gsd_to_zoom(152.9), c=G.gsd_to_zoom(4.777), d=G.gsd_to_zoom(4.778), e=G.gsd_to_zoom(0.0), f=G.gsd_to_zoom(F.lit(None).cast("double")))
+    assert tuple(row) == (10, 9, 15, 14, 24, 24)
 
 
 def test_box_buffer(spark):

@@ -6,6 +6,7 @@ from tessella.functions.grid import Box
 from tessella.operators import chunks as CH
 from tessella.operators import kernels as K
 from tessella.operators import pixels as PX
+from tessella.operators import stacks as ST
 from tessella.operators import planes as PL
 from tessella.operators import regions as R
 from tessella.operators import stats
@@ -27,7 +28,7 @@ def image(row):
     return np.array(row.data).reshape(-1, row.h, row.w)
 
 
-def merged(spark, stack, merge=CH.median_chunks, clouds=None):
+def merged(spark, stack, merge=ST.median_chunks, clouds=None):
     h, w = len(stack[0]), len(stack[0][0])
     clouds = clouds or [None] * len(stack)
     rows = [(i, c, 3, 1, 1, w, h, [v for r in s for v in r]) for i, (s, c) in enumerate(zip(stack, clouds))]
@@ -43,6 +44,40 @@ def test_median(spark):
     assert merged(spark, [[[17, 0], [6, 1]], [[4, 90], [3, 0]]]) == [[10, 90], [4, 1]]
 
 
+def test_a_stack_of_twenty_thousand_scenes(spark):
+    """Deep stacks beside shallow ones, against one sort; no task holds a stack."""
+    rows = spark.range(20_000).select(
+        F.col("id").cast("int").alias("scene"), F.lit(3).alias("z"), F.lit(1).cast("bigint").alias("x"), F.lit(1).cast("bigint").alias("y"), F.lit(2).alias("w"), F.lit(3).alias("h"),
+        F.expr("transform(sequence(0, 5), i -> CAST(IF((id + i) % 4 = 0 OR i = 5, 0, (id * 7919 + i * 104729) % (CASE i WHEN 0 THEN 3 WHEN 1 THEN 60000 ELSE 2000000000 END) - 5) AS INT))").alias("data"),
+    )
+    shallow = rows.filter("scene < 3").withColumn("y", F.lit(2).cast("bigint"))
+    got = {r.y: list(r.data) for r in ST.median_chunks(rows.unionByName(shallow), ["z", "x", "y"]).collect()}
+    for y, source in ((1, rows), (2, shallow)):
+        stack = np.array([r.data for r in source.collect()], float)
+        stack[stack == 0] = np.nan
+        want = [0 if np.isnan(c).all() else int(np.rint(np.nanmedian(c))) for c in stack.T]
+        assert got[y] == want
+
+
+def test_groups_of_a_stream_come_whole_or_in_pieces():
+    import pyarrow as pa
+
+    sizes = [1, 200, 3, ST.HELD, ST.HELD + 1, 2, 70]
+    keys = [k for k, n in enumerate(sizes) for _ in range(n)]
+    for step in (1, 7, 64, 500):
+        batches = [pa.record_batch({"k": pa.array([None if v == 2 else v for v in keys[i:i + step]], pa.int64())}) for i in range(0, len(keys), step)]
+        seen, going = [], 0
+        for batch, starts, whole in ST._groups(iter(batches), ["k"]):
+            for a, b in zip(starts.tolist(), [*starts[1:].tolist(), batch.num_rows]):
+                assert len(batch.slice(a, b - a).column("k").unique()) == 1
+                going += b - a
+                if whole:
+                    seen.append(going)
+                    going = 0
+            assert whole or len(starts) == 1
+        assert seen == sizes
+
+
 def test_deep_and_wide_stacks(spark):
     """Stacks deeper than any batch and chunks of several strips, against one sort."""
     rng = np.random.default_rng(4)
@@ -54,7 +89,7 @@ def test_deep_and_wide_stacks(spark):
     want = np.zeros((41, 53), int)
     for i in reversed(order):
         want = np.where(stack[i] != 0, stack[i], want)
-    assert merged(spark, stack.tolist(), CH.priority_chunks, clouds) == want.tolist()
+    assert merged(spark, stack.tolist(), ST.priority_chunks, clouds) == want.tolist()
 
 
 @pytest.mark.parametrize("n", [0, 1, 4])

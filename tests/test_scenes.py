@@ -1,8 +1,10 @@
 import datetime as dt
+import random
 
 from pyspark.sql import functions as F
 
 from tessella.functions.grid import Box
+from tessella.operators import gridjoin as GJ
 from tessella.operators import scenes as SC
 from tessella.operators.ranking import ranked_in_group
 from tessella.plans import aoi, manifests
@@ -20,12 +22,13 @@ def picked(df):
 
 
 def test_stack_takes_the_clearest_of_each_date_bin(spark):
-    rows = spark.createDataFrame(
-        [scene("may_hi", "2024-05-01", 20.0), scene("may_lo", "2024-05-03", 5.0), scene("sep_hi", "2024-09-01", 18.0), scene("sep_lo", "2024-09-03", 4.0)], SCHEMA
-    )
-    assert picked(SC.scene_stack(rows, 2, ["tile"])) == ["may_lo", "sep_lo"]
-    assert SC.scene_stack(rows, 0, ["tile"]).count() == 4
-    assert SC.scene_stack(rows, 9, ["tile"]).count() == 4
+    """Seven scenes in three bins of 2, 2 and 3: ties go to the earlier day, unknown cloud loses."""
+    days = [("k", "2023-01-10", 40.0), ("l", "2023-01-12", 40.0), ("m", "2023-03-01", None), ("n", "2023-03-09", 77.0), ("o", "2023-06-02", 12.0), ("p", "2023-06-03", 3.0), ("q", "2023-06-30", 3.0)]
+    rows = spark.createDataFrame([scene(*d) for d in reversed(days)], SCHEMA)
+    assert picked(SC.scene_stack(rows, 3, ["tile"])) == ["k", "n", "p"]
+    assert picked(SC.scene_stack(rows, 1, ["tile"])) == ["p"]
+    for keep in (0, -2, 7, 30):
+        assert picked(SC.scene_stack(rows, keep, ["tile"])) == list("klmnopq")
 
 
 def test_stack_matches_slices_for_many_sizes(spark):
@@ -53,20 +56,49 @@ def test_deep_stack_spans_the_season(spark):
     assert len(days) == 12 and (max(days) - min(days)).days > 120
 
 
-def test_rank_by_histogram_equals_a_plain_window(spark):
-    rows = spark.range(3000).select((F.col("id") % 2).alias("g"), (F.col("id") * 7 % 30).alias("d"), "id")
-    rows = rows.withColumn("d", F.when(F.col("d") == 3, None).otherwise(F.col("d")))
-    got = ranked_in_group(rows, ["g"], F.col("d"), [F.col("d"), F.col("id")], "r", "n")
-    for g in (0, 1):
-        ids = [r.id for r in rows.filter(F.col("g") == g).orderBy(F.col("d").asc_nulls_last(), "id").collect()]
-        assert [r.id for r in got.filter(F.col("g") == g).orderBy("r").collect()] == ids
-    assert got.select("n").distinct().first().n == 1500
+def ranks(df, keys=("g",)):
+    return {(*(r[k] for k in keys), r["id"]): (r["r"], r["n"]) for r in df.collect()}
+
+
+def test_ranks_of_large_groups_equal_a_plain_window(spark):
+    """One key and one leading value with a third of all rows and more, nulls and ties."""
+    rows = spark.range(6000).select(
+        F.when(F.col("id") % 3 == 0, None).when(F.col("id") % 3 == 1, 7).otherwise(F.col("id") % 40).alias("g"),
+        F.when(F.col("id") % 5 == 0, None).when(F.col("id") % 5 < 4, 1).otherwise(F.col("id") % 11).alias("d"), (F.col("id") * 7919 % 6000).alias("id"),
+    )
+    order = [F.col("d").asc_nulls_last(), F.col("id").desc()]
+    whole = ranked_in_group(rows, ["g"], order, "r", "n")
+    split = ranked_in_group(rows, ["g"], order, "r", "n", hot_rows=150)
+    assert ranks(split) == ranks(whole) and split.count() == 6000
+    by_key = {}
+    for r in rows.collect():
+        by_key.setdefault(r.g, []).append((r.d is None, r.d or 0, -r.id))
+    want = {(g, -k[2]): (i, len(v)) for g, v in by_key.items() for i, k in enumerate(sorted(v), 1)}
+    assert ranks(split) == want
+    # rows of the hot key lie in many partitions
+    places = split.filter("g = 7").select(F.spark_partition_id().alias("p")).distinct().count()
+    assert places > 1
+
+
+def test_equal_rows_of_a_large_group_get_all_ranks(spark):
+    rows = spark.range(1000).select(F.lit(1).alias("g"), F.lit(2).alias("d"))
+    got = ranked_in_group(rows, ["g"], [F.col("d")], "r", hot_rows=60)
+    assert sorted(r.r for r in got.collect()) == list(range(1, 1001)) and got.columns == ["g", "d", "r"]
+
+
+def test_large_groups_in_stacks(spark):
+    rows = [(i % 2, "c", f"s{i:04d}", dt.date(2024, 1, 1) + dt.timedelta(days=i % 9), None if i % 7 == 0 else float(i % 13)) for i in range(900)]
+    table = spark.createDataFrame(rows, SCHEMA)
+    plain, split = (SC.scene_stack(table, 12, ["tile"], hot_rows=h) for h in (10**6, 50))
+    assert plain.count() == 24 and plain.exceptAll(split).count() == 0 and split.exceptAll(plain).count() == 0
 
 
 def test_mosaic_cap(spark):
-    rows = spark.createDataFrame([scene("b", "2024-01-01", 5.0), scene("a", "2024-01-01", 0.1), scene("c", "2024-01-01", None), scene("d", "2024-01-01", 2.0)], SCHEMA)
+    clouds = [("e", 62.0), ("f", None), ("g", 8.5), ("h", 8.5), ("i", 33.0)]
+    rows = spark.createDataFrame([scene(i, "2023-02-03", c) for i, c in clouds], SCHEMA)
     keep = lambda n: {r.item_id for r in SC.mosaic_cap(rows, ["tile"], n).collect()}
-    assert keep(2) == {"a", "d"} and keep(0) == keep(-1) == {"a", "b", "c", "d"}
+    assert keep(1) == {"g"} and keep(3) == {"g", "h", "i"} and keep(4) == {"e", "g", "h", "i"}
+    assert keep(0) == keep(-3) == {"e", "f", "g", "h", "i"}
 
 
 def test_hot_cell_is_salted_and_loses_nothing(spark, views):
@@ -76,9 +108,44 @@ def test_hot_cell_is_salted_and_loses_nothing(spark, views):
     keys = ["z", "x", "y", "role", "item_id"]
     plain = SC.match_plan_scenes(plan, scenes).select(*keys)
     split = SC.match_plan_scenes(plan, scenes, hot_rows=5).select(*keys)
-    other = SC.match_plan_scenes(plan, scenes, cell_deg=13.0).select(*keys)
-    assert plain.count() == split.count() == other.count() == plain.distinct().count()
-    assert plain.exceptAll(split).count() == 0 and plain.exceptAll(other).count() == 0
+    assert plain.count() == split.count() == plain.distinct().count() and plain.exceptAll(split).count() == 0
+
+
+def boxes(spark, rows, prefix):
+    return spark.createDataFrame(rows, ", ".join([f"{prefix}id int", *[f"{prefix}{n} double" for n in ("minx", "miny", "maxx", "maxy")]]))
+
+
+def test_boxes_of_all_sizes_meet_once_with_few_rows(spark):
+    """Boxes from 0.01 to 360 degrees, points, shared borders, against all pairs."""
+    rng = random.Random(8)
+
+    def made(n):
+        rows = [(0, -180.0, -90.0, 180.0, 90.0), (1, 0.0, 0.0, 45.0, 45.0), (2, 45.0, 45.0, 90.0, 90.0), (3, 45.0, 10.0, 45.0, 10.0)]
+        for i in range(4, n):
+            size = 10 ** rng.uniform(-2, 2)
+            x, y = rng.uniform(-180, 179), rng.uniform(-90, 89)
+            rows.append((i, x, y, min(180.0, x + size * rng.random()), min(90.0, y + size * rng.random())))
+        return rows
+
+    a, b = made(300), made(200)
+    left, right = GJ.spread_boxes(boxes(spark, a, "l_"), boxes(spark, b, "r_"), "l_", "r_")
+    met = left.join(right, GJ.KEYS).filter(GJ.met_once("l_", "r_")).filter("l_minx <= r_maxx AND r_minx <= l_maxx AND l_miny <= r_maxy AND r_miny <= l_maxy")
+    got = [(r.l_id, r.r_id) for r in met.collect()]
+    want = [(p[0], q[0]) for p in a for q in b if p[1] <= q[3] and q[1] <= p[3] and p[2] <= q[4] and q[2] <= p[4]]
+    assert sorted(got) == sorted(want)
+    for side, key in ((left, "l_id"), (right, "r_id")):
+        assert side.groupBy(key, "_kind", "_level").count().agg(F.max("count")).first()[0] <= 4
+
+
+def test_days_meet_in_blocks_of_the_spans(spark):
+    spans = spark.createDataFrame([(1, "2024-03-01", "2024-03-01"), (2, "2023-12-20", "2024-03-05"), (3, "1969-12-25", "1970-01-10"), (4, "2024-01-01", "2024-12-31")], "id int, a string, b string")
+    spans = spans.select("id", F.col("a").cast("date").alias("a"), F.col("b").cast("date").alias("b"))
+    days = spark.sql("SELECT explode(sequence(DATE'1969-12-01', DATE'2025-01-31', INTERVAL 3 DAY)) AS day")
+    left, right = GJ.spread_days(spans, days, "a", "b", "day")
+    assert left.groupBy("id").count().agg(F.max("count")).first()[0] <= 2
+    got = left.join(right, ["_blocks", "_block"]).filter("day BETWEEN a AND b").select("id", "day")
+    want = spans.crossJoin(days).filter("day BETWEEN a AND b").select("id", "day")
+    assert got.count() == want.count() > 0 and got.exceptAll(want).count() == 0
 
 
 def test_manifest_summary_and_fallback(spark, views):
@@ -137,7 +204,6 @@ def test_scenes_over_the_antimeridian(spark):
         "*", "DATE'2024-01-01' AS start_date", "DATE'2024-12-31' AS end_date", "array('c') AS collections", "array('c') AS fallback_collections",
         "50.0 AS max_cloud", "60.0 AS fallback_max_cloud",
     )
-    for cell in (1.0, 4.0):
-        got = SC.match_plan_scenes(plan, scenes, cell_deg=cell).filter("role = 'primary'").collect()
-        assert sorted((r.x, r.item_id) for r in got) == [(1, "over"), (2, "over"), (3, "plain"), (4, "over"), (4, "plain")]
-        assert {(r.s_minx, r.s_maxx) for r in got if r.item_id == "over"} == {(178.0, -178.5)}
+    got = SC.match_plan_scenes(plan, scenes).filter("role = 'primary'").collect()
+    assert sorted((r.x, r.item_id) for r in got) == [(1, "over"), (2, "over"), (3, "plain"), (4, "over"), (4, "plain")]
+    assert {(r.s_minx, r.s_maxx) for r in got if r.item_id == "over"} == {(178.0, -178.5)}

@@ -13,14 +13,15 @@ def lines(spark, rows, name="line"):
 
 
 def test_catalog_lines(spark):
-    good = "18/232854/103222.jpg,1583830819,12345,746c"
-    rows = lines(spark, [good, "", "garbage", "10/848.jpg,1,2", "a/b/c.jpg,1,2", "8/100/200.jpg,1583830819,1053", "9/1/2,5,6", "9/1/2.tar.gz, 7 ,8", "9/1/2.jpg,1.5,8"])
+    whole = ["13/7021/3300.png,1700000123,998,0f3a", "7/64/9.webp,1700000999,77", "6/3/4,11,12", "6/3/5.csv.gz, 13 ,14"]
+    faults = ["1x/1/2.png,21,22", "13/7021/3301.png 23 24", "5/1/2/3.png,25,26", "  ", "6/3/six.png,27,28", "6/3/7.png,29", "6/3/8.png,30,3.1"]
+    rows = lines(spark, whole + faults)
     got = {(r.z, r.x, r.y, r.ext, r.mtime, r.size, r.md5) for r in catalogs.parse_catalog_lines(rows).collect()}
     assert got == {
-        (18, 232854, 103222, "jpg", 1583830819, 12345, "746c"),
-        (8, 100, 200, "jpg", 1583830819, 1053, ""),
-        (9, 1, 2, "", 5, 6, ""),
-        (9, 1, 2, "tar.gz", 7, 8, ""),
+        (13, 7021, 3300, "png", 1700000123, 998, "0f3a"),
+        (7, 64, 9, "webp", 1700000999, 77, ""),
+        (6, 3, 4, "", 11, 12, ""),
+        (6, 3, 5, "csv.gz", 13, 14, ""),
     }
 
 
