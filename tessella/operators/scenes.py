@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessella.functions.grid import Box, box_covers, boxes_intersect
-from tessella.operators.gridjoin import KEYS, met_once, spread_boxes, spread_days
+from tessella.operators.gridjoin import BLOCKS_OF_A_SPAN, KEYS, block_level, box_level, boxes_of, levels_of, met_once, most_rows, spread_boxes, spread_days
 from tessella.operators.ranking import ranked_in_group, top_in_group
-from tessella.operators.skew import HOT_ROWS, salted
+from tessella.operators.skew import BROADCAST_ROWS, HOT_ROWS, salted
 
 TILE = ["z", "x", "y"]
 BOX = ("minx", "miny", "maxx", "maxy")
@@ -36,7 +36,7 @@ def covering_scenes(scenes: DataFrame, box: Box) -> DataFrame:
 
 def _searches(plan: DataFrame) -> DataFrame:
     """One row per spread tile, collection and role, with the role's cloud limit."""
-    cols = [*TILE, *BOX, "start_date", "end_date", *KEYS, "_blocks", "_block"]
+    cols = [*TILE, *BOX, "start_date", "end_date", *KEYS, "_fx", "_fy", "_blocks", "_block"]
 
     def role(collections, limit, name):
         return plan.select(
@@ -60,7 +60,9 @@ def _whole_boxes(df: DataFrame, prefix: str) -> DataFrame:
     return split.withColumns({f"{prefix}minx": F.col("_part.a"), f"{prefix}maxx": F.col("_part.b")}).drop("_part")
 
 
-def match_plan_scenes(plan: DataFrame, scenes: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def match_plan_scenes(
+    plan: DataFrame, scenes: DataFrame, hot_rows: int = HOT_ROWS, small_plan: int = BROADCAST_ROWS // 8
+) -> DataFrame:
     """Candidate scenes of every plan tile: place, date, cloud and collection.
 
     Boxes meet in the cells of the larger one's size and days in blocks of the season's
@@ -72,11 +74,17 @@ def match_plan_scenes(plan: DataFrame, scenes: DataFrame, hot_rows: int = HOT_RO
     box = {n: f"s_{n}" for n in BOX}
     known = scenes.filter(F.col("cloud").isNotNull() & F.col("acq_date").isNotNull()).withColumnsRenamed(box)
     known = known.withColumns({"_west": F.col("s_minx"), "_east": F.col("s_maxx")})
-    left, right = spread_boxes(plan, _whole_boxes(known, "s_"), "", "s_")
-    left, right = spread_days(left, right, "start_date", "end_date", "acq_date")
+    known = _whole_boxes(known, "s_")
+    *levels, blocks = levels_of((plan, box_level("")), (known, box_level("s_")), (plan, block_level("start_date", "end_date")))
+    left, right = spread_boxes(plan, known, "", "s_", levels)
+    left, right = spread_days(left, right, "start_date", "end_date", "acq_date", blocks)
     keys = ["collection_id", *KEYS, "_blocks", "_block"]
-    left, right = salted(_searches(left), right, keys, hot_rows)
-    pairs = left.join(right, [*keys, "salt"])
+    if most_rows(*levels[:2]) * BLOCKS_OF_A_SPAN <= small_plan:
+        # a counted plan of few tiles travels to the scenes, in any other case both are dealt
+        pairs = right.join(F.broadcast(_searches(left)), keys)
+    else:
+        left, right = salted(_searches(left), right, keys, hot_rows, most_rows(*levels[::-1]) * len(blocks))
+        pairs = left.join(right, [*keys, "salt"])
     exact = (
         boxes_intersect(Box(*BOX), Box(*box.values()))
         & F.col("acq_date").between(F.col("start_date"), F.col("end_date"))
@@ -196,7 +204,7 @@ def best_at_points(points: DataFrame, scenes: DataFrame, box: Box, start, end, m
     s_box = {n: f"s_{n}" for n in BOX}
     usable = scenes.filter((F.col("cloud") <= max_cloud) & F.col("acq_date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
     usable = usable.select("cloud", "acq_date", "collection_id", "item_id", *BOX).withColumnsRenamed(s_box)
-    left, right = salted(*spread_boxes(boxed, _whole_boxes(usable, "s_"), "", "s_"), KEYS)
+    left, right = boxes_of(boxed, _whole_boxes(usable, "s_"), "", "s_")
     pairs = left.join(right, [*KEYS, "salt"]).filter(boxes_intersect(Box(*BOX), Box(*s_box.values())))
     best = pairs.groupBy("point_id").agg(
         F.min(F.struct("cloud", "acq_date", "collection_id", "item_id")).alias("b")

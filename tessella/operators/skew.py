@@ -19,14 +19,17 @@ def unsized(df: DataFrame) -> DataFrame:
     return df.hint("merge")
 
 
-def salted(left: DataFrame, right: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS):
+def salted(left: DataFrame, right: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS, at_most: int | None = None):
     """Add a ``salt`` key that splits the hot keys of ``right``.
 
     Keys of ``right`` above ``hot_rows`` rows are spread over enough salts to bring
     each below it, and the rows of ``left`` with such a key are repeated once per
     salt. There are at most ``rows / hot_rows`` hot keys, which bounds the
-    broadcast list; keys may not be null.
+    broadcast list; keys may not be null. Where ``right`` is known to have no more than
+    ``at_most`` rows, and these are too few for a hot key, nothing is counted.
     """
+    if at_most is not None and at_most <= hot_rows:
+        return tuple(unsized(side.withColumn("salt", F.lit(0))) for side in (left, right))
     hot = (
         right.groupBy(*keys)
         .count()

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from tessella import constants as C
 from tessella.functions.grid import ancestor, shl, tile_bounds
 from tessella.operators.gridjoin import KEYS as GRID_KEYS
-from tessella.operators.gridjoin import SPAN, spread_boxes
-from tessella.operators.skew import BROADCAST_ROWS, salted, unsized
+from tessella.operators.gridjoin import SPAN, boxes_of
+from tessella.operators.skew import BROADCAST_ROWS, salted
 from tessella.session import cut_lineage, inline_table
 
 KEY = ["z", "x", "y"]
@@ -119,8 +119,8 @@ def exact_cover(cells: DataFrame, shards: DataFrame) -> DataFrame:
     faults = cut_lineage(cover_runs(shards, tuple(limits)).filter(F.col("n") != 1))
     scale = SPAN / (1 + max(abs(v) for v in limits))
     scaled = lambda df, prefix, *names: df.withColumns({f"{prefix}{t}": F.col(n) * scale for t, n in zip(("minx", "miny", "maxx", "maxy"), names)})
-    left, right = spread_boxes(scaled(cells.select("x", "y"), "c_", "x", "y", "x", "y"), scaled(faults, "f_", "minx", "miny", "maxx", "maxy"), "c_", "f_")
-    met = unsized(left).join(unsized(right), GRID_KEYS)
+    left, right = boxes_of(scaled(cells.select("x", "y"), "c_", "x", "y", "x", "y"), scaled(faults, "f_", "minx", "miny", "maxx", "maxy"), "c_", "f_")
+    met = left.join(right, [*GRID_KEYS, "salt"])
     inside = F.col("x").between(F.col("minx"), F.col("maxx")) & F.col("y").between(F.col("miny"), F.col("maxy"))
     return met.filter(inside).select("x", "y", "n")
 

@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 from tessella.functions.grid import Box, box_covers
 from tessella.functions.scalars import product_parts
 from tessella.operators import scenes as SC
-from tessella.operators.gridjoin import KEYS, spread_boxes
-from tessella.operators.skew import salted
+from tessella.operators.gridjoin import KEYS, boxes_of
 from tessella.session import cut_lineage, pinned
 
 BOX = ("minx", "miny", "maxx", "maxy")
@@ -46,9 +45,9 @@ def covering_manifest(regions: DataFrame, scenes: DataFrame, region: str, n: int
         region, *BOX, *[F.col(c).alias(f"_c_{n}") for n, c in zip(BOX, ("minx", "miny", "minx", "miny"))]
     )
     renamed = scenes.withColumnsRenamed({c: f"s_{c}" for c in BOX})
-    left, right = salted(*spread_boxes(corner, SC._whole_boxes(renamed, "s_"), "_c_", "s_"), KEYS)
+    left, right = boxes_of(corner, SC._whole_boxes(renamed, "s_"), "_c_", "s_")
     pairs = left.join(right, [*KEYS, "salt"]).filter(box_covers(Box(*(f"s_{c}" for c in BOX)), Box(*BOX)))
-    return SC.order_newest(pairs.drop(*KEYS, "salt", *BOX, *[f"_c_{c}" for c in BOX]), [region], n)
+    return SC.order_newest(pairs.drop(*KEYS, "salt", *BOX, *[f"{p}{c}" for p in ("_c_", "s_") for c in ("_fx", "_fy")], *[f"_c_{c}" for c in BOX]), [region], n)
 
 
 def prefetch_list(overlays: DataFrame, scenes: DataFrame, assets, cached: DataFrame, n: int) -> DataFrame:

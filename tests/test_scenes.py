@@ -107,8 +107,9 @@ def test_hot_cell_is_salted_and_loses_nothing(spark, views):
     scenes = views.fx_scenes.withColumns({c: F.when(F.substring("item_id", 2, 9).cast("int") % 3 == 0, F.lit(val)).otherwise(F.col(c)) for c, val in (("minx", 5.0), ("miny", 45.0), ("maxx", 7.0), ("maxy", 47.0))})
     keys = ["z", "x", "y", "role", "item_id"]
     plain = SC.match_plan_scenes(plan, scenes).select(*keys)
-    split = SC.match_plan_scenes(plan, scenes, hot_rows=5).select(*keys)
-    assert plain.count() == split.count() == plain.distinct().count() and plain.exceptAll(split).count() == 0
+    for limits in ({"hot_rows": 5, "small_plan": 0}, {"small_plan": 0}):
+        split = SC.match_plan_scenes(plan, scenes, **limits).select(*keys)
+        assert plain.count() == split.count() == plain.distinct().count() and plain.exceptAll(split).count() == 0
 
 
 def boxes(spark, rows, prefix):
@@ -128,7 +129,10 @@ def test_boxes_of_all_sizes_meet_once_with_few_rows(spark):
         return rows
 
     a, b = made(300), made(200)
-    left, right = GJ.spread_boxes(boxes(spark, a, "l_"), boxes(spark, b, "r_"), "l_", "r_")
+    sides = boxes(spark, a, "l_"), boxes(spark, b, "r_")
+    levels = GJ.levels_of((sides[0], GJ.box_level("l_")), (sides[1], GJ.box_level("r_")))
+    left, right = GJ.spread_boxes(*sides, "l_", "r_", levels)
+    assert left.count() <= GJ.most_rows(*levels) and right.count() <= GJ.most_rows(*levels[::-1])
     met = left.join(right, GJ.KEYS).filter(GJ.met_once("l_", "r_")).filter("l_minx <= r_maxx AND r_minx <= l_maxx AND l_miny <= r_maxy AND r_miny <= l_maxy")
     got = [(r.l_id, r.r_id) for r in met.collect()]
     want = [(p[0], q[0]) for p in a for q in b if p[1] <= q[3] and q[1] <= p[3] and p[2] <= q[4] and q[2] <= p[4]]
@@ -141,8 +145,8 @@ def test_days_meet_in_blocks_of_the_spans(spark):
     spans = spark.createDataFrame([(1, "2024-03-01", "2024-03-01"), (2, "2023-12-20", "2024-03-05"), (3, "1969-12-25", "1970-01-10"), (4, "2024-01-01", "2024-12-31")], "id int, a string, b string")
     spans = spans.select("id", F.col("a").cast("date").alias("a"), F.col("b").cast("date").alias("b"))
     days = spark.sql("SELECT explode(sequence(DATE'1969-12-01', DATE'2025-01-31', INTERVAL 3 DAY)) AS day")
-    left, right = GJ.spread_days(spans, days, "a", "b", "day")
-    assert left.groupBy("id").count().agg(F.max("count")).first()[0] <= 2
+    left, right = GJ.spread_days(spans, days, "a", "b", "day", GJ.levels_of((spans, GJ.block_level("a", "b")))[0])
+    assert left.groupBy("id").count().agg(F.max("count")).first()[0] <= 5
     got = left.join(right, ["_blocks", "_block"]).filter("day BETWEEN a AND b").select("id", "day")
     want = spans.crossJoin(days).filter("day BETWEEN a AND b").select("id", "day")
     assert got.count() == want.count() > 0 and got.exceptAll(want).count() == 0
