@@ -6,16 +6,17 @@ import pytest
 import corpus_pipeline
 from check import rows_sorted
 from tessella.fixtures import TABLES
-from tessella.llm import quality, simhash
+from tessella.llm import quality
 from tessella.llm.registry import load
 from tests.conftest import SF
 from tests.llm.cases import documents, empty
+from tests.llm.test_near_copies import first_ids
 
 QUERIES, ORACLES = load()
 
 
-def test_ten_queries():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+def test_a_query_for_each_operator():
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
@@ -41,7 +42,7 @@ def test_stages(spark, tmp_path):
     scored = quality.score_documents(whole, spark.read.parquet(f"{SF}/labels.parquet"))
     assert ids("quality classifier") == {r["doc_id"] for r in scored.where("predicted = 1").collect()}
     kept = whole.where(whole["doc_id"].isin(*ids("quality classifier")))
-    assert ids("near duplicates") == {r["component_id"] for r in simhash.near_duplicates(kept).collect()}
+    assert ids("near duplicates") == set(first_ids([(r["doc_id"], r["text"]) for r in kept.collect()]))
     assert len(rows["near duplicates"]) == len(ids("near duplicates"))
     assert len(rows["token files"]) == len(rows["source mix"])
 
