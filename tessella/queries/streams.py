@@ -9,7 +9,7 @@ from tessella.queries import query
 from tessella.queries.sources import CATALOG
 from tessella.session import shared_folder
 from tessella.sources.catalogs import parse_catalog_lines
-from tessella.streaming import TileLog, rolling_counters, skip_known
+from tessella.streaming import KeyIndex, TileTable, rolling_counters, skip_known
 
 
 class StreamViews(Views):
@@ -44,20 +44,22 @@ def _(v):
     SELECT z, x, y, seq, payload FROM (SELECT *, row_number() OVER (PARTITION BY z, x, y ORDER BY seq DESC) AS r FROM {fx_tiles}) AS t WHERE r = 1""")
 def _(v):
     s, folder = streamed(v)
-    log = TileLog(f"{folder}/tiles", ["seq"])
-    # a second run with a fresh checkpoint replays everything
-    for attempt in ("first", "again"):
-        log.start(s.fx_tiles, f"{folder}/{attempt}").awaitTermination()
-    return log.read(v.spark).select("z", "x", "y", "seq", "payload")
+    table = TileTable(f"{folder}/tiles", ["seq"])
+    # five micro-batches, late older rows among them, and one stream that starts again
+    for k in (3, 0, 4, 1, 2):
+        table.start(s.fx_tiles.filter(F.col("seq") % 5 == k), f"{folder}/stream-{k}").awaitTermination()
+    table.start(s.fx_tiles.filter(F.col("seq") % 5 == 3), f"{folder}/again").awaitTermination()
+    return table.read(v.spark).select("z", "x", "y", "seq", "payload")
 
 
 @query("str_skip_known", """
     SELECT seq, z, x, y FROM {fx_tiles} AS t WHERE NOT EXISTS (SELECT 1 FROM {fx_tiles} AS k WHERE k.src = 0 AND k.z = t.z AND k.x = t.x AND k.y = t.y)""")
 def _(v):
     s, folder = streamed(v)
-    known = lambda: v.fx_tiles.filter(F.col("src") == 0)
+    index = KeyIndex(f"{folder}/index")
+    index.add(v.fx_tiles.filter(F.col("src") == 0), 0)
     sink = lambda frame, batch_id: frame.write.mode("overwrite").parquet(f"{folder}/rows/batch={batch_id}")
-    skip_known(s.fx_tiles, known, sink, f"{folder}/check").awaitTermination()
+    skip_known(s.fx_tiles, index, sink, f"{folder}/check").awaitTermination()
     return v.spark.read.parquet(f"{folder}/rows").select("seq", "z", "x", "y")
 
 

@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-import hashlib
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
 
 from tessella.operators.stats import fetch_counters
-from tessella.operators.tiles import KEY, last_wins, missing_tiles
 from tessella.sources.catalogs import parse_catalog_lines
+from tessella.streaming.table import KeyIndex, TileTable, skip_known
+
+__all__ = ["KeyIndex", "TileTable", "rolling_counters", "skip_known", "stream_catalog"]
 
 
 def stream_catalog(spark: SparkSession, folder: str) -> DataFrame:
@@ -18,79 +17,6 @@ def stream_catalog(spark: SparkSession, folder: str) -> DataFrame:
     return parse_catalog_lines(spark.readStream.text(folder).withColumnRenamed("value", "line"))
 
 
-class TileLog:
-    """Tile table fed by micro-batches, newest row per key.
-
-    Every batch writes its own folder, named by its stream and batch id and replaced as a
-    whole when a batch is replayed, so a restart cannot add or lose rows. A stream is known
-    by its checkpoint: batches of another one begin a new generation and never replace
-    older batches. Readers take the newest row of each key, later generations and batches
-    first; ``compact`` folds them into one.
-    """
-
-    def __init__(self, path: str, order: list[str]):
-        self.path, self.order = path.rstrip("/"), order
-
-    def append(self, batch: DataFrame, batch_id: int, generation: str = "0-direct") -> None:
-        last_wins(batch, self.order).write.mode("overwrite").parquet(f"{self.path}/generation={generation}/batch={batch_id}")
-
-    def read(self, spark: SparkSession) -> DataFrame:
-        rows = spark.read.option("basePath", self.path).parquet(self.path)
-        number = F.substring_index("generation", "-", 1).cast("int")
-        return last_wins(rows.withColumn("_generation", number), ["_generation", "batch", *self.order]).drop("_generation", "generation", "batch")
-
-    def compact(self, spark: SparkSession, path: str) -> "TileLog":
-        """Newest rows as the single batch of a new log."""
-        fresh = TileLog(path, self.order)
-        self.read(spark).write.mode("overwrite").parquet(f"{fresh.path}/generation=0-compacted/batch=-1")
-        return fresh
-
-    def generation(self, spark: SparkSession, checkpoint: str) -> str:
-        """The generation of a checkpoint: its old one, or one above all others.
-
-        An empty folder marks it, so a stream that starts later sees it.
-        """
-        name = hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
-        jvm = spark.sparkContext._jvm
-        root = jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        found = [f.getPath().getName().removeprefix("generation=") for f in fs.listStatus(root)] if fs.exists(root) else []
-        found = [f for f in found if f[:1].isdigit()]
-        known = [f for f in found if f.endswith(f"-{name}")]
-        if known:
-            return known[0]
-        new = f"{1 + max([int(f.split('-')[0]) for f in found], default=0)}-{name}"
-        fs.mkdirs(jvm.org.apache.hadoop.fs.Path(f"{self.path}/generation={new}"))
-        return new
-
-    def start(self, tiles: DataFrame, checkpoint: str, **trigger) -> StreamingQuery:
-        generation = self.generation(tiles.sparkSession, checkpoint)
-        return (
-            tiles.writeStream.foreachBatch(lambda batch, batch_id: self.append(batch, batch_id, generation))
-            .option("checkpointLocation", checkpoint)
-            .trigger(**(trigger or {"availableNow": True}))
-            .start()
-        )
-
-
-def skip_known(tiles: DataFrame, known, sink, checkpoint: str, **trigger) -> StreamingQuery:
-    """Pass on tiles that are not stored yet.
-
-    ``known()`` returns the stored keys and runs once per micro-batch, so tiles stored
-    meanwhile are seen; ``sink(frame, batch_id)`` takes the rest and must accept replays.
-    """
-
-    def step(batch: DataFrame, batch_id: int) -> None:
-        sink(missing_tiles(batch, known()), batch_id)
-
-    return (
-        tiles.writeStream.foreachBatch(step)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"availableNow": True}))
-        .start()
-    )
-
-
 def rolling_counters(log: DataFrame, every: str = "30 seconds", late: str = "10 minutes") -> DataFrame:
     """Fetch counters per tumbling window of event time; later rows are dropped."""
     return (
