@@ -27,6 +27,8 @@ from tessella.session import pinned
 
 _BLOCK = 256
 _CONTEXT = 40
+#: No match is shorter than five characters, so that many fill the context.
+_REACH = _CONTEXT // 5
 
 
 def _digits(value: Column) -> Column:
@@ -156,7 +158,12 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ke
             block = F.floor(i / _BLOCK).cast("int")
             before = F.get(gap, i)
             start = total(F.slice(sums, F.lit(1), block)) + total(F.slice(step, block * _BLOCK + 1, i % _BLOCK)) + before["n"]
-            score = F.least(F.lit(1.0), F.lit(k.score) + F.when(before["before"].rlike(k.context), 0.3).otherwise(0.0))
+            # the text before goes on over earlier matches
+            back = F.least(i, F.lit(_REACH))
+            earlier = lambda values: F.slice(values, i - back + 1, back)
+            texts = F.zip_with(earlier(gap), earlier(F.col(f"hit_{k.name}")), lambda g, h: F.concat(g["before"], F.lower(F.right(h, F.lit(_CONTEXT)))))
+            context = F.right(F.concat(F.array_join(texts, ""), before["before"]), F.lit(_CONTEXT))
+            score = F.least(F.lit(1.0), F.lit(k.score) + F.when(context.rlike(k.context), 0.3).otherwise(0.0))
             ok = k.valid(hit) if k.base else k.valid(hit) & (score >= keep)
             return F.when(ok, F.struct(
                 start.alias("start"), F.lit(rank).alias("rank"), F.lit(k.name).alias("kind"),
