@@ -94,12 +94,6 @@ def paint_order(pixels: DataFrame) -> Column:
     return F.struct(F.coalesce("cloud", F.lit(float("inf"))).alias("c"), F.col("scene"))
 
 
-def band_stack(pixels: DataFrame, keys: list[str], bands) -> DataFrame:
-    """Three bands as r, g, b where all three exist."""
-    pick = [F.max(F.when(F.col("band") == b, F.col("dn"))).alias(n) for n, b in zip("rgb", bands)]
-    return pixels.filter(F.col("band").isin(*bands)).groupBy(*keys).agg(*pick).dropna(subset=["r", "g", "b"])
-
-
 def stretched(value, low: float, high: float, gamma: float) -> Column:
     """Reflectance to byte: 255 * clamp((v - low) / (high - low)) ^ gamma, rounded."""
     share = clamp((col(value).cast("double") - low) / (high - low), F.lit(0.0), F.lit(1.0))
@@ -107,12 +101,6 @@ def stretched(value, low: float, high: float, gamma: float) -> Column:
     return F.rint(curve * 255.0).cast("int")
 
 
-def blended(base, overlay, opacity: float) -> Column:
-    """A * (1 - o) + B * o with the opacity clamped to 0..1."""
-    o = max(0.0, min(1.0, opacity))
-    return col(base) * (1.0 - o) + col(overlay) * o
-
-
 def over(base: dict, top: dict) -> dict[str, Column]:
     """Porter-Duff over of two RGBA pixels with 8-bit channels, rounded half up."""
     ta, ba = col(top["a"]), col(base["a"])
@@ -139,11 +127,6 @@ def composite_pixels(base: DataFrame, overlay: DataFrame, keys: list[str]) -> Da
     return b.join(t, keys, "full").select(*keys, *[pick(n).alias(n) for n in names])
 
 
-def nodata_alpha(bands: list[str]) -> Column:
-    """0 where every band is nodata, else 255."""
-    return F.when(reduce(lambda a, b: a & b, [col(n) == 0 for n in bands]), 0).otherwise(255)
-
-
 def pixel_lonlat(z, x, y, px, py, size: int) -> tuple[Column, Column]:
     """Centre of a pixel in degrees."""
     return (
@@ -185,21 +168,6 @@ def color_relief(value, ramp) -> dict[str, Column]:
     return {"r": channel(1), "g": channel(2), "b": channel(3), "a": F.when(v.isNotNull(), 255).otherwise(0)}
 
 
-def resize_nearest(pixels: DataFrame, src: int, dst: int) -> DataFrame:
-    """Tiles of ``src`` pixels to ``dst`` pixels, one an integer multiple of the other."""
-    if dst >= src:
-        if dst % src:
-            raise ValueError("sizes must divide")
-        f = dst // src
-        spread = lambda c: F.explode(F.sequence(F.col(c) * f, F.col(c) * f + f - 1))
-        return pixels.withColumn("px", spread("px")).withColumn("py", spread("py"))
-    if src % dst:
-        raise ValueError("sizes must divide")
-    f = src // dst
-    kept = pixels.filter((F.col("px") % f == 0) & (F.col("py") % f == 0))
-    return kept.withColumn("px", (F.col("px") / f).cast("int")).withColumn("py", (F.col("py") / f).cast("int"))
-
-
 def stitch_pixels(pixels: DataFrame, size: int) -> DataFrame:
     """Pixels of four children on their parent of double size (missing ones stay absent)."""
     return pixels.filter(F.col("z") > 0).withColumns(
@@ -231,16 +199,6 @@ def overview_pixels(pixels: DataFrame, keys: list[str], size: int, method: str =
     return double.groupBy(*at).agg(F.coalesce(value, F.lit(0)).alias("dn"))
 
 
-def pyramid_pixels(pixels: DataFrame, keys: list[str], size: int, zmax: int, zmin: int, method="average") -> DataFrame:
-    """All zooms from ``zmax`` down to ``zmin``; each level is a quarter of the last."""
-    level = cut_lineage(pixels.filter(F.col("z") == zmax).select(*keys, "z", "x", "y", "px", "py", "dn"))
-    levels = [level]
-    for _ in range(zmax - zmin):
-        level = cut_lineage(overview_pixels(level, keys, size, method))
-        levels.append(level)
-    return reduce(lambda a, b: a.unionByName(b), levels)
-
-
 def raster_to_tiles(raster: DataFrame, keys: list[str], cell: float, z: int, size: int, method="nearest") -> DataFrame:
     """Slice a geographic raster (lon, lat of the NW cell corner, dn) into tiles.
 
@@ -284,16 +242,6 @@ def raster_to_tiles(raster: DataFrame, keys: list[str], cell: float, z: int, siz
     return tiled.groupBy(*at).agg(F.rint(F.avg("dn")).cast("int").alias("dn"))
 
 
-def panel_mosaic(panels: DataFrame, keys: list[str], panel_w: int, panel_h: int) -> DataFrame:
-    """Pixels of panels (col, row) on one canvas of global positions."""
-    return panels.select(
-        *keys,
-        (F.col("col") * panel_w + F.col("px")).alias("px"),
-        (F.col("row") * panel_h + F.col("py")).alias("py"),
-        "dn",
-    )
-
-
 def use_median(strategy: str) -> bool:
     """Whether a mosaic strategy means the temporal median, else cleanest on top."""
     return strategy.strip().lower() in ("best_pixel", "median")

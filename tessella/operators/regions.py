@@ -6,11 +6,13 @@ cost follows the length of the outline and no task holds a whole region.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessella import constants as C
 from tessella.functions.grid import clamp, column_longitude, lat_to_row, lon_to_column, row_latitude
+from tessella.operators.chunks import Grouped, Ragged, _emit, _runs, _same, _types
 from tessella.operators.skew import unsized
 from tessella.session import pinned
 
@@ -129,6 +131,54 @@ def clip_pixels(pixels: DataFrame, edges: DataFrame, region: str, z: int, bits:
     return pixels.join(unsized(spans), on, "left_semi")
 
 
+def region_masks(edges: DataFrame, region: str, z: int, bits: int) -> DataFrame:
+    """Masks (z, x, y, whole, runs) of the tiles of 2^bits pixels that regions reach.
+
+    A tile between outlines is ``whole``. An outline tile has the runs (py, lo, hi) of pixels
+    whose centre is inside: the scanlines of its own tile row, cut to the tile.
+    """
+    size = 1 << bits
+    outline = boundary_tiles(edges, region, z)
+    lines = inside_spans(edges, region, z + bits).select(
+        region, F.shiftright("y", bits).alias("y"), F.col("y").bitwiseAND(F.lit(size - 1).cast("long")).cast("int").alias("py"), "x0", "x1"
+    )
+    west = F.col("x") * size
+    cut = unsized(outline).join(lines, [region, "y"]).filter((F.col("x1") >= west) & (F.col("x0") < west + size))
+    lo = F.greatest(F.col("x0") - west, F.lit(0).cast("long")).cast("int")
+    hi = F.least(F.col("x1") - west, F.lit(size - 1).cast("long")).cast("int")
+    partial = cut.groupBy("z", "x", "y").agg(F.collect_set(F.struct("py", lo.alias("lo"), hi.alias("hi"))).alias("runs"))
+    inner = inside_spans(edges, region, z).select(region, F.explode(F.sequence("x0", "x1")).alias("x"), "y")
+    inner = unsized(inner).join(outline, [region, "x", "y"], "left_anti").select(F.lit(z).alias("z"), "x", "y", F.lit(True).alias("whole"))
+    both = partial.withColumn("whole", F.lit(False)).unionByName(inner, allowMissingColumns=True)
+    return both.groupBy("z", "x", "y").agg(F.bool_or("whole").alias("whole"), F.first("runs", True).alias("runs"))
+
+
+def clip_chunks(chunks: DataFrame, keys: list[str], edges: DataFrame, region: str, z: int, bits: int, nodata: int = 0) -> DataFrame:
+    """Chunks of zoom ``z`` and 2^bits pixels that regions reach, nodata outside of them.
+
+    ``keys`` name z, x and y among others. Whole tiles pass as they are.
+    """
+    size, names = 1 << bits, list(keys)
+
+    def cut(batches):
+        for batch in batches:
+            data, group = Ragged(batch.column("data")), Grouped(batch.column("runs"))
+            whole = batch.column("whole").to_numpy(zero_copy_only=False)
+            edge = np.zeros((batch.num_rows, size, size + 1), np.int32)
+            np.add.at(edge, (group.owner, group.ints("py"), group.ints("lo")), 1)
+            np.add.at(edge, (group.owner, group.ints("py"), group.ints("hi") + 1), -1)
+            inside = (edge.cumsum(axis=2)[:, :, :size] > 0) | whole[:, None, None]
+            for (length,), index in _same(data.sizes):
+                for part in _runs(index, int(length)):
+                    images = data.rows(part).reshape(len(part), -1, size, size)
+                    yield _emit(batch, names, part, size, size, np.where(inside[part][:, None], images, nodata))
+
+    here = chunks.filter((F.col("z") == z) & (F.col("w") == size) & (F.col("h") == size))
+    masked = here.join(unsized(region_masks(edges, region, z, bits)), ["z", "x", "y"])
+    runs = F.coalesce("runs", F.array().cast("array<struct<py:int,lo:int,hi:int>>")).alias("runs")
+    return masked.select(*names, "whole", runs, "data").mapInArrow(cut, _types(chunks, names) + "w int, h int, data array<int>")
+
+
 def boxes_in_regions(boxes: DataFrame, edges: DataFrame, region: str, key: str, z: int = 7) -> DataFrame:
     """Boxes (minx, miny, maxx, maxy) that meet a region: pairs of key and region.
 

@@ -11,6 +11,7 @@ from tessella.functions.grid import Box
 from tessella.operators import chunks as CH
 from tessella.operators import pixels as PX
 from tessella.operators import stacks as ST
+from tessella.operators.planes import crop_box_chunks
 from tessella.operators.tiles import KEY
 
 
@@ -39,18 +40,17 @@ def clean_mosaic(
     return stretch_chunks(merged, *stretch)
 
 
-def visual_mosaic(pixels: DataFrame, scenes_per_region: int, box: Box, z: int, size: int, stretch=C.STRETCHES["sentinel2"]) -> DataFrame:
+def visual_mosaic(chunks: DataFrame, scenes_per_region: int, box: Box, z: int, stretch=C.STRETCHES["sentinel2"]) -> DataFrame:
     """Clearest scenes only, cleanest on top, cut to a box and stretched to bytes.
 
-    ``pixels`` has scene, cloud, band; the scenes that have pixels in the box are capped.
+    ``chunks`` has scene, cloud, band; the scenes that show anything in the box are capped.
     """
-    inside = PX.crop_box(pixels, box, z, size)
+    inside = crop_box_chunks(chunks, ["scene", "cloud", "band", *KEY], box, z).filter(F.exists("data", lambda d: d != 0))
     if scenes_per_region > 0:
-        scenes = inside.select("scene", "cloud").distinct()
+        scenes = inside.groupBy("scene", "cloud").agg(F.count("*").alias("n"))
         kept = scenes.orderBy(F.col("cloud").asc_nulls_last(), "scene").limit(scenes_per_region)
         inside = inside.join(F.broadcast(kept.select("scene")), "scene", "left_semi")  # at most the cap
-    top = PX.first_clear(inside, [*KEY, "band", "px", "py"], F.struct("scene"))
-    return top.withColumn("dn", PX.stretched("dn", *stretch))
+    return stretch_chunks(ST.priority_chunks(inside, [*KEY, "band"]), *stretch)
 
 
 def band_mosaic(pixels: DataFrame, z_keys: list[str]) -> DataFrame:

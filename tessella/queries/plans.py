@@ -122,11 +122,12 @@ S2_BOX = (-179.9, 85.0445, -179.5, 85.0505)
 
 @query("pipe_s2_mosaic", f"""
     SELECT x, y, band, px, py, CAST(round_even(255 * least(1.0, dn / 10000.0), 0) AS INT) AS dn FROM (
-      SELECT *, row_number() OVER (PARTITION BY x, y, band, px, py ORDER BY cloud NULLS LAST, scene DESC) AS r FROM {{fx_stack}} SEMI JOIN (SELECT scene FROM {{fx_stack}} WHERE {LON} BETWEEN {S2_BOX[0]} AND {S2_BOX[2]} AND {PLAT} BETWEEN {S2_BOX[1]} AND {S2_BOX[3]} GROUP BY scene, cloud ORDER BY cloud NULLS LAST, scene LIMIT 3) AS k USING (scene)
-      WHERE dn <> 0 AND {LON} BETWEEN {S2_BOX[0]} AND {S2_BOX[2]} AND {PLAT} BETWEEN {S2_BOX[1]} AND {S2_BOX[3]}) AS t WHERE r = 1""")
+      SELECT *, row_number() OVER (PARTITION BY x, y, band, px, py ORDER BY cloud NULLS LAST, scene DESC) AS r FROM {{fx_stack}} SEMI JOIN (SELECT scene FROM {{fx_stack}} WHERE dn <> 0 AND {LON} BETWEEN {S2_BOX[0]} AND {S2_BOX[2]} AND {PLAT} BETWEEN {S2_BOX[1]} AND {S2_BOX[3]} GROUP BY scene, cloud ORDER BY cloud NULLS LAST, scene LIMIT 3) AS k USING (scene)
+      WHERE dn <> 0 AND {LON} BETWEEN {S2_BOX[0]} AND {S2_BOX[2]} AND {PLAT} BETWEEN {S2_BOX[1]} AND {S2_BOX[3]}) AS t WHERE r = 1 AND dn >= 20""")
 def _(v):
-    done = mosaics.visual_mosaic(v.fx_stack, 3, Box(*S2_BOX), 14, 16)
-    return done.select("x", "y", "band", "px", "py", "dn")
+    keys = ["scene", "cloud", "band", "z", "x", "y"]
+    done = mosaics.visual_mosaic(CH.assemble_chunks(v.fx_stack, keys, 16, 16), 3, Box(*S2_BOX), 14)
+    return clear_rows(done, ["x", "y", "band"])
 
 
 AREA = (-61.0, -28.0, 71.0, 54.0)

@@ -7,7 +7,7 @@ from tessella.operators import chunks as CH
 from tessella.operators import pixels as PX
 from tessella.operators import stacks as ST
 from tessella.operators import planes as PL
-from tessella.operators.regions import clip_pixels, land_in_region, polygon_cover
+from tessella.operators.regions import clip_chunks, land_in_region, polygon_cover
 from tessella.plans.planning import land_tiles
 from tessella.queries import query
 from tessella.session import cut_lineage
@@ -126,10 +126,11 @@ def _(v):
 
 
 @query("ras_panel_mosaic", """
-    SELECT band, scene, x * 16 + px AS px, y * 16 + py AS py, dn FROM {fx_stack}""")
+    SELECT band, scene, x * 16 + px AS px, y * 16 + py AS py, dn FROM {fx_stack} WHERE dn <> 0""")
 def _(v):
-    panels = v.fx_stack.withColumnsRenamed({"x": "col", "y": "row"})
-    return PX.panel_mosaic(panels, ["band", "scene"], 16, 16)
+    panels = stack_chunks(v).withColumnsRenamed({"x": "col", "y": "row"})
+    canvas = clear_rows(CH.panels_to_chunks(panels, ["band", "scene"]), ["band", "scene", "x", "y"])
+    return canvas.select("band", "scene", (F.col("x") * 16 + F.col("px")).alias("px"), (F.col("y") * 16 + F.col("py")).alias("py"), "dn")
 
 
 @query("ras_band_stack", """
@@ -160,10 +161,11 @@ LON = "(x + (px + 0.5) / 16) / power(2, z) * 360.0 - 180.0"
 PLAT = "degrees(atan(sinh(pi() * (1.0 - 2.0 * (y + (py + 0.5) / 16) / power(2, z)))))"
 
 
-@query("ras_crop_bbox", f"SELECT scene, seq, x, y, px, py, band FROM {{fx_obs}} WHERE {LON} BETWEEN -71.3 AND 43.9 AND {PLAT} BETWEEN -12.7 AND 58.1")
+@query("ras_crop_bbox", f"SELECT scene, x, y, band, px, py, dn FROM {{fx_stack}} WHERE dn <> 0 AND {LON} BETWEEN -179.93 AND -179.51 AND {PLAT} BETWEEN 85.0441 AND 85.0503")
 def _(v):
-    cropped = PX.crop_box(v.fx_obs, Box(-71.3, -12.7, 43.9, 58.1), 3, 16)
-    return cropped.select("scene", "seq", "x", "y", "px", "py", "band")
+    keys = ["scene", "band", *TILE]
+    cropped = PL.crop_box_chunks(stack_chunks(v), keys, Box(-179.93, 85.0441, -179.51, 85.0503), 14)
+    return clear_rows(cropped, ["scene", "x", "y", "band"])
 
 
 @query("ras_crop_polygon", f"""
@@ -172,8 +174,9 @@ def _(v):
         SELECT DISTINCT x, y, px, py, {LON} AS cx, {PLAT} AS cy FROM {{fx_obs}}) AS c, {{fx_edges}} AS g GROUP BY x, y, px, py, region_id) AS r WHERE n_right % 2 = 1) AS k USING (x, y, px, py)
     GROUP BY x, y, px, py""")
 def _(v):
-    kept = clip_pixels(v.fx_obs, v.fx_edges, "region_id", 3, 4)
-    return kept.groupBy("x", "y", "px", "py").agg(F.count("*").alias("n"))
+    counts = v.fx_obs.groupBy(*TILE, "px", "py").agg(F.count("*").alias("dn"))
+    clipped = clip_chunks(CH.assemble_chunks(counts, TILE, 16, 16), TILE, v.fx_edges, "region_id", 3, 4)
+    return clear_rows(clipped, ["x", "y"]).withColumn("n", F.col("dn").cast("bigint")).drop("dn")
 
 
 @query("ras_clip_region", f"""

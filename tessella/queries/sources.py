@@ -72,18 +72,22 @@ def _(v):
 
 
 @query("snk_plan", """
-    SELECT DISTINCT z, x, y, concat('{"z":', z, ',"x":', x, ',"y":', y, ',') AS head FROM {fx_tiles} AS t
-    WHERE EXISTS (SELECT 1 FROM (SELECT x / power(2, z) * 360.0 - 180.0 AS w, (x + 1) / power(2, z) * 360.0 - 180.0 AS e,
-        degrees(atan(sinh(pi() * (1.0 - 2.0 * (y + 1) / power(2, z))))) AS s, degrees(atan(sinh(pi() * (1.0 - 2.0 * y / power(2, z))))) AS n) AS b,
-        (VALUES """ + ", ".join(str(b) for b in C.LAND_BOXES) + """) AS l(w0, s0, e0, n0)
+    SELECT z, x, y, round(w, 9) AS minx, round(s, 9) AS miny, round(e, 9) AS maxx, round(n, 9) AS maxy,
+           CASE WHEN north THEN DATE '2024-04-01' ELSE DATE '2023-10-01' END AS start_date, CASE WHEN north THEN DATE '2024-10-31' ELSE DATE '2024-04-30' END AS end_date,
+           CASE WHEN north THEN 'northern_growing_season' ELSE 'southern_growing_season' END AS season, CASE WHEN north THEN 'north' ELSE 'south' END AS hemisphere,
+           'hls2-s30,hls2-l30' AS collections, 'landsat-c2-l2' AS fallback_collections, 40.0E0 AS max_cloud, 60.0E0 AS fallback_max_cloud, shard
+    FROM (SELECT *, (s + n) / 2 >= 0 AS north FROM (
+      SELECT DISTINCT z, x, y, x / power(2, z) * 360.0 - 180.0 AS w, (x + 1) / power(2, z) * 360.0 - 180.0 AS e,
+             degrees(atan(sinh(pi() * (1.0 - 2.0 * (y + 1) / power(2, z))))) AS s, degrees(atan(sinh(pi() * (1.0 - 2.0 * y / power(2, z))))) AS n FROM {fx_tiles}) AS b) AS t
+    JOIN (VALUES """ + ", ".join(f"('{i:02d}', {a}, {b}, {c}, {d})" for i, (a, b, c, d) in enumerate(C.SHARD_RECTANGLES)) + """) AS r(shard, x0, y0, x1, y1)
+      ON x >> (z - 6) BETWEEN x0 AND x1 AND y >> (z - 6) BETWEEN y0 AND y1
+    WHERE EXISTS (SELECT 1 FROM (VALUES """ + ", ".join(str(b) for b in C.LAND_BOXES) + """) AS l(w0, s0, e0, n0)
       WHERE (e >= w0 - 20.0 / 111.32 AND w <= e0 + 20.0 / 111.32 AND n >= s0 - 20.0 / 111.32 AND s <= n0 + 20.0 / 111.32) OR n > 75.0 OR s < -75.0)""")
 def _(v):
     plan = plan_tiles(v.fx_tiles.select("z", "x", "y").distinct(), 2024)
-    text = records.plan_json(plan)
-    back = records.parse_plan(text.withColumn("head", F.regexp_extract("value", '^(\\{"z":.*,"y":[0-9]+,)', 1)))
-    heads = text.select(F.regexp_extract("value", '^(\\{"z":.*,"y":[0-9]+,)', 1).alias("head"))
-    same = back.withColumn("head", F.format_string('{"z":%d,"x":%d,"y":%d,', "z", "x", "y"))
-    return same.join(heads, "head", "left_semi").select("z", "x", "y", "head")
+    back = records.parse_plan(records.plan_json(plan))
+    box = {n: F.round(n, 9) for n in ("minx", "miny", "maxx", "maxy")}
+    return back.withColumns({**box, **{n: F.array_join(n, ",") for n in ("collections", "fallback_collections")}})
 
 
 @query("snk_plan_by_shard", """

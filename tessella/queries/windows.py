@@ -1,5 +1,6 @@
 """Window-like picks and orderings."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tessella.functions.grid import box_from_point
@@ -8,6 +9,7 @@ from tessella.operators import tiles as T
 from tessella.operators.pixels import first_clear, last_painted
 from tessella.operators.ranking import ranked_in_group, top_in_group
 from tessella.queries import query
+from tessella.session import cut_lineage
 
 CELL = "concat(CAST(floor(minx / 30) AS INT), '_', CAST(floor(miny / 30) AS INT))"
 
@@ -135,6 +137,15 @@ def _(v):
 
 
 @query("top_cluster_layout", """
-    SELECT z, x, y, seq FROM {fx_tiles}""")
+    SELECT z, x, y, seq, true AS spread, true AS apart, true AS ordered FROM {fx_tiles}""")
 def _(v):
-    return T.clustered(v.fx_tiles, 8).select("z", "x", "y", "seq")
+    """Rows with what the layout promises: several files, no key range in two, keys in order."""
+    placed = {"part": F.spark_partition_id(), "row": F.monotonically_increasing_id(), "key": F.struct("z", "cluster")}
+    laid = cut_lineage(T.clustered(v.fx_tiles, 8).select("z", "x", "y", "seq", "cluster").withColumns(placed))
+    ranges = laid.groupBy("part").agg(F.min("key").alias("first"), F.max("key").alias("last"))
+    in_files = Window.orderBy("part")  # one row per file
+    before = F.lag("last").over(in_files)
+    facts = ranges.select("part", (F.count("*").over(Window.partitionBy()) > 1).alias("spread"), (before.isNull() | (before <= F.col("first"))).alias("apart"))
+    previous = F.lag("key").over(Window.partitionBy("part").orderBy("row"))
+    rows = laid.withColumn("ordered", previous.isNull() | (previous <= F.col("key"))).join(F.broadcast(facts), "part")
+    return rows.select("z", "x", "y", "seq", "spread", "apart", "ordered")

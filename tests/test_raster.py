@@ -334,3 +334,18 @@ def test_relief_and_alpha_of_odd_chunks(spark):
         PL.color_relief_chunks(table, ["src"], [(0, 1, 2)])
     mixed = PL.blend_chunks(table, table.withColumn("data", F.transform("data", lambda d: d + 10)), ["src"], 2.0)
     assert {r.src: r.data for r in mixed.collect()}[0] == [-490.0, 10.0]
+
+
+@pytest.mark.parametrize("z,bits", [(3, 4), (5, 2)])
+def test_region_masks_of_chunks_equal_pixels(spark, views, z, bits):
+    """Every pixel of the world: the chunk form keeps what the pixel form keeps; inner tiles are whole."""
+    size, at = 1 << bits, ["z", "x", "y"]
+    data = F.transform(F.sequence(F.lit(1), F.lit(size * size)), lambda i: i.cast("int"))
+    world = grid_tiles(spark, z).select(*at, F.lit(size).alias("w"), F.lit(size).alias("h"), data.alias("data"))
+    clipped = R.clip_chunks(world, at, views.fx_edges, "region_id", z, bits)
+    got = CH.explode_chunks(clipped, at).filter("dn <> 0").select(*at, "px", "py")
+    want = R.clip_pixels(CH.explode_chunks(world, at).drop("plane"), views.fx_edges, "region_id", z, bits).select(*at, "px", "py")
+    assert got.count() == want.count() > 0 and got.exceptAll(want).count() == 0
+    masks = R.region_masks(views.fx_edges, "region_id", z, bits)
+    assert masks.groupBy(*at).count().filter("count > 1").isEmpty() and not masks.filter("whole").isEmpty()
+    assert masks.filter("whole AND runs IS NULL").count() > 0 and masks.filter("NOT whole AND runs IS NULL").isEmpty()
