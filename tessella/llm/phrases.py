@@ -31,7 +31,7 @@ from tessella.session import cut_lineage
 
 LONGEST, OVERLAP, TRIGGER = 4, 3, 16
 PART_BYTES = 2 << 20
-_SLAB = 4 << 20
+_SLAB = 1 << 20
 _HELD = 400_000
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 _BASE = np.uint64(0x100000001B3)
