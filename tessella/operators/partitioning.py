@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessella.operators.chunks import Grouped
-from tessella.operators.skew import unsized
+from tessella.operators.skew import BROADCAST_ROWS, unsized
 from tessella.session import cut_lineage, inline_table
 
 GROUP_VALUES = 4_000_000  # values of one group of the second scan
@@ -91,14 +91,18 @@ class PrefixSums:
         by_strip = by_line.groupBy("strip").agg(F.collect_list(F.struct("x", "sums")).alias("g"))
         self.table = cut_lineage(by_strip.mapInArrow(along_x, schema))
 
-    def at(self, points: DataFrame, keys: list[str]) -> DataFrame:
-        """Signed sums of points (px, py, sign) per key; points before the grid count 0."""
+    def at(self, points: DataFrame, keys: list[str], count: int | None = None) -> DataFrame:
+        """Signed sums of points (px, py, sign) per key; points before the grid count 0.
+
+        ``count`` is the number of points where it is known; few of them go to the table.
+        """
         x0, y0, _, _ = self.extent
         place = F.col("py") - y0
         asked = points.filter((F.col("px") >= x0) & (F.col("py") >= y0)).select(
             *keys, "sign", F.col("px").cast("bigint").alias("x"), F.floor(place / self.strip).alias("strip"), (place % self.strip).cast("int").alias("_at")
         )
-        found = unsized(asked).join(self.table, ["x", "strip"])
+        few = count is not None and count <= BROADCAST_ROWS
+        found = self.table.join(F.broadcast(asked) if few else unsized(asked), ["x", "strip"])
         return found.groupBy(*keys).agg(F.sum(F.col("sign") * F.get("sums", F.col("_at"))).alias("sum"))
 
 
@@ -117,9 +121,9 @@ def _line_points(boxes: DataFrame) -> DataFrame:
     return lines.select("path", "line", F.inline(F.when(F.col("on_x"), across).otherwise(along)))
 
 
-def _cuts(sums: PrefixSums, boxes: DataFrame) -> DataFrame:
+def _cuts(sums: PrefixSums, boxes: DataFrame, points: int) -> DataFrame:
     """(path, cut, part, total) of each open box: its line closest to the share, lowest on ties."""
-    upto = sums.at(_line_points(boxes), ["path", "line"]).join(boxes, "path")
+    upto = sums.at(_line_points(boxes), ["path", "line"], points).join(boxes, "path")
     first = F.when(F.col("on_x"), F.col("x0")).otherwise(F.col("y0"))
     last = F.when(F.col("on_x"), F.col("x1")).otherwise(F.col("y1"))
     every = Window.partitionBy("path")  # one row per grid line of the box
@@ -185,7 +189,8 @@ def split_grid(grid: DataFrame, n: int, extent: Extent) -> Partition:
                 raise ValueError(f"{count} regions need as many lines; the box at {bx0}, {by0} has {b - a + 1}")
             splits.append((path, bx0, by0, bx1, by1, count, left, on_x, first, last))
         names = ["path", "x0", "y0", "x1", "y1", "leaves", "left", "on_x", "lo", "hi"]
-        found = {r["path"]: r for r in _cuts(sums, inline_table(grid.sparkSession, splits, names)).collect()}
+        points = sum(2 * (2 + (x1 - x0 if on_x else y1 - y0)) for _, x0, y0, x1, y1, _, _, on_x, _, _ in splits)
+        found = {r["path"]: r for r in _cuts(sums, inline_table(grid.sparkSession, splits, names), points).collect()}
         boxes = []
         for path, bx0, by0, bx1, by1, count, left, on_x, _, _ in splits:
             cut, part, total = (found[path][c] for c in ("cut", "part", "total"))
