@@ -30,7 +30,7 @@ from tessella.llm.registry import query, table
 from tessella.session import cut_lineage
 
 LONGEST, OVERLAP, TRIGGER = 4, 3, 16
-PART_BYTES = 2 << 20
+PART_BYTES = 3 << 20
 _SLAB = 1 << 20
 _HELD = 400_000
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
@@ -245,11 +245,17 @@ def _texts(buckets: int):
             code = bucket.astype(np.uint64) << np.uint64(32) | low
             place = np.minimum(np.searchsorted(wanted, code), len(wanted) - 1) if len(wanted) else np.zeros(0, np.int64)
             hit = np.flatnonzero(wanted[place] == code) if len(wanted) else place
-            at, weight = at[hit], weight[hit].tolist()
-            counts = {}
-            for a, b, w in zip(part.words.start[at].tolist(), part.words.stop[at + n - 1].tolist(), weight):
-                one = text[a:b]
-                counts[one] = counts.get(one, 0) + w
+            counts = Counter()
+            # most chunks occur once: these n-grams are counted in one call
+            for once in (True, False):
+                some = hit[(weight[hit] == 1) == once]
+                first, last = part.words.start[at[some]].tolist(), part.words.stop[at[some] + n - 1].tolist()
+                found = map(text.__getitem__, map(slice, first, last))
+                if once:
+                    counts.update(found)
+                else:
+                    for one, w in zip(found, weight[some].tolist()):
+                        counts[one] += w
             phrases += [p.decode() for p in counts]
             sizes += [n] * len(counts)
             totals += counts.values()
@@ -265,7 +271,7 @@ def frequent_phrases(docs: DataFrame, least: int = 30, lang_col: str = "lang", t
     The row with a null phrase and 0 words holds the language's number of words.
     """
     size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
-    parts, buckets = 1 + size // PART_BYTES, 1 + size // (2 * PART_BYTES)
+    parts, buckets = 1 + size // PART_BYTES, 1 + size // PART_BYTES
     chunks = dictionary(docs, lang_col, text_col, parts)
     packed = chunks.groupBy("lang", "part").applyInArrow(_hashes(buckets), "bucket bigint, lang string, part int, codes binary, counts binary")
     named = packed.groupBy("bucket").applyInArrow(_frequent(least), "lang string, part int, bucket bigint, codes binary")
