@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 import re
+import sys
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from html import unescape
 
 #: Elements and names that never hold the main text.
-RAW = "script|style|noscript|template|textarea|iframe|svg|object|canvas|math"
+RAW = "script|style|noscript|template|textarea|iframe|svg|canvas"
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = set(
-    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rb rp rt s samp small span strike strong sub sup time tt u var".split()
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rb rp rt s samp small span strike strong sub sup time tt u var "
+    "math mi mo mn ms mrow mtext msup msub msubsup mfrac msqrt mroot mfenced munder mover semantics".split()
 )
-NEVER = set("head nav footer aside form button select fieldset dialog menu audio video".split())
+NEVER = set("head nav footer aside button select fieldset dialog menu audio video".split())
 NAMES = set(
     "ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion sidebar menu nav navbar navigation breadcrumb "
     "breadcrumbs footer cookie cookies consent gdpr notice notices alert popup modal overlay comment comments respond disqus share sharing social "
@@ -38,8 +41,10 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _NAME = re.compile(r"[a-z]+")
-DEPTH = 40
-NODES = 300
+_FORM_END = re.compile("</form", re.I)
+_MARKED = re.compile(r"<(?:article|main)\b", re.I)
+_CONTENT = re.compile(r"<(?:article|main|h1)\b", re.I)
+OPEN, DOUBTFUL, CLOSED = range(3)
 
 
 @dataclass
@@ -53,11 +58,32 @@ class Node:
 
 @dataclass
 class Block:
-    """A text block, the number of its container, and 2 in an article, 1 in main, else 0."""
+    """A text block, the number of its container, and its scope.
+
+    The scope is 2 in an article, 1 in main, else 0; it is -1 where only a form or a name
+    speaks against a part that holds a title, an article or a main part.
+    """
 
     text: str
     node: int
     scope: int
+    title: bool = False
+    shut: "_Shut | None" = None
+
+
+@dataclass
+class _Shut:
+    """A part that should hold no main text, inside another one or none.
+
+    ``maybe``: only forms and names say so, here and outside. What one holds, the outer holds.
+    """
+
+    outer: "_Shut | None"
+    maybe: bool
+    holds: bool = False
+
+    def doubtful(self) -> bool:
+        return self.maybe and self.holds
 
 
 @dataclass
@@ -65,7 +91,7 @@ class _Open:
     tag: str
     node: Node
     scope: int
-    shut: bool
+    shut: _Shut | None
 
 
 def _attributes(text: str) -> tuple[set[str], str, str]:
@@ -88,29 +114,35 @@ def _named(token: str) -> bool:
     return bool(words & NAMES) and words <= NAMES | BESIDE
 
 
-def _shut(tag: str, tokens: set[str], role: str, scope: int) -> bool:
+def _verdict(tag: str, tokens: set[str], role: str, scope: int) -> int:
+    """Whether an element may hold main text: open, closed, or closed by its name only."""
     if tag in ("html", "body", "main"):
-        return False
-    if tag in NEVER or (tag == "header" and scope == 0):
-        return True
-    if role in ROLES:
-        return True
+        return OPEN
+    if tag in NEVER or (tag == "header" and scope == 0) or role in ROLES:
+        return CLOSED
     if tag == "article" and scope < 2:
-        return False
+        return OPEN
     header = scope == 0 and tag not in ("h1", "article") and any("header" in _NAME.findall(t) for t in tokens)
-    return header or any(map(_named, tokens))
+    return DOUBTFUL if header or any(map(_named, tokens)) else OPEN
+
+
+def _wraps(html: str, start: int) -> bool:
+    """Whether the form opened before ``start`` wraps the page's content."""
+    end = _FORM_END.search(html, start)
+    stop = end.start() if end else len(html)
+    if _CONTENT.search(html, start, stop):
+        return True
+    return 2 * (stop - start) > len(html) and not _MARKED.search(html)
 
 
 def read_page(html: str) -> tuple[Node, list[Block]]:
     """The tree of containers and the blocks of a page, outside what never holds main text.
 
-    Neighbours with one signature count as one container. An article or a closed container
-    is a leaf. Containers beyond ``DEPTH`` levels or ``NODES`` in number count as their
-    parent's; their text is kept.
+    Neighbours with one signature count as one container; a closed container is a leaf.
     """
     root = Node("", 0)
     count = 1
-    stack = [_Open("", root, 0, False)]
+    stack = [_Open("", root, 0, None)]
     blocks: list[Block] = []
     held: list[str] = []
 
@@ -120,7 +152,7 @@ def read_page(html: str) -> tuple[Node, list[Block]]:
             held.clear()
             if text:
                 top = stack[-1]
-                blocks.append(Block(text, top.node.number, top.scope))
+                blocks.append(Block(text, top.node.number, top.scope, top.node.sign.partition(".")[0] == "h1", top.shut))
 
     def close(index: int):
         flush()
@@ -128,7 +160,7 @@ def read_page(html: str) -> tuple[Node, list[Block]]:
 
     at = 0
     for token in _TOKEN.finditer(html):
-        if token.start() > at and not stack[-1].shut:
+        if token.start() > at and (stack[-1].shut is None or stack[-1].shut.maybe):
             held.append(html[at:token.start()])
         at = token.end()
         tag = token[3]
@@ -144,7 +176,8 @@ def read_page(html: str) -> tuple[Node, list[Block]]:
                     del stack[index:]
             elif words or role:
                 top = stack[-1]
-                stack.append(_Open(tag, top.node, top.scope, top.shut or _shut(tag, words, role, top.scope)))
+                shut = _Shut(top.shut, False) if _verdict(tag, words, role, top.scope) else top.shut
+                stack.append(_Open(tag, top.node, top.scope, shut))
             continue
         if token[2]:
             index = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), 0)
@@ -172,76 +205,147 @@ def read_page(html: str) -> tuple[Node, list[Block]]:
                 break
         top = stack[-1]
         words, role, first = _attributes(token[4])
-        shut = top.shut or _shut(tag, words, role, top.scope)
+        verdict, shut = _verdict(tag, words, role, top.scope), top.shut
+        if tag == "form" and verdict == OPEN and not _wraps(html, at):
+            verdict = DOUBTFUL
+        if tag in ("article", "main", "h1"):
+            outer = shut
+            while outer is not None and not outer.holds:
+                outer.holds, outer = True, outer.outer
+        if verdict:
+            shut = _Shut(shut, verdict == DOUBTFUL and (shut is None or shut.maybe))
         scope = max(top.scope, 2 if tag == "article" else 1 if tag == "main" or role == "main" else 0)
         node = top.node
-        if not top.shut and top.scope < 2 and len(stack) <= DEPTH:
+        if top.shut is None:
             sign = f"{tag}.{first}" if first else tag
             if node.parts and node.parts[-1].sign == sign:
                 node = node.parts[-1]
-            elif count < NODES:
+            else:
                 node.parts.append(Node(sign, count))
                 node, count = node.parts[-1], count + 1
         stack.append(_Open(tag, node, scope, shut))
-    if at < len(html) and not stack[-1].shut:
+    if at < len(html) and (stack[-1].shut is None or stack[-1].shut.maybe):
         held.append(html[at:])
     flush()
-    return root, blocks
+    for block in blocks:
+        block.scope = block.scope if block.shut is None else -1
+    return root, [b for b in blocks if b.shut is None or b.shut.doubtful()]
 
 
 def outline(node: Node) -> list:
     """The tree as nested lists: [signature, part, part ...], in page order."""
-    return [node.sign, *(outline(p) for p in node.parts)]
+    return listed(shape(node))
 
 
-def align(left: list, right: list) -> dict[int, int]:
-    """Simple tree matching of two outlines: container numbers of the left to the right's.
-
-    Equal roots match one and the best ordered matching of their parts. Numbers follow page
-    order, which is the order of the nested lists.
-    """
-    left_sizes, right_sizes = _sizes(left), _sizes(right)
-    known: dict[tuple[int, int], tuple[int, list[tuple[int, int]]]] = {}
+def shape(node: Node) -> str:
+    """The tree as text, a line with level and signature for each container in page order."""
+    lines, stack = [], [(0, node)]
+    while stack:
+        level, at = stack.pop()
+        lines.append(f"{level} {at.sign}")
+        stack.extend((level + 1, part) for part in reversed(at.parts))
+    return "\n".join(lines)
 
-    def match(a: list, i: int, b: list, j: int) -> tuple[int, list[tuple[int, int]]]:
-        if a[0] != b[0]:
-            return 0, []
-        if (i, j) not in known:
-            a_parts, b_parts = _places(a, i, left_sizes), _places(b, j, right_sizes)
-            width = len(b_parts) + 1
-            row: list[tuple[int, list]] = [(0, [])] * width
-            for x, x_at in a_parts:
-                above, row = row, [(0, [])]
-                for k, (y, y_at) in enumerate(b_parts, 1):
-                    best = above[k] if above[k][0] >= row[-1][0] else row[-1]
-                    size, pairs = match(x, x_at, y, y_at)
-                    if size and above[k - 1][0] + size > best[0]:
-                        best = above[k - 1][0] + size, above[k - 1][1] + pairs
-                    row.append(best)
-            known[i, j] = row[-1][0] + 1, [(i, j), *row[-1][1]]
-        return known[i, j]
 
-    return dict(match(left, 0, right, 0)[1])
+def listed(text: str) -> list:
+    """The nested lists of a tree's text form."""
+    path: list[list] = []
+    for line in text.split("\n"):
+        level, sign = line.split(" ", 1)
+        del path[int(level):]
+        own = [sign]
+        if path:
+            path[-1].append(own)
+        path.append(own)
+    return path[0]
 
 
-def _sizes(tree: list) -> dict[int, int]:
-    """Number of containers in the subtree at each number."""
-    out: dict[int, int] = {}
+@dataclass
+class _Tree:
+    """Containers in page order: signature, parts, size and kind (equal for equal subtrees)."""
+
+    signs: list[str]
+    parts: list[list[int]]
+    sizes: list[int]
+    kinds: list[int]
+
+
+def _tree(nested: list, kinds: dict) -> _Tree:
+    signs, parts, stack = [], [], [(nested, -1)]
+    while stack:
+        node, parent = stack.pop()
+        if parent >= 0:
+            parts[parent].append(len(signs))
+        stack.extend((part, len(signs)) for part in reversed(node[1:]))
+        signs.append(node[0])
+        parts.append([])
+    sizes, own = [1] * len(signs), [0] * len(signs)
+    for i in reversed(range(len(signs))):
+        sizes[i] += sum(sizes[p] for p in parts[i])
+        own[i] = kinds.setdefault((signs[i], tuple(own[p] for p in parts[i])), len(kinds))
+    return _Tree(signs, parts, sizes, own)
+
+
+def _best(xs: list[int], ys: list[int], match: Callable[[int, int], int]) -> list[list[int]]:
+    """The table of the best ordered matchings of leading parts."""
+    rows = [[0] * (len(ys) + 1)]
+    for x in xs:
+        row = [0]
+        for k, y in enumerate(ys):
+            size = match(x, y)
+            row.append(max(rows[-1][k + 1], row[-1], rows[-1][k] + size if size else 0))
+        rows.append(row)
+    return rows
 
-    def walk(node: list, at: int) -> int:
-        size = 1
-        for part in node[1:]:
-            size += walk(part, at + size)
-        out[at] = size
-        return size
 
-    walk(tree, 0)
-    return out
+def align(left: list, right: list) -> dict[int, int]:
+    """Simple tree matching of two outlines: container numbers of the left to the right's.
 
+    Equal roots match one and the best ordered matching of their parts. Numbers follow page
+    order, which is the order of the nested lists. Equal parts at both ends match each other,
+    which no other choice exceeds, so trees of any size cost time only where they differ.
+    """
+    kinds: dict = {}
+    a, b = _tree(left, kinds), _tree(right, kinds)
+    # calls are as deep as the trees; they take no room on the native stack
+    sys.setrecursionlimit(max(sys.getrecursionlimit(), 2 * len(a.signs) + 1000))
+    known: dict[tuple[int, int], int] = {}
+
+    def trimmed(i: int, j: int) -> tuple[list[int], list[int], list[tuple[int, int]]]:
+        xs, ys, same = a.parts[i], b.parts[j], []
+        least = min(len(xs), len(ys))
+        head = next((k for k in range(least) if a.kinds[xs[k]] != b.kinds[ys[k]]), least)
+        tail = next((k for k in range(least - head) if a.kinds[xs[-1 - k]] != b.kinds[ys[-1 - k]]), least - head)
+        same = [*zip(xs[:head], ys[:head]), *zip(xs[len(xs) - tail:], ys[len(ys) - tail:])]
+        return xs[head:len(xs) - tail], ys[head:len(ys) - tail], same
+
+    def match(i: int, j: int) -> int:
+        if a.kinds[i] == b.kinds[j]:
+            return a.sizes[i]
+        if a.signs[i] != b.signs[j]:
+            return 0
+        if (i, j) not in known:
+            xs, ys, same = trimmed(i, j)
+            known[i, j] = 1 + sum(a.sizes[x] for x, _ in same) + _best(xs, ys, match)[-1][-1]
+        return known[i, j]
 
-def _places(node: list, at: int, sizes: dict[int, int]) -> list[tuple[list, int]]:
-    out, at = [], at + 1
-    for part in node[1:]:
-        out.append((part, at))
-        at += sizes[at]
-    return out
+    pairs, stack = {}, [(0, 0)] if match(0, 0) else []
+    while stack:
+        i, j = stack.pop()
+        if a.kinds[i] == b.kinds[j]:
+            pairs.update((i + k, j + k) for k in range(a.sizes[i]))
+            continue
+        pairs[i] = j
+        xs, ys, same = trimmed(i, j)
+        stack.extend(same)
+        rows = _best(xs, ys, match)
+        x, y = len(xs), len(ys)
+        while x and y:
+            if rows[x][y] == rows[x - 1][y]:
+                x -= 1
+            elif rows[x][y] == rows[x][y - 1]:
+                y -= 1
+            else:
+                x, y = x - 1, y - 1
+                stack.append((xs[x], ys[y]))
+    return pairs

@@ -89,5 +89,57 @@ def test_induced_template(spark):
     assert sorted(got, key=repr) == sorted(want, key=repr)
 
 
+def texts_of(spark, htmls, host="h.example"):
+    pages = spark.createDataFrame([(i, f"http://{host}/{i}", h) for i, h in enumerate(htmls)], "page_id long, url string, html string")
+    return [r["text"] for r in main_text(pages).orderBy("page_id").collect()]
+
+
+def words(i, n=30):
+    return " ".join(f"w{i}x{k * k % 97}" for k in range(n))
+
+
+def test_template_lines_inside_articles(spark):
+    page = "<article><h1>Same title</h1><div class=note>Read our rules</div><p>{}</p><div class=legal>All rights</div></article>"
+    assert texts_of(spark, [page.format(words(i)) for i in range(12)]) == [f"Same title\n{words(i)}" for i in range(12)]
+
+
+def test_copies_under_other_titles_are_no_template(spark):
+    page = "<article><h1>T{}</h1><p>" + words(0) + "</p></article>"
+    assert texts_of(spark, [page.format(i) for i in range(40)]) == [f"T{i}\n{words(0)}" for i in range(40)]
+    page = "<div class=head>T{}</div><div class=body><p>" + words(0) + "</p></div>"
+    assert texts_of(spark, [page.format(i) for i in range(40)]) == [f"T{i}\n{words(0)}" for i in range(40)]
+
+
+def test_own_text_in_a_template_container(spark):
+    page = "<div class=a>{}</div><div class=b>{}</div>"
+    rows = [page.format(words(i), "not available") for i in range(16)] + [page.format(words(i), f"own {i}") for i in range(16, 20)]
+    assert texts_of(spark, rows) == [words(i) + (f"\nown {i}" if i > 15 else "") for i in range(20)]
+
+
+def test_teasers_beside_the_body(spark):
+    teaser = "<article><p>Read {} next</p></article>"
+    rows = [teaser.format(i) + f"<div class=body><p>{words(i)}</p></div>" for i in range(3)]
+    rows += [f"<main><p>{words(i)}</p>{teaser.format(i)}</main>" for i in range(3, 6)]
+    rows += [f"<article><p>{words(6)}</p></article><div class=more><p>Read 6 next</p></div>"]
+    assert texts_of(spark, rows) == [words(i) for i in range(7)]
+
+
+def test_forms_and_names_around_the_page(spark):
+    rows = [f"<form id=f><div class=top></div><div><p>{words(0)}</p></div><select><option>o</select></form>"]
+    rows += [f"<form><article><p>{words(1)}</p></article></form>", f"<article><p>{words(2)}</p></article><form><p>Your name</p></form>"]
+    rows += [f"<div class='item alert'><h1>T</h1><p>{words(3)}</p><nav>n</nav></div>", "<div class=ad><p>buy</p></div><form><p>q</p></form><footer>f"]
+    rows += ["<article><p>a <math><mi>x</mi><mo>+</mo><mn>1</mn></math> b</p><object>o</object></article>"]
+    assert texts_of(spark, rows) == [words(0), words(1), words(2), f"T\n{words(3)}", "", "a x+1 b\no"]
+
+
+def test_large_and_deep_trees(spark):
+    parts = lambda i, n: "".join(f"<div class=c{k}><span>a</span></div>" for k in range(n) if k % (i + 2))
+    rows = [f"{parts(i, 1000)}<div class=body>{words(i)}</div><div class=legal>All rights</div>" for i in range(6)]
+    rows += ["<div>" * 3000 + f"<p>{words(i)}</p>" + "</div>" * 3000 for i in range(6, 8)]
+    got = texts_of(spark, rows)
+    assert all(g.endswith(words(i)) for i, g in enumerate(got))
+    assert got[6:] == [words(6), words(7)]
+
+
 def test_no_rows(spark):
     assert main_text(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
