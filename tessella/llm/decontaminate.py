@@ -3,31 +3,35 @@
 Texts are compared in a normal form: lower case, runs of anything but letters and digits as
 one space. An item may occur with up to ``rate`` edits per character. It is split into one
 piece more than its edit budget, so at least one piece of any such occurrence is intact. An
-automaton finds all exact pieces in one pass over a document; around each hit the item is
-verified with Myers' bit-parallel edit distance.
+automaton finds all exact pieces in one pass over a document; around the hits the item is
+verified with Myers' bit-parallel edit distance, once for all hits that lie as close as edits
+can shift them. Items count whole, at any length; only items below ``LEAST_CHARS`` characters
+have no budget and must begin and end with words. They lie in the shared folder, from where
+each task streams them in blocks.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 
 import ahocorasick
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessella.llm.arrow import map_batches, map_series
+from tessella.llm.arrow import map_arrays, map_batches
 from tessella.llm.registry import query, table
+from tessella.session import shared_folder
 
 RATE = 0.06
 _OTHER = re.compile(r"[\W_]+")
-#: Items with fewer words and fewer characters are compared with whole documents only.
-#: Scripts without spaces have few words, so characters count too.
-LEAST_WORDS, LEAST_CHARS = 5, 25
-#: Of longer items, stretches of this length count as well as the whole item.
-PART = 1000
+#: Shorter items must occur exactly, between word borders.
+LEAST_CHARS = 25
 #: Characters of items in one automaton; more items take more passes.
 BLOCK_CHARS = 4_000_000
+#: Scripts written without spaces, where any place is a word border.
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\uabff\uf900-\ufaff]")
 
 
 def normal_form(text: str | None) -> str:
@@ -67,29 +71,22 @@ class Pattern:
         return least, end
 
 
-def stretches(text: str) -> list[str]:
-    """What counts as the item: its whole text, then stretches of ``PART`` that cover it."""
-    count = -(-len(text) // PART)
-    return [text, *(text[at:at + PART] for at in ((len(text) - PART) * i // (count - 1) for i in range(count if count > 1 else 0)))]
+def _border(body: str, at: int) -> bool:
+    """Whether a word begins or ends before the character at ``at``."""
+    pair = body[max(0, at - 1):at + 1]
+    return at in (0, len(body)) or " " in pair or _UNSPACED.search(pair) is not None
 
 
 class Matcher:
     """Finds all items of one block in a document."""
 
     def __init__(self, items: list[tuple[int, str]], rate: float):
-        self.whole: dict[str, list[int]] = {}
-        self.parts: list[tuple[int, str, int, bool]] = []
+        self.items = [(item, text, int(rate * len(text)) if len(text) >= LEAST_CHARS else 0) for item, text in items]
         pieces: dict[str, list[tuple[int, int]]] = {}
-        for item, text in items:
-            if len(text.split()) < LEAST_WORDS and len(text) < LEAST_CHARS:
-                self.whole.setdefault(text, []).append(item)
-                continue
-            for k, part in enumerate(stretches(text)):
-                number, budget = len(self.parts), int(rate * len(part))
-                self.parts.append((item, part, budget, k > 0))
-                for i in range(budget + 1):
-                    start, stop = len(part) * i // (budget + 1), len(part) * (i + 1) // (budget + 1)
-                    pieces.setdefault(part[start:stop], []).append((number, start))
+        for number, (_, text, budget) in enumerate(self.items):
+            for i in range(budget + 1):
+                start, stop = len(text) * i // (budget + 1), len(text) * (i + 1) // (budget + 1)
+                pieces.setdefault(text[start:stop], []).append((number, start))
         self.automaton = ahocorasick.Automaton()
         for piece, places in pieces.items():
             self.automaton.add_word(piece, (len(piece), places))
@@ -98,41 +95,39 @@ class Matcher:
         self.patterns: dict[int, tuple[Pattern, Pattern]] = {}
 
     def matches(self, text: str | None) -> list[tuple[int, int, int, int]]:
-        """(item, distance, start, stop) of each item's best place in the normal form.
-
-        A place of the whole item is better than one of a stretch.
-        """
+        """(item, distance, start, stop) of each item's best place in the normal form."""
         body = normal_form(text)
-        best = {item: (False, 0, 0, len(body)) for item in self.whole.get(body, ())}
+        best: dict[int, tuple[int, int, int]] = {}
         exact: set[int] = set()
-        tried: set[tuple[int, int]] = set()
-        for end, (length, places) in self.automaton.iter(body) if self.parts and body else ():
+        # starts of the items that have an intact piece, rounded to multiples of the budget
+        near: dict[int, set[int]] = {}
+        for end, (length, places) in self.automaton.iter(body) if self.items and body else ():
             for number, offset in places:
-                at = end + 1 - length - offset
-                if number in exact or (number, at) in tried:
-                    continue
-                tried.add((number, at))
-                found = self._verified(number, at, body)
-                if found is None:
+                item, whole, budget = self.items[number]
+                if number in exact or len(whole) - budget > len(body):
                     continue
-                if found[0] == 0:
+                at = end + 1 - length - offset
+                if at >= 0 and body.startswith(whole, at) and (len(whole) >= LEAST_CHARS or _border(body, at) and _border(body, at + len(whole))):
                     exact.add(number)
-                item, _, _, stretch = self.parts[number]
-                place = stretch, *found
-                best[item] = min(best.get(item, place), place)
-        return [(item, *place[1:]) for item, place in best.items()]
-
-    def _verified(self, number: int, at: int, body: str) -> tuple[int, int, int] | None:
-        _, part, budget, _ = self.parts[number]
-        if body.startswith(part, at) and at >= 0:
-            return 0, at, at + len(part)
-        if not budget:
-            return None
+                    best[item] = min(best.get(item, (0, at, at + len(whole))), (0, at, at + len(whole)))
+                elif budget:
+                    near.setdefault(number, set()).add(at // budget)
+        for number, starts in near.items():
+            item = self.items[number][0]
+            for start in sorted(starts) if number not in exact else ():
+                place = self._verified(number, start, body)
+                if place is not None:
+                    best[item] = min(best.get(item, place), place)
+        return [(item, *place) for item, place in best.items()]
+
+    def _verified(self, number: int, start: int, body: str) -> tuple[int, int, int] | None:
+        """The best place whose intact pieces say that it starts near ``start`` budgets."""
+        _, whole, budget = self.items[number]
         if number not in self.patterns:
-            self.patterns[number] = Pattern(part), Pattern(part[::-1])
+            self.patterns[number] = Pattern(whole), Pattern(whole[::-1])
         forward, backward = self.patterns[number]
-        first = max(0, at - budget)
-        window = body[first:at + len(part) + budget]
+        first = max(0, (start - 1) * budget)
+        window = body[first:max(0, (start + 2) * budget + len(whole))]
         distance, end = forward.best(window)
         if distance > budget:
             return None
@@ -140,66 +135,98 @@ class Matcher:
         return distance, first + end - length, first + end
 
 
-def item_blocks(items: DataFrame, id_col: str = "item_id", text_col: str = "text", block_chars: int = BLOCK_CHARS) -> Iterator[list[tuple[int, str]]]:
-    """The items in normal form, in blocks of about ``block_chars`` characters.
-
-    One block at a time comes to the driver; there are as many as the table needs.
-    """
-    known = items.where(F.col(text_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    total = known.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = max(1, -(-total // block_chars))
-    own = F.pmod(F.xxhash64("id", "text"), F.lit(blocks))
-    for block in range(blocks):
-        rows = known.where(own == block).distinct().orderBy("id", "text").collect()
-        yield [(r["id"], body) for r in rows if (body := normal_form(r["text"]))]
+def _normal(batches):
+    for batch in batches:
+        yield {"id": batch["id"], "text": [normal_form(t.as_py()) for t in batch["text"]]}
 
 
-def _search(block: list[tuple[int, str]], rate: float):
+def write_items(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> str:
+    """Write the items in normal form to a folder of their own in the shared folder."""
+    known = items.where(F.col(text_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    folder = f"{shared_folder(items.sparkSession)}/items-{uuid.uuid4().hex}"
+    map_batches(known, _normal, "id bigint, text string").where("text <> ''").distinct().write.parquet(folder)
+    return folder
+
+
+class Matchers:
+    """A matcher for each block of the written items; a single block's matcher is kept."""
+
+    def __init__(self, folder: str, rate: float, block_chars: int):
+        self.folder, self.rate, self.block_chars = folder, rate, block_chars
+        self.kept: Matcher | None = None
+
+    def _blocks(self) -> Iterator[list[tuple[int, str]]]:
+        from pyarrow import dataset
+        from pyarrow.fs import FileSystem
+
+        fs, path = FileSystem.from_uri(self.folder)
+        block, size = [], 0
+        for batch in dataset.dataset(path, filesystem=fs, format="parquet").to_batches(batch_size=1024, batch_readahead=1, fragment_readahead=1):
+            for item, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist()):
+                if block and size + len(text) > self.block_chars:
+                    yield block
+                    block, size = [], 0
+                block.append((item, text))
+                size += len(text)
+        yield block
+
+    def __iter__(self) -> Iterator[Matcher]:
+        if self.kept is not None:
+            yield self.kept
+            return
+        count = 0
+        for block in self._blocks():
+            count += 1
+            matcher = Matcher(block, self.rate)
+            yield matcher
+        if count == 1:
+            self.kept = matcher
+
+
+def _search(folder: str, rate: float, block_chars: int):
     def step(batches):
-        matcher = Matcher(block, rate)
+        matchers = Matchers(folder, rate, block_chars)
         for batch in batches:
-            found = [(doc.as_py(), *m) for doc, text in zip(batch["id"], batch["text"]) for m in matcher.matches(text.as_py())]
-            yield {n: [f[i] for f in found] for i, n in enumerate(("doc", "item", "distance", "start", "stop"))}
+            for matcher in matchers:
+                found = [(doc.as_py(), *m) for doc, text in zip(batch["id"], batch["text"]) for m in matcher.matches(text.as_py())]
+                yield {n: [f[i] for f in found] for i, n in enumerate(("doc", "item", "distance", "start", "stop"))}
 
     return step
 
 
 def leaks(
     docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", rate: float = RATE,
-    item_id: str = "item_id", item_text: str = "text",
+    item_id: str = "item_id", item_text: str = "text", block_chars: int = BLOCK_CHARS,
 ) -> DataFrame:
     """(doc, item, distance, start, stop): each item found in each row of ``docs``.
 
-    ``distance`` is the least found at any place with an intact piece; start and stop are
-    code points of the document's normal form. Null, empty and symbol-only texts hold
-    nothing; such items and null ids are left out. Items below ``LEAST_WORDS`` words and
-    ``LEAST_CHARS`` characters match whole documents only. A stretch of ``PART`` characters of
-    a longer item counts for the item, with its own distance. Repeated documents are
-    searched one by one, repeated items count once. Empty tables give no rows.
+    ``distance`` is the least at any place; start and stop are code points of the document's
+    normal form. Of places of one distance an early one is named. Null, empty and symbol-only
+    texts hold nothing; such items and null ids are left out. An item occurs as a whole, with
+    up to ``rate`` edits per character, or, below ``LEAST_CHARS`` characters, exactly and
+    between word borders. Repeated documents are searched one by one, repeated items count
+    once; several texts of one item id count as one item. Empty tables give no rows. Texts
+    and items have any length; verifying an item takes time with the square of its length.
+    Ids are integers. Other columns are not read.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     schema = "doc bigint, item bigint, distance int, start bigint, stop bigint"
-    found = None
-    for block in item_blocks(items, item_id, item_text):
-        one = map_batches(rows, _search(block, rate), schema)
-        found = one if found is None else found.unionByName(one)
-    return found
+    return map_batches(rows, _search(write_items(items, item_id, item_text), rate, block_chars), schema)
 
 
-def is_leaked(items: DataFrame, text: Column, rate: float = RATE) -> Column:
+def is_leaked(items: DataFrame, text: Column, rate: float = RATE, block_chars: int = BLOCK_CHARS) -> Column:
     """Whether a text holds any of the items; false for null and empty texts."""
-    answer = F.lit(False)
-    for block in item_blocks(items):
-        answer = answer | _holds(block, rate)(text)
-    return answer
+    folder = write_items(items)
 
-
-def _holds(block: list[tuple[int, str]], rate: float):
-    def task():
-        matcher = Matcher(block, rate)
-        return lambda text: bool(matcher.matches(text))
-
-    return map_series(task, "boolean")
+    def step(batches):
+        matchers = Matchers(folder, rate, block_chars)
+        for texts in batches:
+            held = [False] * len(texts)
+            for matcher in matchers:
+                held = [h or bool(matcher.matches(t.as_py())) for h, t in zip(held, texts)]
+            yield held
+
+    return map_arrays(step, "boolean")(text)
 
 
 @query("op7_decontaminate")
