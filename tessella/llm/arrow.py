@@ -47,24 +47,29 @@ def map_series(value: Callable, kind: str) -> Callable[..., Column]:
 
     Arrow arrays only: a worker that never loads pandas is a third smaller.
     """
+    target = to_arrow_schema(StructType.fromDDL(f"v {kind}")).field(0).type
 
-    def step(batches):
+    @arrow_udf(kind)
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         one = value()
-        for values in batches:
-            yield [one(v.as_py()) for v in values]
+        try:
+            for values in batches:
+                yield pa.array((one(v.as_py()) for v in values), target, size=len(values))
+        finally:
+            give_back()
 
-    return map_arrays(step, kind)
+    return run
 
 
 def map_arrays(step: Callable[[Iterator[pa.Array]], Iterator[list]], kind: str) -> Callable[..., Column]:
-    """A column function from ``step``, which turns a task's arrays into lists of values."""
+    """A column function from ``step``, which turns each of a task's arrays into a list of values."""
     target = to_arrow_schema(StructType.fromDDL(f"v {kind}")).field(0).type
 
     @arrow_udf(kind)
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         try:
             for values in step(batches):
-                yield pa.array(values, target, size=len(values))
+                yield pa.array(values, target)
         finally:
             give_back()
 
